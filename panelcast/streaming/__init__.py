@@ -1,0 +1,9 @@
+"""Streaming.
+
+The reference has no streaming surface: its inputs are files read once, and
+there is no source, watermark, windowed aggregation or state. Nothing is
+built here on purpose. The batch operators are plain DataFrame
+transformations; the per-row ones (calendar, store, ratio features) would
+run unchanged on a ``readStream`` frame, while the per-series window
+features need whole-series order and stay batch jobs.
+"""
