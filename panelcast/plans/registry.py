@@ -9,6 +9,7 @@ from panelcast.plans import catalog
 _MODULES = [
     "panelcast.plans.q_features",
     "panelcast.plans.q_profile",
+    "panelcast.plans.q_eval",
 ]
 
 
