@@ -10,6 +10,7 @@ _MODULES = [
     "panelcast.plans.q_features",
     "panelcast.plans.q_profile",
     "panelcast.plans.q_eval",
+    "panelcast.plans.q_models",
 ]
 
 
