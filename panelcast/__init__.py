@@ -14,6 +14,14 @@ Layout:
     streaming/  (the reference has no streaming surface; see its docstring)
 """
 
-from panelcast.session import get_spark, checkpoint_dir
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# Grouped-map and mapInPandas functions of this package are shipped to the
+# Python workers by value, so executors need no installed copy of it.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
+from panelcast.session import get_spark, checkpoint_dir  # noqa: E402
 
 __all__ = ["get_spark", "checkpoint_dir"]

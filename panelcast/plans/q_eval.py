@@ -8,7 +8,7 @@ from panelcast.operators import evaluate as E
 from panelcast.operators import profile as P
 from panelcast.plans.catalog import register
 from panelcast.plans.forecast.naive import NAIVE_MODELS, naive_predictions
-from panelcast.plans.q_profile import FINAL, SINGLE_STORE, SPLIT_SQL, _final, _hist_sql
+from panelcast.plans.q_profile import FINAL, PICK_SQL, SPLIT_SQL, _final, _hist_sql, _tx, pick_series
 from panelcast.sources.fixtures import TRAIN_END, VAL_END, with_views
 
 PRED_CTES = FINAL + (
@@ -120,12 +120,12 @@ def best_model(spark, d):
 
 @register("forecast_vs_actual", with_views(
     "SELECT date, y_true, " + ", ".join(f"avg(y_pred) FILTER (WHERE model = '{m}') AS pred_{m}" for m in NAIVE_MODELS)
-    + f" FROM pr WHERE split = 'test' AND store_nbr = {SINGLE_STORE} GROUP BY date, y_true", *PRED_CTES),
+    + f" FROM pr WHERE split = 'test' AND store_nbr = {PICK_SQL} GROUP BY date, y_true", *PRED_CTES),
     doubles=["y_true"] + [f"pred_{m}" for m in NAIVE_MODELS])
 def forecast_vs_actual(spark, d):
     """One series on the test split: actual and each model's prediction by date."""
     p = _preds(spark, d).where(F.col("split") == "test")
-    return E.forecast_vs_actual(p, SINGLE_STORE, list(NAIVE_MODELS))
+    return E.forecast_vs_actual(p, pick_series(_tx(spark, d)), list(NAIVE_MODELS))
 
 
 def _best_residuals(spark, d):

@@ -26,6 +26,15 @@ YEAR = "CAST(year(date) AS INTEGER)"
 TXS = "tx LEFT JOIN stores USING (store_nbr)"
 FINAL = FINAL_CTES + ("final AS (SELECT * EXCLUDE (_day_rank) FROM f7 WHERE _day_rank > 28)",)
 SINGLE_STORE = 1
+# one-series examples: store 1 where present, else the smallest key
+PICK_SQL = ("(SELECT CASE WHEN count(*) FILTER (WHERE store_nbr = 1) > 0 THEN 1 ELSE min(store_nbr) END "
+            "FROM tx)")
+
+
+def pick_series(tx):
+    """Store 1 if the panel has it, else the smallest key (one scalar)."""
+    return tx.agg(F.coalesce(F.max(F.when(F.col("store_nbr") == SINGLE_STORE, F.col("store_nbr"))),
+                             F.min("store_nbr"))).first()[0]
 
 
 def _tx(spark, d):
@@ -308,10 +317,11 @@ def normalised_monthly(spark, d):
 @register("lag_pairs", with_views(
     "SELECT date, lag_7, transactions FROM s WHERE lag_7 IS NOT NULL",
     f"s AS (SELECT date, transactions, lag(transactions, 7) OVER (ORDER BY date) AS lag_7 FROM tx "
-    f"WHERE store_nbr = {SINGLE_STORE})"))
+    f"WHERE store_nbr = {PICK_SQL})"))
 def lag_pairs(spark, d):
     """(y[t-7], y[t]) of one series (filter pushed below the window)."""
-    return P.lag_pairs(_tx(spark, d).where(F.col("store_nbr") == SINGLE_STORE), 7)
+    tx = _tx(spark, d)
+    return P.lag_pairs(tx.where(F.col("store_nbr") == pick_series(tx)), 7)
 
 
 @register("oil_correlation", with_views(
@@ -363,13 +373,14 @@ def _acf_union(src: str, lags, with_key: bool) -> str:
 
 @register("acf_one", with_views(
     "SELECT lag, acf FROM u",
-    "s AS (SELECT date, CAST(transactions AS DOUBLE) AS y FROM tx WHERE store_nbr = %d)" % SINGLE_STORE,
+    f"s AS (SELECT date, CAST(transactions AS DOUBLE) AS y FROM tx WHERE store_nbr = {PICK_SQL})",
     "l AS (SELECT y, " + ", ".join(f"lag(y, {n}) OVER (ORDER BY date) AS l{n}" for n in ACF_LAGS) + " FROM s)",
     "a AS (SELECT " + ", ".join(f"corr(y, l{n}) AS a{n}" for n in ACF_LAGS) + " FROM l)",
     "u AS (" + _acf_union("a", ACF_LAGS, False) + ")"), doubles=["acf"])
 def acf_one(spark, d):
     """ACF of one series at 15 lags."""
-    a = acf(_tx(spark, d).where(F.col("store_nbr") == SINGLE_STORE), ACF_LAGS)
+    tx = _tx(spark, d)
+    a = acf(tx.where(F.col("store_nbr") == pick_series(tx)), ACF_LAGS)
     return a.select("lag", "acf")
 
 
