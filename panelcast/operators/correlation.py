@@ -11,7 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from panelcast.functions.core import as_list, safe_corr, series_window
 
@@ -27,34 +26,31 @@ def pearson(df: DataFrame, x: str, y: str, alias: str = "r") -> DataFrame:
     return df.agg(safe_corr(x, y).alias(alias))
 
 
-def _num(df: DataFrame, c: str):
-    t = df.schema[c].dataType
-    return F.col(c).cast("int") if isinstance(t, T.BooleanType) else F.col(c)
-
-
 def correlation_with_target(df: DataFrame, cols: Sequence[str], target: str = TARGET) -> DataFrame:
-    """(feature, r) for each column against the target, booleans as 0/1; one
-    aggregate pass, then unpivot. Sort with ``orderBy(abs(r).desc())``."""
-    wide = df.agg(*[safe_corr(_num(df, c), F.col(target)).alias(c) for c in cols])
-    return wide.unpivot([], list(cols), "feature", "r")
+    """(feature, r) for each column against the target, booleans as 0/1.
 
-
-def _lagged(df: DataFrame, lags, key, date_col, target):
-    w = series_window(key, date_col)
-    return df.select(*as_list(key), F.col(target).cast("double").alias("_y"),
-                     *[F.lag(target, n).over(w).cast("double").alias(f"_l{n}") for n in lags])
+    Long form: each row is unpivoted to (feature, x, y) and one grouped
+    aggregate runs per feature (partial aggregation on the map side, a
+    shuffle of features x tasks rows). Sort with ``orderBy(abs(r).desc())``.
+    """
+    long = df.select(F.col(target).cast("double").alias("_y"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("_x")) for c in cols])).alias("_s"))
+    return long.groupBy(F.col("_s.feature").alias("feature")).agg(safe_corr("_s._x", "_y").alias("r"))
 
 
 def acf(df: DataFrame, lags: Sequence[int] = ACF_LAGS, key=KEY, date_col=DATE, target=TARGET) -> DataFrame:
     """Autocorrelation of each series at each lag: corr(y[t], y[t-lag]) over
     overlapping rows (row based). Returns (key, lag, n, acf); ``n`` is the
-    series length."""
-    lagged = _lagged(df, lags, key, date_col, target)
-    wide = lagged.groupBy(*as_list(key)).agg(
-        F.count(F.lit(1)).alias("n"), *[safe_corr("_y", f"_l{n}").alias(f"a{n}") for n in lags])
-    long = wide.select(*as_list(key), "n", F.explode(F.array(*[
-        F.struct(F.lit(n).alias("lag"), F.col(f"a{n}").alias("acf")) for n in lags])).alias("_s"))
-    return long.select(*as_list(key), "n", "_s.lag", "_s.acf")
+    series length. One window pass for all lags, then a long-form grouped
+    aggregate per (key, lag)."""
+    w = series_window(key, date_col)
+    k = as_list(key)
+    y = F.col(target).cast("double")
+    lagged = df.select(*k, y.alias("_y"), *[F.lag(target, n).over(w).cast("double").alias(f"_l{n}") for n in lags])
+    pairs = lagged.select(*k, "_y", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("lag"), F.col(f"_l{n}").alias("_l")) for n in lags])).alias("_s"))
+    return pairs.groupBy(*k, F.col("_s.lag").alias("lag")).agg(
+        F.count(F.lit(1)).alias("n"), safe_corr("_y", "_s._l").alias("acf")).select(*k, "n", "lag", "acf")
 
 
 def acf_panel(df: DataFrame, lags: Sequence[int] = ACF_PANEL_LAGS, min_rows: int = 400, key=KEY,

@@ -66,27 +66,26 @@ def add_holiday_features(df: DataFrame, hol_df: DataFrame, date_col=DATE, locale
     Left join on date: a date with several national rows repeats the fact
     row (reference behaviour; ``dedupe=True`` keeps one row per date with the
     smallest type). Day-before/after flags test membership of date +/- 1 in
-    the holiday dates and never multiply rows.
+    the holiday dates and never multiply rows. Types and flags are folded
+    into one small calendar table, so the fact is joined once (broadcast).
     """
     nat = national_holidays(hol_df, locale).withColumnRenamed("date", date_col)
     if dedupe:
         nat = nat.groupBy(date_col).agg(F.min("hol_type_national").alias("hol_type_national"))
-    out = df.join(sized_broadcast(nat), on=date_col, how="left").withColumns({
+    # day-before / day-after flags per calendar date, from the holiday dates
+    flags = nat.select(F.explode(F.array(
+        F.struct(F.date_sub(F.col(date_col), 1).alias("d"), F.lit(True).alias("b"), F.lit(False).alias("a")),
+        F.struct(F.date_add(F.col(date_col), 1).alias("d"), F.lit(False).alias("b"), F.lit(True).alias("a")),
+    )).alias("_f")).groupBy(F.col("_f.d").alias(date_col)).agg(
+        F.max("_f.b").alias("is_day_before_holiday"), F.max("_f.a").alias("is_day_after_holiday"))
+    # one calendar table: a row per holiday row (fan-out kept) or per flag-only date
+    cal = nat.join(flags, date_col, "full_outer")
+    out = df.join(sized_broadcast(cal), on=date_col, how="left").withColumns({
         "is_national_holiday": F.col("hol_type_national").isNotNull(),
         "hol_type_national": F.coalesce(F.col("hol_type_national"), F.lit("none")),
+        "is_day_before_holiday": F.coalesce(F.col("is_day_before_holiday"), F.lit(False)),
+        "is_day_after_holiday": F.coalesce(F.col("is_day_after_holiday"), F.lit(False)),
     })
-    hd = sized_broadcast(nat.select(F.col(date_col).alias("_hd")).distinct())
-    before = hd.select(F.col("_hd").alias("_b"))
-    after = hd.select(F.col("_hd").alias("_a"))
-    out = (
-        out.join(before, F.date_add(F.col(date_col), 1) == F.col("_b"), "left")
-        .join(after, F.date_sub(F.col(date_col), 1) == F.col("_a"), "left")
-        .withColumns({
-            "is_day_before_holiday": F.col("_b").isNotNull(),
-            "is_day_after_holiday": F.col("_a").isNotNull(),
-        })
-        .drop("_b", "_a")
-    )
     return out.withColumn("is_holiday_window", F.col("is_day_before_holiday") | F.col("is_day_after_holiday"))
 
 

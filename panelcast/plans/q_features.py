@@ -56,6 +56,18 @@ def _tx(spark, d):
     return panel(spark, d).tx
 
 
+_FINALS: dict = {}
+
+
+def _final(spark, d):
+    """Final feature dataset of a table folder (lazy plan, built once per session)."""
+    k = (spark.sparkContext.applicationId, d)
+    if k not in _FINALS:
+        p = panel(spark, d)
+        _FINALS[k] = build_final_dataset(p.tx, p.stores, p.oil, p.holidays)
+    return _FINALS[k]
+
+
 @register("lag_features", with_views(f"SELECT store_nbr, date, transactions, {_lags_sql()} FROM tx {W}"))
 def lag_features(spark, d):
     """Row-based lags 1, 7, 14, 21, 28 per series."""
@@ -210,8 +222,7 @@ FINAL_CTES = FEATURES_CTES + (f"f7 AS (SELECT *, {AVG_RANK} AS _day_rank FROM f6
 )
 def final_dataset(spark, d):
     """Whole feature pipeline with the 28-row warm-up trim (average rank)."""
-    p = panel(spark, d)
-    return build_final_dataset(p.tx, p.stores, p.oil, p.holidays)
+    return _final(spark, d)
 
 
 @register(

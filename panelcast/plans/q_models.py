@@ -152,11 +152,14 @@ SEQ_CTE = (
 
 
 def _scaled_sql(col):
-    return (f"list_transform({col}, lambda v: round((v - x_mean) / CASE WHEN x_std > 0 THEN x_std ELSE 1 END, 6))")
+    return (f"list_transform({col}, lambda v: floor((v - x_mean) / CASE WHEN x_std > 0 THEN x_std ELSE 1 END "
+            "* 1e6 + 0.5) / 1e6)")
 
 
 def _round_arrays(df, cols):
-    return df.withColumns({c: F.transform(F.col(c), lambda v: F.round(v, 6)) for c in cols})
+    """6-decimal rounding of array elements for the engine comparison, in
+    plain double arithmetic (``round`` goes through decimals per element)."""
+    return df.withColumns({c: F.transform(F.col(c), lambda v: F.floor(v * 1e6 + 0.5) / 1e6) for c in cols})
 
 
 @register("sequences", with_views(

@@ -17,7 +17,7 @@ from panelcast.operators.exogenous import enrich_stores
 from panelcast.functions.core import safe_corr
 from panelcast.operators.split import split_counts as split_counts_op, static_table as static_table_op, to_long_format
 from panelcast.plans.catalog import register
-from panelcast.plans.q_features import FINAL_CTES
+from panelcast.plans.q_features import FINAL_CTES, _final
 from panelcast.sources.fixtures import TRAIN_END, VAL_END, panel, with_views
 
 DOW = "CAST(isodow(date) AS INTEGER)"
@@ -46,12 +46,6 @@ def _txs(spark, d):
     return enrich_stores(p.tx, p.stores)
 
 
-def _final(spark, d):
-    from panelcast.plans.feature_pipeline import build_final_dataset
-    p = panel(spark, d)
-    return build_final_dataset(p.tx, p.stores, p.oil, p.holidays)
-
-
 @register("tx_with_store_meta", with_views(f"SELECT * FROM {TXS}"))
 def tx_with_store_meta(spark, d):
     """Fact left join store dimension."""

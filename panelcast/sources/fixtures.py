@@ -71,26 +71,38 @@ def oil_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def holidays_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calendar rows on ship dates (one scan of lineitem): days 1, 10, 20
+    and 25 December; 25 December also carries an extra national row."""
     li = _read(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("date"))
-    dates = li.distinct()
     m, d = F.month("date"), F.dayofmonth("date")
+    xmas = (m == 12) & (d == 25)
+    dates = li.where(d.isin(1, 10, 20) | xmas).distinct()
     mm = m % 6
     typ = (
         F.when(mm == 0, "Holiday").when(mm == 1, "Event").when(mm == 2, "Additional")
         .when(mm == 3, "Transfer").when(mm == 4, "Bridge").otherwise("Work Day")
     )
     loc = F.when(d.isin(1, 25), "National").when(d == 10, "Regional").otherwise("Local")
-    base = dates.where(d.isin(1, 10, 20) | ((m == 12) & (d == 25))).select(
-        "date", typ.alias("type"), loc.alias("locale"), ((m % 4 == 0) & (d == 1)).alias("transferred")
-    )
-    xmas = dates.where((m == 12) & (d == 25)).select(
-        "date", F.lit("Additional").alias("type"), F.lit("National").alias("locale"),
-        F.lit(False).alias("transferred"),
-    )
-    return base.unionByName(xmas)
+    rule = F.struct(typ.alias("type"), loc.alias("locale"), ((m % 4 == 0) & (d == 1)).alias("transferred"))
+    extra = F.struct(F.lit("Additional").alias("type"), F.lit("National").alias("locale"),
+                     F.lit(False).alias("transferred"))
+    rows = F.when(xmas, F.array(rule, extra)).otherwise(F.array(rule))
+    return dates.select("date", F.explode(rows).alias("_h")).select("date", "_h.type", "_h.locale", "_h.transferred")
+
+
+_PANELS: dict = {}
 
 
 def panel(spark: SparkSession, sf_dir: str) -> Panel:
+    """The four views of one table folder (plans are built once per session
+    and folder; they stay lazy, nothing is cached)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PANELS:
+        _PANELS[key] = _build_panel(spark, sf_dir)
+    return _PANELS[key]
+
+
+def _build_panel(spark: SparkSession, sf_dir: str) -> Panel:
     return Panel(
         tx=tx_view(spark, sf_dir),
         stores=stores_view(spark, sf_dir),
