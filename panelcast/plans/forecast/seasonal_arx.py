@@ -1,12 +1,16 @@
 """Seasonal ARIMA-with-exogenous forecast per series, order (1,1,1)x(1,1,1,7).
 
-Estimation is the two-stage Hannan-Rissanen regression instead of a
-state-space likelihood: difference y and the exogenous columns by (1-B)(1-B^7);
-stage 1 fits a long autoregression to get innovations; stage 2 regresses the
-differenced target on its lags 1, 7, 8, the innovations at lags 1, 7, 8 (the
-multiplicative seasonal ARMA terms) and the differenced exogenous columns.
-The forecast is recursive with future innovations at zero, then integrated
-back. Runs per series inside ``applyInPandas``.
+Regression with seasonal ARIMA errors: y and the exogenous columns are
+differenced by (1-B)(1-B^7); the differenced target minus the regression
+part follows the multiplicative ARMA
+
+    (1 - phi B)(1 - Phi B^7) z_t = (1 + theta B)(1 + Theta B^7) e_t.
+
+Estimation is conditional sum of squares (Levenberg-Marquardt on the
+innovations, AR/MA coefficients kept inside (-1, 1)), started from a
+two-stage Hannan-Rissanen regression. The forecast is recursive with future
+innovations at zero, then integrated back. Runs per series inside
+``applyInPandas`` (numpy only).
 """
 
 from __future__ import annotations
@@ -18,9 +22,10 @@ from pyspark.sql import DataFrame
 
 from panelcast.plans.forecast.grouped import SkipSeries, lstsq, run_grouped
 
+# Fixed values (must equal the reference): weekly season, orders (1,1,1)x(1,1,1,7).
 SEASON = 7
-LAGS = (1, SEASON, SEASON + 1)  # (1-phi B)(1-Phi B^7) expands to lags 1, 7, 8
 LONG_AR = 2 * SEASON + 2
+BOUND = 0.995
 
 
 def _diff(a: np.ndarray) -> np.ndarray:
@@ -29,40 +34,99 @@ def _diff(a: np.ndarray) -> np.ndarray:
     return a[s + 1:] - a[s:-1] - a[1:-s] + a[:-s - 1]
 
 
+def _shift(a: np.ndarray, k: int) -> np.ndarray:
+    out = np.zeros_like(a)
+    out[k:] = a[:-k]
+    return out
+
+
+def _coefs(p: np.ndarray):
+    phi, Phi, th, Th = (BOUND * np.tanh(p[:4])).tolist()
+    return phi, Phi, th, Th, p[4:]
+
+
+def _innovations(p: np.ndarray, w: np.ndarray, xw: np.ndarray) -> np.ndarray:
+    phi, Phi, th, Th, beta = _coefs(p)
+    z = w - xw @ beta if beta.size else w
+    s = SEASON
+    u = z - phi * _shift(z, 1) - Phi * _shift(z, s) + phi * Phi * _shift(z, s + 1)
+    # MA inversion: (1 + Theta B^s) v = u, then (1 + theta B) e = v
+    v = u.copy()
+    for t in range(s, len(v)):
+        v[t] -= Th * v[t - s]
+    e = v.tolist()
+    for t in range(1, len(e)):
+        e[t] -= th * e[t - 1]
+    return np.asarray(e)
+
+
+def _css_fit(p0: np.ndarray, w: np.ndarray, xw: np.ndarray, iters: int = 60) -> np.ndarray:
+    burn = SEASON + 1
+    resid = lambda p: _innovations(p, w, xw)[burn:]
+    p, r = p0.copy(), resid(p0)
+    f, lam = float(r @ r), 1e-2
+    for _ in range(iters):
+        J = np.empty((len(r), len(p)))
+        for j in range(len(p)):
+            h = 1e-6 * (1.0 + abs(p[j]))
+            q = p.copy()
+            q[j] += h
+            J[:, j] = (resid(q) - r) / h
+        H, g = J.T @ J, J.T @ r
+        step = np.linalg.solve(H + lam * np.diag(np.diag(H) + 1e-9) + 1e-12 * np.eye(len(p)), -g)
+        q = p + step
+        rq = resid(q)
+        fq = float(rq @ rq)
+        if np.isfinite(fq) and fq < f:
+            done = f - fq <= 1e-10 * max(f, 1e-300)
+            p, r, f, lam = q, rq, fq, lam / 3
+            if done:
+                break
+        else:
+            lam *= 4
+            if lam > 1e10:
+                break
+    return p
+
+
+def _hannan_rissanen(w: np.ndarray, xw: np.ndarray) -> np.ndarray:
+    """Starting values: long AR for innovations, then a regression on lags
+    1 and 7 of w and of the innovations, plus the exogenous columns."""
+    m, k = len(w), xw.shape[1]
+    p = LONG_AR
+    A = np.column_stack([w[p - j: m - j] for j in range(1, p + 1)] + [xw[p:]])
+    e = np.zeros(m)
+    e[p:] = w[p:] - A @ lstsq(A, w[p:])
+    q = p + SEASON
+    B = np.column_stack([w[q - 1: m - 1], w[q - SEASON: m - SEASON], e[q - 1: m - 1], e[q - SEASON: m - SEASON],
+                         xw[q:]])
+    b = lstsq(B, w[q:])
+    arma = np.arctanh(np.clip(b[:4], -0.9, 0.9) / BOUND)
+    return np.concatenate([arma, b[4:4 + k]])
+
+
 def fit_forecast(y: np.ndarray, X: np.ndarray, X_future: np.ndarray, *_dates) -> np.ndarray:
-    h = len(X_future)
-    n = len(y)
-    if n < SEASON + 1 + LONG_AR + 3 * len(LAGS) + X.shape[1] + 10:
+    h, n = len(X_future), len(y)
+    k = X.shape[1]
+    if n < SEASON + 1 + LONG_AR + SEASON + k + 10:
         raise SkipSeries(f"too short ({n} rows)")
     if not np.all(np.isfinite(y)):
         raise SkipSeries("target has missing values")
-    Xall = np.vstack([X, X_future]) if X.size or X_future.size else np.zeros((n + h, 0))
-    Xall = np.nan_to_num(Xall)
-    w = _diff(y)
-    xw = _diff(Xall)
-    xw_tr = xw[: len(w)]
+    Xall = np.nan_to_num(np.vstack([X, X_future])) if k else np.zeros((n + h, 0))
+    w, xw = _diff(y), _diff(Xall)
     m = len(w)
-    # stage 1: long AR(+exog) for innovations
-    p = LONG_AR
-    A = np.column_stack([w[p - k: m - k] for k in range(1, p + 1)] + [xw_tr[p:]] + [np.ones(m - p)])
-    b1 = lstsq(A, w[p:])
-    e = np.zeros(m)
-    e[p:] = w[p:] - A @ b1
-    # stage 2: ARMA lags 1, 7, 8 on w and e, plus exog
-    q = max(LAGS) + p
-    B = np.column_stack([w[q - k: m - k] for k in LAGS] + [e[q - k: m - k] for k in LAGS] + [xw_tr[q:]])
-    b2 = lstsq(B, w[q:])
-    na = len(LAGS)
-    phi, theta, beta = b2[:na], b2[na:2 * na], b2[2 * na:]
-    # recursive forecast of w, then integrate
-    w_ext = np.concatenate([w, np.zeros(h)])
+    p = _css_fit(_hannan_rissanen(w, xw[:m]), w, xw[:m])
+    phi, Phi, th, Th, beta = _coefs(p)
+    e = _innovations(p, w, xw[:m])
+    z = w - (xw[:m] @ beta if k else 0.0)
+    s = SEASON
+    z_ext = np.concatenate([z, np.zeros(h)])
     e_ext = np.concatenate([e, np.zeros(h)])
     for t in range(m, m + h):
-        w_ext[t] = (sum(phi[i] * w_ext[t - k] for i, k in enumerate(LAGS))
-                    + sum(theta[i] * e_ext[t - k] for i, k in enumerate(LAGS))
-                    + (xw[t] @ beta if beta.size else 0.0))
+        z_ext[t] = (phi * z_ext[t - 1] + Phi * z_ext[t - s] - phi * Phi * z_ext[t - s - 1]
+                    + th * e_ext[t - 1] + Th * e_ext[t - s] + th * Th * e_ext[t - s - 1])
+    w_ext = z_ext + (xw @ beta if k else 0.0)
     y_ext = np.concatenate([y, np.zeros(h)])
-    s = SEASON
     for t in range(n, n + h):
         y_ext[t] = w_ext[t - s - 1] + y_ext[t - 1] + y_ext[t - s] - y_ext[t - s - 1]
     return y_ext[n:]
