@@ -3,6 +3,7 @@
 from panelcast.functions.core import (
     as_list,
     iso_weekday,
+    numeric_columns,
     require_columns,
     safe_corr,
     safe_div,
@@ -16,6 +17,7 @@ from panelcast.functions.core import (
 __all__ = [
     "as_list",
     "iso_weekday",
+    "numeric_columns",
     "require_columns",
     "safe_corr",
     "safe_div",

@@ -30,6 +30,16 @@ def require_columns(df: DataFrame, cols: Iterable[str], op: str = "operator") ->
         raise ValueError(f"{op}: missing columns {missing}; have {df.columns}")
 
 
+NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.BooleanType)
+
+
+def numeric_columns(df: DataFrame, cols: Iterable[str]) -> list[str]:
+    """The columns of ``cols`` whose type is a numeric or boolean whitelist
+    member (model inputs); others are dropped silently, as in the reference."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return [c for c in cols if isinstance(types.get(c), NUMERIC_TYPES)]
+
+
 def series_window(key: str | Sequence[str] = "store_nbr", order: str = "date"):
     """Window over one series in date order (the per-key row order)."""
     return Window.partitionBy(*as_list(key)).orderBy(order)

@@ -7,6 +7,7 @@ key from landing whole in one window task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -71,26 +72,40 @@ def stats_by(df: DataFrame, by, target=TARGET, digits: int = 1) -> DataFrame:
     )
 
 
-def describe(df: DataFrame, col=TARGET, approx: bool = False) -> DataFrame:
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def describe(df: DataFrame, col=TARGET, method: str = "linear") -> DataFrame:
     """count, null count, mean, sample std, min, quartiles, max in one pass.
 
-    Quartiles are exact (linear interpolation) by default; ``approx=True``
-    uses ``percentile_approx`` for very large inputs.
+    ``method``: ``"linear"`` exact interpolated quartiles; ``"nearest"`` the
+    element at index round((n - 1) * p) of the sorted values (the reference's
+    describe), via ``percentile_disc`` after one count; ``"approx"``
+    ``percentile_approx`` for very large inputs.
     """
     c = F.col(col)
-    q = (F.percentile_approx(c, [0.25, 0.5, 0.75], 10000) if approx
-         else F.percentile(c.cast("double"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
+    if method == "linear":
+        qs = [F.percentile(c.cast("double"), F.lit(p)) for p in QUARTILES]
+    elif method == "approx":
+        qs = [F.percentile_approx(c, F.lit(p), 10000) for p in QUARTILES]
+    elif method == "nearest":
+        n = df.agg(F.count(c)).first()[0]
+        qs = []
+        for p in QUARTILES:
+            k = math.floor((n - 1) * p + 0.5) if n else 0  # round half away from zero
+            frac = min((k + 0.5) / n, 1.0) if n else 0.5
+            qs.append(F.expr(f"percentile_disc({frac!r}) WITHIN GROUP (ORDER BY `{col}`)"))
+    else:
+        raise ValueError(f"unknown method {method!r}")
     return df.agg(
         F.count(c).alias("count"),
         F.count_if(c.isNull()).alias("null_count"),
         F.avg(c).alias("mean"),
         F.stddev_samp(c).alias("std"),
         F.min(c).cast("double").alias("min"),
-        q.alias("_q"),
+        *[q.cast("double").alias(name) for q, name in zip(qs, ("p25", "p50", "p75"))],
         F.max(c).cast("double").alias("max"),
-    ).select("count", "null_count", "mean", "std", "min",
-             F.col("_q")[0].cast("double").alias("p25"), F.col("_q")[1].cast("double").alias("p50"),
-             F.col("_q")[2].cast("double").alias("p75"), "max")
+    )
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:

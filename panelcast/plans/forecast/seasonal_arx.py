@@ -20,6 +20,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import DataFrame
 
+from panelcast.functions.core import numeric_columns
 from panelcast.plans.forecast.grouped import SkipSeries, lstsq, run_grouped
 
 # Fixed values (must equal the reference): weekly season, orders (1,1,1)x(1,1,1,7).
@@ -133,5 +134,6 @@ def fit_forecast(y: np.ndarray, X: np.ndarray, X_future: np.ndarray, *_dates) ->
 
 
 def forecast_seasonal_arx(history: DataFrame, future: DataFrame, exog: Sequence[str]) -> DataFrame:
-    """Per-series forecast of every row of ``future`` (by position)."""
-    return run_grouped(history, future, fit_forecast, exog)
+    """Per-series forecast of every row of ``future`` (by position); exogenous
+    columns that are not numeric/boolean are left out."""
+    return run_grouped(history, future, fit_forecast, numeric_columns(history, exog))

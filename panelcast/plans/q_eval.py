@@ -149,3 +149,12 @@ RES_HIST = _hist_sql("res", "residual", 60, *(PRED_CTES + (BOARD_CTE, BEST_CTE,
 def residual_histogram(spark, d):
     """60-bin histogram of the best model's test residuals."""
     return P.histogram(_best_residuals(spark, d), "residual", 60)
+
+
+@register("metrics_report", with_views(
+    "SELECT model, round(mae, 2) AS mae, round(rmse, 2) AS rmse, round(mape, 2) AS mape FROM lb "
+    "WHERE split = 'val' ORDER BY mae, model", *PRED_CTES, BOARD_CTE), doubles=MET)
+def metrics_report(spark, d):
+    """Validation metrics per model rounded to 2 places, sorted by MAE."""
+    b = _board(spark, d).where(F.col("split") == "val")
+    return b.select("model", *[F.round(m, 2).alias(m) for m in MET]).orderBy("mae", "model")

@@ -97,6 +97,17 @@ def feature_importance_q(spark, d):
     return a.unionByName(b)
 
 
+@register("feature_importance_compare")
+def feature_importance_compare_q(spark, d):
+    """Normalised importances of both variants side by side (features present
+    in both), top 15 by the early-stop variant."""
+    a = feature_importance(spark, _tree_fit(spark, d, "early_stop")).select(
+        "feature", F.col("share").alias("share_early_stop"))
+    b = feature_importance(spark, _tree_fit(spark, d, "full_sample")).select(
+        "feature", F.col("share").alias("share_full_sample"))
+    return a.join(b, "feature", "inner").dropna().orderBy(F.desc("share_early_stop"), "feature").limit(15)
+
+
 @register("learning_curve")
 def learning_curve_q(spark, d):
     """RMSE per boosting round on the fitting rows and the stopping set."""

@@ -432,3 +432,44 @@ def long_format(spark, d):
 def static_table(spark, d):
     """One row per series with its static columns."""
     return static_table_op(_final(spark, d))
+
+
+@register("describe_target_nearest", with_views(
+    "SELECT st.count, st.null_count, st.mean, st.std, st.min, q.p25, q.p50, q.p75, st.mx AS max FROM st, q",
+    "s AS (SELECT CAST(transactions AS DOUBLE) AS x, row_number() OVER (ORDER BY transactions) - 1 AS i, "
+    "count(*) OVER () AS n FROM tx)",
+    "q AS (SELECT " + ", ".join(
+        f"max(x) FILTER (WHERE i = floor((n - 1) * {p} + 0.5)) AS p{int(p * 100)}" for p in (0.25, 0.5, 0.75))
+    + " FROM s)",
+    "st AS (SELECT count(transactions) AS count, count(*) - count(transactions) AS null_count, "
+    "avg(transactions) AS mean, stddev_samp(transactions) AS std, CAST(min(transactions) AS DOUBLE) AS min, "
+    "CAST(max(transactions) AS DOUBLE) AS mx FROM tx)"),
+    doubles=["mean", "std", "min", "p25", "p50", "p75", "max"])
+def describe_target_nearest(spark, d):
+    """Describe with nearest-rank quartiles (element at round((n-1)p))."""
+    return P.describe(_tx(spark, d), "transactions", method="nearest")
+
+
+# Fixed values (must equal the reference): the sample of series drawn together.
+SAMPLE_SERIES = [1, 10, 20, 30, 44, 50]
+
+
+@register("series_sample", with_views(
+    f"SELECT * FROM tx WHERE store_nbr IN ({', '.join(map(str, SAMPLE_SERIES))})"))
+def series_sample(spark, d):
+    """Rows of a fixed list of series (membership filter)."""
+    return _tx(spark, d).where(F.col("store_nbr").isin(SAMPLE_SERIES))
+
+
+@register("lag_demo_slice", with_views(
+    "SELECT * FROM l ORDER BY date LIMIT 10 OFFSET 25",
+    "l AS (SELECT date, transactions, " + ", ".join(
+        f"lag(transactions, {n}) OVER (ORDER BY date) AS lag_{n}" for n in (1, 7, 14, 21, 28))
+    + f" FROM tx WHERE store_nbr = {PICK_SQL})"))
+def lag_demo_slice(spark, d):
+    """Rows 26..35 (by date) of one series with its lags."""
+    from panelcast.operators.features import add_lag
+    tx = _tx(spark, d)
+    one = add_lag(tx.where(F.col("store_nbr") == pick_series(tx)), [1, 7, 14, 21, 28])
+    return one.select("date", "transactions", "lag_1", "lag_7", "lag_14", "lag_21", "lag_28").orderBy(
+        "date").offset(25).limit(10)
