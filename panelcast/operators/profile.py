@@ -126,31 +126,34 @@ def date_range(df: DataFrame, date_col=DATE, key=KEY) -> DataFrame:
 
 # ---------------------------------------------------------------- gaps
 
-def date_index(df: DataFrame, date_col=DATE) -> DataFrame:
-    """Distinct dates numbered 0..N-1. The window runs over distinct dates
-    only (bounded by the calendar span, not by the data volume)."""
-    d = df.select(date_col).distinct()
-    return d.withColumn("_i", F.row_number().over(Window.orderBy(date_col)) - 1)
-
-
 def missing_rows(df: DataFrame, key=KEY, date_col=DATE) -> DataFrame:
-    """(date, key) pairs of the grid distinct dates x distinct keys that have
-    no row, enumerated from each series' gaps (no cross product: work and
-    output are proportional to the rows and the missing cells)."""
-    idx = date_index(df, date_col)
-    n_dates = df.agg(F.count_distinct(date_col)).first()[0]
+    """(date, key) cells of the grid "distinct dates x distinct keys" that
+    have no row, enumerated from each series' own gaps: the calendar days
+    between consecutive dates of a series (and after its last date) that are
+    dates of the panel. No cross product and no global numbering: work and
+    output are proportional to the rows plus the missing cells; the panel's
+    distinct dates (bounded by the calendar span) are a size-checked
+    broadcast."""
     k = as_list(key)
-    s = df.select(*k, date_col).distinct().join(sized_broadcast(idx), date_col)
-    w = Window.partitionBy(*k).orderBy("_i")
-    s = s.select(*k, "_i", F.lag("_i").over(w).alias("_prev"), F.lead("_i").over(w).alias("_next"))
-    empty = F.array().cast("array<int>")
-    gap = lambda a, b: F.when(a <= b, F.sequence(a, b)).otherwise(empty)
-    # each row owns the gap before it; the last row of a series also owns the tail
-    cells = s.select(*k, F.explode(F.concat(
-        gap(F.coalesce(F.col("_prev") + 1, F.lit(0)), F.col("_i") - 1),
-        F.when(F.col("_next").isNull(), gap(F.col("_i") + 1, F.lit(n_dates - 1))).otherwise(empty),
-    )).alias("_i"))
-    return cells.join(sized_broadcast(idx), "_i").select(date_col, *k)
+    dates = df.select(date_col).distinct()
+    lo, hi = dates.agg(F.min(date_col), F.max(date_col)).first()
+    if lo is None:
+        return df.select(date_col, *k).limit(0)
+    w = Window.partitionBy(*k).orderBy(date_col)
+    s = df.select(*k, date_col).distinct().select(
+        *k, date_col, F.lag(date_col).over(w).alias("_prev"), F.lead(date_col).over(w).alias("_next"))
+    day = F.expr("INTERVAL 1 DAY")
+    empty = F.array().cast("array<date>")
+
+    def span(a, b):
+        return F.when(a <= b, F.sequence(a, b, day)).otherwise(empty)
+
+    # each row owns the days before it (back to the previous row or the first
+    # panel date); the last row of a series also owns the days after it
+    before = span(F.coalesce(F.date_add("_prev", 1), F.lit(lo)), F.date_sub(F.col(date_col), 1))
+    after = F.when(F.col("_next").isNull(), span(F.date_add(F.col(date_col), 1), F.lit(hi))).otherwise(empty)
+    cells = s.select(*k, F.explode(F.concat(before, after)).alias(date_col))
+    return cells.join(sized_broadcast(dates), date_col, "left_semi").select(date_col, *k)
 
 
 def missing_by_series(df: DataFrame, key=KEY, date_col=DATE) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions.core import as_list, series_window
@@ -62,13 +62,13 @@ def last_windows(df: DataFrame, lookback: int = LOOKBACK, key=KEY, date_col=DATE
     w = series_window(key, date_col)
     past = w.rowsBetween(-(lookback - 1), 0)
     y = F.col(target).cast("double")
-    last = Window.partitionBy(*as_list(key)).orderBy(F.col(date_col).desc())
+    # last row of the series: same window spec as the frame (no second sort)
     s = df.select(
-        *as_list(key), date_col, F.row_number().over(last).alias("_rn"),
+        *as_list(key), date_col, F.lead(F.lit(1)).over(w).isNull().alias("_last"),
         F.collect_list(y).over(past).alias("_in"),
         F.avg(y).over(past).alias("x_mean"), F.stddev_pop(y).over(past).alias("x_std"),
         *[F.avg(F.col(c).cast("double")).over(past).alias(f"{c}_mean") for c in exog],
-    ).where((F.col("_rn") == 1) & (F.size("_in") == lookback))
+    ).where(F.col("_last") & (F.size("_in") == lookback))
     return s.select(*as_list(key), date_col, "x_mean", "x_std",
                     (_scaled(F.col("_in"), F.col("x_mean"), F.col("x_std")) if scale else F.col("_in")).alias("input"),
                     *[f"{c}_mean" for c in exog])
