@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 # million rows is still a few tens of MB.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
-_small_cache: dict[int, bool] = {}
+_small_cache: dict = {}
 
 
 def as_list(cols: str | Sequence[str]) -> list[str]:
@@ -97,21 +97,28 @@ def store_type_code(type_col: Column | str, codes: dict[str, int] = STORE_TYPE_C
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only after proving the side has at most ``max_rows`` rows.
 
-    The check is a ``limit(max_rows + 1).count()`` (stops early on big
-    inputs) memoised per logical plan. Above the bound the frame is returned
-    unhinted and the planner falls back to a shuffle join (AQE may still
-    convert it at run time from real shuffle sizes).
+    The side is cached while it is counted (``limit(max_rows + 1).count()``
+    stops early on big inputs), so a proven-small derived table (an
+    aggregate, a filtered calendar) is computed once and the broadcast reads
+    the cached rows; lost cache blocks are recomputed from lineage. The
+    verdict is memoised per logical plan. Above the bound the cache is
+    dropped and the frame is returned unhinted: the planner falls back to a
+    shuffle join (AQE may still convert it from real shuffle sizes).
     """
     try:
-        key = df.semanticHash()
+        key = (df.sparkSession.sparkContext.applicationId, df.semanticHash())
     except Exception:  # pragma: no cover - very old plans
         key = None
-    small = _small_cache.get(key) if key is not None else None
-    if small is None:
-        small = df.limit(max_rows + 1).count() <= max_rows
+    hit = _small_cache.get(key) if key is not None else None
+    if hit is None:
+        cached = df.cache()
+        small = cached.limit(max_rows + 1).count() <= max_rows
+        if not small:
+            cached.unpersist()
+        hit = small
         if key is not None:
-            _small_cache[key] = small
-    return F.broadcast(df) if small else df
+            _small_cache[key] = hit
+    return F.broadcast(df) if hit else df
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
