@@ -20,6 +20,7 @@ series (``mapInPandas``) and un-scales.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -41,8 +42,9 @@ def _design(pdf: pd.DataFrame, extras: Sequence[str]) -> np.ndarray:
 
 
 def fit_direct_linear(spark: SparkSession, windows: DataFrame, extras: Sequence[str] = (), ridge: float = 1.0,
-                      horizon: int = HORIZON, lookback: int = LOOKBACK) -> np.ndarray:
-    """Weights of shape (L + 1 + len(extras), H)."""
+                      horizon: int = HORIZON, lookback: int = LOOKBACK) -> np.ndarray | None:
+    """Weights of shape (L + 1 + len(extras), H); ``None`` without any
+    complete training window."""
     extras = list(extras)
 
     def partial_gram(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -63,7 +65,7 @@ def fit_direct_linear(spark: SparkSession, windows: DataFrame, extras: Sequence[
     parts = windows.select(*cols).mapInPandas(partial_gram, "cell long, v double")
     cells = parts.groupBy("cell").agg(F.sum("v").alias("v")).toPandas()
     if cells.empty:
-        raise ValueError("no complete training windows")
+        return None
     d = lookback + 1 + len(extras)
     size = d + horizon
     iu = np.triu_indices(size)
@@ -120,6 +122,9 @@ def forecast_direct_linear(spark: SparkSession, history: DataFrame, actuals: Dat
     exog_all = exog + stat
     win = make_sequences(hist, lookback, horizon, key, date_col, target, exog=exog_all)
     W = fit_direct_linear(spark, win, extras, ridge, horizon, lookback)
+    if W is None:  # no series has lookback + horizon rows of history
+        warnings.warn("direct linear forecast: no complete training window")
+        return spark.createDataFrame([], f"{key} bigint, {date_col} date, y_true double, y_pred double")
     inf = last_windows(hist, lookback, key, date_col, target, exog=exog_all)
     pred = predict_direct_linear(inf, W, extras, key, date_col)
     act = actuals.select(key, date_col, F.col(target).cast("double").alias("y_true")).dropDuplicates([key, date_col])

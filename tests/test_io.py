@@ -45,3 +45,21 @@ def test_dynamic_partition_overwrite(spark, tmp_path):
 def test_list_tables(spark):
     spark.range(1).createOrReplaceTempView("zz_probe")
     assert "zz_probe" in list_tables(spark)
+
+
+def test_study_writes_partitioned_tables(spark, tmp_path):
+    import os
+
+    from panelcast.plans.study import run_study
+    from panelcast.sources.fixtures import TRAIN_END, VAL_END, panel
+
+    out = str(tmp_path / "study")
+    m = run_study(spark, panel(spark, "/root/testdata/sf0.001"), out, TRAIN_END, VAL_END, tree_rounds=3)
+    got = {(r["split"], r["model"]) for r in m.collect()}
+    for split in ("val", "test"):
+        for model in ("naive_lag7", "seasonal_arx", "decomposable", "direct_linear", "gbt_early_stop",
+                      "gbt_full_sample"):
+            assert (split, model) in got
+    assert any(d.startswith("year=") for d in os.listdir(f"{out}/final_dataset"))
+    assert os.path.isdir(f"{out}/predictions/split=val/model=seasonal_arx")
+    assert os.path.isdir(f"{out}/models/gbt_early_stop_val")
