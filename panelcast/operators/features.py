@@ -21,6 +21,7 @@ from panelcast.functions.core import (
     require_columns,
     safe_div,
     series_window,
+    sized_broadcast,
 )
 
 KEY, DATE, TARGET = "store_nbr", "date", "transactions"
@@ -119,12 +120,17 @@ def drop_warmup(df: DataFrame, n: int = 28, group_col=KEY, date_col=DATE, keep_r
 
 
 def normalise_by_mean(df: DataFrame, group_col=KEY, target_col=TARGET, out_col="tx_normalized") -> DataFrame:
-    """Target divided by its series mean."""
-    m = F.avg(target_col).over(Window.partitionBy(*as_list(group_col)))
-    return df.withColumn(out_col, safe_div(F.col(target_col), m))
+    """Target divided by its series mean (per-series mean aggregated with
+    map-side partial aggregation, then joined back; size-checked broadcast)."""
+    keys = as_list(group_col)
+    m = df.groupBy(*keys).agg(F.avg(target_col).alias("_m"))
+    return df.join(sized_broadcast(m), keys, "inner").withColumn(
+        out_col, safe_div(F.col(target_col), F.col("_m"))).drop("_m")
 
 
 def keep_long_series(df: DataFrame, min_rows: int = 1000, group_col=KEY) -> DataFrame:
-    """Keep series with more than ``min_rows`` rows (window count, no UDF)."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(*as_list(group_col)))
-    return df.withColumn("_n", n).where(F.col("_n") > min_rows).drop("_n")
+    """Keep series with more than ``min_rows`` rows (count per series, then a
+    semi join; no UDF, no whole-series window)."""
+    keys = as_list(group_col)
+    long = df.groupBy(*keys).count().where(F.col("count") > min_rows).select(*keys)
+    return df.join(sized_broadcast(long), keys, "left_semi")

@@ -183,3 +183,12 @@ def test_sized_broadcast_falls_back(spark):
     big = spark.range(100)
     assert sized_broadcast(small, 10) is not small  # hinted copy
     assert sized_broadcast(big, 10) is big  # above the bound: unhinted, planner picks a shuffle join
+
+
+def test_normalise_and_long_series_filter(spark, two_series_40d):
+    from panelcast.operators.features import keep_long_series, normalise_by_mean
+
+    out = by_key_date(normalise_by_mean(two_series_40d))
+    assert out[(1, day(0))]["tx_normalized"] == pytest.approx(10 / (10 + 19.5))
+    kept = keep_long_series(two_series_40d.where((F.col("store_nbr") == 1) | (F.col("date") < F.lit(day(5)))), 10)
+    assert {r["store_nbr"] for r in kept.collect()} == {1}
