@@ -40,6 +40,20 @@ def numeric_columns(df: DataFrame, cols: Iterable[str]) -> list[str]:
     return [c for c in cols if isinstance(types.get(c), NUMERIC_TYPES)]
 
 
+def by_key(df: DataFrame, key: str | Sequence[str], n: int | None = None) -> DataFrame:
+    """Hash-partition by the series key into ``n`` partitions (default: the
+    session's shuffle partitions) before CPU-heavy per-series work.
+
+    The per-key window / grouped map that follows reuses this partitioning
+    (no second exchange). An explicit partition count is not coalesced by
+    AQE, so small-but-expensive stages (model fits, long windows) keep their
+    parallelism instead of collapsing into one task.
+    """
+    if n is None:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *as_list(key))
+
+
 def series_window(key: str | Sequence[str] = "store_nbr", order: str = "date"):
     """Window over one series in date order (the per-key row order)."""
     return Window.partitionBy(*as_list(key)).orderBy(order)

@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.functions.core import by_key
+
 KEY, DATE, TARGET = "store_nbr", "date", "transactions"
 OUT_SCHEMA = "store_nbr bigint, date date, y_true double, y_pred double, status string"
 
@@ -56,7 +58,7 @@ def run_grouped(history: DataFrame, future: DataFrame, fit_forecast: FitForecast
         except Exception as e:  # noqa: BLE001 - reported per series, like the reference
             return out.assign(y_pred=np.nan, status=f"failed: {type(e).__name__}: {str(e)[:120]}")
 
-    return both.groupBy("store_nbr").applyInPandas(per_series, OUT_SCHEMA)
+    return by_key(both, "store_nbr").groupBy("store_nbr").applyInPandas(per_series, OUT_SCHEMA)
 
 
 class SkipSeries(Exception):

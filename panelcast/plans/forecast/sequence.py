@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.functions.core import as_list, series_window
+from panelcast.functions.core import as_list, by_key, series_window
 
 KEY, DATE, TARGET = "store_nbr", "date", "transactions"
 
@@ -41,7 +41,7 @@ def make_sequences(df: DataFrame, lookback: int = LOOKBACK, horizon: int = HORIZ
     w = series_window(key, date_col)
     past, fut = w.rowsBetween(-(lookback - 1), 0), w.rowsBetween(1, horizon)
     y = F.col(target).cast("double")
-    s = df.select(
+    s = by_key(df, key).select(
         *as_list(key), date_col,
         F.collect_list(y).over(past).alias("_in"), F.collect_list(y).over(fut).alias("_out"),
         F.avg(y).over(past).alias("x_mean"), F.stddev_pop(y).over(past).alias("x_std"),
