@@ -6,9 +6,10 @@ values are linear in the scaled last ``L`` values (plus optional static and
 window-mean exogenous inputs). All horizons share one Gram matrix, so the
 fit is a single distributed pass:
 
-1. each partition folds its windows into ``Z^T Z`` with ``Z = [X, 1, Y]``
-   (numpy inside ``mapInPandas``) and emits the upper triangle as
-   ``(cell, value)`` rows;
+1. the history is windowed once; each partition folds its training windows
+   into ``Z^T Z`` with ``Z = [X, 1, Y]`` (numpy inside ``mapInPandas``),
+   emits the upper triangle as ``(cell, value)`` rows and passes each
+   series' last window through; that small output is checkpointed;
 2. a grouped sum per cell reduces the partials (a shuffle of
    partitions x cells, independent of the number of windows);
 3. the driver solves the ridge system of size (L + 1 + extras), bounded by
@@ -28,7 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.plans.forecast.sequence import HORIZON, LOOKBACK, last_windows, make_sequences
+from panelcast.plans.forecast.sequence import HORIZON, LOOKBACK, window_frames
+from panelcast.session import checkpoint_dir
 
 KEY, DATE, TARGET = "store_nbr", "date", "transactions"
 
@@ -105,6 +107,58 @@ def predict_direct_linear(windows: DataFrame, weights: np.ndarray, extras: Seque
         apply, f"{key} bigint, {date_col} date, y_pred double")
 
 
+def _fit_one_pass(spark: SparkSession, frames: DataFrame, extras: Sequence[str], ridge: float, horizon: int,
+                  lookback: int, key=KEY, date_col=DATE):
+    """One pass over the windows: each partition folds its training windows
+    into a Gram partial and passes its inference windows through. The small
+    result is checkpointed (shared checkpoint folder), then reduced to the
+    weights and reused for prediction without recomputing the windows."""
+    extras = list(extras)
+    d = lookback + 1 + len(extras)
+    ext_schema = "".join(f", `{c}` double" for c in extras)
+    schema = (f"kind int, cell long, v double, {key} bigint, {date_col} date, x_mean double, x_std double, "
+              f"input array<double>{ext_schema}")
+    inf_cols = [key, date_col, "x_mean", "x_std", "input"] + extras
+
+    def part(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        G = None
+        for pdf in it:
+            tr = pdf[pdf["_train"]]
+            if len(tr):
+                Z = np.hstack([_design(tr, extras), np.vstack(tr["target"].to_numpy())])
+                g = Z.T @ Z
+                G = g if G is None else G + g
+            lw = pdf[pdf["_last"]]
+            if len(lw):
+                out = lw[inf_cols].copy()
+                out.insert(0, "v", np.nan)
+                out.insert(0, "cell", pd.array([None] * len(out), dtype="Int64"))
+                out.insert(0, "kind", 1)
+                yield out
+        if G is not None:
+            iu = np.triu_indices(G.shape[0])
+            cells = pd.DataFrame({"kind": 0, "cell": np.arange(len(iu[0]), dtype=np.int64), "v": G[iu]})
+            for c in inf_cols:
+                cells[c] = None
+            yield cells
+
+    checkpoint_dir(spark)
+    res = frames.mapInPandas(part, schema).checkpoint(eager=True)
+    cells = res.where(F.col("kind") == 0).groupBy("cell").agg(F.sum("v").alias("v")).toPandas()
+    if cells.empty:
+        return None, res
+    size = d + horizon
+    iu = np.triu_indices(size)
+    G = np.zeros((size, size))
+    idx = cells["cell"].to_numpy()
+    G[iu[0][idx], iu[1][idx]] = cells["v"].to_numpy()
+    G = G + np.triu(G, 1).T
+    lam = np.full(d, ridge)
+    lam[d - 1 - len(extras)] = 0.0  # no penalty on the intercept
+    W = np.linalg.solve(G[:d, :d] + np.diag(lam), G[:d, d:])
+    return W, res.where(F.col("kind") == 1).select(*inf_cols)
+
+
 def forecast_direct_linear(spark: SparkSession, history: DataFrame, actuals: DataFrame, with_exog: bool = False,
                            static: Sequence[str] = ("store_type_enc", "cluster"),
                            hist_exog: Sequence[str] = ("oil_price", "is_national_holiday", "is_day_before_holiday",
@@ -112,20 +166,19 @@ def forecast_direct_linear(spark: SparkSession, history: DataFrame, actuals: Dat
                            lookback: int = LOOKBACK, horizon: int = HORIZON, ridge: float = 1.0, key=KEY,
                            date_col=DATE, target=TARGET) -> DataFrame:
     """Fit on ``history`` windows, forecast ``horizon`` days after each
-    series' last history date, attach actuals from ``actuals`` (left join)."""
+    series' last history date, attach actuals from ``actuals`` (left join).
+    The history is windowed once (one exchange on the key)."""
     exog = list(hist_exog) if with_exog else []
     stat = list(static) if with_exog else []
     hist = history
     if stat:
         hist = hist.withColumns({c: F.col(c).cast("double") for c in stat})
     extras = [f"{c}_mean" for c in exog] + [f"{c}_mean" for c in stat]
-    exog_all = exog + stat
-    win = make_sequences(hist, lookback, horizon, key, date_col, target, exog=exog_all)
-    W = fit_direct_linear(spark, win, extras, ridge, horizon, lookback)
+    frames = window_frames(hist, lookback, horizon, key, date_col, target, exog=exog + stat)
+    W, inf = _fit_one_pass(spark, frames, extras, ridge, horizon, lookback, key, date_col)
     if W is None:  # no series has lookback + horizon rows of history
         warnings.warn("direct linear forecast: no complete training window")
         return spark.createDataFrame([], f"{key} bigint, {date_col} date, y_true double, y_pred double")
-    inf = last_windows(hist, lookback, key, date_col, target, exog=exog_all)
     pred = predict_direct_linear(inf, W, extras, key, date_col)
     act = actuals.select(key, date_col, F.col(target).cast("double").alias("y_true")).dropDuplicates([key, date_col])
     return pred.join(act, [key, date_col], "left").select(key, date_col, "y_true", "y_pred")

@@ -56,6 +56,31 @@ def make_sequences(df: DataFrame, lookback: int = LOOKBACK, horizon: int = HORIZ
     )
 
 
+def window_frames(df: DataFrame, lookback: int = LOOKBACK, horizon: int = HORIZON, key=KEY, date_col=DATE,
+                  target=TARGET, exog: Sequence[str] = ()) -> DataFrame:
+    """Training windows and inference windows from one windowed pass.
+
+    Rows: every full training window (``_train``: lookback inputs and horizon
+    targets) and the last window of each series (``_last``: its final
+    ``lookback`` rows, ``target`` empty), both scaled like ``make_sequences``.
+    """
+    w = series_window(key, date_col)
+    past, fut = w.rowsBetween(-(lookback - 1), 0), w.rowsBetween(1, horizon)
+    y = F.col(target).cast("double")
+    s = by_key(df, key).select(
+        *as_list(key), date_col,
+        F.collect_list(y).over(past).alias("_in"), F.collect_list(y).over(fut).alias("_out"),
+        F.avg(y).over(past).alias("x_mean"), F.stddev_pop(y).over(past).alias("x_std"),
+        F.lead(F.lit(1)).over(w).isNull().alias("_last"),
+        *[F.avg(F.col(c).cast("double")).over(past).alias(f"{c}_mean") for c in exog],
+    ).where(F.size("_in") == lookback)
+    s = s.withColumn("_train", F.size("_out") == horizon).where(F.col("_train") | F.col("_last"))
+    mu, sd = F.col("x_mean"), F.col("x_std")
+    return s.select(*as_list(key), date_col, "x_mean", "x_std", "_train", "_last",
+                    _scaled(F.col("_in"), mu, sd).alias("input"), _scaled(F.col("_out"), mu, sd).alias("target"),
+                    *[f"{c}_mean" for c in exog])
+
+
 def last_windows(df: DataFrame, lookback: int = LOOKBACK, key=KEY, date_col=DATE, target=TARGET,
                  exog: Sequence[str] = (), scale: bool = True) -> DataFrame:
     """The inference window of each series: its last ``lookback`` rows."""
