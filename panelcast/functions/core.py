@@ -119,8 +119,10 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> Da
     dropped and the frame is returned unhinted: the planner falls back to a
     shuffle join (AQE may still convert it from real shuffle sizes).
     """
+    from panelcast.session import session_id
+
     try:
-        key = (df.sparkSession.sparkContext.applicationId, df.semanticHash())
+        key = (session_id(df.sparkSession), df.semanticHash())
     except Exception:  # pragma: no cover - very old plans
         key = None
     hit = _small_cache.get(key) if key is not None else None

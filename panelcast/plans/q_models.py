@@ -31,6 +31,7 @@ from panelcast.plans.forecast.sequence import (
 from panelcast.plans.forecast.trees import feature_importance, fit_boosted_trees, learning_curve, predict_trees
 from panelcast.plans.q_profile import _final, _tx
 from panelcast.sources.fixtures import TRAIN_END, VAL_END, with_views
+from panelcast.session import session_id
 
 _FITS: dict = {}
 
@@ -40,7 +41,7 @@ def _views(spark, d):
 
 
 def _tree_fit(spark, d, variant):
-    k = (spark.sparkContext.applicationId, d, variant)
+    k = (session_id(spark), d, variant)
     if k not in _FITS:
         _FITS[k] = fit_boosted_trees(_views(spark, d)["train"], FEATURES_EX_ANTE, variant=variant)
     return _FITS[k]

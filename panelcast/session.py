@@ -35,20 +35,27 @@ def get_spark(app: str = "panelcast", cpus: int | str = "*", shuffle_partitions:
     return spark
 
 
+def session_id(spark: SparkSession) -> str:
+    """Identity of the running application (memo keys for lazily built plans)."""
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     Only when the session has none (local tests) a scratch folder is created
     and registered; on a cluster the configured shared folder is used as is.
     """
-    conf = spark.sparkContext.getConf()
-    d = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote (Connect) session: configuration only
+        sc = None
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d and sc is not None:
+        d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="panelcast-ckpt-", dir=os.environ.get("PANELCAST_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.functions.core import iso_weekday, sized_broadcast
+from panelcast.session import session_id
 
 # Fixture split dates (the panel spans 1995..2001).
 TRAIN_END = "1999-12-31"
@@ -96,7 +97,7 @@ _PANELS: dict = {}
 def panel(spark: SparkSession, sf_dir: str) -> Panel:
     """The four views of one table folder (plans are built once per session
     and folder; they stay lazy, nothing is cached)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (session_id(spark), sf_dir)
     if key not in _PANELS:
         _PANELS[key] = _build_panel(spark, sf_dir)
     return _PANELS[key]
