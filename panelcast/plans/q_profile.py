@@ -473,3 +473,42 @@ def lag_demo_slice(spark, d):
     one = add_lag(tx.where(F.col("store_nbr") == pick_series(tx)), [1, 7, 14, 21, 28])
     return one.select("date", "transactions", "lag_1", "lag_7", "lag_14", "lag_21", "lag_28").orderBy(
         "date").offset(25).limit(10)
+
+
+def _box_sql(src: str, by: str, val: str, *ctes: str) -> str:
+    return with_views(
+        f"SELECT {by}, q1, median, q3, min(CASE WHEN y >= q1 - 1.5 * (q3 - q1) THEN y END) AS whisker_lo, "
+        "max(CASE WHEN y <= q3 + 1.5 * (q3 - q1) THEN y END) AS whisker_hi, "
+        "count(*) FILTER (WHERE y < q1 - 1.5 * (q3 - q1) OR y > q3 + 1.5 * (q3 - q1)) AS n_outliers, "
+        f"count(*) AS n FROM bj JOIN bq USING ({by}) GROUP BY {by}, q1, median, q3",
+        *ctes,
+        f"bj AS (SELECT {by}, CAST({val} AS DOUBLE) AS y FROM {src} WHERE {val} IS NOT NULL)",
+        f"bq AS (SELECT {by}, quantile_cont(y, 0.25) AS q1, quantile_cont(y, 0.5) AS median, "
+        f"quantile_cont(y, 0.75) AS q3 FROM bj GROUP BY 1)",
+    )
+
+
+BOX_DOUBLES = ["q1", "median", "q3", "whisker_lo", "whisker_hi"]
+
+
+@register("box_stats_acf", _box_sql("p", "lag", "acf", *ACF_PANEL_CTES), doubles=BOX_DOUBLES)
+def box_stats_acf(spark, d):
+    """Spread of the per-series ACF at each lag (quartiles, whiskers, outliers)."""
+    return P.box_stats(acf_panel(_tx(spark, d)).where(F.col("acf").isNotNull()), "lag", "acf")
+
+
+@register("box_stats_holiday", _box_sql(
+    "j", "hol_type", "avg_tx",
+    "dm AS (SELECT date, avg(transactions) AS avg_tx FROM tx GROUP BY 1)",
+    "n AS (SELECT date, type AS hol_type FROM holidays WHERE locale = 'National')",
+    "j AS (SELECT dm.date, dm.avg_tx, coalesce(n.hol_type, 'Normal') AS hol_type FROM dm LEFT JOIN n USING (date))"),
+    doubles=BOX_DOUBLES)
+def box_stats_holiday(spark, d):
+    """Spread of the daily mean target per national holiday type ('Normal' otherwise)."""
+    from panelcast.functions.core import sized_broadcast
+    p = panel(spark, d)
+    daily = P.mean_by(p.tx, "date", alias="avg_tx")
+    nat = p.holidays.where(F.col("locale") == "National").select("date", F.col("type").alias("hol_type"))
+    j = daily.join(sized_broadcast(nat), "date", "left").withColumn(
+        "hol_type", F.coalesce(F.col("hol_type"), F.lit("Normal")))
+    return P.box_stats(j, "hol_type", "avg_tx")

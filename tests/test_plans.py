@@ -49,3 +49,13 @@ def test_date_filter_pushed_to_scan(spark, tx_parquet):
     text = _explain(df)
     assert "PushedFilters" in text and "LessThanOrEqual(date" in text
     assert "ReadSchema: struct<store_nbr:bigint,date:date>" in text
+
+
+@pytest.mark.parametrize("name", ["final_dataset", "missing_rows", "acf_panel", "sequences", "leaderboard_common"])
+def test_per_series_queries_never_gather_into_one_partition(spark, name):
+    import __spark_entry__ as E
+
+    text = _explain(E.queries()[name](spark, "/root/testdata/sf0.001"))
+    args = [ln for ln in text.splitlines() if ln.startswith("Arguments:")]
+    assert not any("SinglePartition" in ln for ln in args), text
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, text
