@@ -9,7 +9,6 @@ from panelcast.functions.core import (
     safe_div,
     series_window,
     sized_broadcast,
-    round_doubles,
     STORE_TYPE_CODES,
     store_type_code,
 )
@@ -23,7 +22,6 @@ __all__ = [
     "safe_div",
     "series_window",
     "sized_broadcast",
-    "round_doubles",
     "STORE_TYPE_CODES",
     "store_type_code",
 ]

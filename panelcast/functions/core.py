@@ -135,14 +135,3 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> Da
         if key is not None:
             _small_cache[key] = hit
     return F.broadcast(df) if hit else df
-
-
-def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double/float column (used for engine-to-engine comparison)."""
-    out = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, T.DoubleType):
-            out.append(F.round(F.col(f.name), digits).alias(f.name))
-        else:
-            out.append(F.col(f.name))
-    return df.select(*out)
