@@ -88,7 +88,8 @@ def test_boosted_trees_deterministic_and_complete(spark):
     assert all(math.isfinite(v) for v in pa.values())
     imp = feature_importance(spark, a).collect()
     assert sum(r["share"] for r in imp) == pytest.approx(1.0)
-    assert learning_curve(spark, a).count() == 12
+    # the curve runs to the round where the patience rule fired (or all rounds)
+    assert learning_curve(spark, a).count() == len(a.curve) and 1 <= len(a.curve) <= 12
     full = fit_boosted_trees(hist, feats, variant="full_sample", rounds=5, depth=3)
     assert full.best_rounds == 5 and full.model.getNumTrees == 5
 
@@ -123,3 +124,22 @@ def test_leaderboard_common_rows_and_both_mapes(spark):
     common = {r["model"]: r for r in E.leaderboard(preds, common=True).collect()}
     assert common["a"]["n"] == common["b"]["n"] == 2
     assert E.best_model(E.leaderboard(preds).withColumn("split", F.lit("test"))).first()["model"] == "b"
+
+
+def test_staged_early_stop_equals_single_full_fit(spark, monkeypatch):
+    from panelcast.plans.forecast import trees
+
+    df = linear_weekly(spark, n=120).withColumn("weekday", F.weekday("date")).withColumn(
+        "t", F.datediff("date", F.lit(D0)))
+    hist, fut = split(df, 100)
+    feats = ["weekday", "t", "oil_price"]
+    monkeypatch.setattr(trees, "FIRST_STAGE", 1000)  # one fit of all rounds
+    full = fit_boosted_trees(hist, feats, variant="early_stop", rounds=16, patience=4, depth=3)
+    monkeypatch.setattr(trees, "FIRST_STAGE", 5)  # staged: 5 rounds first
+    staged = fit_boosted_trees(hist, feats, variant="early_stop", rounds=16, patience=4, depth=3)
+    assert staged.best_rounds == full.best_rounds
+    assert [r for r, _, _ in staged.curve] == [r for r, _, _ in full.curve]
+    assert [v for _, _, v in staged.curve] == pytest.approx([v for _, _, v in full.curve], rel=1e-12)
+    pf = {(r["store_nbr"], r["date"]): r["y_pred"] for r in predict_trees(full, fut).collect()}
+    ps = {(r["store_nbr"], r["date"]): r["y_pred"] for r in predict_trees(staged, fut).collect()}
+    assert pf == ps
