@@ -158,3 +158,12 @@ def metrics_report(spark, d):
     """Validation metrics per model rounded to 2 places, sorted by MAE."""
     b = _board(spark, d).where(F.col("split") == "val")
     return b.select("model", *[F.round(m, 2).alias(m) for m in MET]).orderBy("mae", "model")
+
+
+@register("residual_series", with_views(
+    f"SELECT date, residual FROM res WHERE store_nbr = {PICK_SQL}", *PRED_CTES, BOARD_CTE, BEST_CTE, RES_CTE),
+    doubles=["residual"])
+def residual_series(spark, d):
+    """The best model's test residuals of one series by date."""
+    return _best_residuals(spark, d).where(F.col("store_nbr") == pick_series(_tx(spark, d))).select(
+        "date", "residual")
