@@ -512,3 +512,27 @@ def box_stats_holiday(spark, d):
     j = daily.join(sized_broadcast(nat), "date", "left").withColumn(
         "hol_type", F.coalesce(F.col("hol_type"), F.lit("Normal")))
     return P.box_stats(j, "hol_type", "avg_tx")
+
+
+def _describe_sql(src: str, col: str, *ctes: str) -> str:
+    return with_views(
+        f"SELECT count({col}) AS count, count(*) - count({col}) AS null_count, avg({col}) AS mean, "
+        f"stddev_samp({col}) AS std, CAST(min({col}) AS DOUBLE) AS min, quantile_cont({col}, 0.25) AS p25, "
+        f"quantile_cont({col}, 0.5) AS p50, quantile_cont({col}, 0.75) AS p75, CAST(max({col}) AS DOUBLE) AS max "
+        f"FROM {src}", *ctes)
+
+
+DESCRIBE_DOUBLES = ["mean", "std", "min", "p25", "p50", "p75", "max"]
+
+
+@register("describe_oil", _describe_sql("oil", "dcoilwtico"), doubles=DESCRIBE_DOUBLES)
+def describe_oil(spark, d):
+    """Describe of the daily oil quote (nulls counted, statistics over quotes)."""
+    return P.describe(panel(spark, d).oil, "dcoilwtico")
+
+
+@register("describe_days_per_series", _describe_sql(
+    "dps", "n_days", "dps AS (SELECT store_nbr, count(*) AS n_days FROM tx GROUP BY 1)"), doubles=DESCRIBE_DOUBLES)
+def describe_days_per_series(spark, d):
+    """Describe of the number of days per series."""
+    return P.describe(P.days_per_series(_tx(spark, d)), "n_days")
