@@ -78,8 +78,12 @@ def add_holiday_features(df: DataFrame, hol_df: DataFrame, date_col=DATE, locale
         F.struct(F.date_add(F.col(date_col), 1).alias("d"), F.lit(False).alias("b"), F.lit(True).alias("a")),
     )).alias("_f")).groupBy(F.col("_f.d").alias(date_col)).agg(
         F.max("_f.b").alias("is_day_before_holiday"), F.max("_f.a").alias("is_day_after_holiday"))
-    # one calendar table: a row per holiday row (fan-out kept) or per flag-only date
-    cal = nat.join(flags, date_col, "full_outer")
+    # one calendar table: a row per holiday row (fan-out kept) or per flag-only
+    # date; built from a left join and an anti join (both broadcastable)
+    flags = sized_broadcast(flags)
+    cal = nat.join(flags, date_col, "left").unionByName(
+        flags.join(sized_broadcast(nat.select(date_col).distinct()), date_col, "left_anti").withColumn(
+            "hol_type_national", F.lit(None).cast("string")))
     out = df.join(sized_broadcast(cal), on=date_col, how="left").withColumns({
         "is_national_holiday": F.col("hol_type_national").isNotNull(),
         "hol_type_national": F.coalesce(F.col("hol_type_national"), F.lit("none")),
