@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.functions.core import as_list, sized_broadcast
@@ -56,11 +56,13 @@ def common_rows(preds: DataFrame, key=KEY, date_col=DATE) -> DataFrame:
     """Restrict to (split, key, date) cells that every model of the split
     predicted, so that models are ranked on the same rows."""
     p = complete_rows(preds)
-    n_models = p.groupBy("split").agg(F.count_distinct("model").alias("_nm"))
-    cells = p.groupBy("split", *as_list(key), date_col).agg(F.count_distinct("model").alias("_c"))
-    full = cells.join(sized_broadcast(n_models), "split").where(F.col("_c") == F.col("_nm")).select(
-        "split", *as_list(key), date_col)
-    return p.join(full, ["split", *as_list(key), date_col], "left_semi")
+    # models per split: one row per split, broadcast
+    n_models = sized_broadcast(p.groupBy("split").agg(F.count_distinct("model").alias("_nm")))
+    # models per cell as a window over (split, key, date): one shuffle of the
+    # predictions; the set per cell is bounded by the number of models
+    cell = Window.partitionBy("split", *as_list(key), date_col)
+    counted = p.withColumn("_c", F.size(F.collect_set("model").over(cell)))
+    return counted.join(n_models, "split").where(F.col("_c") == F.col("_nm")).drop("_c", "_nm")
 
 
 def leaderboard(preds: DataFrame, mape: str = "zero_to_one", common: bool = False, key=KEY) -> DataFrame:
@@ -72,11 +74,12 @@ def leaderboard(preds: DataFrame, mape: str = "zero_to_one", common: bool = Fals
 
 def val_vs_test(board: DataFrame) -> DataFrame:
     """Models present in both splits with val and test metrics side by side."""
-    v = board.where(F.col("split") == "val").select(
-        "model", *[F.col(m).alias(f"{m}_val") for m in ("mae", "rmse", "mape")])
-    t = board.where(F.col("split") == "test").select(
-        "model", *[F.col(m).alias(f"{m}_test") for m in ("mae", "rmse", "mape")])
-    return v.join(t, "model", "inner")
+    mets = ("mae", "rmse", "mape")
+    wide = board.where(F.col("split").isin("val", "test")).groupBy("model").agg(
+        *[F.max(F.when(F.col("split") == s, F.col(m))).alias(f"{m}_{s}") for s in ("val", "test") for m in mets],
+        F.count_distinct("split").alias("_n"))
+    # conditional aggregation per model instead of a self-join
+    return wide.where(F.col("_n") == 2).select("model", *[f"{m}_{s}" for s in ("val", "test") for m in mets])
 
 
 def mae_per_series(preds: DataFrame, key=KEY) -> DataFrame:

@@ -240,7 +240,8 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     b = (F.least(F.floor((x - F.lit(mn)) / F.lit(mx - mn) * bins) + 1, F.lit(bins)) if mx > mn
          else F.lit(1)).cast("int")
     cnt = df.where(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    return edges.join(cnt, "bin", "left").select(
+    # all bins (bounded by ``bins``) as the broadcast side of a right join
+    return cnt.join(F.broadcast(edges), "bin", "right").select(
         "bin",
         (F.lit(mn) + (F.col("bin") - 1) * F.lit(width)).alias("bin_lo"),
         (F.lit(mn) + F.col("bin") * F.lit(width)).alias("bin_hi"),
