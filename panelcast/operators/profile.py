@@ -240,12 +240,14 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     b = (F.least(F.floor((x - F.lit(mn)) / F.lit(mx - mn) * bins) + 1, F.lit(bins)) if mx > mn
          else F.lit(1)).cast("int")
     cnt = df.where(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    # all bins (bounded by ``bins``) as the broadcast side of a right join
-    return cnt.join(F.broadcast(edges), "bin", "right").select(
+    # every bin present: union zero-count bins with the counts and sum per bin
+    # (no join; both inputs hold at most ``bins`` rows)
+    zero = edges.select("bin", F.lit(0).cast("bigint").alias("count"))
+    return cnt.unionByName(zero).groupBy("bin").agg(F.sum("count").alias("count")).select(
         "bin",
         (F.lit(mn) + (F.col("bin") - 1) * F.lit(width)).alias("bin_lo"),
         (F.lit(mn) + F.col("bin") * F.lit(width)).alias("bin_hi"),
-        F.coalesce(F.col("count"), F.lit(0).cast("bigint")).alias("count"),
+        F.col("count").cast("bigint").alias("count"),
     )
 
 
