@@ -72,6 +72,9 @@ def add_holiday_features(df: DataFrame, hol_df: DataFrame, date_col=DATE, locale
     nat = national_holidays(hol_df, locale).withColumnRenamed("date", date_col)
     if dedupe:
         nat = nat.groupBy(date_col).agg(F.min("hol_type_national").alias("hol_type_national"))
+    # bounded by the calendar: size-checked once (and cached), so the flag,
+    # date and calendar tables below read it instead of re-deriving it
+    nat = sized_broadcast(nat)
     # day-before / day-after flags per calendar date, from the holiday dates
     flags = nat.select(F.explode(F.array(
         F.struct(F.date_sub(F.col(date_col), 1).alias("d"), F.lit(True).alias("b"), F.lit(False).alias("a")),
