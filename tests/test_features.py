@@ -192,3 +192,22 @@ def test_normalise_and_long_series_filter(spark, two_series_40d):
     assert out[(1, day(0))]["tx_normalized"] == pytest.approx(10 / (10 + 19.5))
     kept = keep_long_series(two_series_40d.where((F.col("store_nbr") == 1) | (F.col("date") < F.lit(day(5)))), 10)
     assert {r["store_nbr"] for r in kept.collect()} == {1}
+
+
+def test_describe_and_box_stats_approx_close_to_exact(spark):
+    from panelcast.operators.profile import box_stats, describe
+
+    df = spark.range(0, 2000).select((F.col("id") % 97).cast("double").alias("y"), (F.col("id") % 3).alias("g"))
+    exact = describe(df, "y").first()
+    approx = describe(df, "y", method="approx").first()
+    for c in ("p25", "p50", "p75"):
+        assert abs(exact[c] - approx[c]) <= 1.0
+    ex = {r["g"]: r for r in box_stats(df, "g", "y").collect()}
+    ap = {r["g"]: r for r in box_stats(df, "g", "y", approx=True).collect()}
+    assert all(abs(ex[g]["median"] - ap[g]["median"]) <= 1.0 for g in ex)
+
+
+def test_checkpoint_dir_respects_session_setting(spark):
+    from panelcast.session import checkpoint_dir
+
+    assert checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
