@@ -120,17 +120,26 @@ def _fit_one_pass(spark: SparkSession, frames: DataFrame, extras: Sequence[str],
               f"input array<double>{ext_schema}")
     inf_cols = [key, date_col, "x_mean", "x_std", "input"] + extras
 
+    def scaled(pdf: pd.DataFrame, col: str) -> np.ndarray:
+        # standard scaling by the input window's mean / population std, in bulk
+        sd = pdf["x_std"].to_numpy(dtype=float)
+        sd = np.where(sd > 0, sd, 1.0)
+        return (np.vstack(pdf[col].to_numpy()) - pdf["x_mean"].to_numpy(dtype=float)[:, None]) / sd[:, None]
+
     def part(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         G = None
         for pdf in it:
             tr = pdf[pdf["_train"]]
             if len(tr):
-                Z = np.hstack([_design(tr, extras), np.vstack(tr["target"].to_numpy())])
+                A = np.hstack([scaled(tr, "input"), np.ones((len(tr), 1))]
+                              + ([tr[extras].to_numpy(dtype=float)] if extras else []))
+                Z = np.hstack([A, scaled(tr, "target")])
                 g = Z.T @ Z
                 G = g if G is None else G + g
             lw = pdf[pdf["_last"]]
             if len(lw):
                 out = lw[inf_cols].copy()
+                out["input"] = list(scaled(lw, "input"))
                 out.insert(0, "v", np.nan)
                 out.insert(0, "cell", pd.array([None] * len(out), dtype="Int64"))
                 out.insert(0, "kind", 1)
@@ -174,7 +183,7 @@ def forecast_direct_linear(spark: SparkSession, history: DataFrame, actuals: Dat
     if stat:
         hist = hist.withColumns({c: F.col(c).cast("double") for c in stat})
     extras = [f"{c}_mean" for c in exog] + [f"{c}_mean" for c in stat]
-    frames = window_frames(hist, lookback, horizon, key, date_col, target, exog=exog + stat)
+    frames = window_frames(hist, lookback, horizon, key, date_col, target, exog=exog + stat, scale=False)
     W, inf = _fit_one_pass(spark, frames, extras, ridge, horizon, lookback, key, date_col)
     if W is None:  # no series has lookback + horizon rows of history
         warnings.warn("direct linear forecast: no complete training window")

@@ -57,12 +57,14 @@ def make_sequences(df: DataFrame, lookback: int = LOOKBACK, horizon: int = HORIZ
 
 
 def window_frames(df: DataFrame, lookback: int = LOOKBACK, horizon: int = HORIZON, key=KEY, date_col=DATE,
-                  target=TARGET, exog: Sequence[str] = ()) -> DataFrame:
+                  target=TARGET, exog: Sequence[str] = (), scale: bool = True) -> DataFrame:
     """Training windows and inference windows from one windowed pass.
 
     Rows: every full training window (``_train``: lookback inputs and horizon
     targets) and the last window of each series (``_last``: its final
-    ``lookback`` rows, ``target`` empty), both scaled like ``make_sequences``.
+    ``lookback`` rows, ``target`` empty), both scaled like ``make_sequences``
+    (``scale=False`` leaves the raw values with ``x_mean`` / ``x_std`` for a
+    consumer that scales in bulk).
     """
     w = series_window(key, date_col)
     past, fut = w.rowsBetween(-(lookback - 1), 0), w.rowsBetween(1, horizon)
@@ -76,9 +78,11 @@ def window_frames(df: DataFrame, lookback: int = LOOKBACK, horizon: int = HORIZO
     ).where(F.size("_in") == lookback)
     s = s.withColumn("_train", F.size("_out") == horizon).where(F.col("_train") | F.col("_last"))
     mu, sd = F.col("x_mean"), F.col("x_std")
+    inp, out = F.col("_in"), F.col("_out")
+    if scale:
+        inp, out = _scaled(inp, mu, sd), _scaled(out, mu, sd)
     return s.select(*as_list(key), date_col, "x_mean", "x_std", "_train", "_last",
-                    _scaled(F.col("_in"), mu, sd).alias("input"), _scaled(F.col("_out"), mu, sd).alias("target"),
-                    *[f"{c}_mean" for c in exog])
+                    inp.alias("input"), out.alias("target"), *[f"{c}_mean" for c in exog])
 
 
 def last_windows(df: DataFrame, lookback: int = LOOKBACK, key=KEY, date_col=DATE, target=TARGET,
