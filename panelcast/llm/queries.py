@@ -6,14 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import sharding, simhash, toxicity
+from panelcast.llm import html, licenses, pieces, quality, sharding, simhash, toxicity
 from panelcast.llm.common import read_table
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.op2_query(spark, read_table(spark, sf_dir, "pages"))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.op3_query(spark, read_table(spark, sf_dir, "documents"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.op5_query(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op7_query(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op8_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.op8_query(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.op9_query(spark, read_table(spark, sf_dir, "documents"))
 
@@ -23,8 +39,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_toxicity, op9_simhash_dedup, op10_sharding)}
+    return {f.__name__: f for f in (
+        op2_html_extraction, op3_license_scan, op5_quality_rules, op7_toxicity, op8_piece_encoding, op9_simhash_dedup,
+        op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_license_scan": licenses.oracle_sql()}
