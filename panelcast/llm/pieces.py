@@ -2,8 +2,7 @@
 
 A text, spaces written as the space mark and one mark in front, is a lattice
 whose edges are the vocabulary's pieces with their scores; a character that
-no piece covers is an edge of byte pieces (the library's penalty: 10 under
-the lowest score). The score of a segmentation is the sum over its edges.
+no piece covers is an edge of byte pieces (10 under the lowest score). The score of a segmentation is the sum over its edges.
 
 * Forward Viterbi gives the best score of every lattice node.
 * Backward A* pops hypotheses from the end; the forward score of a node is
@@ -60,7 +59,8 @@ class Lattice:
             self.spelling.append(
                 bytes([int(piece[3:5], 16)]) if p.is_byte(i) else piece.replace(MARK, " ").encode() if plain else b"")
         self.unknown_id = p.unk_id()
-        self.unknown_score = min(self.score.values(), default=0.0) - UNKNOWN_PENALTY
+        # runs of space marks are no measure of a rare piece: some vocabularies score them out of reach
+        self.unknown_score = min((s for x, s in self.score.items() if x.strip(MARK)), default=0.0) - UNKNOWN_PENALTY
         self.steps: dict[str, float | None] = {}
         for piece in self.score:
             for k in range(1, len(piece)):

@@ -9,10 +9,9 @@ pieces and occur in several contexts (a copied passage has one context).
 Score: every window of a text (a word; longer words in parts of at most
 ``MAX_WINDOW`` bytes) is compressed with either dictionary between two fixed
 pads, which both dictionaries hold. The pads make sure that a match inside
-the window is found and that block overhead cancels. The gain of a window is
-the number of bytes that the toxic dictionary saves; the counts of windows
-whose gain passes each threshold go into a logistic calibration. Equal
-windows are compressed once per worker.
+the window is found and that block overhead cancels. The two lengths put the
+window into a kind by fixed thresholds; the counts of the kinds go into a
+logistic calibration. Equal windows are compressed once per worker.
 """
 
 from __future__ import annotations
@@ -35,13 +34,14 @@ SAMPLE_ROWS = 4_000
 SAMPLE_PIECES = 6_000
 PIECE_BYTES = 4_096
 DICTIONARY_BYTES = 2_048
-SEGMENT = 32  # bytes of a segment that dictionary training picks
+SEGMENT = 24  # bytes of a segment that dictionary training picks
 LEVEL = 3
 OVERUSE = 10.0  # times more frequent in toxic pieces
 MIN_CONTEXTS = 4
 MIN_PIECES = 3
+MIN_SHARE = 0.015  # of the toxic pieces
 MAX_WINDOW = 64
-MAX_GAIN = 10
+KINDS = 8
 CACHE_WORDS = 1_000_000
 
 HEAD = bytes(range(33, 65)) + b"@~" + bytes(range(91, 123))
@@ -61,41 +61,54 @@ class Model:
         return zlib.crc32(self.toxic + b"|" + self.ordinary)
 
 
-class Gains:
-    """Gain of a window, kept per worker for windows seen before (bounded)."""
+class Windows:
+    """Kind of a window, kept per worker for windows seen before (bounded).
+
+    Two lengths decide: the gain (bytes that the toxic dictionary saves over
+    the ordinary one) and the rest (bytes that the window still costs under
+    the toxic dictionary; 0 or 1: it is there as a whole).
+    """
 
     def __init__(self, toxic: bytes, ordinary: bytes):
         self.known: dict[bytes, int] = {}
         self._toxic, self._ordinary = (_compressor(x).compress for x in (toxic, ordinary))
+        self._empty = len(self._toxic(HEAD + b"  " + TAIL))
 
-    def of_window(self, window: bytes) -> int:
+    def kind(self, window: bytes) -> int:
         padded = HEAD + b" " + window + b" " + TAIL
-        return min(MAX_GAIN, max(0, len(self._ordinary(padded)) - len(self._toxic(padded))))
+        toxic = len(self._toxic(padded))
+        gain, rest = len(self._ordinary(padded)) - toxic, toxic - self._empty
+        size = (gain >= 3) + (gain >= 5) + (gain >= 7)
+        if not size:
+            return 0
+        if rest <= 1:
+            return 4 + size
+        return (1, 3 if rest <= 4 else 2, 4)[size - 1]
 
     def histogram(self, words: list[bytes]) -> np.ndarray:
-        """Number of windows per gain 0..MAX_GAIN."""
+        """Number of windows per kind 0..KINDS-1."""
         known, out = self.known, []
         for word in words:
-            gain = known.get(word)
-            if gain is None:
+            kind = known.get(word)
+            if kind is None:
                 if len(known) >= CACHE_WORDS:
                     known.clear()
-                gain = max(self.of_window(word[i:i + MAX_WINDOW]) for i in range(0, len(word), MAX_WINDOW))
+                kind = max(self.kind(word[i:i + MAX_WINDOW]) for i in range(0, len(word), MAX_WINDOW))
                 if len(word) <= MAX_WINDOW:
-                    known[word] = gain
-            out.append(gain)
-        return np.bincount(np.array(out, dtype=np.int64), minlength=MAX_GAIN + 1)
+                    known[word] = kind
+            out.append(kind)
+        return np.bincount(np.array(out, dtype=np.int64), minlength=KINDS)
 
 
-_GAINS: dict[int, Gains] = {}
+_WINDOWS: dict[int, Windows] = {}
 
 
-def _gains(model: Model) -> Gains:
+def _windows(model: Model) -> Windows:
     key = model.key()
-    if key not in _GAINS:
-        _GAINS.clear()
-        _GAINS[key] = Gains(model.toxic, model.ordinary)
-    return _GAINS[key]
+    if key not in _WINDOWS:
+        _WINDOWS.clear()
+        _WINDOWS[key] = Windows(model.toxic, model.ordinary)
+    return _WINDOWS[key]
 
 
 def _compressor(content: bytes) -> zs.ZstdCompressor:
@@ -109,12 +122,11 @@ def _compressor(content: bytes) -> zs.ZstdCompressor:
 
 
 def design(histograms: np.ndarray) -> np.ndarray:
-    """Calibration features of gain histograms: length, windows over each threshold, their shares."""
+    """Calibration features of kind histograms: length, windows of each kind, shares of the telling kinds."""
     n = np.maximum(histograms.sum(axis=1), 1)
-    over = histograms[:, ::-1].cumsum(axis=1)[:, ::-1]
     columns = [np.ones(len(n)), np.log(n)]
-    columns += [np.log1p(over[:, k]) for k in range(3, MAX_GAIN + 1)]
-    columns += [20 * over[:, k] / n for k in (4, 6, 8)]
+    columns += [np.log1p(histograms[:, k]) for k in range(1, KINDS)]
+    columns += [20 * histograms[:, k:].sum(axis=1) / n for k in (3, 5)]
     return np.array(columns).T
 
 
@@ -167,7 +179,7 @@ def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes
     before, after = defaultdict(set), defaultdict(set)
     for words in bad:
         for i, w in enumerate(words):
-            if in_bad[w] >= MIN_PIECES and len(before[w]) < 64:
+            if in_bad[w] >= max(MIN_PIECES, MIN_SHARE * len(bad)) and len(before[w]) < 64:
                 before[w].add(words[i - 1] if i else b"")
                 after[w].add(words[i + 1] if i + 1 < len(words) else b"")
 
@@ -175,9 +187,9 @@ def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes
         return (len(before[w]) >= MIN_CONTEXTS and len(after[w]) >= MIN_CONTEXTS
                 and in_bad[w] / len(bad) >= OVERUSE * (in_good[w] + 1) / max(1, len(good)))
 
-    marked = list(dict.fromkeys(_samples(bad, overused)))
+    marked = _samples(bad, overused)
     if not marked:  # too few rows for contexts: any over-represented word
-        marked = list(dict.fromkeys(_samples(bad, lambda w: in_good[w] == 0)))
+        marked = _samples(bad, lambda w: in_good[w] == 0)
     usual = _samples(good, lambda w: in_good[w] >= MIN_PIECES) or _samples(good, lambda w: True)
     return _train(marked), _train(usual[:40_000])
 
@@ -219,7 +231,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     base = count.get(1, 0) / max(1, sum(count.values()))
     if not all(texts.values()):
         return Model(b"", b"", None, base if len(count) == 1 else 0.0)
-    # Calibration on gains under the dictionaries of the other fold; scoring uses the dictionaries of both folds.
+    # Calibration on windows under the dictionaries of the other fold; scoring uses the dictionaries of both folds.
     folds = [Model(*train_dictionaries(texts[k, 1], texts[k, 0]), None, base) for k in (0, 1)]
     found: list[tuple[float, list[int]]] = []
     for k in (0, 1):
@@ -235,23 +247,23 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def _histograms(model: Model, held: DataFrame) -> list[tuple[float, list[int]]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gains = _gains(model)
+        windows = _windows(model)
         for batch in batches:
-            found = [gains.histogram(lower_words_of(t.as_py())).tolist() for t in batch.column(1)]
+            found = [windows.histogram(lower_words_of(t.as_py())).tolist() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(2), pa.array(found, pa.list_(pa.int64()))], names=["y", "gains"])
+                [batch.column(2), pa.array(found, pa.list_(pa.int64()))], names=["y", "kinds"])
 
-    return [(r["y"], r["gains"]) for r in held.mapInArrow(run, "y int, gains array<bigint>").collect()]
+    return [(r["y"], r["kinds"]) for r in held.mapInArrow(run, "y int, kinds array<bigint>").collect()]
 
 
 def scores(model: Model, texts: list[str | None]) -> np.ndarray:
     """Score of every whole text, 0 to 1; null and empty texts are scored as texts without windows."""
     if model.weights is None:
         return np.full(len(texts), model.base)
-    gains = _gains(model)
+    windows = _windows(model)
     if not texts:
         return np.zeros(0)
-    return _sigmoid(design(np.array([gains.histogram(lower_words_of(t)) for t in texts], dtype=float)) @ model.weights)
+    return _sigmoid(design(np.array([windows.histogram(lower_words_of(t)) for t in texts], dtype=float)) @ model.weights)
 
 
 def score_documents(model: Model, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
