@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import html, licenses, pieces, quality, sharding, simhash, toxicity
+from panelcast.llm import html, licenses, mixing, pieces, quality, sharding, simhash, toxicity
 from panelcast.llm.common import read_table
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.op1_query(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.op2_query(spark, read_table(spark, sf_dir, "pages"))
 
@@ -40,7 +44,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_html_extraction, op3_license_scan, op5_quality_rules, op7_toxicity, op8_piece_encoding, op9_simhash_dedup,
+        op1_mixing, op2_html_extraction, op3_license_scan, op5_quality_rules, op7_toxicity, op8_piece_encoding, op9_simhash_dedup,
         op10_sharding)}
 
 

@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from panelcast.llm.common import lower_words_of, materialise, scan_texts
 from panelcast.llm.components import connected_components
@@ -252,6 +253,42 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return docs.join(by_fp, "fp").select("id", "fp", "component_id", "component_fp")
 
 
+def keep_one_per_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
+                       radius: int = 3) -> DataFrame:
+    """One row of each component, all columns as they are: a row with the component's smallest id.
+
+    A component of null ids only keeps a row with a null id. Where ids repeat,
+    one of the rows with the kept id stays.
+    """
+    found = materialise(near_duplicates(df, id_col, text_col, width, radius), "groups")
+    kept = found.groupBy("component_fp").agg(F.min("component_id").alias("__id")).select("__id", "component_fp")
+    is_kept = F.col(f"`{id_col}`").eqNullSafe(F.col("__id"))
+    repeated = found.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | F.col("id").isNull()).limit(1)
+    if not repeated.count():  # ids are unique: the id alone names the row
+        return df.join(kept.select("__id"), is_kept, "left_semi")
+    # Rows of a kept id may differ in text: the fingerprint decides, then one row per component stays.
+    by_id = found.join(kept, (F.col("id").eqNullSafe(F.col("__id"))) & (found["component_fp"] == kept["component_fp"])).select(
+        "__id", found["component_fp"].alias("__component"), "fp").distinct()
+    marked = fingerprints_beside(df, text_col, width)
+    out = marked.join(by_id, is_kept & (F.col("__fp") == F.col("fp")))
+    return out.dropDuplicates(["__component"]).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def fingerprints_beside(df: DataFrame, text_col: str, width: int = 3) -> DataFrame:
+    """``df`` with the fingerprint of its text as ``__fp``."""
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_hashes(t.as_py(), width) for t in batch.column(at)]
+            counts = np.array([len(f) for f in found], dtype=np.int64)
+            hashes = np.array([h for f in found for h in f], dtype=np.uint64)
+            fp = pa.array(majority(hashes, counts).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, fp], names=[*batch.schema.names, "__fp"])
+
+    return df.mapInArrow(run, StructType([*df.schema.fields, StructField("__fp", LongType())]))
+
+
 def op9_query(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return near_duplicates(docs, "doc_id", "text", width=3, radius=3).select(
         F.col("id").alias("doc_id"),
