@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import html, licenses, mixing, pieces, quality, sharding, simhash, toxicity
+from panelcast.llm import html, licenses, maxent_lm, mixing, pieces, quality, sharding, simhash, toxicity
 from panelcast.llm.common import read_table
 
 
@@ -26,6 +26,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op5_query(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent_lm.op6_query(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op7_query(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -44,7 +48,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_mixing, op2_html_extraction, op3_license_scan, op5_quality_rules, op7_toxicity, op8_piece_encoding, op9_simhash_dedup,
+        op1_mixing, op2_html_extraction, op3_license_scan, op5_quality_rules, op6_lm_scoring, op7_toxicity, op8_piece_encoding, op9_simhash_dedup,
         op10_sharding)}
 
 
