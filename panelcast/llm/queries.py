@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import html, licenses, maxent_lm, mixing, pieces, quality, sharding, simhash, toxicity
+from panelcast.llm import hamming_search, html, licenses, maxent_lm, mixing, pieces, quality, sharding, simhash, toxicity
 from panelcast.llm.common import read_table
 
 
@@ -22,6 +22,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.op3_query(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op4_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming_search.op4_query(spark, read_table(spark, sf_dir, "embeddings"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op5_query(spark, read_table(spark, sf_dir, "documents"))
 
@@ -48,9 +52,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_mixing, op2_html_extraction, op3_license_scan, op5_quality_rules, op6_lm_scoring, op7_toxicity, op8_piece_encoding, op9_simhash_dedup,
+        op1_mixing, op2_html_extraction, op3_license_scan, op4_hamming_search, op5_quality_rules, op6_lm_scoring, op7_toxicity, op8_piece_encoding, op9_simhash_dedup,
         op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_license_scan": licenses.oracle_sql()}
+    return {"op3_license_scan": licenses.oracle_sql(), "op4_hamming_search": hamming_search.oracle_sql()}
