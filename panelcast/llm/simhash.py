@@ -267,8 +267,9 @@ def keep_one_per_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     if not repeated.count():  # ids are unique: the id alone names the row
         return df.join(kept.select("__id"), is_kept, "left_semi")
     # Rows of a kept id may differ in text: the fingerprint decides, then one row per component stays.
-    by_id = found.join(kept, (F.col("id").eqNullSafe(F.col("__id"))) & (found["component_fp"] == kept["component_fp"])).select(
-        "__id", found["component_fp"].alias("__component"), "fp").distinct()
+    named = kept.withColumnRenamed("component_fp", "__component")
+    by_id = found.join(named, F.col("id").eqNullSafe(F.col("__id")) & (F.col("component_fp") == F.col("__component"))).select(
+        "__id", "__component", "fp").distinct()
     marked = fingerprints_beside(df, text_col, width)
     out = marked.join(by_id, is_kept & (F.col("__fp") == F.col("fp")))
     return out.dropDuplicates(["__component"]).select(*[F.col(f"`{c}`") for c in df.columns])
