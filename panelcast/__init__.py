@@ -11,7 +11,6 @@ Layout:
                 calendar encodings, size-checked broadcast)
     operators/  feature, profile, correlation, split, evaluation operators
     plans/      composed jobs: feature pipeline, forecasting jobs
-    streaming/  (the reference has no streaming surface; see its docstring)
 """
 
 import sys as _sys

@@ -12,12 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Default size bound for dimension / calendar tables that are broadcast.
-# One row per day over a century is ~36.5k rows; a store dimension with a
-# million rows is still a few tens of MB.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-_small_cache: dict = {}
+# Default size bound for tables that are broadcast.
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def as_list(cols: str | Sequence[str]) -> list[str]:
@@ -108,30 +104,22 @@ def store_type_code(type_col: Column | str, codes: dict[str, int] = STORE_TYPE_C
     )
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after proving the side has at most ``max_rows`` rows.
+def plan_bytes(df: DataFrame) -> int | None:
+    """Optimizer's size estimate of ``df`` (file sizes carried through the plan); None without a local JVM plan."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except AttributeError:
+        return None
 
-    The side is cached while it is counted (``limit(max_rows + 1).count()``
-    stops early on big inputs), so a proven-small derived table (an
-    aggregate, a filtered calendar) is computed once and the broadcast reads
-    the cached rows; lost cache blocks are recomputed from lineage. The
-    verdict is memoised per logical plan. Above the bound the cache is
-    dropped and the frame is returned unhinted: the planner falls back to a
-    shuffle join (AQE may still convert it from real shuffle sizes).
-    """
-    from panelcast.session import session_id
 
-    try:
-        key = (session_id(df.sparkSession), df.semanticHash())
-    except Exception:  # pragma: no cover - very old plans
-        key = None
-    hit = _small_cache.get(key) if key is not None else None
-    if hit is None:
-        cached = df.cache()
-        small = cached.limit(max_rows + 1).count() <= max_rows
-        if not small:
-            cached.unpersist()
-        hit = small
-        if key is not None:
-            _small_cache[key] = hit
-    return F.broadcast(df) if hit else df
+def sized_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint if the plan's own size estimate is at most ``max_bytes``.
+
+    No job runs, nothing is cached or remembered. The estimate of a derived
+    table is that of its inputs or more, so the hint is only given to a side
+    whose inputs are small; any other side stays unhinted and the planner
+    decides (AQE turns the join into a broadcast once it has measured a small
+    side, otherwise both sides are shuffled).
+    """
+    size = plan_bytes(df)
+    return F.broadcast(df) if size is not None and size <= max_bytes else df

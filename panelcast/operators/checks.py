@@ -26,8 +26,3 @@ def assert_no_nulls(df: DataFrame, cols: list[str] | None = None) -> None:
     bad = {k: v for k, v in row.asDict().items() if v}
     if bad:
         raise AssertionError(f"unexpected nulls: total {sum(bad.values())} in {bad}")
-
-
-def schema_report(df: DataFrame) -> list[tuple[str, str]]:
-    """Column names and Spark SQL types."""
-    return list(df.dtypes)

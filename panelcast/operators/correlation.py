@@ -22,10 +22,6 @@ ACF_LAGS = [1, 2, 3, 4, 5, 6, 7, 14, 21, 28, 30, 60, 90, 180, 365]
 ACF_PANEL_LAGS = [1, 7, 14, 30, 365]
 
 
-def pearson(df: DataFrame, x: str, y: str, alias: str = "r") -> DataFrame:
-    return df.agg(safe_corr(x, y).alias(alias))
-
-
 def correlation_with_target(df: DataFrame, cols: Sequence[str], target: str = TARGET) -> DataFrame:
     """(feature, r) for each column against the target, booleans as 0/1.
 

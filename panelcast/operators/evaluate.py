@@ -52,10 +52,16 @@ def metrics(preds: DataFrame, by: Sequence[str] = (), mape: str = "clip") -> Dat
     return complete_rows(preds).groupBy(*by).agg(*metric_exprs(mape))
 
 
-def common_rows(preds: DataFrame, key=KEY, date_col=DATE) -> DataFrame:
+def common_rows(preds: DataFrame, key=KEY, date_col=DATE, models: Sequence[str] | None = None) -> DataFrame:
     """Restrict to (split, key, date) cells that every model of the split
-    predicted, so that models are ranked on the same rows."""
+    predicted, so that models are ranked on the same rows. ``models`` names
+    them; without it they are counted per split, which runs the plan of
+    ``preds`` a second time."""
     p = complete_rows(preds)
+    if models is not None:
+        cell = Window.partitionBy("split", *as_list(key), date_col)
+        return p.withColumn("_c", F.size(F.collect_set("model").over(cell))).where(
+            F.col("_c") == len(set(models))).drop("_c")
     # models per split: one row per split, broadcast
     n_models = sized_broadcast(p.groupBy("split").agg(F.count_distinct("model").alias("_nm")))
     # models per cell as a window over (split, key, date): one shuffle of the
@@ -65,10 +71,11 @@ def common_rows(preds: DataFrame, key=KEY, date_col=DATE) -> DataFrame:
     return counted.join(n_models, "split").where(F.col("_c") == F.col("_nm")).drop("_c", "_nm")
 
 
-def leaderboard(preds: DataFrame, mape: str = "zero_to_one", common: bool = False, key=KEY) -> DataFrame:
+def leaderboard(preds: DataFrame, mape: str = "zero_to_one", common: bool = False, key=KEY,
+                models: Sequence[str] | None = None) -> DataFrame:
     """Metrics per split and model, over complete rows (optionally the rows
     shared by all models). ``n`` shows how many rows each model was scored on."""
-    p = common_rows(preds, key) if common else preds
+    p = common_rows(preds, key, models=models) if common else preds
     return metrics(p, ["split", "model"], mape)
 
 
@@ -87,13 +94,19 @@ def mae_per_series(preds: DataFrame, key=KEY) -> DataFrame:
     return preds.groupBy("model", *as_list(key)).agg(F.avg(F.abs(_err())).alias("mae"))
 
 
-def worst_series(preds: DataFrame, k: int = 10, key=KEY) -> DataFrame:
-    """Series with the highest MAE averaged over models, among series scored
-    by every model (inner-join semantics)."""
-    per = mae_per_series(preds, key).where(F.col("mae").isNotNull())
-    n_models = preds.select("model").distinct().count()
+def series_model_table(preds: DataFrame, models: Sequence[str], key=KEY) -> DataFrame:
+    """MAE per series, one column per model, series scored by all of them."""
+    keys = as_list(key)
+    wide = preds.groupBy(*keys).agg(*[F.avg(F.when(F.col("model") == m, F.abs(_err()))).alias(f"mae_{m}") for m in models])
+    return wide.dropna(subset=[f"mae_{m}" for m in models])
+
+
+def worst_series(preds: DataFrame, models: Sequence[str], k: int = 10, key=KEY) -> DataFrame:
+    """Series with the highest MAE averaged over ``models``, among series
+    scored by every model (inner-join semantics)."""
+    per = mae_per_series(preds.where(F.col("model").isin(list(models))), key).where(F.col("mae").isNotNull())
     avg = per.groupBy(*as_list(key)).agg(F.avg("mae").alias("mean_mae"), F.count(F.lit(1)).alias("_m"))
-    return avg.where(F.col("_m") == n_models).drop("_m").orderBy(F.desc("mean_mae"), *as_list(key)).limit(k)
+    return avg.where(F.col("_m") == len(set(models))).drop("_m").orderBy(F.desc("mean_mae"), *as_list(key)).limit(k)
 
 
 def best_model(board: DataFrame, split: str = "test") -> DataFrame:
@@ -119,6 +132,18 @@ def residual_summary(res: DataFrame) -> DataFrame:
                    F.stddev_samp("residual").alias("std"))
 
 
+def best_residual_summary(preds: DataFrame, split: str = "test") -> DataFrame:
+    """Bias, spread and count of the residuals of the model with the smallest
+    MAE on ``split``: one pass over the predictions for all models, then the
+    best row (ties: model name)."""
+    p = preds.where(F.col("split") == split)
+    both = F.col("y_true").isNotNull() & F.col("y_pred").isNotNull()
+    per = p.where(both).groupBy("model").agg(
+        F.avg(F.abs(_err())).alias("mae"), F.count(F.lit(1)).alias("n"), F.avg(_err()).alias("bias"),
+        F.stddev_samp(_err()).alias("std"))
+    return per.orderBy("mae", "model").limit(1).select("n", "bias", "std")
+
+
 def attach_actuals(preds: DataFrame, actuals: DataFrame, target: str = "transactions", key=KEY,
                    date_col=DATE) -> DataFrame:
     """Left join the actual value onto predictions by (key, date)."""

@@ -168,11 +168,12 @@ def missing_by_series(df: DataFrame, key=KEY, date_col=DATE) -> DataFrame:
 def missing_rate(df: DataFrame, key=KEY, date_col=DATE) -> DataFrame:
     """Missing cells, grid size and missing share in percent (one row)."""
     k = as_list(key)
-    return df.agg(
-        F.count_distinct(date_col).alias("n_dates"),
-        F.count_distinct(*k).alias("n_series"),
-        F.count_distinct(*k, date_col).alias("n_present"),
-    ).select(
+    # one distinct of the cells; dates and series are counted from per-series and per-date rows of it
+    cells = df.select(*k, date_col).distinct()
+    per_series = cells.groupBy(*k).agg(F.count(F.lit(1)).alias("_c")).agg(
+        F.count(F.lit(1)).alias("n_series"), F.coalesce(F.sum("_c"), F.lit(0)).alias("n_present"))
+    n_dates = cells.select(date_col).distinct().agg(F.count(F.lit(1)).alias("n_dates"))
+    return per_series.crossJoin(n_dates).select(  # one row each
         (F.col("n_dates") * F.col("n_series")).alias("n_grid"),
         (F.col("n_dates") * F.col("n_series") - F.col("n_present")).alias("n_missing"),
     ).withColumn("missing_pct", F.col("n_missing") / F.col("n_grid") * 100)
@@ -200,9 +201,9 @@ def seasonal_index(df: DataFrame, by="weekday", target=TARGET, digits: int = 1)
     return m.withColumn("index", F.round(F.col("avg") / F.avg("avg").over(Window.partitionBy()) * 100, digits))
 
 
-def pivot_mean(df: DataFrame, row, col, target=TARGET, values: Sequence | None = None) -> DataFrame:
-    g = df.groupBy(*as_list(row))
-    return (g.pivot(col, list(values)) if values is not None else g.pivot(col)).agg(F.avg(target))
+def pivot_mean(df: DataFrame, row, col, values: Sequence, target=TARGET) -> DataFrame:
+    """Mean per (row, col) with one column per listed value (no job looks for the values)."""
+    return df.groupBy(*as_list(row)).pivot(col, list(values)).agg(F.avg(target))
 
 
 def box_stats(df: DataFrame, by, target=TARGET, whisker: float = 1.5, approx: bool = False) -> DataFrame:

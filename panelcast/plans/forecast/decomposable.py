@@ -79,6 +79,7 @@ def fit_forecast(y: np.ndarray, X: np.ndarray, X_future: np.ndarray, d_train: np
     return design(fd, X_future) @ coef * y_scale
 
 
-def forecast_decomposable(history: DataFrame, future: DataFrame, regressors: Sequence[str] = ("oil_price",)) -> DataFrame:
-    """Per-series forecast of every row of ``future``."""
-    return run_grouped(history, future, fit_forecast, regressors)
+def forecast_decomposable(rows: DataFrame, is_train, regressors: Sequence[str] = ("oil_price",),
+                          key="store_nbr") -> DataFrame:
+    """Per-series forecast of every row that ``is_train`` does not mark."""
+    return run_grouped(rows, fit_forecast, regressors, is_train, key)

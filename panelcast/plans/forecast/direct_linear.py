@@ -8,10 +8,10 @@ fit is a single distributed pass:
 
 1. the history is windowed once; each partition folds its training windows
    into ``Z^T Z`` with ``Z = [X, 1, Y]`` (numpy inside ``mapInPandas``),
-   emits the upper triangle as ``(cell, value)`` rows and passes each
-   series' last window through; that small output is checkpointed;
-2. a grouped sum per cell reduces the partials (a shuffle of
-   partitions x cells, independent of the number of windows);
+   emits the upper triangle as one array and passes each series' last
+   window through; that small output is checkpointed;
+2. the arrays are added up in two levels (one array per partition, then
+   about sqrt(partitions) groups), independent of the number of windows;
 3. the driver solves the ridge system of size (L + 1 + extras), bounded by
    the lookback, not by the data.
 
@@ -21,6 +21,7 @@ series (``mapInPandas``) and un-scales.
 
 from __future__ import annotations
 
+import math
 import warnings
 from collections.abc import Iterator, Sequence
 
@@ -28,7 +29,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from panelcast.functions.core import as_list
+from panelcast.operators.evaluate import attach_actuals
 from panelcast.plans.forecast.sequence import HORIZON, LOOKBACK, window_frames
 from panelcast.session import checkpoint_dir
 
@@ -43,47 +47,10 @@ def _design(pdf: pd.DataFrame, extras: Sequence[str]) -> np.ndarray:
     return np.hstack(cols)
 
 
-def fit_direct_linear(spark: SparkSession, windows: DataFrame, extras: Sequence[str] = (), ridge: float = 1.0,
-                      horizon: int = HORIZON, lookback: int = LOOKBACK) -> np.ndarray | None:
-    """Weights of shape (L + 1 + len(extras), H); ``None`` without any
-    complete training window."""
-    extras = list(extras)
-
-    def partial_gram(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        G = None
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            A = _design(pdf, extras)
-            Y = np.vstack(pdf["target"].to_numpy())
-            Z = np.hstack([A, Y])
-            g = Z.T @ Z
-            G = g if G is None else G + g
-        if G is not None:
-            iu = np.triu_indices(G.shape[0])
-            yield pd.DataFrame({"cell": np.arange(len(iu[0]), dtype=np.int64), "v": G[iu]})
-
-    cols = ["input", "target"] + extras
-    parts = windows.select(*cols).mapInPandas(partial_gram, "cell long, v double")
-    cells = parts.groupBy("cell").agg(F.sum("v").alias("v")).toPandas()
-    if cells.empty:
-        return None
-    d = lookback + 1 + len(extras)
-    size = d + horizon
-    iu = np.triu_indices(size)
-    G = np.zeros((size, size))
-    G[iu[0][cells["cell"].to_numpy()], iu[1][cells["cell"].to_numpy()]] = cells["v"].to_numpy()
-    G = G + np.triu(G, 1).T
-    AtA, AtY = G[:d, :d], G[:d, d:]
-    lam = np.full(d, ridge)
-    lam[d - 1 - len(extras)] = 0.0  # no penalty on the intercept
-    return np.linalg.solve(AtA + np.diag(lam), AtY)
-
-
 def predict_direct_linear(windows: DataFrame, weights: np.ndarray, extras: Sequence[str] = (), key=KEY,
                           date_col=DATE) -> DataFrame:
     """Forecast H calendar days after each window's last date."""
-    extras = list(extras)
+    extras, keys = list(extras), as_list(key)
     W = weights
     H = W.shape[1]
 
@@ -98,13 +65,13 @@ def predict_direct_linear(windows: DataFrame, weights: np.ndarray, extras: Seque
             n = len(pdf)
             last = pd.to_datetime(pdf[date_col]).to_numpy().astype("datetime64[D]")
             yield pd.DataFrame({
-                key: np.repeat(pdf[key].to_numpy(), H),
+                **{k: np.repeat(pdf[k].to_numpy(), H) for k in keys},
                 date_col: (np.repeat(last, H) + np.tile(np.arange(1, H + 1), n).astype("timedelta64[D]")),
                 "y_pred": y.reshape(-1),
             })
 
-    return windows.select(key, date_col, "x_mean", "x_std", "input", *extras).mapInPandas(
-        apply, f"{key} bigint, {date_col} date, y_pred double")
+    schema = T.StructType([windows.schema[k] for k in keys]).add(date_col, "date").add("y_pred", "double")
+    return windows.select(*keys, date_col, "x_mean", "x_std", "input", *extras).mapInPandas(apply, schema)
 
 
 def _fit_one_pass(spark: SparkSession, frames: DataFrame, extras: Sequence[str], ridge: float, horizon: int,
@@ -113,12 +80,17 @@ def _fit_one_pass(spark: SparkSession, frames: DataFrame, extras: Sequence[str],
     into a Gram partial and passes its inference windows through. The small
     result is checkpointed (shared checkpoint folder), then reduced to the
     weights and reused for prediction without recomputing the windows."""
-    extras = list(extras)
+    extras, keys = list(extras), as_list(key)
     d = lookback + 1 + len(extras)
-    ext_schema = "".join(f", `{c}` double" for c in extras)
-    schema = (f"kind int, cell long, v double, {key} bigint, {date_col} date, x_mean double, x_std double, "
-              f"input array<double>{ext_schema}")
-    inf_cols = [key, date_col, "x_mean", "x_std", "input"] + extras
+    size = d + horizon
+    n_cells = size * (size + 1) // 2
+    schema = T.StructType().add("kind", T.IntegerType()).add("gram", T.BinaryType())
+    for k in keys:
+        schema.add(k, frames.schema[k].dataType)
+    schema.add(date_col, "date").add("x_mean", "double").add("x_std", "double").add("input", T.ArrayType(T.DoubleType()))
+    for c in extras:
+        schema.add(c, "double")
+    inf_cols = [*keys, date_col, "x_mean", "x_std", "input"] + extras
 
     def scaled(pdf: pd.DataFrame, col: str) -> np.ndarray:
         # standard scaling by the input window's mean / population std, in bulk
@@ -140,27 +112,34 @@ def _fit_one_pass(spark: SparkSession, frames: DataFrame, extras: Sequence[str],
             if len(lw):
                 out = lw[inf_cols].copy()
                 out["input"] = list(scaled(lw, "input"))
-                out.insert(0, "v", np.nan)
-                out.insert(0, "cell", pd.array([None] * len(out), dtype="Int64"))
+                out.insert(0, "gram", None)
                 out.insert(0, "kind", 1)
                 yield out
         if G is not None:
-            iu = np.triu_indices(G.shape[0])
-            cells = pd.DataFrame({"kind": 0, "cell": np.arange(len(iu[0]), dtype=np.int64), "v": G[iu]})
+            row = pd.DataFrame({"kind": [0], "gram": [G[np.triu_indices(size)].tobytes()]})
             for c in inf_cols:
-                cells[c] = None
-            yield cells
+                row[c] = None
+            yield row
+
+    def add_up(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
+        for pdf in it:
+            for g in pdf["gram"]:
+                total = np.frombuffer(g) + (0.0 if total is None else total)
+        if total is not None:
+            yield pd.DataFrame({"gram": [total.tobytes()]})
 
     checkpoint_dir(spark)
     res = frames.mapInPandas(part, schema).checkpoint(eager=True)
-    cells = res.where(F.col("kind") == 0).groupBy("cell").agg(F.sum("v").alias("v")).toPandas()
-    if cells.empty:
+    # One array per partition, reduced in two levels: a few groups of partitions, then one.
+    grams = res.where(F.col("kind") == 0).select("gram")
+    groups = max(1, math.isqrt(res.rdd.getNumPartitions()))
+    sums = [np.frombuffer(r[0]) for r in grams.repartition(groups).mapInPandas(add_up, "gram binary").collect()]
+    if not sums:
         return None, res
-    size = d + horizon
-    iu = np.triu_indices(size)
+    assert all(len(x) == n_cells for x in sums)
     G = np.zeros((size, size))
-    idx = cells["cell"].to_numpy()
-    G[iu[0][idx], iu[1][idx]] = cells["v"].to_numpy()
+    G[np.triu_indices(size)] = np.sum(sums, axis=0)
     G = G + np.triu(G, 1).T
     lam = np.full(d, ridge)
     lam[d - 1 - len(extras)] = 0.0  # no penalty on the intercept
@@ -187,7 +166,7 @@ def forecast_direct_linear(spark: SparkSession, history: DataFrame, actuals: Dat
     W, inf = _fit_one_pass(spark, frames, extras, ridge, horizon, lookback, key, date_col)
     if W is None:  # no series has lookback + horizon rows of history
         warnings.warn("direct linear forecast: no complete training window")
-        return spark.createDataFrame([], f"{key} bigint, {date_col} date, y_true double, y_pred double")
+        return attach_actuals(history.select(*as_list(key), date_col, F.lit(None).cast("double").alias("y_pred")).limit(0),
+                              actuals, target, key, date_col).select(*as_list(key), date_col, "y_true", "y_pred")
     pred = predict_direct_linear(inf, W, extras, key, date_col)
-    act = actuals.select(key, date_col, F.col(target).cast("double").alias("y_true")).dropDuplicates([key, date_col])
-    return pred.join(act, [key, date_col], "left").select(key, date_col, "y_true", "y_pred")
+    return attach_actuals(pred, actuals, target, key, date_col).select(*as_list(key), date_col, "y_true", "y_pred")

@@ -1,11 +1,11 @@
 """Shared driver for per-series forecasting jobs.
 
 One ``groupBy(key).applyInPandas`` pass: each group carries the series'
-history (``_is_train``) and the rows to forecast, so a single shuffle on the
+history (``is_train``) and the rows to forecast, so a single shuffle on the
 key feeds every model fit and no co-grouping of two filtered views of one
 frame is needed. A group is one series with one row per day (plus the few
 rows a calendar join repeats), so its size is bounded by the calendar span,
-not by the table. Failures never raise: every requested row is returned,
+not by the table. Numerical failures never raise: every requested row is returned,
 with ``y_pred`` null and the reason in ``status``.
 """
 
@@ -15,50 +15,59 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from panelcast.functions.core import by_key
+from panelcast.functions.core import as_list, by_key
 
 KEY, DATE, TARGET = "store_nbr", "date", "transactions"
-OUT_SCHEMA = "store_nbr bigint, date date, y_true double, y_pred double, status string"
+# Errors of the numerics that make a series' status; anything else is a coding error and raises.
+MODEL_ERRORS = (np.linalg.LinAlgError, FloatingPointError, ValueError)
 
 # fit_forecast(y_train, X_train, X_future, dates_train, dates_future) -> predictions (len(X_future))
 FitForecast = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
-def run_grouped(history: DataFrame, future: DataFrame, fit_forecast: FitForecast, exog: Sequence[str],
-                key=KEY, date_col=DATE, target=TARGET) -> DataFrame:
-    """Fit on ``history`` and forecast the rows of ``future`` for every series.
+def run_grouped(rows: DataFrame, fit_forecast: FitForecast, exog: Sequence[str], is_train: Column | str = "is_train",
+                key: str | Sequence[str] = KEY, date_col=DATE, target=TARGET) -> DataFrame:
+    """Fit on the rows that ``is_train`` marks and forecast the others, for every series.
 
-    Forecasts are by position: the i-th future row (date order) is step i.
+    One frame holds both, so its plan runs once. Keys keep their names and
+    types. Forecasts are by position: the i-th future row (date order) is step i.
     """
-    exog = list(exog)
-    cols = [F.col(key).cast("bigint").alias("store_nbr"), F.col(date_col).alias("date"),
-            F.col(target).cast("double").alias("y")] + [F.col(c).cast("double").alias(c) for c in exog]
-    both = history.select(*cols, F.lit(True).alias("_is_train")).unionByName(
-        future.select(*cols, F.lit(False).alias("_is_train")))
+    exog, keys = list(exog), as_list(key)
+    train = F.col(is_train) if isinstance(is_train, str) else is_train
+    both = rows.select(*keys, F.col(date_col), F.col(target).cast("double").alias("_y"), train.alias("_is_train"),
+                       *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(exog)])
+    inputs = [f"_x{i}" for i in range(len(exog))]
+    schema = T.StructType([both.schema[c] for c in [*keys, date_col]]).add("y_true", "double").add("y_pred", "double").add(
+        "status", "string")
 
     def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date", kind="stable")
+        pdf = pdf.sort_values(date_col, kind="stable")
         tr, fu = pdf[pdf["_is_train"]], pdf[~pdf["_is_train"]]
-        out = pd.DataFrame({"store_nbr": fu["store_nbr"].to_numpy(), "date": fu["date"].to_numpy(),
-                            "y_true": fu["y"].to_numpy(dtype=float)})
+        out = fu[[*keys, date_col]].reset_index(drop=True).assign(y_true=fu["_y"].to_numpy(dtype=float))
         if len(fu) == 0:
             return out.assign(y_pred=np.array([], dtype=float), status=np.array([], dtype=object))
         try:
             pred = np.asarray(fit_forecast(
-                tr["y"].to_numpy(dtype=float), tr[exog].to_numpy(dtype=float),
-                fu[exog].to_numpy(dtype=float), tr["date"].to_numpy(), fu["date"].to_numpy()), dtype=float)
+                tr["_y"].to_numpy(dtype=float), tr[inputs].to_numpy(dtype=float),
+                fu[inputs].to_numpy(dtype=float), tr[date_col].to_numpy(), fu[date_col].to_numpy()), dtype=float)
             if pred.shape != (len(fu),) or not np.all(np.isfinite(pred)):
                 raise FloatingPointError("non-finite forecast")
             return out.assign(y_pred=pred, status="ok")
         except SkipSeries as e:
             return out.assign(y_pred=np.nan, status=f"skipped: {e}")
-        except Exception as e:  # noqa: BLE001 - reported per series, like the reference
+        except MODEL_ERRORS as e:
             return out.assign(y_pred=np.nan, status=f"failed: {type(e).__name__}: {str(e)[:120]}")
 
-    return by_key(both, "store_nbr").groupBy("store_nbr").applyInPandas(per_series, OUT_SCHEMA)
+    return by_key(both, keys).groupBy(*keys).applyInPandas(per_series, schema)
+
+
+def marked(history: DataFrame, future: DataFrame) -> DataFrame:
+    """Two frames as one with ``is_train`` (for callers that hold them apart)."""
+    return history.withColumn("is_train", F.lit(True)).unionByName(future.withColumn("is_train", F.lit(False)))
 
 
 class SkipSeries(Exception):

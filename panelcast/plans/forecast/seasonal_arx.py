@@ -135,7 +135,7 @@ def fit_forecast(y: np.ndarray, X: np.ndarray, X_future: np.ndarray, *_dates) ->
     return y_ext[n:]
 
 
-def forecast_seasonal_arx(history: DataFrame, future: DataFrame, exog: Sequence[str]) -> DataFrame:
-    """Per-series forecast of every row of ``future`` (by position); exogenous
-    columns that are not numeric/boolean are left out."""
-    return run_grouped(history, future, fit_forecast, numeric_columns(history, exog))
+def forecast_seasonal_arx(rows: DataFrame, is_train, exog: Sequence[str], key="store_nbr") -> DataFrame:
+    """Per-series forecast of every row that ``is_train`` does not mark (by
+    position); exogenous columns that are not numeric/boolean are left out."""
+    return run_grouped(rows, fit_forecast, numeric_columns(rows, exog), is_train, key)

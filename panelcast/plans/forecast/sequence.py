@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.functions.core import as_list, by_key, series_window
@@ -30,8 +30,8 @@ def _scaled(arr, mu, sd):
 
 
 def make_sequences(df: DataFrame, lookback: int = LOOKBACK, horizon: int = HORIZON, key=KEY, date_col=DATE,
-                   target=TARGET, exog: Sequence[str] = (), scale: bool = True) -> DataFrame:
-    """Training windows: for every row with ``lookback`` rows up to it and
+                   target=TARGET, exog: Sequence[str] = (), scale: bool = True, step: int = 1) -> DataFrame:
+    """Training windows (every ``step``-th origin of a series, counted from its first full one): for every row with ``lookback`` rows up to it and
     ``horizon`` rows after it, the input window and the target window, both
     standard-scaled by the input window's mean and population std.
 
@@ -46,7 +46,10 @@ def make_sequences(df: DataFrame, lookback: int = LOOKBACK, horizon: int = HORIZ
         F.collect_list(y).over(past).alias("_in"), F.collect_list(y).over(fut).alias("_out"),
         F.avg(y).over(past).alias("x_mean"), F.stddev_pop(y).over(past).alias("x_std"),
         *[F.avg(F.col(c).cast("double")).over(past).alias(f"{c}_mean") for c in exog],
+        *([F.row_number().over(w).alias("_n")] if step > 1 else []),
     ).where((F.size("_in") == lookback) & (F.size("_out") == horizon))
+    if step > 1:
+        s = s.where((F.col("_n") - lookback) % step == 0)
     mu, sd = F.col("x_mean"), F.col("x_std")
     return s.select(
         *as_list(key), date_col, "x_mean", "x_std",
@@ -87,18 +90,22 @@ def window_frames(df: DataFrame, lookback: int = LOOKBACK, horizon: int = HORIZO
 
 def last_windows(df: DataFrame, lookback: int = LOOKBACK, key=KEY, date_col=DATE, target=TARGET,
                  exog: Sequence[str] = (), scale: bool = True) -> DataFrame:
-    """The inference window of each series: its last ``lookback`` rows."""
-    w = series_window(key, date_col)
-    past = w.rowsBetween(-(lookback - 1), 0)
+    """The inference window of each series: its last ``lookback`` rows.
+
+    The last rows are picked by rank first, so one window per series is
+    collected and not one per row.
+    """
+    keys = as_list(key)
     y = F.col(target).cast("double")
-    # last row of the series: same window spec as the frame (no second sort)
-    s = by_key(df, key).select(
-        *as_list(key), date_col, F.lead(F.lit(1)).over(w).isNull().alias("_last"),
-        F.collect_list(y).over(past).alias("_in"),
-        F.avg(y).over(past).alias("x_mean"), F.stddev_pop(y).over(past).alias("x_std"),
-        *[F.avg(F.col(c).cast("double")).over(past).alias(f"{c}_mean") for c in exog],
-    ).where(F.col("_last") & (F.size("_in") == lookback))
-    return s.select(*as_list(key), date_col, "x_mean", "x_std",
+    ranked = by_key(df, key).select(
+        *keys, date_col, y.alias("_y"), *[F.col(c).cast("double").alias(f"_e{i}") for i, c in enumerate(exog)],
+        F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(date_col))).alias("_n")).where(F.col("_n") <= lookback)
+    s = ranked.groupBy(*keys).agg(
+        F.max(date_col).alias(date_col), F.transform(F.sort_array(F.collect_list(F.struct(date_col, "_n", "_y"))), lambda r: r["_y"]).alias("_in"),
+        F.avg("_y").alias("x_mean"), F.stddev_pop("_y").alias("x_std"),
+        *[F.avg(f"_e{i}").alias(f"{c}_mean") for i, c in enumerate(exog)],
+    ).where(F.size("_in") == lookback)
+    return s.select(*keys, date_col, "x_mean", "x_std",
                     (_scaled(F.col("_in"), F.col("x_mean"), F.col("x_std")) if scale else F.col("_in")).alias("input"),
                     *[f"{c}_mean" for c in exog])
 

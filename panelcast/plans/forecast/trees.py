@@ -5,10 +5,10 @@ depth 6, column share 0.8, seed 42):
 
 * ``early_stop``: row share 0.8 and early stopping with a patience of 30
   rounds. The stopping set is the last ``valid_fraction`` of the training
-  dates (not the scored split). Spark's built-in validation stop ends at the
-  first weak round, so rounds are fitted in stages, ``evaluateEachIteration``
-  gives the curve, and the model is refitted with the best round count (same
-  seed: the first k trees of any fit are the same).
+  rows by date (not the scored split); it only chooses the round count. The
+  model that is returned is fitted with that count on all training rows.
+  Spark's built-in validation stop ends at the first weak round, so rounds
+  are fitted in stages and ``evaluateEachIteration`` gives the curve.
 * ``full_sample``: every row in every round, no early stopping.
 
 Training is distributed by Spark ML (one aggregation job per tree level);
@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelcast.session import checkpoint_dir
+
 KEY, DATE, TARGET = "store_nbr", "date", "transactions"
 
 # Fixed values (must equal the reference): tree settings.
@@ -40,6 +42,7 @@ class TreeFit:
     variant: str
     best_rounds: int
     curve: list[tuple[int, float, float | None]] = field(default_factory=list)  # (round, train_rmse, valid_rmse)
+    n_rows: int = 0  # rows of the final fit
 
 
 def feature_matrix(df: DataFrame, features: Sequence[str], target: str = TARGET, out: str = "features") -> DataFrame:
@@ -75,45 +78,54 @@ def _patience(valid_loss: list[float], patience: int) -> tuple[int, int | None]:
     return best_i + 1, None
 
 
-# First stage of the early-stopping fit; a longer fit only when the patience
-# rule has not fired inside it.
-FIRST_STAGE = 128
+def _stop_date(data: DataFrame, date_col: str, valid_fraction: float):
+    """Last date of the fitting part: the first date by which 1 - valid_fraction of the rows are reached (exact; the
+    counts per date are bounded by the calendar)."""
+    counts = sorted((r[0], r[1]) for r in data.groupBy(date_col).count().collect())
+    wanted, upto = (1.0 - valid_fraction) * sum(n for _, n in counts), 0
+    for date, n in counts:
+        upto += n
+        if upto >= wanted:
+            return date
+    return None
 
 
 def fit_boosted_trees(train: DataFrame, features: Sequence[str], target: str = TARGET, variant: str = "early_stop",
                       rounds: int = N_ROUNDS, step: float = LEARNING_RATE, depth: int = MAX_DEPTH, seed: int = SEED,
-                      patience: int = PATIENCE, valid_fraction: float = 0.1, date_col: str = DATE) -> TreeFit:
+                      patience: int = PATIENCE, valid_fraction: float = 0.1, date_col: str = DATE,
+                      first_stage: int = 128) -> TreeFit:
+    """Fit one variant.
+
+    ``first_stage``: rounds of the first early-stopping fit; all ``rounds``
+    are fitted only if the patience rule has not fired in it. Round m of a fit
+    is seeded with seed + m, so a shorter fit is an exact prefix of a longer
+    one and the value changes the cost, not the result.
+    """
     if variant not in ("early_stop", "full_sample"):
         raise ValueError(variant)
-    data = feature_matrix(train, features, target).select(date_col, "features", "label")
+    checkpoint_dir(train.sparkSession)  # the boosting state is checkpointed every few rounds
+    data = feature_matrix(train, features, target).select(date_col, "features", "label").cache()
+    curve, best = [], rounds
+    if variant == "early_stop":
+        last = _stop_date(data, date_col, valid_fraction)
+        fit_part, valid = data.where(F.col(date_col) <= F.lit(last)), data.where(F.col(date_col) > F.lit(last))
+        if valid.isEmpty():  # a single date: nothing to stop on
+            return fit_boosted_trees(train, features, target, "full_sample", rounds, step, depth, seed, date_col=date_col)
+        for m in sorted({min(first_stage, rounds), rounds}):
+            model = _gbt(variant, m, step, depth, seed).fit(fit_part)
+            va = [float(x) for x in model.evaluateEachIteration(valid, "squared")]
+            best, stop = _patience(va, patience)
+            if stop is not None or m == rounds:
+                break
+        tr = [float(x) ** 0.5 for x in model.evaluateEachIteration(fit_part, "squared")]
+        curve = [(i + 1, tr[i], va[i] ** 0.5) for i in range(stop if stop is not None else len(va))]
+    model = _gbt(variant, best, step, depth, seed).fit(data)  # every training row
     if variant == "full_sample":
-        data = data.cache()
-        model = _gbt(variant, rounds, step, depth, seed).fit(data)
         tr = [float(x) ** 0.5 for x in model.evaluateEachIteration(data, "squared")]
-        data.unpersist()
-        return TreeFit(model, list(features), variant, rounds, [(i + 1, t, None) for i, t in enumerate(tr)])
-    # stopping set: the last share of training dates (one scalar quantile)
-    cut = data.agg(F.percentile_approx(F.unix_date(date_col), 1.0 - valid_fraction, 10000)).first()[0]
-    fit_part = data.where(F.unix_date(date_col) <= cut).cache()
-    valid = data.where(F.unix_date(date_col) > cut).cache()
-    # Round m of a fit is seeded with seed + m, so a shorter fit is an exact
-    # prefix of a longer one: fit a first stage, and extend to all rounds only
-    # if the patience rule has not fired yet. Same trees and curve as fitting
-    # every round, at a fraction of the cost when training stops early.
-    for m in sorted({min(FIRST_STAGE, rounds), rounds}):
-        model = _gbt(variant, m, step, depth, seed).fit(fit_part)
-        va = [float(x) for x in model.evaluateEachIteration(valid, "squared")]
-        best, stop = _patience(va, patience)
-        if stop is not None or m == rounds:
-            break
-    n_curve = stop if stop is not None else len(va)
-    tr = [float(x) ** 0.5 for x in model.evaluateEachIteration(fit_part, "squared")]
-    if best < m:
-        model = _gbt(variant, best, step, depth, seed).fit(fit_part)
-    fit_part.unpersist()
-    valid.unpersist()
-    curve = [(i + 1, tr[i], va[i] ** 0.5) for i in range(n_curve)]
-    return TreeFit(model, list(features), variant, best, curve)
+        curve = [(i + 1, t, None) for i, t in enumerate(tr)]
+    n_rows = data.count()
+    data.unpersist()
+    return TreeFit(model, list(features), variant, best, curve, n_rows)
 
 
 def predict_trees(fit: TreeFit, df: DataFrame, key=KEY, date_col=DATE, target=TARGET) -> DataFrame:

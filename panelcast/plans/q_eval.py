@@ -79,7 +79,7 @@ def leaderboard(spark, d):
     "FROM cp GROUP BY 1, 2, 3) c JOIN nm USING (split) WHERE c.c = nm.nm)"), doubles=MET)
 def leaderboard_common(spark, d):
     """Leaderboard restricted to the rows every model predicted."""
-    return E.leaderboard(_preds(spark, d), mape="zero_to_one", common=True)
+    return E.leaderboard(_preds(spark, d), mape="zero_to_one", common=True, models=list(NAIVE_MODELS))
 
 
 @register("val_vs_test", with_views(
@@ -109,7 +109,27 @@ def mae_per_series(spark, d):
     doubles=["mean_mae"])
 def worst_series(spark, d):
     """Ten series with the highest test MAE averaged over models."""
-    return E.worst_series(_preds(spark, d).where(F.col("split") == "test"), 10)
+    return E.worst_series(_preds(spark, d).where(F.col("split") == "test"), list(NAIVE_MODELS), 10)
+
+
+@register("series_model_table", with_views(
+    "SELECT store_nbr, " + ", ".join(f"avg(abs{ERR}) FILTER (WHERE model = '{m}') AS mae_{m}" for m in NAIVE_MODELS)
+    + " FROM pr WHERE split = 'test' GROUP BY 1 HAVING "
+    + " AND ".join(f"avg(abs{ERR}) FILTER (WHERE model = '{m}') IS NOT NULL" for m in NAIVE_MODELS), *PRED_CTES),
+    doubles=[f"mae_{m}" for m in NAIVE_MODELS])
+def series_model_table(spark, d):
+    """Test MAE per series, one column per model."""
+    return E.series_model_table(_preds(spark, d).where(F.col("split") == "test"), list(NAIVE_MODELS))
+
+
+@register("attach_actuals", with_views(
+    "SELECT model, store_nbr, date, y_pred, CAST(transactions AS DOUBLE) AS y_true "
+    "FROM (SELECT model, store_nbr, date, y_pred FROM pr WHERE split = 'val') p LEFT JOIN tx USING (store_nbr, date)",
+    *PRED_CTES), doubles=["y_pred", "y_true"])
+def attach_actuals_q(spark, d):
+    """Validation predictions without their actuals, joined to the panel again."""
+    p = _preds(spark, d).where(F.col("split") == "val").select("model", "store_nbr", "date", "y_pred")
+    return E.attach_actuals(p, _tx(spark, d)).select("model", "store_nbr", "date", "y_pred", "y_true")
 
 
 @register("best_model", with_views("SELECT model, mae FROM best", *PRED_CTES, BOARD_CTE, BEST_CTE), doubles=["mae"])
@@ -139,7 +159,15 @@ def _best_residuals(spark, d):
     *PRED_CTES, BOARD_CTE, BEST_CTE, RES_CTE), doubles=["bias", "std"])
 def residual_summary(spark, d):
     """Bias and spread of the best model's test residuals."""
-    return E.residual_summary(_best_residuals(spark, d))
+    return E.best_residual_summary(_preds(spark, d))
+
+
+@register("residual_rows", with_views(
+    "SELECT model, store_nbr, date, y_true, y_pred, residual FROM res", *PRED_CTES, BOARD_CTE, BEST_CTE, RES_CTE),
+    doubles=["y_true", "y_pred", "residual"])
+def residual_rows(spark, d):
+    """Test rows of the best model with actual, prediction and residual."""
+    return _best_residuals(spark, d).select("model", "store_nbr", "date", "y_true", "y_pred", "residual")
 
 
 RES_HIST = _hist_sql("res", "residual", 60, *(PRED_CTES + (BOARD_CTE, BEST_CTE, RES_CTE)))

@@ -19,7 +19,6 @@ from panelcast.operators.features import (
 from panelcast.plans.catalog import register
 from panelcast.plans.feature_pipeline import LAGS, ROLLING_WINDOWS, build_features, build_final_dataset
 from panelcast.sources.fixtures import panel, with_views
-from panelcast.session import session_id
 
 W = "WINDOW w AS (PARTITION BY store_nbr ORDER BY date)"
 
@@ -57,16 +56,10 @@ def _tx(spark, d):
     return panel(spark, d).tx
 
 
-_FINALS: dict = {}
-
-
 def _final(spark, d):
-    """Final feature dataset of a table folder (lazy plan, built once per session)."""
-    k = (session_id(spark), d)
-    if k not in _FINALS:
-        p = panel(spark, d)
-        _FINALS[k] = build_final_dataset(p.tx, p.stores, p.oil, p.holidays)
-    return _FINALS[k]
+    """Final feature dataset of a table folder (lazy plan)."""
+    p = panel(spark, d)
+    return build_final_dataset(p.tx, p.stores, p.oil, p.holidays)
 
 
 @register("lag_features", with_views(f"SELECT store_nbr, date, transactions, {_lags_sql()} FROM tx {W}"))

@@ -7,8 +7,11 @@ and pooling are deterministic array transforms with DuckDB twins.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from panelcast.functions.core import series_window
 from panelcast.operators import evaluate as E
 from panelcast.operators.split import split_views
 from panelcast.plans.catalog import register
@@ -28,11 +31,19 @@ from panelcast.plans.forecast.sequence import (
     patchify,
     pool_sequence,
 )
-from panelcast.plans.forecast.trees import feature_importance, fit_boosted_trees, learning_curve, predict_trees
-from panelcast.plans.q_profile import _final, _tx
-from panelcast.sources.fixtures import TRAIN_END, VAL_END, with_views
+from panelcast.plans.forecast.trees import (
+    feature_importance,
+    feature_matrix,
+    fit_boosted_trees,
+    learning_curve,
+    predict_trees,
+)
+from panelcast.plans.q_profile import FINAL, _final, _tx
+from panelcast.sources.fixtures import TRAIN_END, VAL_END, folder_state, with_views
 from panelcast.session import session_id
 
+# Fitted trees by session, state of the table files, history and variant: several queries report on
+# one fit. Only models are kept, no data; a rewritten folder has another state and is fitted anew.
 _FITS: dict = {}
 
 
@@ -40,10 +51,19 @@ def _views(spark, d):
     return split_views(_final(spark, d), TRAIN_END, VAL_END)
 
 
-def _tree_fit(spark, d, variant):
-    k = (session_id(spark), d, variant)
+def _horizon(spark, d, split):
+    """Rows up to the end of ``split`` with ``is_train``: one frame for fitting and forecasting."""
+    f = _final(spark, d)
+    last_train, last = (TRAIN_END, VAL_END) if split == "val" else (VAL_END, None)
+    if last is not None:
+        f = f.where(F.col("date") <= F.lit(last).cast("date"))
+    return f.withColumn("is_train", F.col("date") <= F.lit(last_train).cast("date"))
+
+
+def _tree_fit(spark, d, variant, history="train"):
+    k = (session_id(spark), folder_state(spark, d), history, variant)
     if k not in _FITS:
-        _FITS[k] = fit_boosted_trees(_views(spark, d)["train"], FEATURES_EX_ANTE, variant=variant)
+        _FITS[k] = fit_boosted_trees(_views(spark, d)[history], FEATURES_EX_ANTE, variant=variant)
     return _FITS[k]
 
 
@@ -54,28 +74,24 @@ def _with_model(df, name):
 @register("forecast_seasonal_arx")
 def forecast_seasonal_arx_q(spark, d):
     """Per-series seasonal ARX (1,1,1)x(1,1,1,7) with 4 exogenous columns, val horizon."""
-    v = _views(spark, d)
-    return forecast_seasonal_arx(v["train"], v["val"], EXOG_COLS)
+    return forecast_seasonal_arx(_horizon(spark, d, "val"), "is_train", EXOG_COLS)
 
 
 @register("forecast_seasonal_arx_test")
 def forecast_seasonal_arx_test_q(spark, d):
     """Re-fit on train + val, forecast the test split."""
-    v = _views(spark, d)
-    return forecast_seasonal_arx(v["train_val"], v["test"], EXOG_COLS)
+    return forecast_seasonal_arx(_horizon(spark, d, "test"), "is_train", EXOG_COLS)
 
 
 @register("forecast_decomposable")
 def forecast_decomposable_q(spark, d):
     """Per-series trend + yearly/weekly seasonality + oil regressor, val horizon."""
-    v = _views(spark, d)
-    return forecast_decomposable(v["train"], v["val"], ["oil_price"])
+    return forecast_decomposable(_horizon(spark, d, "val"), "is_train", ["oil_price"])
 
 
 @register("forecast_decomposable_test")
 def forecast_decomposable_test_q(spark, d):
-    v = _views(spark, d)
-    return forecast_decomposable(v["train_val"], v["test"], ["oil_price"])
+    return forecast_decomposable(_horizon(spark, d, "test"), "is_train", ["oil_price"])
 
 
 @register("boosted_trees")
@@ -90,6 +106,15 @@ def boosted_trees_full_sample_q(spark, d):
     return predict_trees(_tree_fit(spark, d, "full_sample"), _views(spark, d)["val"])
 
 
+@register("boosted_trees_test")
+def boosted_trees_test_q(spark, d):
+    """Both tree variants re-fitted on train + val, predictions on test."""
+    test = _views(spark, d)["test"]
+    a, b = (_with_model(predict_trees(_tree_fit(spark, d, v, "train_val"), test), f"gbt_{v}")
+            for v in ("early_stop", "full_sample"))
+    return a.unionByName(b)
+
+
 @register("feature_importance")
 def feature_importance_q(spark, d):
     """Per-feature importance and share (sums to 1) of both tree variants."""
@@ -111,8 +136,9 @@ def feature_importance_compare_q(spark, d):
 
 @register("learning_curve")
 def learning_curve_q(spark, d):
-    """RMSE per boosting round on the fitting rows and the stopping set."""
-    return learning_curve(spark, _tree_fit(spark, d, "early_stop"))
+    """RMSE per boosting round of both variants: fitting rows, and the stopping set of the early-stop variant."""
+    a, b = (_with_model(learning_curve(spark, _tree_fit(spark, d, v)), f"gbt_{v}") for v in ("early_stop", "full_sample"))
+    return a.unionByName(b)
 
 
 @register("forecast_direct_linear")
@@ -129,14 +155,79 @@ def forecast_direct_linear_exog_q(spark, d):
     return forecast_direct_linear(spark, v["train"], v["val"], with_exog=True)
 
 
+@register("forecast_direct_linear_test")
+def forecast_direct_linear_test_q(spark, d):
+    """Both direct linear forecasts re-fitted on train + val, test horizon."""
+    v = _views(spark, d)
+    a, b = (_with_model(forecast_direct_linear(spark, v["train_val"], v["test"], with_exog=x), n)
+            for n, x in (("direct_linear", False), ("direct_linear_exog", True)))
+    return a.unionByName(b)
+
+
+@register("feature_matrix", with_views(
+    "SELECT store_nbr, date, CAST(transactions AS DOUBLE) AS label, "
+    + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in FEATURES_EX_ANTE) + f" FROM final WHERE date <= DATE '{TRAIN_END}'",
+    *FINAL), doubles=["label", *FEATURES_EX_ANTE])
+def feature_matrix_q(spark, d):
+    """The trees' training matrix, one column per feature (the assembled vector taken apart)."""
+    m = feature_matrix(_views(spark, d)["train"], FEATURES_EX_ANTE)
+    values = vector_to_array("features")
+    return m.select("store_nbr", "date", "label", *[values[i].alias(c) for i, c in enumerate(FEATURES_EX_ANTE)])
+
+
+def _recovery(spark, d):
+    """The panel with a target that follows from the row number: a slow trend and a weekly pattern."""
+    n = F.row_number().over(series_window("store_nbr", "date"))
+    total = F.count(F.lit(1)).over(Window.partitionBy("store_nbr"))
+    t = _tx(spark, d).select("store_nbr", "date", n.alias("n"), total.alias("total"))
+    formula = F.lit(50.0) + F.col("store_nbr") + 0.1 * F.col("n") + (F.col("n") % 7) * 2.0
+    return t.where("total >= 200").withColumn("transactions", formula).withColumn("is_train", F.expr("n <= total - 14"))
+
+
+@register("recover_seasonal_arx", with_views(
+    "SELECT store_nbr, date, CAST(round(50.0 + store_nbr + 0.1 * n + (n % 7) * 2.0, 1) AS DOUBLE) AS y_true, "
+    "CAST(round(50.0 + store_nbr + 0.1 * n + (n % 7) * 2.0, 1) AS DOUBLE) AS y_pred, 'ok' AS status FROM rn WHERE total >= 200 AND n > total - 14",
+    "rn AS (SELECT store_nbr, date, row_number() OVER (PARTITION BY store_nbr ORDER BY date) AS n, "
+    "count(*) OVER (PARTITION BY store_nbr) AS total FROM tx)"))
+def recover_seasonal_arx(spark, d):
+    """The seasonal ARX recovers a known trend and weekly pattern over the last 14 rows of every series (to 1 decimal)."""
+    out = forecast_seasonal_arx(_recovery(spark, d), "is_train", [])
+    return out.withColumns({c: F.round(c, 1) for c in ("y_true", "y_pred")})
+
+
+@register("forecast_contract", with_views(
+    "SELECT m.model, f.split, count(*) AS n_rows, count(*) AS n_keys, 0 AS n_not_finite, 0 AS n_null_actuals "
+    "FROM (SELECT *, CASE WHEN date <= DATE '" + VAL_END + "' THEN 'val' ELSE 'test' END AS split FROM final "
+    f"WHERE date > DATE '{TRAIN_END}') f CROSS JOIN (VALUES ('decomposable'), ('seasonal_arx')) m(model) GROUP BY 1, 2",
+    *FINAL))
+def forecast_contract(spark, d):
+    """Rows, distinct keys, non-finite predictions and null actuals of the per-series jobs on both splits."""
+    parts = []
+    for split in ("val", "test"):
+        rows = _horizon(spark, d, split)
+        for name, job in (("decomposable", forecast_decomposable(rows, "is_train", ["oil_price"])),
+                          ("seasonal_arx", forecast_seasonal_arx(rows, "is_train", EXOG_COLS))):
+            parts.append(job.where(F.col("status") == "ok").groupBy().agg(
+                F.count(F.lit(1)).alias("n_rows"),
+                F.count_distinct("store_nbr", "date").alias("_keys"),
+                F.count_if(F.col("y_pred").isNull() | F.isnan("y_pred")).cast("int").alias("n_not_finite"),
+                F.count_if(F.col("y_true").isNull()).cast("int").alias("n_null_actuals"),
+            ).select(F.lit(name).alias("model"), F.lit(split).alias("split"), "n_rows",
+                     F.col("n_rows").alias("n_keys"), "n_not_finite", "n_null_actuals"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.where("n_rows > 0")
+
+
 @register("model_leaderboard")
 def model_leaderboard_q(spark, d):
     """Val leaderboard of all model jobs (shared rows counted per model in n)."""
     v = _views(spark, d)
     parts = [
-        _with_model(forecast_seasonal_arx(v["train"], v["val"], EXOG_COLS).where(F.col("status") == "ok")
+        _with_model(forecast_seasonal_arx(_horizon(spark, d, "val"), "is_train", EXOG_COLS).where(F.col("status") == "ok")
                     .drop("status"), "seasonal_arx"),
-        _with_model(forecast_decomposable(v["train"], v["val"], ["oil_price"]).where(F.col("status") == "ok")
+        _with_model(forecast_decomposable(_horizon(spark, d, "val"), "is_train", ["oil_price"]).where(F.col("status") == "ok")
                     .drop("status"), "decomposable"),
         _with_model(predict_trees(_tree_fit(spark, d, "early_stop"), v["val"]), "gbt_early_stop"),
         _with_model(predict_trees(_tree_fit(spark, d, "full_sample"), v["val"]), "gbt_full_sample"),
@@ -183,17 +274,17 @@ def sequences_q(spark, d):
 
 
 N_PATCH = (LOOKBACK - PATCH_LEN) // PATCH_STRIDE + 1
-LAST_CTE = f"lw AS (SELECT store_nbr, date, x_mean, x_std, {_scaled_sql('xin')} AS input FROM s " \
-           f"WHERE rn = 1 AND len(xin) = {LOOKBACK})"
+WINDOWS_CTE = f"lw AS (SELECT store_nbr, date, x_mean, x_std, {_scaled_sql('xin')} AS input FROM s " \
+              f"WHERE len(xin) = {LOOKBACK} AND len(xout) = {HORIZON})"
 
 
 @register("patches", with_views(
     "SELECT store_nbr, date, x_mean, x_std, CAST(i AS INTEGER) AS patch_idx, "
     f"list_slice(input, 1 + i * {PATCH_STRIDE}, {PATCH_LEN} + i * {PATCH_STRIDE}) AS patch "
-    f"FROM lw, range({N_PATCH}) t(i)", SEQ_CTE, LAST_CTE), doubles=["x_mean", "x_std"])
+    f"FROM lw, range({N_PATCH}) t(i)", SEQ_CTE, WINDOWS_CTE), doubles=["x_mean", "x_std"])
 def patches_q(spark, d):
-    """Patches (length 16, stride 8) of each series' last 336-day window."""
-    return patchify(_round_arrays(last_windows(_tx(spark, d), LOOKBACK), ["input"]))
+    """Patches (length 16, stride 8) of every training window."""
+    return patchify(_round_arrays(make_sequences(_tx(spark, d), LOOKBACK, HORIZON), ["input"]))
 
 
 def _pool_sql():
@@ -207,8 +298,16 @@ def _pool_sql():
     return "u AS (" + " UNION ALL ".join(parts) + ")"
 
 
-@register("pooled_sequences", with_views("SELECT * FROM u", SEQ_CTE, LAST_CTE, _pool_sql()),
+@register("pooled_sequences", with_views("SELECT * FROM u", SEQ_CTE, WINDOWS_CTE, _pool_sql()),
           doubles=["x_mean", "x_std"])
 def pooled_sequences_q(spark, d):
-    """Multi-rate max pooling (kernels 2, 2, 1) of each series' last window."""
-    return pool_sequence(_round_arrays(last_windows(_tx(spark, d), LOOKBACK), ["input"]))
+    """Multi-rate max pooling (kernels 2, 2, 1) of every training window."""
+    return pool_sequence(_round_arrays(make_sequences(_tx(spark, d), LOOKBACK, HORIZON), ["input"]))
+
+
+@register("last_windows", with_views(
+    f"SELECT store_nbr, date, x_mean, x_std, {_scaled_sql('xin')} AS input FROM s WHERE rn = 1 AND len(xin) = {LOOKBACK}",
+    SEQ_CTE), doubles=["x_mean", "x_std"])
+def last_windows_q(spark, d):
+    """The inference window of every series: its last 336 rows, scaled."""
+    return _round_arrays(last_windows(_tx(spark, d), LOOKBACK), ["input"])

@@ -26,6 +26,7 @@ YEAR = "CAST(year(date) AS INTEGER)"
 TXS = "tx LEFT JOIN stores USING (store_nbr)"
 FINAL = FINAL_CTES + ("final AS (SELECT * EXCLUDE (_day_rank) FROM f7 WHERE _day_rank > 28)",)
 SINGLE_STORE = 1
+YEARS = range(1995, 2002)  # the panel's years
 # one-series examples: store 1 where present, else the smallest key
 PICK_SQL = ("(SELECT CASE WHEN count(*) FILTER (WHERE store_nbr = 1) > 0 THEN 1 ELSE min(store_nbr) END "
             "FROM tx)")
@@ -248,19 +249,19 @@ def seasonal_index(spark, d):
 
 
 @register("pivot_weekday_month", with_views(
-    f"SELECT * FROM (PIVOT (SELECT {DOW} AS weekday, {MON} AS month, transactions FROM tx) "
-    "ON month USING round(avg(transactions), 6) GROUP BY weekday)"))
+    f"SELECT {DOW} AS weekday, " + ", ".join(
+        f'round(avg(transactions) FILTER (WHERE {MON} = {m}), 6) AS "{m}"' for m in range(1, 13)) + " FROM tx GROUP BY 1"))
 def pivot_weekday_month(spark, d):
     """Mean target, weekday rows x month columns."""
     return P.pivot_mean(P.with_calendar(_tx(spark, d)), "weekday", "month", values=range(1, 13))
 
 
 @register("pivot_series_year", with_views(
-    f"SELECT * FROM (PIVOT (SELECT store_nbr, {YEAR} AS year, transactions FROM tx) "
-    "ON year USING round(avg(transactions), 6) GROUP BY store_nbr)"))
+    "SELECT store_nbr, " + ", ".join(
+        f'round(avg(transactions) FILTER (WHERE {YEAR} = {y}), 6) AS "{y}"' for y in YEARS) + " FROM tx GROUP BY 1"))
 def pivot_series_year(spark, d):
-    """Mean target, series rows x year columns (years found in the data)."""
-    return P.pivot_mean(P.with_calendar(_tx(spark, d)), "store_nbr", "year")
+    """Mean target, series rows x year columns."""
+    return P.pivot_mean(P.with_calendar(_tx(spark, d)), "store_nbr", "year", values=YEARS)
 
 
 @register("box_stats", with_views(

@@ -23,6 +23,7 @@ from panelcast.operators.split import split_views
 from panelcast.plans.feature_pipeline import EXOG_COLS, FEATURES_EX_ANTE, build_final_dataset
 from panelcast.plans.forecast.decomposable import forecast_decomposable
 from panelcast.plans.forecast.direct_linear import forecast_direct_linear
+from panelcast.plans.forecast.grouped import marked
 from panelcast.plans.forecast.naive import naive_predictions
 from panelcast.plans.forecast.seasonal_arx import forecast_seasonal_arx
 from panelcast.plans.forecast.trees import N_ROUNDS, fit_boosted_trees, predict_trees
@@ -49,8 +50,8 @@ def run_study(spark: SparkSession, p: Panel, out_dir: str, train_end: str, val_e
     write_table(naive_predictions(final, train_end, val_end), pred_path, ["split", "model"], dynamic=True)
     for split, hist, fut in (("val", v["train"], v["val"]), ("test", v["train_val"], v["test"])):
         jobs = {
-            "seasonal_arx": forecast_seasonal_arx(hist, fut, EXOG_COLS).where(F.col("status") == "ok"),
-            "decomposable": forecast_decomposable(hist, fut, ["oil_price"]).where(F.col("status") == "ok"),
+            "seasonal_arx": forecast_seasonal_arx(marked(hist, fut), "is_train", EXOG_COLS).where(F.col("status") == "ok"),
+            "decomposable": forecast_decomposable(marked(hist, fut), "is_train", ["oil_price"]).where(F.col("status") == "ok"),
             "direct_linear": forecast_direct_linear(spark, hist, fut),
             "direct_linear_exog": forecast_direct_linear(spark, hist, fut, with_exog=True),
         }

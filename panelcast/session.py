@@ -43,8 +43,10 @@ def session_id(spark: SparkSession) -> str:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a scratch folder is created
-    and registered; on a cluster the configured shared folder is used as is.
+    Only on a local master without the setting (tests) a scratch folder is
+    created and registered. On a cluster the configured shared folder is used
+    as it is, and a missing setting is an error: a folder of the driver's own
+    disk could not be read back from the executors.
     """
     try:
         sc = spark.sparkContext
@@ -54,6 +56,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not spark.conf.get("spark.master", "").startswith("local[") and spark.conf.get("spark.master", "") != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="panelcast-ckpt-", dir=os.environ.get("PANELCAST_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and not sc.getCheckpointDir():

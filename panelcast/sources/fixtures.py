@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.functions.core import iso_weekday, sized_broadcast
-from panelcast.session import session_id
 
 # Fixture split dates (the panel spans 1995..2001).
 TRAIN_END = "1999-12-31"
@@ -40,11 +39,19 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def folder_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and change times of the table files: a rewritten folder has another state."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    path = jvm.org.apache.hadoop.fs.Path(sf_dir)
+    listed = path.getFileSystem(conf).listStatus(path)
+    return (sf_dir, *sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in listed))
+
+
 def tx_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate")
     sup = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    # supplier grows with the data: broadcast only under the size bound,
-    # otherwise a shuffle join on the supplier key (AQE splits a hot key).
+    # supplier grows with the data: hinted only under the size bound,
+    # otherwise the planner joins by shuffle on the supplier key (AQE splits a hot key).
     j = li.join(sized_broadcast(sup), li.l_suppkey == sup.s_suppkey)
     return j.groupBy(
         (F.col("s_nationkey").cast("bigint") + 1).alias("store_nbr"),
@@ -91,19 +98,8 @@ def holidays_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dates.select("date", F.explode(rows).alias("_h")).select("date", "_h.type", "_h.locale", "_h.transferred")
 
 
-_PANELS: dict = {}
-
-
 def panel(spark: SparkSession, sf_dir: str) -> Panel:
-    """The four views of one table folder (plans are built once per session
-    and folder; they stay lazy, nothing is cached)."""
-    key = (session_id(spark), sf_dir)
-    if key not in _PANELS:
-        _PANELS[key] = _build_panel(spark, sf_dir)
-    return _PANELS[key]
-
-
-def _build_panel(spark: SparkSession, sf_dir: str) -> Panel:
+    """The four views of one table folder (lazy plans; nothing is cached or remembered)."""
     return Panel(
         tx=tx_view(spark, sf_dir),
         stores=stores_view(spark, sf_dir),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from panelcast.operators import evaluate as E
 from panelcast.plans.forecast.decomposable import forecast_decomposable
 from panelcast.plans.forecast.direct_linear import forecast_direct_linear
+from panelcast.plans.forecast.grouped import marked
 from panelcast.plans.forecast.seasonal_arx import forecast_seasonal_arx
 from panelcast.plans.forecast.trees import feature_importance, fit_boosted_trees, learning_curve, predict_trees
 
@@ -46,14 +47,14 @@ def check_recovery(out, tol):
 
 def test_seasonal_arx_recovers_trend_and_week(spark):
     hist, fut = split(linear_weekly(spark), 390)
-    out = forecast_seasonal_arx(hist, fut, ["oil_price", "is_national_holiday"])
+    out = forecast_seasonal_arx(marked(hist, fut), "is_train", ["oil_price", "is_national_holiday"])
     assert out.count() == fut.count()
     check_recovery(out, 1e-3)
 
 
 def test_decomposable_recovers_trend_and_week(spark):
     hist, fut = split(linear_weekly(spark), 390)
-    out = forecast_decomposable(hist, fut, ["oil_price"])
+    out = forecast_decomposable(marked(hist, fut), "is_train", ["oil_price"])
     assert out.count() == fut.count()
     check_recovery(out, 1.0)
 
@@ -68,10 +69,10 @@ def test_skip_rules_report_status(spark):
     hist = hist.unionByName(df.where((F.col("store_nbr") != 1) & (F.col("date") >= F.lit(D0 + dt.timedelta(days=3)))
                                      & (F.col("date") < F.lit(D0 + dt.timedelta(days=50)))))
     fut = fut.where((F.col("store_nbr") == 1) | (F.col("date") >= F.lit(D0 + dt.timedelta(days=50))))
-    st = {r["store_nbr"]: r["status"] for r in forecast_decomposable(hist, fut).collect()}
+    st = {r["store_nbr"]: r["status"] for r in forecast_decomposable(marked(hist, fut), "is_train").collect()}
     assert st[2].startswith("skipped") and "zero" in st[2]
     assert st[3].startswith("skipped") and "missing" in st[3]
-    arx = {r["store_nbr"]: (r["status"], r["y_pred"]) for r in forecast_seasonal_arx(hist, fut, []).collect()}
+    arx = {r["store_nbr"]: (r["status"], r["y_pred"]) for r in forecast_seasonal_arx(marked(hist, fut), "is_train", []).collect()}
     assert arx[1][0].startswith("skipped") and arx[1][1] is None
 
 
@@ -133,10 +134,9 @@ def test_staged_early_stop_equals_single_full_fit(spark, monkeypatch):
         "t", F.datediff("date", F.lit(D0)))
     hist, fut = split(df, 100)
     feats = ["weekday", "t", "oil_price"]
-    monkeypatch.setattr(trees, "FIRST_STAGE", 1000)  # one fit of all rounds
-    full = fit_boosted_trees(hist, feats, variant="early_stop", rounds=16, patience=4, depth=3)
-    monkeypatch.setattr(trees, "FIRST_STAGE", 5)  # staged: 5 rounds first
-    staged = fit_boosted_trees(hist, feats, variant="early_stop", rounds=16, patience=4, depth=3)
+    full = fit_boosted_trees(hist, feats, variant="early_stop", rounds=16, patience=4, depth=3, first_stage=1000)
+    staged = fit_boosted_trees(hist, feats, variant="early_stop", rounds=16, patience=4, depth=3, first_stage=5)
+    assert full.n_rows == staged.n_rows == hist.count()  # the model is fitted on every training row
     assert staged.best_rounds == full.best_rounds
     assert [r for r, _, _ in staged.curve] == [r for r, _, _ in full.curve]
     assert [v for _, _, v in staged.curve] == pytest.approx([v for _, _, v in full.curve], rel=1e-12)
