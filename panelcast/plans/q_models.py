@@ -15,7 +15,7 @@ from panelcast.functions.core import series_window
 from panelcast.operators import evaluate as E
 from panelcast.operators.split import split_views
 from panelcast.plans.catalog import register
-from panelcast.plans.feature_pipeline import EXOG_COLS, FEATURES_EX_ANTE
+from panelcast.plans.feature_pipeline import EXOG_COLS, FEATURES_EX_ANTE, build_final_dataset
 from panelcast.plans.forecast.decomposable import forecast_decomposable
 from panelcast.plans.forecast.direct_linear import forecast_direct_linear
 from panelcast.plans.forecast.naive import naive_predictions
@@ -38,8 +38,8 @@ from panelcast.plans.forecast.trees import (
     learning_curve,
     predict_trees,
 )
-from panelcast.plans.q_profile import FINAL, _final, _tx
-from panelcast.sources.fixtures import TRAIN_END, VAL_END, folder_state, with_views
+from panelcast.plans.q_profile import FINAL, _tx
+from panelcast.sources.fixtures import TRAIN_END, VAL_END, folder_state, panel, with_views
 from panelcast.session import session_id
 
 # Fitted trees by session, state of the table files, history and variant: several queries report on
@@ -47,6 +47,12 @@ from panelcast.session import session_id
 _FITS: dict = {}
 
 
+def _final(spark, d):
+    """Final feature dataset of the nation panel: the model jobs need its longer series."""
+    p = panel(spark, d, "nation")
+    return build_final_dataset(p.tx, p.stores, p.oil, p.holidays)
+
+
 def _views(spark, d):
     return split_views(_final(spark, d), TRAIN_END, VAL_END)
 
@@ -167,7 +173,7 @@ def forecast_direct_linear_test_q(spark, d):
 @register("feature_matrix", with_views(
     "SELECT store_nbr, date, CAST(transactions AS DOUBLE) AS label, "
     + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in FEATURES_EX_ANTE) + f" FROM final WHERE date <= DATE '{TRAIN_END}'",
-    *FINAL), doubles=["label", *FEATURES_EX_ANTE])
+    *FINAL, by="nation"), doubles=["label", *FEATURES_EX_ANTE])
 def feature_matrix_q(spark, d):
     """The trees' training matrix, one column per feature (the assembled vector taken apart)."""
     m = feature_matrix(_views(spark, d)["train"], FEATURES_EX_ANTE)
@@ -179,7 +185,7 @@ def _recovery(spark, d):
     """The panel with a target that follows from the row number: a slow trend and a weekly pattern."""
     n = F.row_number().over(series_window("store_nbr", "date"))
     total = F.count(F.lit(1)).over(Window.partitionBy("store_nbr"))
-    t = _tx(spark, d).select("store_nbr", "date", n.alias("n"), total.alias("total"))
+    t = panel(spark, d, "nation").tx.select("store_nbr", "date", n.alias("n"), total.alias("total"))
     formula = F.lit(50.0) + F.col("store_nbr") + 0.1 * F.col("n") + (F.col("n") % 7) * 2.0
     return t.where("total >= 200").withColumn("transactions", formula).withColumn("is_train", F.expr("n <= total - 14"))
 
@@ -188,7 +194,7 @@ def _recovery(spark, d):
     "SELECT store_nbr, date, CAST(round(50.0 + store_nbr + 0.1 * n + (n % 7) * 2.0, 1) AS DOUBLE) AS y_true, "
     "CAST(round(50.0 + store_nbr + 0.1 * n + (n % 7) * 2.0, 1) AS DOUBLE) AS y_pred, 'ok' AS status FROM rn WHERE total >= 200 AND n > total - 14",
     "rn AS (SELECT store_nbr, date, row_number() OVER (PARTITION BY store_nbr ORDER BY date) AS n, "
-    "count(*) OVER (PARTITION BY store_nbr) AS total FROM tx)"))
+    "count(*) OVER (PARTITION BY store_nbr) AS total FROM tx)", by="nation"))
 def recover_seasonal_arx(spark, d):
     """The seasonal ARX recovers a known trend and weekly pattern over the last 14 rows of every series (to 1 decimal)."""
     out = forecast_seasonal_arx(_recovery(spark, d), "is_train", [])
@@ -199,7 +205,7 @@ def recover_seasonal_arx(spark, d):
     "SELECT m.model, f.split, count(*) AS n_rows, count(*) AS n_keys, 0 AS n_not_finite, 0 AS n_null_actuals "
     "FROM (SELECT *, CASE WHEN date <= DATE '" + VAL_END + "' THEN 'val' ELSE 'test' END AS split FROM final "
     f"WHERE date > DATE '{TRAIN_END}') f CROSS JOIN (VALUES ('decomposable'), ('seasonal_arx')) m(model) GROUP BY 1, 2",
-    *FINAL))
+    *FINAL, by="nation"))
 def forecast_contract(spark, d):
     """Rows, distinct keys, non-finite predictions and null actuals of the per-series jobs on both splits."""
     parts = []

@@ -302,11 +302,11 @@ def histogram_target(spark, d):
     "SELECT month, store_nbr, a / nullif(m, 0) AS tx_normalized FROM mm JOIN st USING (store_nbr) WHERE n > 1000",
     "mm AS (SELECT CAST(date_trunc('month', date) AS DATE) AS month, store_nbr, avg(transactions) AS a "
     "FROM tx GROUP BY 1, 2)",
-    "st AS (SELECT store_nbr, avg(transactions) AS m, count(*) AS n FROM tx GROUP BY 1)"),
+    "st AS (SELECT store_nbr, avg(transactions) AS m, count(*) AS n FROM tx GROUP BY 1)", by="nation"),
     doubles=["tx_normalized"])
 def normalised_monthly(spark, d):
     """Target / series mean, monthly, for series longer than 1000 rows."""
-    return P.normalised_monthly(_tx(spark, d), 1000)
+    return P.normalised_monthly(panel(spark, d, "nation").tx, 1000)
 
 
 @register("lag_pairs", with_views(

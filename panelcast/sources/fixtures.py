@@ -2,15 +2,16 @@
 
 The reference reads a daily store-traffic panel plus store, oil and holiday
 tables. The test tables are a TPC-H-like star schema, so the same shapes are
-derived from them (one series per supplier nation, one row per ship date):
+derived from them (one row per series and ship date). A series is a supplier,
+so the panel grows with the data; the per-series model jobs use the panel
+whose series are the 25 nations, since they need longer series:
 
-    tx        (store_nbr, date, transactions)     lineitem x supplier
-    stores    (store_nbr, city, type, cluster)    nation
+    tx        (store_nbr, date, transactions)     lineitem [x supplier]
+    stores    (store_nbr, city, type, cluster)    supplier x nation, or nation
     oil       (date, dcoilwtico)                  daily max order price, null on weekends
     holidays  (date, type, locale, transferred)   calendar rule on ship dates
 
-``VIEW_CTES`` is the same definition in DuckDB SQL; oracle queries are
-``WITH {VIEW_CTES}, ... SELECT ...``.
+``with_views`` puts the same definitions in DuckDB SQL before a query.
 """
 
 from __future__ import annotations
@@ -47,22 +48,30 @@ def folder_state(spark: SparkSession, sf_dir: str) -> tuple:
     return (sf_dir, *sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in listed))
 
 
-def tx_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tx_view(spark: SparkSession, sf_dir: str, by: str = "supplier") -> DataFrame:
+    """Rows per series and ship date. ``by="supplier"``: one series per supplier, so the number of series grows with
+    the data; ``by="nation"``: 25 long series, for the jobs that need more rows per series than a supplier has."""
     li = _read(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate")
-    sup = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    # supplier grows with the data: hinted only under the size bound,
-    # otherwise the planner joins by shuffle on the supplier key (AQE splits a hot key).
-    j = li.join(sized_broadcast(sup), li.l_suppkey == sup.s_suppkey)
-    return j.groupBy(
-        (F.col("s_nationkey").cast("bigint") + 1).alias("store_nbr"),
-        F.to_date("l_shipdate").alias("date"),
-    ).agg(F.count(F.lit(1)).alias("transactions"))
-
-
-def stores_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = _read(spark, sf_dir, "nation")
+    if by == "supplier":
+        key = F.col("l_suppkey")
+    else:
+        sup = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+        # supplier grows with the data: hinted only under the size bound,
+        # otherwise the planner joins by shuffle on the supplier key (AQE splits a hot key).
+        li = li.join(sized_broadcast(sup), li.l_suppkey == sup.s_suppkey)
+        key = F.col("s_nationkey")
+    return li.groupBy((key.cast("bigint") + 1).alias("store_nbr"), F.to_date("l_shipdate").alias("date")).agg(
+        F.count(F.lit(1)).alias("transactions"))
+
+
+def stores_view(spark: SparkSession, sf_dir: str, by: str = "supplier") -> DataFrame:
+    n = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    key = F.col("n_nationkey")
+    if by == "supplier":
+        sup = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+        n, key = sup.join(sized_broadcast(n), F.col("s_nationkey") == F.col("n_nationkey")), F.col("s_suppkey")
     return n.select(
-        (F.col("n_nationkey").cast("bigint") + 1).alias("store_nbr"),
+        (key.cast("bigint") + 1).alias("store_nbr"),
         F.col("n_name").alias("city"),
         F.substring(F.lit("ABCDE"), F.col("n_regionkey").cast("int") + 1, 1).alias("type"),
         (F.col("n_nationkey") % 17 + 1).cast("bigint").alias("cluster"),
@@ -98,11 +107,11 @@ def holidays_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dates.select("date", F.explode(rows).alias("_h")).select("date", "_h.type", "_h.locale", "_h.transferred")
 
 
-def panel(spark: SparkSession, sf_dir: str) -> Panel:
+def panel(spark: SparkSession, sf_dir: str, by: str = "supplier") -> Panel:
     """The four views of one table folder (lazy plans; nothing is cached or remembered)."""
     return Panel(
-        tx=tx_view(spark, sf_dir),
-        stores=stores_view(spark, sf_dir),
+        tx=tx_view(spark, sf_dir, by),
+        stores=stores_view(spark, sf_dir, by),
         oil=oil_view(spark, sf_dir),
         holidays=holidays_view(spark, sf_dir),
     )
@@ -110,7 +119,20 @@ def panel(spark: SparkSession, sf_dir: str) -> Panel:
 
 # Same views in DuckDB SQL (tables lineitem, supplier, nation, orders are
 # registered by the checker).
-VIEW_CTES = """
+SERIES_CTES = {
+    "supplier": """
+tx AS (
+  SELECT CAST(l_suppkey AS BIGINT) + 1 AS store_nbr, CAST(l_shipdate AS DATE) AS date,
+         COUNT(*) AS transactions
+  FROM lineitem GROUP BY 1, 2
+),
+stores AS (
+  SELECT CAST(s_suppkey AS BIGINT) + 1 AS store_nbr, n_name AS city,
+         substr('ABCDE', CAST(n_regionkey AS INTEGER) + 1, 1) AS type,
+         CAST(n_nationkey % 17 + 1 AS BIGINT) AS cluster
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey
+),""",
+    "nation": """
 tx AS (
   SELECT CAST(s_nationkey AS BIGINT) + 1 AS store_nbr, CAST(l_shipdate AS DATE) AS date,
          COUNT(*) AS transactions
@@ -121,7 +143,9 @@ stores AS (
          substr('ABCDE', CAST(n_regionkey AS INTEGER) + 1, 1) AS type,
          CAST(n_nationkey % 17 + 1 AS BIGINT) AS cluster
   FROM nation
-),
+),""",
+}
+CALENDAR_CTES = """
 oil AS (
   SELECT date, CASE WHEN isodow(date) <= 5 THEN mx / 1000 END AS dcoilwtico
   FROM (SELECT CAST(o_orderdate AS DATE) AS date, max(o_totalprice) AS mx FROM orders GROUP BY 1) t
@@ -142,7 +166,7 @@ holidays AS (
 )"""
 
 
-def with_views(select: str, *ctes: str) -> str:
+def with_views(select: str, *ctes: str, by: str = "supplier") -> str:
     """``WITH <fixture views>[, extra ctes] <select>`` for DuckDB."""
     extra = "".join(f",\n{c}" for c in ctes)
-    return f"WITH {VIEW_CTES}{extra}\n{select}"
+    return f"WITH {SERIES_CTES[by]}{CALENDAR_CTES}{extra}\n{select}"
