@@ -1,4 +1,4 @@
-"""Correlation and autocorrelation.
+"""Correlation and autocorrelation.
 
 All correlations use ``safe_corr`` (pairs where both values exist; null for
 constant input instead of an ANSI error). ACF at several lags is one window
@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.operators.quantiles import exact_quantiles
 from panelcast.functions.core import as_list, safe_corr, series_window
 
 KEY, DATE, TARGET = "store_nbr", "date", "transactions"
@@ -59,5 +60,6 @@ def acf_panel(df: DataFrame, lags: Sequence[int] = ACF_PANEL_LAGS, min_rows: int
 
 def acf_summary(panel_acf: DataFrame) -> DataFrame:
     """Median, min and max ACF over series per lag."""
-    return panel_acf.groupBy("lag").agg(
-        F.median("acf").alias("median"), F.min("acf").alias("min"), F.max("acf").alias("max"))
+    ends = panel_acf.groupBy("lag").agg(F.min("acf").alias("min"), F.max("acf").alias("max"))
+    return ends.join(exact_quantiles(panel_acf, "lag", "acf", {"median": 0.5}), "lag", "left").select(
+        "lag", "median", "min", "max")

@@ -7,13 +7,13 @@ key from landing whole in one window task.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.functions.core import as_list, iso_weekday, safe_div, series_window, sized_broadcast
+from panelcast.operators.quantiles import exact_quantiles
 
 KEY, DATE, TARGET = "store_nbr", "date", "transactions"
 
@@ -63,49 +63,43 @@ def monthly_mean_vs_holidays(tx: DataFrame, holidays: DataFrame, locale="Nationa
     )
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on keys where null equals null; the key columns of ``left`` stay."""
+    named = right.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys])
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on &= F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return left.join(named, on, "left").drop(*[f"_k{i}" for i in range(len(keys))])
+
+
 def stats_by(df: DataFrame, by, target=TARGET, digits: int = 1) -> DataFrame:
-    """mean, sample std and median per group, rounded."""
-    return df.groupBy(*as_list(by)).agg(
-        F.round(F.avg(target), digits).alias("mean"),
-        F.round(F.stddev_samp(target), digits).alias("std"),
-        F.round(F.median(target), digits).alias("median"),
-    )
+    """mean, sample std and exact median per group, rounded."""
+    keys = as_list(by)
+    basic = df.groupBy(*keys).agg(
+        F.round(F.avg(target), digits).alias("mean"), F.round(F.stddev_samp(target), digits).alias("std"))
+    median = exact_quantiles(df, keys, target, {"median": 0.5}).withColumn("median", F.round("median", digits))
+    return _null_safe_join(basic, median, keys)
 
 
-QUARTILES = (0.25, 0.5, 0.75)
+QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
 
 def describe(df: DataFrame, col=TARGET, method: str = "linear") -> DataFrame:
-    """count, null count, mean, sample std, min, quartiles, max in one pass.
+    """count, null count, mean, sample std, min, quartiles, max (one row).
 
     ``method``: ``"linear"`` exact interpolated quartiles; ``"nearest"`` the
     element at index round((n - 1) * p) of the sorted values (the reference's
-    describe), via ``percentile_disc`` after one count; ``"approx"``
-    ``percentile_approx`` for very large inputs.
+    describe); ``"approx"`` one pass with ``percentile_approx``.
     """
     c = F.col(col)
-    if method == "linear":
-        qs = [F.percentile(c.cast("double"), F.lit(p)) for p in QUARTILES]
-    elif method == "approx":
-        qs = [F.percentile_approx(c, F.lit(p), 10000) for p in QUARTILES]
-    elif method == "nearest":
-        n = df.agg(F.count(c)).first()[0]
-        qs = []
-        for p in QUARTILES:
-            k = math.floor((n - 1) * p + 0.5) if n else 0  # round half away from zero
-            frac = min((k + 0.5) / n, 1.0) if n else 0.5
-            qs.append(F.expr(f"percentile_disc({frac!r}) WITHIN GROUP (ORDER BY `{col}`)"))
-    else:
-        raise ValueError(f"unknown method {method!r}")
-    return df.agg(
-        F.count(c).alias("count"),
-        F.count_if(c.isNull()).alias("null_count"),
-        F.avg(c).alias("mean"),
-        F.stddev_samp(c).alias("std"),
-        F.min(c).cast("double").alias("min"),
-        *[q.cast("double").alias(name) for q, name in zip(qs, ("p25", "p50", "p75"))],
-        F.max(c).cast("double").alias("max"),
-    )
+    quick = [F.percentile_approx(c, F.lit(p), 10000).cast("double").alias(n) for n, p in QUARTILES.items()]
+    basic = df.agg(
+        F.count(c).alias("count"), F.count_if(c.isNull()).alias("null_count"), F.avg(c).alias("mean"),
+        F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"), *(quick if method == "approx" else []),
+        F.max(c).cast("double").alias("max"))
+    if method != "approx":
+        basic = basic.join(exact_quantiles(df, [], col, QUARTILES, method), F.lit(True), "left")  # one row each
+    return basic.select("count", "null_count", "mean", "std", "min", *QUARTILES, "max")
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -210,10 +204,11 @@ def box_stats(df: DataFrame, by, target=TARGET, whisker: float = 1.5, approx: bo
     """Quartiles, whiskers (extreme values within 1.5 IQR) and outlier count
     per group: quartile aggregate, broadcast join back, second aggregate."""
     y = F.col(target).cast("double")
-    q = (F.percentile_approx(y, [0.25, 0.5, 0.75], 10000) if approx
-         else F.percentile(y, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
-    quart = df.groupBy(*as_list(by)).agg(q.alias("_q")).select(
-        *as_list(by), F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    keys, probs = as_list(by), {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    if approx:
+        quart = df.groupBy(*keys).agg(*[F.percentile_approx(y, F.lit(p), 10000).alias(n) for n, p in probs.items()])
+    else:
+        quart = exact_quantiles(df, keys, y, probs)
     j = df.join(sized_broadcast(quart), on=by, how="inner")
     lo = F.col("q1") - whisker * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + whisker * (F.col("q3") - F.col("q1"))
