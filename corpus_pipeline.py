@@ -15,8 +15,8 @@ from panelcast.llm import mixing, pieces, quality, simhash, toxicity
 from panelcast.llm.common import read_table
 from panelcast.session import checkpoint_dir
 
-# Token weights of the mix; the good domain keeps its tokens, the others are scaled against it.
-MIX = {"good": 0.97, "poor": 0.02, "toxic": 0.01}
+# Targets of the mix, as multiples of the token totals that the domains have when the stage begins.
+MIX = {"good": 1.0, "poor": 0.5, "toxic": 0.5}
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +33,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix_documents(docs, read_table(spark, sf_dir, "labels"), MIX, anchor="good")
+    return mixing.mix_documents(docs, read_table(spark, sf_dir, "labels"), MIX, factors=True)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

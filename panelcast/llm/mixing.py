@@ -8,7 +8,8 @@
    m = sum_d w_d r_d p_d are the expected domain token totals (w: token
    shares, p: posteriors), t the targets and A = sum_d w_d p_d p_d'. In this
    metric the gradient of a document is p_d' A^-1 (m - t) and a step of 1 is
-   safe, so r <- max(0, r - p_d' A^-1 (m - t)) settles in a few passes. A pass sums K
+   safe: r <- max(0, r - p_d' A^-1 (m - t)), with the usual momentum between
+   passes. Without clipped rates one pass is exact. A pass sums K
    numbers over the documents; the rates themselves never leave the executors,
    since they follow from p and the K-vectors of the passes so far.
 """
@@ -30,8 +31,8 @@ WORD_BUCKETS = 1024
 DIMENSIONS = WORD_BUCKETS + 256 + 1
 SAMPLE_ROWS = 2_000  # labelled rows per domain that the classifier is fitted on, picked by id hash
 CACHE_WORDS = 1_000_000
-PASSES = 60
-TOLERANCE = 1e-6
+PASSES = 40
+TOLERANCE = 1e-5
 DOMAINS = ("good", "poor", "toxic")
 TARGETS = {"good": 0.90, "poor": 0.08, "toxic": 0.02}
 
@@ -85,11 +86,19 @@ class Classifier:
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, domains: tuple[str, ...] = DOMAINS,
                    id_col: str = "doc_id", text_col: str = "text", domain: Column | None = None) -> Classifier:
-    """At most SAMPLE_ROWS labelled rows per domain reach the driver, as DIMENSIONS floats each."""
-    named = labels.select(F.col(id_col).alias("id"), (label_domain() if domain is None else domain).alias("domain"))
+    """At most SAMPLE_ROWS labelled rows per domain reach the driver, as DIMENSIONS floats each.
+
+    The sample holds the domains evenly; the posteriors are put back to the
+    shares that the domains have among all labelled rows of ``docs``.
+    """
+    ids = docs.select(F.col(f"`{id_col}`").alias("id")).where("id is not null").distinct()
+    named = materialise(
+        labels.select(F.col(id_col).alias("id"), (label_domain() if domain is None else domain).alias("domain"))
+        .where(F.col("domain").isin(*domains)).join(ids, "id", "left_semi"), "labelled")
+    share = {r["domain"]: r["count"] for r in named.groupBy("domain").count().collect()}
     picked = None
     for d in domains:
-        some = named.where((F.col("domain") == d) & F.col("id").isNotNull()).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS)
+        some = named.where(F.col("domain") == d).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS)
         picked = some if picked is None else picked.union(some)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).join(
         F.broadcast(picked.dropDuplicates(["id"])), "id").select("domain", "text")
@@ -106,7 +115,11 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, domains: tuple[str, ...]
         return Classifier(tuple(domains), flat)
     x = np.array([np.frombuffer(g[1], dtype=np.float32) for g in got], dtype=np.float64)
     y = np.array([domains.index(g[0]) for g in got])
-    return Classifier(tuple(domains), _fit_softmax(x, y, len(domains)))
+    weights = _fit_softmax(x, y, len(domains))
+    for k, d in enumerate(domains):
+        if share.get(d) and (y == k).any():
+            weights[-1, k] += np.log(share[d] / sum(share.values())) - np.log((y == k).mean())
+    return Classifier(tuple(domains), weights)
 
 
 def _fit_softmax(x: np.ndarray, y: np.ndarray, k: int, steps: int = 200, ridge: float = 1e-4) -> np.ndarray:
@@ -137,12 +150,13 @@ def posterior_table(docs: DataFrame, classifier: Classifier, id_col: str = "doc_
                       f"id {docs.schema[id_col].dataType.simpleString()}, n_tokens bigint, p array<double>")
 
 
-def rates_of(p: np.ndarray, passes: list[np.ndarray]) -> np.ndarray:
-    """Rates after the given passes of projected gradient, from rates of 1."""
-    r = np.ones(len(p))
-    for v in passes:
-        r = np.maximum(0.0, r - p @ v)
-    return r
+def rates_of(p: np.ndarray, passes: list[np.ndarray], ahead: bool = False) -> np.ndarray:
+    """Rates after the given passes of projected gradient, from rates of 1; ``ahead``: where the next gradient is taken."""
+    r = y = np.ones(len(p))
+    for i, v in enumerate(passes):
+        new = np.maximum(0.0, y - p @ v)
+        r, y = new, new + i / (i + 3.0) * (new - r)
+    return y if ahead else r
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -150,7 +164,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
 
 
-def _sums(table: DataFrame, passes: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray, float]:
+def _sums(table: DataFrame, passes: list[np.ndarray], k: int, ahead: bool = True) -> tuple[np.ndarray, np.ndarray, float]:
     """(sum n r p, sum n p p', sum n) in one distributed pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +172,7 @@ def _sums(table: DataFrame, passes: list[np.ndarray], k: int) -> tuple[np.ndarra
         for batch in batches:
             if batch.num_rows:
                 n, p = batch.column(0).to_numpy(zero_copy_only=False).astype(float), _matrix(batch.column(1))
-                m += (n * rates_of(p, passes)) @ p
+                m += (n * rates_of(p, passes, ahead)) @ p
                 a += (p * n[:, None]).T @ p
                 total += n.sum()
         values = np.concatenate([m, a.ravel(), [total]])
@@ -172,11 +186,11 @@ def _sums(table: DataFrame, passes: list[np.ndarray], k: int) -> tuple[np.ndarra
 
 
 def fit_rates(table: DataFrame, targets: dict[str, float], domains: tuple[str, ...] = DOMAINS,
-              anchor: str | None = None) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+              factors: bool = False) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """(passes, expected totals, targets) as shares of all tokens.
 
-    ``targets`` are weights; they are scaled to the token total, or with
-    ``anchor`` so that the anchor domain keeps its own expected total.
+    ``targets`` are weights that are scaled to the token total, or with
+    ``factors`` multiples of each domain's present expected total.
     Targets that no nonnegative rates reach are met as closely as least
     squares can. An empty table gives no passes.
     """
@@ -185,15 +199,13 @@ def fit_rates(table: DataFrame, targets: dict[str, float], domains: tuple[str, .
     t = np.array([max(0.0, targets.get(d, 0.0)) for d in domains])
     if total == 0 or t.sum() == 0:
         return [], np.zeros(k), t
-    t = t / t.sum()
-    if anchor is not None and t[domains.index(anchor)] > 0:
-        t = t * (m[domains.index(anchor)] / total / t[domains.index(anchor)])
+    t = t * m / total if factors else t / t.sum()
     inverse = np.linalg.pinv(a / total, rcond=1e-9)
     passes: list[np.ndarray] = []
     while np.abs(m / total - t).sum() > TOLERANCE and len(passes) < PASSES:
         passes.append(inverse @ (m / total - t))
         m, _, _ = _sums(table, passes, k)
-    return passes, m / total, t
+    return passes, _sums(table, passes, k, ahead=False)[0] / total, t
 
 
 def mix_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS,
@@ -228,11 +240,11 @@ def copies_of(rates: np.ndarray, ids: list) -> np.ndarray:
 
 
 def mix_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float], domains: tuple[str, ...] = DOMAINS,
-                  anchor: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                  factors: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row of ``docs`` as many times as its rate says, all columns as they are."""
     classifier = fit_classifier(docs, labels, domains, id_col, text_col)
     table = materialise(posterior_table(docs, classifier, id_col, text_col), "posteriors")
-    passes, _, _ = fit_rates(table, targets, domains, anchor)
+    passes, _, _ = fit_rates(table, targets, domains, factors)
     at_id, at_text = docs.columns.index(id_col), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
