@@ -399,7 +399,7 @@ def test_projected_gradient_equals_a_long_plain_run(spark):
     p = rng.dirichlet([0.4, 0.4, 0.4], size=200)
     n = rng.integers(0, 50, 200)
     table = spark.createDataFrame([(i, int(a), b.tolist()) for i, (a, b) in enumerate(zip(n, p))], "id long, n_tokens long, p array<double>")
-    passes, totals, target = mixing.fit_rates(table, {"a": 0.01, "b": 0.69, "c": 0.3}, ("a", "b", "c"))
+    passes, totals, target = mixing.fit_rates(table, {"a": 0.1, "b": 0.6, "c": 0.3}, ("a", "b", "c"))
     w = n / n.sum()
     r, inverse = np.ones(200), np.linalg.pinv((p * w[:, None]).T @ p)
     for _ in range(3000):
