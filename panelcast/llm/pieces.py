@@ -35,8 +35,10 @@ from panelcast.llm.vocabulary import PIECE_MODEL, Vocabulary
 
 MARK = "▁"
 NEG = float("-inf")
+NO_PIECE = object()  # no piece starts so
 UNKNOWN_PENALTY = 10.0
-CACHE_UNITS = 500_000
+CACHE_UNITS = 1_000_000
+CACHE_PATHS = 50_000
 DEFAULT_N = 4
 
 _UNITS = re.compile(rf"\n|{MARK}|[ ]*[^ \n{MARK}]+|[ ]+")
@@ -71,20 +73,16 @@ class Lattice:
 
     def forward(self, unit: str) -> tuple[list[float], list[int], float]:
         """Best score of every node, the start of its best last edge, and the second-best score of the whole unit."""
-        n, steps, get = len(unit), self.steps, self.steps.get
+        n, get = len(unit), self.steps.get
         best, second, back = [0.0] + [NEG] * n, [NEG] * (n + 1), [0] * (n + 1)
         for i in range(n):
             here, next_here = best[i], second[i]
             j = i + 1
-            if unit[i] not in self.score:
+            s = get(unit[i], NO_PIECE)
+            if s is NO_PIECE or s is None:  # a character without a piece of its own
                 best[j], second[j], back[j] = self._relax(best[j], second[j], back[j], here, next_here, self.unknown_score, i)
-            while j <= n:
-                piece = unit[i:j]
-                s = get(piece)
-                if s is None:
-                    if piece not in steps:
-                        break
-                else:
+            while s is not NO_PIECE:
+                if s is not None:
                     v = here + s
                     if v > best[j]:
                         w = next_here + s
@@ -95,7 +93,10 @@ class Lattice:
                         best[j], back[j] = v, i
                     elif v > second[j]:
                         second[j] = v
+                if j == n:
+                    break
                 j += 1
+                s = get(unit[i:j], NO_PIECE)
         return best, back, second[n]
 
     @staticmethod
@@ -160,39 +161,50 @@ class Lattice:
 
     def decode(self, ids) -> str:
         """Text of piece ids: the exact inverse of encoding for every text that UTF-8 can hold."""
-        spelling = self.spelling
-        raw = b"".join([spelling[i] for i in ids])
+        raw = b"".join(map(self.spelling.__getitem__, ids))
         return raw[1:].decode("utf-8", "replace") if raw[:1] == b" " else raw.decode("utf-8", "replace")
 
 
 class UnitTable:
-    """Best paths of the units seen by a worker (bounded, cleared between texts)."""
+    """Best paths of the units seen by a worker (bounded; between texts the units seen in one text only are dropped)."""
 
     def __init__(self, lattice: Lattice):
         self.lattice = lattice
-        self.clear()
-
-    def clear(self):
         self.numbers: dict[str, int] = {}
         self.ids: list[bytes] = []
+        self.best, self.gap, self.length, self.texts = array("d"), array("d"), array("l"), np.zeros(1024, dtype=np.int32)
         self.names: list[str] = []
-        self.best, self.gap = array("d"), array("d")
-        self.alternatives: dict[tuple[int, int], list] = {}
-
-    def numbers_of(self, units: list[str]) -> list[int]:
-        if len(self.numbers) > CACHE_UNITS:
-            self.clear()
-        numbers, out = self.numbers, []
-        for u in units:
-            k = numbers.get(u)
-            if k is None:
-                k = numbers[u] = len(self.ids)
-                score, ids, second = self._path(u)
-                self.ids.append(np.array(ids, dtype=np.int32).tobytes())
-                self.names.append(u)
-                self.best.append(score)
-                self.gap.append(score - second)
-            out.append(k)
+        self.alternatives: dict[tuple[str, int], list] = {}
+
+    def _shrink(self):
+        kept = np.nonzero(self.texts[:len(self.ids)] > 1)[0]
+        kept = kept if len(kept) < CACHE_UNITS // 2 else kept[np.argsort(-self.texts[kept], kind="stable")][:CACHE_UNITS // 2]
+        at = kept.tolist()
+        self.names, self.ids = [self.names[i] for i in at], [self.ids[i] for i in at]
+        self.best, self.gap = array("d", [self.best[i] for i in at]), array("d", [self.gap[i] for i in at])
+        self.length = array("l", [self.length[i] for i in at])
+        self.numbers = {u: i for i, u in enumerate(self.names)}
+        self.texts[:len(at)] = self.texts[kept]
+        self.texts[len(at):] = 0
+        if len(self.alternatives) > CACHE_PATHS:
+            self.alternatives.clear()
+
+    def numbers_of(self, units: list[str]) -> np.ndarray:
+        if len(self.ids) > CACHE_UNITS:
+            self._shrink()
+        numbers = self.numbers
+        for u in set(units).difference(numbers):
+            numbers[u] = len(self.ids)
+            score, ids, second = self._path(u)
+            self.ids.append(np.array(ids, dtype=np.int32).tobytes())
+            self.names.append(u)
+            self.best.append(score)
+            self.gap.append(score - second)
+            self.length.append(len(ids))
+        out = np.fromiter(map(numbers.__getitem__, units), dtype=np.int64, count=len(units))
+        if len(self.texts) < len(self.ids):
+            self.texts = np.concatenate([self.texts, np.zeros(len(self.ids), dtype=np.int32)])
+        self.texts[out] += 1  # once per text
         return out
 
     def _path(self, unit: str) -> tuple[float, list[int], float]:
@@ -201,7 +213,7 @@ class UnitTable:
         return self.lattice.best_path(self.lattice.spelt(unit))
 
     def paths_of(self, number: int, n: int) -> list[tuple[float, list[int]]]:
-        key = (number, n)
+        key = (self.names[number], n)
         if key not in self.alternatives:
             self.alternatives[key] = self.lattice.n_best(self.lattice.spelt(self.names[number]), n)
         return self.alternatives[key]
@@ -222,9 +234,8 @@ def encode_text(text: str | None, table: UnitTable, n: int) -> tuple[np.ndarray,
     A change (at, length, ids) replaces ``length`` ids of the best path from
     position ``at``; the first path has no changes.
     """
-    numbers = np.array(table.numbers_of(table.lattice.units(text or "")), dtype=np.int64)
-    chunks = [table.ids[i] for i in numbers.tolist()]
-    ids = np.frombuffer(b"".join(chunks), dtype=np.int32)
+    numbers = table.numbers_of(table.lattice.units(text or ""))
+    ids = np.frombuffer(b"".join(map(table.ids.__getitem__, numbers.tolist())), dtype=np.int32)
     total = float(np.frombuffer(table.best, dtype=np.float64)[numbers].sum()) if len(numbers) else 0.0
     paths: list[tuple[float, list]] = [(0.0, [])]
     if n > 1 and len(numbers):
@@ -232,12 +243,12 @@ def encode_text(text: str | None, table: UnitTable, n: int) -> tuple[np.ndarray,
         near = np.argsort(gaps, kind="stable")[:n - 1] if len(gaps) < 4 * n else _smallest(gaps, n - 1)
         near = np.sort(near[np.isfinite(gaps[near])])
         if len(near):
-            starts = np.concatenate([[0], np.cumsum([len(c) // 4 for c in chunks])])
+            lengths = np.frombuffer(table.length, dtype=np.int64)[numbers]
+            starts = np.cumsum(lengths) - lengths
             for u in near.tolist():
                 ways = table.paths_of(int(numbers[u]), n)
-                old = np.frombuffer(chunks[u], dtype=np.int32).tolist()
                 loss = [ways[0][0] - score for score, _ in ways]
-                merged = [(cost + loss[k], changes + ([] if k == 0 else [(int(starts[u]), len(old), ways[k][1])]))
+                merged = [(cost + loss[k], changes + ([] if k == 0 else [(int(starts[u]), int(lengths[u]), ways[k][1])]))
                           for cost, changes in paths for k in range(len(ways))]
                 merged.sort(key=lambda x: x[0])
                 paths = merged[:n]
