@@ -297,7 +297,9 @@ def _reduce(encoded: DataFrame, size: int, add: Callable[[np.ndarray, np.ndarray
             out += np.frombuffer(x, dtype=np.float32)
         return pd.DataFrame({"slice": [int(pdf["slice"].iloc[0])], "x": [out.tobytes()]})
 
-    got = encoded.select("groups", "history", "lengths", "held").mapInArrow(run, "slice int, x binary").groupBy(
+    # Two tasks per core: every task sends one vector, whatever the number of files.
+    tasks = 2 * encoded.sparkSession.sparkContext.defaultParallelism
+    got = encoded.select("groups", "history", "lengths", "held").coalesce(tasks).mapInArrow(run, "slice int, x binary").groupBy(
         "slice").applyInPandas(total, "slice int, x binary").collect()
     out = np.zeros(size)
     for r in got:
