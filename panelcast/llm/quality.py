@@ -7,11 +7,16 @@ Prose of one language and length has them in narrow bands; junk, markup
 residue and shouting fall outside.
 
 The bands are Tukey fences (quartiles -/+ FENCE x interquartile range) of all
-documents that pass the base rules, per language and length class (powers of
-two of the word count), from exact histograms of the rounded figures. A
-class with fewer than MIN_GROUP documents uses the language's fences over all
-lengths, a language with fewer has no band. The byte share has an upper fence
-only, at least MIN_BYTE_FENCE.
+distinct texts that pass the base rules, per language and length class (powers
+of two of the word count), from exact histograms of the rounded figures. Each
+text counts once in its language however many copies it has, and the
+interquartile range counts as no less than MIN_IQR of the median (more in the
+classes of short texts), since near copies can still make quartiles coincide.
+A class with fewer than MIN_GROUP texts uses the language's fences over all
+lengths. A language with fewer uses the widest sides of the fences of all
+languages together, of each language with MIN_GROUP texts, and of itself if it
+has MIN_OWN texts (so no such language is rejected as a whole). The byte share
+has an upper fence only, at least MIN_BYTE_FENCE.
 """
 
 from __future__ import annotations
@@ -29,7 +34,9 @@ from panelcast.llm.vocabulary import PIECE_MODEL, Vocabulary
 FENCE = 2.5
 MIN_GROUP = 40
 MIN_BYTE_FENCE = 0.05
-MIN_IQR = 0.005  # of the median: fences keep some width where quartiles coincide
+MIN_OWN = 8  # texts of a language below MIN_GROUP whose own fences widen its band
+MIN_IQR = 0.02  # of the median: fences keep some width where quartiles coincide
+SHORT_IQR = 0.3  # the same for a class of n words and more, divided by sqrt(n): short texts scatter more
 CACHE_WORDS = 700_000
 SPACES, SYMBOLS = " \t\n\v\f\r", "#*$%&|<>"
 FIGURES = ("chars_per_token", "byte_share", "token_entropy")
@@ -132,45 +139,76 @@ def _length_class() -> Column:
     return F.floor(F.log2(F.greatest("n_words", F.lit(1)))).cast("int")
 
 
-def bands(measured: DataFrame, fence: float = FENCE, min_group: int = MIN_GROUP) -> DataFrame:
-    """(lang, length_class, figure, low, high); length_class -1 stands for all lengths.
-
-    Exact quartiles of the rounded figures: the histograms are aggregated
-    before the shuffle, their size follows the rounding, not the rows.
-    """
+def _histogram(measured: DataFrame) -> DataFrame:
+    """(lang, length_class, figure, bin, n); length_class -1 stands for all lengths."""
     figures = F.explode(F.map_from_arrays(
         F.array(*[F.lit(f) for f in FIGURES]), F.array(*[F.round(F.col(f) * SCALE).cast("int") for f in FIGURES])))
-    hist = (
+    return (
         measured.where("n_tokens > 0")
         .select("lang", F.explode(F.array(_length_class(), F.lit(-1))).alias("length_class"), *FIGURES)
         .select("lang", "length_class", figures.alias("figure", "bin"))
         .groupBy("lang", "length_class", "figure", "bin").agg(F.count(F.lit(1)).alias("n"))
     )
+
+
+def _fences(hist: DataFrame, fence: float) -> DataFrame:
+    """(lang, length_class, figure, total, low, high) from the exact quartiles of the rounded figures."""
     group = ["lang", "length_class", "figure"]
     hist = hist.withColumn("upto", F.sum("n").over(Window.partitionBy(*group).orderBy("bin"))).withColumn(
         "total", F.sum("n").over(Window.partitionBy(*group)))
     quartile = lambda q: F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * q), F.col("bin"))) / SCALE
     fences = hist.groupBy(*group).agg(
         F.max("total").alias("total"), quartile(0.25).alias("q1"), quartile(0.5).alias("q2"), quartile(0.75).alias("q3"))
-    width = F.greatest(F.col("q3") - F.col("q1"), F.col("q2") * MIN_IQR) * fence
+    least = F.when(F.col("length_class") < 0, F.lit(MIN_IQR)).otherwise(
+        F.greatest(F.lit(MIN_IQR), SHORT_IQR / F.sqrt(F.pow(F.lit(2.0), F.col("length_class")))))
+    width = F.greatest(F.col("q3") - F.col("q1"), F.col("q2") * least) * fence
     share = F.col("figure") == "byte_share"
-    return fences.where(F.col("total") >= min_group).select(
-        *group,
+    return fences.select(
+        *group, "total",
         F.when(share, F.lit(0.0)).otherwise(F.col("q1") - width).alias("low"),
         F.when(share, F.greatest(F.col("q3") + width, F.lit(MIN_BYTE_FENCE))).otherwise(F.col("q3") + width).alias("high"),
     )
 
 
+def bands(measured: DataFrame, fence: float = FENCE, min_group: int = MIN_GROUP) -> DataFrame:
+    """(lang, length_class, figure, low, high) of the groups with ``min_group`` rows; length_class -1 stands for all lengths.
+
+    The histograms are aggregated before the shuffle, their size follows the
+    rounding, not the rows.
+    """
+    return _fences(_histogram(measured), fence).where(F.col("total") >= min_group).drop("total")
+
+
+def all_bands(measured: DataFrame, fence: float = FENCE, min_group: int = MIN_GROUP) -> DataFrame:
+    """``bands`` plus a band over all lengths for each language with fewer rows."""
+    hist = materialise(_histogram(measured), "bands")
+    own = _fences(hist, fence)
+    together = hist.where("length_class = -1").groupBy("length_class", "figure", "bin").agg(F.sum("n").alias("n"))
+    large = own.where(F.col("total") >= min_group)
+    widest = (
+        _fences(together.withColumn("lang", F.lit("")), fence).union(large.where("length_class = -1"))
+        .groupBy("figure").agg(F.min("low").alias("least"), F.max("high").alias("most"))
+    )
+    itself = lambda side: F.when(F.col("total") >= MIN_OWN, F.col(side))
+    small = own.where((F.col("length_class") == -1) & (F.col("total") < min_group)).join(widest, "figure").select(
+        "lang", "length_class", "figure", F.least("least", itself("low")).alias("low"),
+        F.greatest("most", itself("high")).alias("high"))
+    return large.drop("total").union(small)
+
+
 def judge(measured: DataFrame, fence: float = FENCE, min_group: int = MIN_GROUP) -> DataFrame:
     """``measured`` plus base_failed and kept.
 
     base_failed: fewer than 50 words, or over half of the words repeated.
-    kept: not base_failed and every figure inside its band. Null and empty
-    texts fail the base rules; an empty frame gives an empty result.
+    kept: not base_failed and every figure inside its band. Bands come from
+    distinct texts. Null and empty texts fail the base rules; an empty frame
+    gives an empty result.
     """
     base = measured.withColumn(
         "base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    fenced = bands(base.where("not base_failed"), fence, min_group)
+    texts = base.where("not base_failed").select("lang", "text_key", "n_words", "n_tokens", *FIGURES).dropDuplicates(
+        ["lang", "text_key"])
+    fenced = all_bands(texts, fence, min_group)
     wide = fenced.groupBy("lang", "length_class").agg(*[
         F.max(F.when(F.col("figure") == f, F.col(side))).alias(f"{f}_{side}") for f in FIGURES for side in ("low", "high")])
     sides = [f"{f}_{side}" for f in FIGURES for side in ("low", "high")]

@@ -186,6 +186,32 @@ def test_quality_bands_are_exact_quartiles(docs):
         assert r["low"] == pytest.approx(q1 - width) and r["high"] == pytest.approx(q3 + width)
 
 
+def measured_rows(spark, groups):
+    """Measured rows from (lang, rows, same text, characters per token, its spread), 200 words each, entropy alike."""
+    rng, rows = random.Random(3), []
+    for lang, n, same, centre, spread in groups:
+        for _ in range(n):
+            x = centre if same else centre * (1 + rng.uniform(-spread, spread))
+            rows.append((len(rows), lang, -1 if same else len(rows), 200, 800, 0, 0, 0, 300, x, 0.0, 3 * x))
+    return spark.createDataFrame(rows, "id long, lang string, text_key long, " + quality.SCHEMA)
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_quality_bands_with_a_third_of_copies(spark, same):
+    rows = measured_rows(spark, [("en", 400, False, 2.2, 0.04), ("en", 500, same, 2.2, 0.001), ("de", 600, False, 2.2, 0.04),
+                                 ("en", 10, False, 1.7, 0.01)])
+    out = quality.judge(rows).collect()
+    kept = [r["id"] for r in out if r["kept"]]
+    assert len(out) == 1510 and sorted(kept) == list(range(1500))
+
+
+def test_quality_bands_of_a_rare_language(spark):
+    rows = measured_rows(spark, [("en", 300, False, 2.2, 0.04), ("fr", 300, False, 1.9, 0.04), ("es", 5, False, 1.95, 0.02),
+                                 ("xx", 3, False, 0.9, 0.02), ("ja", 20, False, 1.0, 0.04)])
+    kept = collections.Counter(r["lang"] for r in quality.judge(rows).collect() if r["kept"])
+    assert kept == {"en": 300, "fr": 300, "es": 5, "ja": 20}
+
+
 def test_quality_keeps_prose_and_drops_rows_once(odd, empty):
     kept = quality.drop_rejected(odd)
     verdict = {(r["doc_id"]): r["kept"] for r in quality.op5_query(odd.sparkSession, odd).collect() if r["doc_id"] is not None}
