@@ -3,19 +3,22 @@
 1. A multinomial logistic classifier, fitted on a bounded sample of the
    labelled table, gives every document its domain posteriors from its whole
    text (hashed word shares and byte shares).
-2. Nonnegative document rates r are fitted by distributed projected gradient
-   on the least-squares objective 1/2 (m - t)' A^-1 (m - t), where
+2. Nonnegative document rates r minimise 1/2 (m - t)' A^-1 (m - t), where
    m = sum_d w_d r_d p_d are the expected domain token totals (w: token
-   shares, p: posteriors), t the targets and A = sum_d w_d p_d p_d'. In this
-   metric the gradient of a document is p_d' A^-1 (m - t) and a step of 1 is
-   safe: r <- max(0, r - p_d' A^-1 (m - t)), with the usual momentum between
-   passes. Without clipped rates one pass is exact. A pass sums K
-   numbers over the documents; the rates themselves never leave the executors,
-   since they follow from p and the K-vectors of the passes so far.
+   shares, p: posteriors), t the targets and A = sum_d w_d p_d p_d'. Of the
+   rates that do so, those nearest to 1 are taken: they are the projection
+   r = max(0, 1 - p_d' v) for one K-vector v of prices. v is found by Newton
+   steps on the K-dimensional dual. A step is one distributed pass over the
+   documents, which sums the totals, the curvature and the objective at all
+   step lengths at once; the rates themselves never leave the executors, since
+   they follow from p and v. Steps go on until the totals are within TOLERANCE
+   of the targets, or the optimality condition shows that no nonnegative rates
+   come nearer; the reached totals are returned and a miss is a warning.
 """
 
 from __future__ import annotations
 
+import warnings
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,8 +34,10 @@ WORD_BUCKETS = 1024
 DIMENSIONS = WORD_BUCKETS + 256 + 1
 SAMPLE_ROWS = 2_000  # labelled rows per domain that the classifier is fitted on, picked by id hash
 CACHE_WORDS = 1_000_000
-PASSES = 40
-TOLERANCE = 1e-5
+TOLERANCE = 1e-5  # L1 distance of the totals from the targets, as shares of all tokens
+PULLS = (1e-2, 1e-4, 1e-6, 1e-8, 1e-10)  # weights of the distance of the rates from 1, each solved from the one before
+STEPS = 0.5 ** np.arange(16)  # lengths tried in one pass
+MAX_PASSES = 400  # an error, not an end, for the fit
 DOMAINS = ("good", "poor", "toxic")
 TARGETS = {"good": 0.90, "poor": 0.08, "toxic": 0.02}
 
@@ -150,13 +155,9 @@ def posterior_table(docs: DataFrame, classifier: Classifier, id_col: str = "doc_
                       f"id {docs.schema[id_col].dataType.simpleString()}, n_tokens bigint, p array<double>")
 
 
-def rates_of(p: np.ndarray, passes: list[np.ndarray], ahead: bool = False) -> np.ndarray:
-    """Rates after the given passes of projected gradient, from rates of 1; ``ahead``: where the next gradient is taken."""
-    r = y = np.ones(len(p))
-    for i, v in enumerate(passes):
-        new = np.maximum(0.0, y - p @ v)
-        r, y = new, new + i / (i + 3.0) * (new - r)
-    return y if ahead else r
+def rates_of(p: np.ndarray, prices: np.ndarray) -> np.ndarray:
+    """Rates of documents with posteriors ``p`` (prices of 0: rates of 1)."""
+    return np.maximum(0.0, 1.0 - p @ prices)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -164,48 +165,76 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
 
 
-def _sums(table: DataFrame, passes: list[np.ndarray], k: int, ahead: bool = True) -> tuple[np.ndarray, np.ndarray, float]:
-    """(sum n r p, sum n p p', sum n) in one distributed pass."""
+def _sums(table: DataFrame, prices: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sum n r^2, sum n r p, sum n p p' where r > 0) for each row of ``prices``, in one distributed pass."""
+    s, k = prices.shape
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, a, total = np.zeros(k), np.zeros((k, k)), 0.0
+        squares, m, curved = np.zeros(s), np.zeros((s, k)), np.zeros((s, k * k))
         for batch in batches:
             if batch.num_rows:
-                n, p = batch.column(0).to_numpy(zero_copy_only=False).astype(float), _matrix(batch.column(1))
-                m += (n * rates_of(p, passes, ahead)) @ p
-                a += (p * n[:, None]).T @ p
-                total += n.sum()
-        values = np.concatenate([m, a.ravel(), [total]])
+                n, p = batch.column(0).to_numpy(zero_copy_only=False).astype(float)[:, None], _matrix(batch.column(1))
+                r = rates_of(p, prices.T)
+                squares += (n * r * r).sum(axis=0)
+                m += (n * r).T @ p
+                curved += (n * (r > 0)).T @ (p[:, :, None] * p[:, None, :]).reshape(len(p), k * k)
+        values = np.concatenate([squares, m.ravel(), curved.ravel()])
         yield pa.RecordBatch.from_arrays([pa.array(range(len(values)), pa.int32()), pa.array(values)], names=["i", "x"])
 
     got = table.select("n_tokens", "p").mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
-    values = np.zeros(k + k * k + 1)
+    values = np.zeros(s + s * k + s * k * k)
     for r in got:
         values[r["i"]] = r["x"]
-    return values[:k], values[k:-1].reshape(k, k), float(values[-1])
+    return values[:s], values[s:s + s * k].reshape(s, k), values[s + s * k:].reshape(s, k, k)
 
 
 def fit_rates(table: DataFrame, targets: dict[str, float], domains: tuple[str, ...] = DOMAINS,
-              factors: bool = False) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """(passes, expected totals, targets) as shares of all tokens.
+              factors: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(prices, expected totals, targets), the last two as shares of all tokens.
 
     ``targets`` are weights that are scaled to the token total, or with
     ``factors`` multiples of each domain's present expected total.
     Targets that no nonnegative rates reach are met as closely as least
-    squares can. An empty table gives no passes.
+    squares can, up to the least of PULLS. An empty table gives prices of 0.
     """
     k = len(domains)
-    m, a, total = _sums(table, [], k)
+    squares, m, a = (x[0] for x in _sums(table, np.zeros((1, k))))
+    total = float(squares)
     t = np.array([max(0.0, targets.get(d, 0.0)) for d in domains])
     if total == 0 or t.sum() == 0:
-        return [], np.zeros(k), t
+        return np.zeros(k), np.zeros(k), t
     t = t * m / total if factors else t / t.sum()
-    inverse = np.linalg.pinv(a / total, rcond=1e-9)
-    passes: list[np.ndarray] = []
-    while np.abs(m / total - t).sum() > TOLERANCE and len(passes) < PASSES:
-        passes.append(inverse @ (m / total - t))
-        m, _, _ = _sums(table, passes, k)
-    return passes, _sums(table, passes, k, ahead=False)[0] / total, t
+    # In coordinates z with prices = base @ z the metric A is the identity; directions that no document has are left out.
+    size, axes = np.linalg.eigh(a / total)
+    held = size > 1e-9 * size.max()
+    base = axes[:, held] / np.sqrt(size[held])
+    z, square, m, curved = np.zeros(held.sum()), 1.0, m / total, a / total
+    passes = 1
+    for pull in PULLS:
+        while np.abs(m - t).sum() > TOLERANCE:
+            slope = base.T @ (t - m) + pull * z
+            if np.linalg.norm(slope) <= 0.01 * TOLERANCE * min(1.0, pull * np.linalg.norm(z)):
+                break  # the optimality condition holds for this pull
+            if passes >= MAX_PASSES:
+                raise RuntimeError(f"rates not fitted after {passes} passes: totals {m}, targets {t}")
+            step = -np.linalg.solve(base.T @ curved @ base + pull * np.eye(len(z)), slope)
+            tried = z + STEPS[:, None] * step
+            squares, ms, curves = (x / total for x in _sums(table, tried @ base.T))
+            passes += 1
+            value = lambda q, x: q / 2 + x @ (base.T @ t) + pull / 2 * (x * x).sum(axis=-1)
+            at = int(np.argmin(value(squares, tried)))
+            if value(squares[at], tried[at]) >= value(square, z):
+                if np.linalg.norm(slope) > TOLERANCE:
+                    raise RuntimeError(f"rates not fitted: totals {m}, targets {t}, slope {slope}")
+                break  # nothing lower within rounding
+            z, square, m, curved = tried[at], squares[at], ms[at], curves[at]
+    return base @ z, m, t
+
+
+def _warn_of_miss(totals: np.ndarray, targets: np.ndarray, domains: tuple[str, ...]) -> None:
+    if np.abs(totals - targets).sum() > TOLERANCE:
+        warnings.warn("no nonnegative rates reach the targets; domain: reached of target, as shares of all tokens: " + ", ".join(
+            f"{d}: {x:.6f} of {t:.6f}" for d, x, t in zip(domains, totals, targets)), stacklevel=3)
 
 
 def mix_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS,
@@ -217,14 +246,16 @@ def mix_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TA
     """
     classifier = fit_classifier(docs, labels, domains, id_col, text_col)
     table = materialise(posterior_table(docs, classifier, id_col, text_col), "posteriors")
-    passes, _, _ = fit_rates(table, targets, domains)
+    prices, totals, wanted = fit_rates(table, targets, domains)
+    if totals.any():
+        _warn_of_miss(totals, wanted, domains)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             p = _matrix(batch.column(2)) if batch.num_rows else np.zeros((0, len(domains)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *[pa.array(p[:, j]) for j in range(len(domains))],
-                 pa.array(rates_of(p, passes))],
+                 pa.array(rates_of(p, prices))],
                 names=["id", "n_tokens", *[f"p_{d}" for d in domains], "rate"])
 
     schema = f"id {table.schema['id'].dataType.simpleString()}, n_tokens bigint, " + "".join(
@@ -244,13 +275,15 @@ def mix_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float],
     """Every row of ``docs`` as many times as its rate says, all columns as they are."""
     classifier = fit_classifier(docs, labels, domains, id_col, text_col)
     table = materialise(posterior_table(docs, classifier, id_col, text_col), "posteriors")
-    passes, _, _ = fit_rates(table, targets, domains, factors)
+    prices, totals, wanted = fit_rates(table, targets, domains, factors)
+    if totals.any():
+        _warn_of_miss(totals, wanted, domains)
     at_id, at_text = docs.columns.index(id_col), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             p, _ = classifier.posteriors(batch.column(at_text).to_pylist())
-            copies = copies_of(rates_of(p, passes), batch.column(at_id).to_pylist())
+            copies = copies_of(rates_of(p, prices), batch.column(at_id).to_pylist())
             rows = np.repeat(np.arange(batch.num_rows), copies)
             for a in range(0, len(rows), 4096):
                 yield batch.take(pa.array(rows[a:a + 4096]))

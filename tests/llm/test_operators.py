@@ -435,6 +435,38 @@ def test_projected_gradient_equals_a_long_plain_run(spark):
     assert np.abs((w * rates) @ p - (w * r) @ p).sum() < 1e-3
 
 
+def posterior_rows(spark, shares, n, sharp=4.0):
+    rng = np.random.default_rng(4)
+    z = rng.normal(size=(n, 3))
+    z[np.arange(n), rng.choice(3, n, p=shares)] += sharp
+    p, n = mixing.softmax(z), rng.integers(1, 500, n)
+    return p, n, spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(n, p)], "n_tokens long, p array<double>")
+
+
+@pytest.mark.parametrize("shares", [(0.5, 0.2, 0.3), (0.05, 0.6, 0.35)])
+def test_rates_reach_the_targets_of_a_small_domain(spark, shares):
+    p, n, table = posterior_rows(spark, shares, 3000)
+    prices, totals, target = mixing.fit_rates(table, mixing.TARGETS)
+    rates = mixing.rates_of(p, prices)
+    assert (rates >= 0).all() and target.tolist() == pytest.approx([0.90, 0.08, 0.02])
+    assert np.abs((n * rates) @ p / n.sum() - target).sum() <= 1.01 * mixing.TOLERANCE
+    assert np.allclose(totals, (n * rates) @ p / n.sum(), atol=1e-9)
+
+
+def test_rates_for_targets_out_of_reach_are_optimal(spark):
+    p, n, table = posterior_rows(spark, (0.2, 0.5, 0.3), 300, sharp=0.5)
+    prices, totals, target = mixing.fit_rates(table, {"good": 1.0})
+    w, rates = n / n.sum(), mixing.rates_of(p, prices)
+    pull = p @ np.linalg.inv((p * w[:, None]).T @ p) @ (totals - target)
+    assert np.abs(totals - target).sum() > 0.1 and np.allclose(totals, (w * rates) @ p)
+    assert pull.min() > -1e-5 and np.abs(pull[rates > 0]).max() < 1e-5
+
+
+def test_missed_targets_are_told(odd, labels):
+    with pytest.warns(UserWarning, match="no nonnegative rates reach the targets"):
+        mixing.op1_query(odd.sparkSession, odd, labels.limit(0))
+
+
 def test_mixing_odd_rows(odd, empty, labels):
     out = mixing.mix_documents(odd, labels, {"good": 1.0, "poor": 0.5, "toxic": 0.5}, factors=True)
     assert out.columns == odd.columns and set(r["doc_id"] for r in out.collect()) <= set(r[0] for r in odd_rows())
