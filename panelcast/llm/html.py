@@ -5,8 +5,10 @@ log-odds that such a run (its innermost region, its block, inside a link or
 not) is content, and every tag costs by how rarely its kind occurs inside
 content; both are learned from labelled pages: pages whose markup names
 its own article. One linear scan finds the region of highest total score.
-Inside the region, runs of regions that are never content (menus, adverts, forms,
-reader comments, ...) are left out.
+Inside the region, runs of regions that are no content (menus, adverts, forms,
+reader comments, ...) are left out. A name (class, id, role) never makes one of
+body, main or article, nor of an element that holds the page's article or,
+where a page has none, nearly all of its text.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ SMOOTHING = 20.0
 MAX_COST = 8.0
 MIN_COST = 0.05
 WORD_PRIOR = 0.5  # a word of an unknown kind of run leans to content
-MAX_RUN_WORDS = 400  # one run counts as at most so many words, so no single run outweighs a page
+BASE_SHARE = 0.1  # a page without article whose text outside named regions is a smaller share of its words has a named wrapper
 
 # Element names of the HTML standard by their role.
 RAW_TEXT = ("script", "style", "textarea", "title", "noscript", "iframe", "template", "svg", "select", "button", "noembed")
@@ -42,6 +44,7 @@ REGIONS = frozenset(
     "article aside body details dialog div fieldset figure footer form head header main menu nav section table ul ol "
     "dl blockquote".split())
 ARTICLE = frozenset(("article", "main"))
+UNNAMED = ARTICLE | {"body"}  # names say nothing about these elements
 OUTSIDE = frozenset(("nav", "aside", "footer", "form", "menu", "head", "dialog", "fieldset"))
 SELF_CLOSING = {"p": ("p",), "li": ("li",), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr", "td", "th"),
                 "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",)}
@@ -52,6 +55,7 @@ BOILERPLATE = re.compile(
     r"sidebar|side-bar|widget|menu|nav\w*|breadcrumbs?|footer|masthead|site-header|page-header|topbar|toolbar|"
     r"comments?|replies|disqus|respond|share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|"
     r"search|pagination|pager|tags|copyright|skip\w*)(?:$|[\s_-])", re.I)
+CONTENT_NAME = frozenset("article content post entry story main body text".split())
 CONTENT = re.compile(r"(?:^|[\s_-])(?:article|content|post|entry|story|main|body|text)(?:$|[\s_-])", re.I)
 
 _TOKEN = re.compile(
@@ -72,6 +76,8 @@ class Run:
     in_article: bool
     number: int
     text: str
+    within: tuple[int, ...] = ()  # elements around it that are regions of no content, by their place on the page
+    inner: bool = False  # inside an article or main element, wherever that stands
 
     def keys(self) -> tuple[str, str, str]:
         return f"region:{self.region}", f"block:{self.block}", f"linked:{self.linked}"
@@ -91,27 +97,64 @@ class Weights:
         return self.tags.get(name, 1.0 if name.strip("/") in REGIONS else 0.2)
 
 
-def _region_name(name: str, named: str) -> tuple[str, bool]:
-    """Kind of region an element opens and whether it is never content."""
-    if name in OUTSIDE or BOILERPLATE.search(named):
+def _region_name(name: str, named: str, free: bool = False) -> tuple[str, bool]:
+    """Kind of region an element opens and whether it is no content; ``free``: neither its name nor its kind says so."""
+    boilerplate = name not in UNNAMED and BOILERPLATE.search(named) and CONTENT_NAME.isdisjoint(named.lower().split())
+    if not free and (name in OUTSIDE or boilerplate):
         return f"{name}!", True
     return (f"{name}+" if CONTENT.search(named) else name), False
 
 
+def _wrappers(runs: list[Run], fixed: set[int]) -> set[int]:
+    """Elements of no content by name that must be wrappers: they hold the page's article or nearly all of its text.
+
+    ``fixed`` elements (menus, asides, footers, ...) are never wrappers. Of
+    several articles those under the fewest such elements are the page's own.
+    """
+    runs = [r for r in runs if fixed.isdisjoint(r.within)]
+    articles = [r.within for r in runs if r.inner]
+    if articles:
+        least = min(map(len, articles))
+        return {e for within in articles if len(within) == least for e in within}
+    sized = [(r.within, len(r.text.split())) for r in runs if not r.linked]
+    total, freed = sum(n for _, n in sized), set()
+    while sum(n for within, n in sized if freed.issuperset(within)) < BASE_SHARE * total:
+        held: Counter = Counter()
+        for within, n in sized:
+            outer = next((e for e in within if e not in freed), None)
+            if outer is not None:
+                held[outer] += n
+        freed.add(held.most_common(1)[0][0])
+    return freed
+
+
 def parse(page: str) -> list[Run | str]:
-    """Runs and tag names in page order, in one pass over the whole page.
+    """Runs and tag names in page order; names are lower case, a closing tag is "/name".
 
-    Names are lower case, a closing tag is "/name", a tag inside a region that is no content ends in "!".
+    A tag inside a region that is no content ends in "!". A page with wrappers is scanned twice.
     """
+    fixed: set[int] = set()
+    out = _scan(page, frozenset(), fixed)
+    runs = [t for t in out if isinstance(t, Run)]
+    if not any(r.within for r in runs):
+        return out
+    freed = _wrappers(runs, fixed)
+    return _scan(page, frozenset(freed), set()) if freed else out
+
+
+def _scan(page: str, freed: frozenset[int], fixed: set[int]) -> list[Run | str]:
+    """One pass over the whole page; adds to ``fixed`` the elements that no page has as its wrapper."""
     out: list[Run | str] = []
-    stack: list[tuple[str, str, bool, bool]] = []  # element, region, excluded, in article
-    links, number, at = 0, 0, 0
+    # element, region, excluded, in article, regions of no content around, inside any article
+    stack: list[tuple[str, str, bool, bool, tuple[int, ...], bool]] = []
+    top = ("", "body", False, False, (), False)
+    links, number, at, opened = 0, 0, 0, 0
     block = "body"
 
     def text(upto: int) -> None:
         if upto > at and not page[at:upto].isspace():
-            _, region, excluded, inside = stack[-1] if stack else ("", "body", False, False)
-            out.append(Run(region, block, links > 0, excluded, inside, number, page[at:upto]))
+            _, region, excluded, inside, within, inner = stack[-1] if stack else top
+            out.append(Run(region, block, links > 0, excluded, inside, number, page[at:upto], within, inner))
         elif upto > at and out and isinstance(out[-1], Run):
             out[-1].text += " "  # white space between inline elements separates words
 
@@ -139,20 +182,24 @@ def parse(page: str) -> list[Run | str]:
                     del stack[i:]
                     break
         else:
-            _, region, excluded, inside = stack[-1] if stack else ("", "body", False, False)
+            _, region, excluded, inside, within, inner = stack[-1] if stack else top
             named = " ".join(x or y or z for x, y, z in _NAMES.findall(m["attr"] or ""))
-            region, outside = _region_name(name, named)
-            if name == "header" and not inside:
+            opened += 1
+            region, outside = _region_name(name, named, opened in freed)
+            if name == "header" and not inside and opened not in freed:
                 region, outside = "header!", True
+            if name in OUTSIDE and name != "form":
+                fixed.add(opened)
             if name in ("ul", "ol", "dl", "table", "div", "section", "blockquote", "figure") and stack and not outside:
                 region = stack[-1][1] if region == name and stack[-1][1] not in ("body", "div") else region
-            stack.append((name, region, excluded or outside, (inside or name in ARTICLE) and not outside))
+            stack.append((name, region, excluded or outside, (inside or name in ARTICLE) and not outside,
+                          (*within, opened) if outside else within, inner or name in ARTICLE))
     text(len(page))
     return out
 
 
 def _n_words(run: Run) -> int:
-    return min(MAX_RUN_WORDS, len(run.text.split()))
+    return len(run.text.split())
 
 
 def count_tokens(page: str) -> Counter:

@@ -246,6 +246,40 @@ def test_html_long_page_is_whole():
     assert html.extract(page, weights).count("\n") == 19_999
 
 
+WORDS = "An ordinary text of some length, with a few words in every sentence."
+TAIL = '<div class="comments"><p>a reader writes</p></div><aside>see also</aside>'
+REST = '<nav><a href="/a">Home</a></nav>{}<div class="ad">Buy many nice things here today please</div><footer>&copy; someone</footer>'
+
+
+@pytest.mark.parametrize("page", [
+    '<body class="no-sidebar">' + REST.format(f"<article><p>{WORDS}</p>{TAIL}</article>"),
+    "<body>" + REST.format(f'<div class="layout with-sidebar"><article><p>{WORDS}</p>{TAIL}</article></div>'),
+    "<body>" + REST.format(f'<article class="post notice"><p>{WORDS}</p>{TAIL}</article>'),
+    "<body>" + REST.format(f'<main id="main-search"><article><p>{WORDS}</p>{TAIL}</article></main>'),
+    "<body>" + REST.format(f'<form id="page"><article><p>{WORDS}</p>{TAIL}</article></form>'),
+    "<body>" + REST.format(f'<div class="widget"><article><p>{WORDS}</p></article><div class="related"><article>card</article></div></div>'),
+    "<body>" + REST.format(f'<div class="with-sidebar"><div class="has-banner"><p>{WORDS * 5}</p>{TAIL}</div></div>'),
+    "<body>" + REST.format(f'<p>{WORDS}</p><div class="post notice"><p>{WORDS}</p></div>{TAIL}'),
+])
+def test_html_wrappers_with_names_of_boilerplate(page):
+    weights = html.weights_of(html.count_tokens(PAGE * 3))
+    got = html.extract(page, weights)
+    assert got.replace("\n", "").replace(" ", "") == (WORDS * page.count(WORDS)).replace(" ", "")
+    assert ("<article" not in page) == (not html.count_tokens(page))  # a labelled page stays one
+
+
+def test_html_names_still_leave_regions_out():
+    weights = html.weights_of(html.count_tokens(PAGE * 3))
+    page = f'<body><div id="c"><p>{WORDS}</p></div><div class="comments"><p>{WORDS.upper() * 5}</p></div></body>'
+    assert html.extract(page, weights) == WORDS
+
+
+def test_html_long_run_counts_whole():
+    weights = html.Weights()
+    page = "<body><p>" + "long " * 900 + "</p>" + "<hr>" * 3000 + ("<p>" + "short " * 300 + "</p>") * 2 + "</body>"
+    assert html.extract(page, weights).split() == ["long"] * 900
+
+
 def test_html_query(spark):
     pages = read_table(spark, SF_SMALL, "pages")
     out = {r["page_id"]: r for r in queries.op2_html_extraction(spark, SF_SMALL).collect()}
