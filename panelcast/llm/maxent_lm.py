@@ -351,22 +351,22 @@ def train(encoded: DataFrame, stats: CorpusStatistics) -> Model:
     mass = np.bincount(cluster[SINGLES + 2:], weights=stats.ending_mass, minlength=CLASSES)
     model = Model(cluster, np.log10(np.maximum(mass, 1e-9)), np.log(prior).astype(np.float32),
                   (START_SHARE * np.log(ratio)).astype(np.float32))
-    for step in range(ROUNDS):
-        gradient = _reduce(encoded, (TEMPLATES * CONTEXT + 1) * CLASSES, _gradient(model, step))
-        shift = gradient[:-CLASSES].reshape(seen.shape) / (seen / ROUNDS + SMOOTHING / 4) / (TEMPLATES + 1)
+    for _ in range(ROUNDS):
+        gradient = _reduce(encoded, (TEMPLATES * CONTEXT + 1) * CLASSES, _gradient(model))
+        shift = gradient[:-CLASSES].reshape(seen.shape) / (seen + SMOOTHING / 4) / (TEMPLATES + 1)
         model.weights += np.clip(shift, -1, 1).astype(np.float32)
-        model.bias += np.clip(gradient[-CLASSES:] / (seen[0].sum(axis=0) / ROUNDS + 1.0) / (TEMPLATES + 1), -1, 1).astype(np.float32)
+        model.bias += np.clip(gradient[-CLASSES:] / (seen[0].sum(axis=0) + 1.0) / (TEMPLATES + 1), -1, 1).astype(np.float32)
     n1, n2, n3 = (float(x) for x in stats.of_count)
     model.bias[RARE] += np.log((n1 + 2 * n2 + 3 * n3 + 1) / (n1 + 2 * n2 + 1))  # rare words met in new text
     return model
 
 
-def _gradient(model: Model, step: int):
-    """Adds observed minus expected feature counts over the training documents whose place is step modulo ROUNDS."""
+def _gradient(model: Model):
+    """Adds observed minus expected feature counts over all training documents."""
 
     def add(total, groups, history, shape):
         lengths, held = shape
-        use = ~np.repeat(held | (np.arange(len(held)) % ROUNDS != step), lengths)
+        use = ~np.repeat(held, lengths)
         features, classes = feature_numbers(history, lengths)[:, use], model.cluster[groups[use]]
         blocks = total[:-CLASSES].reshape(TEMPLATES, CONTEXT, CLASSES)
         for a in range(0, len(classes), BATCH):

@@ -426,6 +426,12 @@ def test_lm_beats_the_base_on_held_out_rows(docs):
     assert sum(r["score"] for r in out) > sum(r["base_score"] for r in out)
 
 
+def test_lm_does_not_depend_on_the_layout(docs):
+    one, many = ({r["doc_id"]: r["score"] for r in maxent_lm.op6_query(df.sparkSession, df).collect()}
+                 for df in (docs.coalesce(1), docs.repartition(40, "doc_id")))
+    assert one.keys() == many.keys() and all(many[i] == pytest.approx(x, rel=1e-4) for i, x in one.items())
+
+
 def test_lm_is_a_distribution():
     rng = np.random.default_rng(0)
     model = maxent_lm.Model(np.arange(maxent_lm.GROUPS) % maxent_lm.CLASSES, np.zeros(maxent_lm.CLASSES),
