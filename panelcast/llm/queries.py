@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import hamming_search, html, licenses, maxent_lm, mixing, pieces, quality, sharding, simhash, toxicity
+from panelcast.llm import (
+    hamming_search, html, licenses, maxent_lm, mixing, ngram_join, periodic_runs, pieces, quality, sharding, simhash, toxicity, zone_kmeans)
 from panelcast.llm.common import read_table
 
 
@@ -50,11 +51,24 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.op10_query(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.op11_query(spark, read_table(spark, sf_dir, "documents"))
+
+
+def op12_zone_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zone_kmeans.op12_query(spark, read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.op13_query(spark, read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_mixing, op2_html_extraction, op3_license_scan, op4_hamming_search, op5_quality_rules, op6_lm_scoring, op7_toxicity, op8_piece_encoding, op9_simhash_dedup,
-        op10_sharding)}
+        op10_sharding, op11_ngram_join, op12_zone_kmeans, op13_periodic_runs)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_license_scan": licenses.oracle_sql(), "op4_hamming_search": hamming_search.oracle_sql()}
+    return {"op3_license_scan": licenses.oracle_sql(), "op4_hamming_search": hamming_search.oracle_sql(),
+            "op12_zone_kmeans": zone_kmeans.oracle_sql()}
