@@ -26,3 +26,12 @@ def assert_no_nulls(df: DataFrame, cols: list[str] | None = None) -> None:
     bad = {k: v for k, v in row.asDict().items() if v}
     if bad:
         raise AssertionError(f"unexpected nulls: total {sum(bad.values())} in {bad}")
+
+
+def schema_report(df: DataFrame) -> DataFrame:
+    """(position, column_name, data_type, n_values): the columns in their order, with the non-null values of each (one pass)."""
+    about = df.sparkSession.createDataFrame(
+        [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)],
+        "position int, column_name string, data_type string")
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]).unpivot([], df.columns, "column_name", "n_values")
+    return about.join(F.broadcast(counts), "column_name").select("position", "column_name", "data_type", "n_values")  # one row per column

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.operators.quantiles import exact_quantiles
@@ -28,13 +28,22 @@ def correlation_with_target(df: DataFrame, cols: Sequence[str], target: str = TA
 
     Long form: each row is unpivoted to (feature, x, y) and one grouped
     aggregate runs per feature (partial aggregation on the map side, a
-    shuffle of features x tasks rows). Sort with ``orderBy(abs(r).desc())``.
+    shuffle of features x tasks rows).
     """
     long = df.select(F.col(target).cast("double").alias("_y"), F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("_x")) for c in cols])).alias("_s"))
     return long.groupBy(F.col("_s.feature").alias("feature")).agg(safe_corr("_s._x", "_y").alias("r"))
 
 
+def ranked_by_strength(correlations: DataFrame) -> DataFrame:
+    """(position, feature, r), strongest first by absolute value, ties by feature; null correlations come last.
+
+    One row per feature, so the ranking window is bounded by the number of columns.
+    """
+    strongest = Window.orderBy(F.abs("r").desc_nulls_last(), "feature")
+    return correlations.select(F.row_number().over(strongest).alias("position"), "feature", "r").orderBy("position")
+
+
 def acf(df: DataFrame, lags: Sequence[int] = ACF_LAGS, key=KEY, date_col=DATE, target=TARGET) -> DataFrame:
     """Autocorrelation of each series at each lag: corr(y[t], y[t-lag]) over
     overlapping rows (row based). Returns (key, lag, n, acf); ``n`` is the

@@ -59,6 +59,17 @@ def national_holidays(hol_df: DataFrame, locale: str = "National") -> DataFrame:
     )
 
 
+def transferred_holidays(hol_df: DataFrame) -> DataFrame:
+    """Holiday rows that were moved to another day (filter on the flag; null is not true)."""
+    return hol_df.where(F.col("transferred"))
+
+
+def holiday_rows(df: DataFrame, date_col=DATE, target: str = "transactions", key=KEY) -> DataFrame:
+    """Rows of a holiday or of the day before or after one (OR of the flags of ``add_holiday_features``)."""
+    return df.where(F.col("is_national_holiday") | F.col("is_holiday_window")).select(
+        date_col, key, target, "is_national_holiday", "is_day_before_holiday", "is_day_after_holiday", "hol_type_national")
+
+
 def add_holiday_features(df: DataFrame, hol_df: DataFrame, date_col=DATE, locale: str = "National",
                          dedupe: bool = False) -> DataFrame:
     """Holiday flags and the national holiday type.
@@ -72,9 +83,6 @@ def add_holiday_features(df: DataFrame, hol_df: DataFrame, date_col=DATE, locale
     nat = national_holidays(hol_df, locale).withColumnRenamed("date", date_col)
     if dedupe:
         nat = nat.groupBy(date_col).agg(F.min("hol_type_national").alias("hol_type_national"))
-    # bounded by the calendar: size-checked once (and cached), so the flag,
-    # date and calendar tables below read it instead of re-deriving it
-    nat = sized_broadcast(nat)
     # day-before / day-after flags per calendar date, from the holiday dates
     flags = nat.select(F.explode(F.array(
         F.struct(F.date_sub(F.col(date_col), 1).alias("d"), F.lit(True).alias("b"), F.lit(False).alias("a")),
@@ -83,8 +91,7 @@ def add_holiday_features(df: DataFrame, hol_df: DataFrame, date_col=DATE, locale
         F.max("_f.b").alias("is_day_before_holiday"), F.max("_f.a").alias("is_day_after_holiday"))
     # one calendar table: a row per holiday row (fan-out kept) or per flag-only
     # date; built from a left join and an anti join (both broadcastable)
-    flags = sized_broadcast(flags)
-    cal = nat.join(flags, date_col, "left").unionByName(
+    cal = nat.join(sized_broadcast(flags), date_col, "left").unionByName(
         flags.join(sized_broadcast(nat.select(date_col).distinct()), date_col, "left_anti").withColumn(
             "hol_type_national", F.lit(None).cast("string")))
     out = df.join(sized_broadcast(cal), on=date_col, how="left").withColumns({

@@ -12,7 +12,10 @@ the exchange keep its partitioning.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from panelcast.functions.core import series_window, sized_broadcast
+from panelcast.operators import hot_series as H
 from panelcast.operators.checks import assert_no_nulls
 from panelcast.operators.exogenous import add_holiday_features, add_oil_features, add_store_features
 from panelcast.operators.features import (
@@ -24,6 +27,7 @@ from panelcast.operators.features import (
     add_ratio_features,
     add_rolling_mean,
     drop_warmup,
+    guarded_mean,
 )
 
 # Fixed values (must equal the reference): feature lists and windows.
@@ -72,6 +76,41 @@ def build_features(tx: DataFrame, stores: DataFrame, oil: DataFrame, holidays: D
     )
 
 
+LOOKBACK_ROWS = 28  # no feature reaches further back, but for the oil fill
+
+
+def add_window_features(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The target's features that look back along the series."""
+    return (
+        df.transform(add_lag, lags=LAGS, group_col=keys)
+        .transform(add_rolling_mean, window_sizes=ROLLING_WINDOWS, group_col=keys)
+        .transform(add_momentum_features, over=keys)
+        .transform(add_historical_benchmarks, over_cols=keys)
+        .transform(add_ratio_features)
+        .transform(add_difference_features, group_col=keys)
+    )
+
+
+def build_final_dataset_in_chunks(tx: DataFrame, stores: DataFrame, oil: DataFrame, holidays: DataFrame,
+                                  warmup: int = WARMUP_ROWS, chunk_rows: int = H.CHUNK_ROWS, key: str = "store_nbr",
+                                  date_col: str = "date") -> DataFrame:
+    """``build_final_dataset`` with every series spread over tasks: the same rows, no task that grows with a series."""
+    if warmup > chunk_rows:
+        raise ValueError("the warm-up must end within the first chunk")
+    quotes = H.row_numbers(tx, key, date_col).join(sized_broadcast(oil.select(date_col, "dcoilwtico")), date_col, "left")
+    filled = H.fill_in_chunks(quotes, "dcoilwtico", "oil_price", key, chunk_rows).drop("dcoilwtico")
+
+    def build(df: DataFrame, keys: list[str]) -> DataFrame:
+        return add_window_features(df, keys).withColumn(
+            "oil_price_ma7", guarded_mean("oil_price", series_window(keys, date_col), -6, 0, 7))
+
+    featured = H.in_chunks(
+        filled.transform(add_store_features, stores).transform(add_cyclical_time_features), build, LOOKBACK_ROWS, key, date_col,
+        chunk_rows, numbered=True, keep_chunk=True)
+    ranked = drop_warmup(add_holiday_features(featured, holidays), n=0, group_col=[key, H.CHUNK], keep_rank=True)
+    return ranked.where((F.col(H.CHUNK) > 0) | (F.col("day_rank") > warmup)).drop(H.CHUNK, "day_rank")
+
+
 def build_final_dataset(tx: DataFrame, stores: DataFrame, oil: DataFrame, holidays: DataFrame,
                         warmup: int = WARMUP_ROWS, check_nulls: bool = False,
                         dedupe_holidays: bool = False) -> DataFrame:

@@ -21,7 +21,6 @@ series (``mapInPandas``) and un-scales.
 
 from __future__ import annotations
 
-import math
 import warnings
 from collections.abc import Iterator, Sequence
 
@@ -37,6 +36,7 @@ from panelcast.plans.forecast.sequence import HORIZON, LOOKBACK, window_frames
 from panelcast.session import checkpoint_dir
 
 KEY, DATE, TARGET = "store_nbr", "date", "transactions"
+FAN_IN = 64  # Gram arrays added up by one task
 
 
 def _design(pdf: pd.DataFrame, extras: Sequence[str]) -> np.ndarray:
@@ -131,15 +131,17 @@ def _fit_one_pass(spark: SparkSession, frames: DataFrame, extras: Sequence[str],
 
     checkpoint_dir(spark)
     res = frames.mapInPandas(part, schema).checkpoint(eager=True)
-    # One array per partition, reduced in two levels: a few groups of partitions, then one.
-    grams = res.where(F.col("kind") == 0).select("gram")
-    groups = max(1, math.isqrt(res.rdd.getNumPartitions()))
-    sums = [np.frombuffer(r[0]) for r in grams.repartition(groups).mapInPandas(add_up, "gram binary").collect()]
+    # One array per partition, added up in a tree of tasks of FAN_IN arrays each: one array reaches the driver.
+    grams, parts = res.where(F.col("kind") == 0).select("gram"), res.rdd.getNumPartitions() + 1
+    while parts > 1:
+        parts = -(-parts // FAN_IN)
+        grams = grams.repartition(parts).mapInPandas(add_up, "gram binary")
+    sums = [np.frombuffer(r[0]) for r in grams.collect()]
     if not sums:
         return None, res
-    assert all(len(x) == n_cells for x in sums)
+    assert len(sums) == 1 and len(sums[0]) == n_cells
     G = np.zeros((size, size))
-    G[np.triu_indices(size)] = np.sum(sums, axis=0)
+    G[np.triu_indices(size)] = sums[0]
     G = G + np.triu(G, 1).T
     lam = np.full(d, ridge)
     lam[d - 1 - len(extras)] = 0.0  # no penalty on the intercept

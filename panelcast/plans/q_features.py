@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from panelcast.operators.checks import null_profile
@@ -17,8 +19,16 @@ from panelcast.operators.features import (
     drop_warmup,
 )
 from panelcast.plans.catalog import register
-from panelcast.plans.feature_pipeline import LAGS, ROLLING_WINDOWS, build_features, build_final_dataset
-from panelcast.sources.fixtures import panel, with_views
+from panelcast.plans.feature_pipeline import (
+    LAGS,
+    ROLLING_WINDOWS,
+    build_features,
+    build_final_dataset,
+    build_final_dataset_in_chunks,
+)
+from panelcast.plans.refresh import read_final_dataset, refresh_final_dataset
+from panelcast.session import checkpoint_dir
+from panelcast.sources.fixtures import TRAIN_END, VAL_END, panel, with_views
 
 W = "WINDOW w AS (PARTITION BY store_nbr ORDER BY date)"
 
@@ -219,6 +229,33 @@ def final_dataset(spark, d):
     return _final(spark, d)
 
 
+@register(
+    "final_dataset_in_chunks",
+    with_views("SELECT * EXCLUDE (_day_rank) FROM f7 WHERE _day_rank > 28", *FINAL_CTES),
+    doubles=FEATURE_DOUBLES,
+)
+def final_dataset_in_chunks(spark, d):
+    """The same dataset with series cut into chunks with halos (chunks of 256 rows, so every series has several)."""
+    p = panel(spark, d)
+    return build_final_dataset_in_chunks(p.tx, p.stores, p.oil, p.holidays, chunk_rows=256)
+
+
+@register(
+    "final_dataset_refreshed",
+    with_views("SELECT * EXCLUDE (_day_rank) FROM f7 WHERE _day_rank > 28", *FINAL_CTES),
+    doubles=FEATURE_DOUBLES,
+)
+def final_dataset_refreshed(spark, d):
+    """The same dataset by refreshes: the training dates, the validation dates, the rest, and the rest once more."""
+    p = panel(spark, d)
+    path = f"{checkpoint_dir(spark)}/final-{uuid.uuid4().hex}"
+    train, val = (F.lit(x).cast("date") for x in (TRAIN_END, VAL_END))
+    last = p.tx.where(F.col("date") > val)
+    for part in (p.tx.where(F.col("date") <= train), p.tx.where((F.col("date") > train) & (F.col("date") <= val)), last, last):
+        refresh_final_dataset(spark, path, part, p.stores, p.oil, p.holidays)
+    return read_final_dataset(spark, path)
+
+
 @register(
     "warmup_trim",
     with_views("SELECT store_nbr, date, hol_type_national, CAST(_day_rank AS DOUBLE) AS day_rank FROM h "

@@ -7,6 +7,8 @@ and pooling are deterministic array transforms with DuckDB twins.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -34,13 +36,16 @@ from panelcast.plans.forecast.sequence import (
 from panelcast.plans.forecast.trees import (
     feature_importance,
     feature_matrix,
+    first_splits,
     fit_boosted_trees,
     learning_curve,
+    persist,
     predict_trees,
+    tree_nodes,
 )
 from panelcast.plans.q_profile import FINAL, _tx
 from panelcast.sources.fixtures import TRAIN_END, VAL_END, folder_state, panel, with_views
-from panelcast.session import session_id
+from panelcast.session import checkpoint_dir, session_id
 
 # Fitted trees by session, state of the table files, history and variant: several queries report on
 # one fit. Only models are kept, no data; a rewritten folder has another state and is fitted anew.
@@ -69,7 +74,8 @@ def _horizon(spark, d, split):
 def _tree_fit(spark, d, variant, history="train"):
     k = (session_id(spark), folder_state(spark, d), history, variant)
     if k not in _FITS:
-        _FITS[k] = fit_boosted_trees(_views(spark, d)[history], FEATURES_EX_ANTE, variant=variant)
+        fit = fit_boosted_trees(_views(spark, d)[history], FEATURES_EX_ANTE, variant=variant)
+        _FITS[k] = persist(spark, fit, f"{checkpoint_dir(spark)}/trees-{uuid.uuid4().hex}")
     return _FITS[k]
 
 
@@ -123,7 +129,7 @@ def boosted_trees_test_q(spark, d):
 
 @register("feature_importance")
 def feature_importance_q(spark, d):
-    """Per-feature importance and share (sums to 1) of both tree variants."""
+    """Per-feature importance and share (sums to 1) of both variants' node tables: mean gain per split, number of splits."""
     a = _with_model(feature_importance(spark, _tree_fit(spark, d, "early_stop")), "gbt_early_stop")
     b = _with_model(feature_importance(spark, _tree_fit(spark, d, "full_sample")), "gbt_full_sample")
     return a.unionByName(b)
@@ -140,6 +146,39 @@ def feature_importance_compare_q(spark, d):
     return a.join(b, "feature", "inner").dropna().orderBy(F.desc("share_early_stop"), "feature").limit(15)
 
 
+@register("tree_nodes")
+def tree_nodes_q(spark, d):
+    """Every node of both persisted models."""
+    a, b = (_with_model(tree_nodes(spark, _tree_fit(spark, d, v)), f"gbt_{v}") for v in ("early_stop", "full_sample"))
+    return a.unionByName(b)
+
+
+# Features with few values: their bins are the values themselves, as in the SQL.
+SPLIT_FEATURES = ["weekday", "month", "quarter", "store_type_enc", "cluster", "is_national_holiday", "is_day_before_holiday"]
+
+
+def _first_splits_sql():
+    values = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v, CAST(transactions AS DOUBLE) AS y FROM final WHERE date <= DATE '{TRAIN_END}'"
+        for c in SPLIT_FEATURES)
+    return (
+        f"u AS ({values}), m AS (SELECT feature, avg(y) AS base, count(*) AS n FROM u GROUP BY feature), "
+        "s AS (SELECT u.feature, u.v, sum(m.base - u.y) AS g, count(*) AS c, any_value(m.n) AS n FROM u JOIN m ON m.feature = u.feature GROUP BY u.feature, u.v), "
+        "w AS (SELECT feature, v, n, sum(g) OVER (PARTITION BY feature ORDER BY v) AS gl, sum(c) OVER (PARTITION BY feature ORDER BY v) AS nl, "
+        "sum(g) OVER (PARTITION BY feature) AS gt FROM s), "
+        "k AS (SELECT feature, v, nl, n, 0.5 * (gl * gl / (nl + 1) + (gt - gl) * (gt - gl) / (n - nl + 1) - gt * gt / (n + 1)) AS gain FROM w WHERE nl < n), "
+        "b AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY gain DESC, v) AS r FROM k)")
+
+
+@register("tree_first_splits", with_views(
+    "SELECT feature, v AS threshold, floor(gain * 1000 + 0.5) / 1000 AS gain, CAST(nl AS BIGINT) AS rows_left, CAST(n - nl AS BIGINT) AS rows_right "
+    "FROM b WHERE r = 1 AND gain > 1e-9", *FINAL, _first_splits_sql(), by="nation"), doubles=["threshold", "gain"])
+def tree_first_splits_q(spark, d):
+    """The histogram job's best split of all training rows per feature, gain to three places."""
+    found = first_splits(_views(spark, d)["train"], SPLIT_FEATURES)
+    return found.withColumn("gain", F.floor(F.col("gain") * 1000 + 0.5) / 1000)
+
+
 @register("learning_curve")
 def learning_curve_q(spark, d):
     """RMSE per boosting round of both variants: fitting rows, and the stopping set of the early-stop variant."""
@@ -202,7 +241,7 @@ def recover_seasonal_arx(spark, d):
 
 
 @register("forecast_contract", with_views(
-    "SELECT m.model, f.split, count(*) AS n_rows, count(*) AS n_keys, 0 AS n_not_finite, 0 AS n_null_actuals "
+    "SELECT m.model, f.split, count(*) AS n_rows, count(DISTINCT (f.store_nbr, f.date)) AS n_keys, 0 AS n_not_finite, 0 AS n_null_actuals "
     "FROM (SELECT *, CASE WHEN date <= DATE '" + VAL_END + "' THEN 'val' ELSE 'test' END AS split FROM final "
     f"WHERE date > DATE '{TRAIN_END}') f CROSS JOIN (VALUES ('decomposable'), ('seasonal_arx')) m(model) GROUP BY 1, 2",
     *FINAL, by="nation"))
@@ -215,11 +254,11 @@ def forecast_contract(spark, d):
                           ("seasonal_arx", forecast_seasonal_arx(rows, "is_train", EXOG_COLS))):
             parts.append(job.where(F.col("status") == "ok").groupBy().agg(
                 F.count(F.lit(1)).alias("n_rows"),
-                F.count_distinct("store_nbr", "date").alias("_keys"),
+                F.count_distinct("store_nbr", "date").alias("n_keys"),
                 F.count_if(F.col("y_pred").isNull() | F.isnan("y_pred")).cast("int").alias("n_not_finite"),
                 F.count_if(F.col("y_true").isNull()).cast("int").alias("n_null_actuals"),
             ).select(F.lit(name).alias("model"), F.lit(split).alias("split"), "n_rows",
-                     F.col("n_rows").alias("n_keys"), "n_not_finite", "n_null_actuals"))
+                     "n_keys", "n_not_finite", "n_null_actuals"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -12,8 +12,10 @@ from panelcast.operators.correlation import (
     acf_panel,
     acf_summary,
     correlation_with_target,
+    ranked_by_strength,
 )
-from panelcast.operators.exogenous import enrich_stores
+from panelcast.operators.checks import schema_report as schema_report_op
+from panelcast.operators.exogenous import enrich_stores, holiday_rows as holiday_rows_op, transferred_holidays as transferred_op
 from panelcast.functions.core import safe_corr
 from panelcast.operators.split import split_counts as split_counts_op, static_table as static_table_op, to_long_format
 from panelcast.plans.catalog import register
@@ -366,6 +368,46 @@ def _acf_union(src: str, lags, with_key: bool) -> str:
     return " UNION ALL ".join(f"SELECT {k}{n} AS lag, a{n} AS acf FROM {src}" for n in lags)
 
 
+@register("feature_correlations_ranked", with_views(
+    "SELECT CAST(row_number() OVER (ORDER BY abs(r) DESC NULLS LAST, feature) AS INTEGER) AS position, feature, r FROM u",
+    *FINAL,
+    "u AS (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, corr(CAST({'CAST(' + c + ' AS INTEGER)' if c.startswith('is_') else c} AS DOUBLE), "
+        f"CAST(transactions AS DOUBLE)) AS r FROM final" for c in CORR_COLS) + ")"),
+    doubles=["r"])
+def feature_correlations_ranked(spark, d):
+    """Correlations with the target, strongest first by absolute value."""
+    return ranked_by_strength(correlation_with_target(_final(spark, d), CORR_COLS))
+
+
+@register("transferred_holidays", with_views("SELECT * FROM holidays WHERE transferred"))
+def transferred_holidays(spark, d):
+    """Holidays that were moved to another day (filter on a flag)."""
+    return transferred_op(panel(spark, d).holidays)
+
+
+@register("holiday_rows", with_views(
+    "SELECT date, store_nbr, transactions, is_national_holiday, is_day_before_holiday, is_day_after_holiday, hol_type_national "
+    "FROM final WHERE is_national_holiday OR is_holiday_window", *FINAL))
+def holiday_rows(spark, d):
+    """Rows on a national holiday or next to one (OR of flags)."""
+    return holiday_rows_op(_final(spark, d))
+
+
+FINAL_TYPES = ["store_nbr", "date", "transactions", "oil_price", "is_national_holiday", "is_holiday_window", "hol_type_national", "month",
+               "lag_7", "rolling_mean_7_days"]
+
+
+@register("schema_report", with_views(
+    " UNION ALL ".join(
+        f"SELECT CAST({i} AS INTEGER) AS position, '{c}' AS column_name, CASE any_value(typeof({c})) WHEN 'VARCHAR' THEN 'string' "
+        f"WHEN 'INTEGER' THEN 'int' ELSE lower(any_value(typeof({c}))) END AS data_type, count({c}) AS n_values FROM final"
+        for i, c in enumerate(FINAL_TYPES)), *FINAL))
+def schema_report(spark, d):
+    """Column names, types and values of the final dataset."""
+    return schema_report_op(_final(spark, d).select(*FINAL_TYPES))
+
+
 @register("acf_one", with_views(
     "SELECT lag, acf FROM u",
     f"s AS (SELECT date, CAST(transactions AS DOUBLE) AS y FROM tx WHERE store_nbr = {PICK_SQL})",

@@ -4,6 +4,7 @@
 import datetime as dt
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,19 +128,84 @@ def test_leaderboard_common_rows_and_both_mapes(spark):
     assert E.best_model(E.leaderboard(preds).withColumn("split", F.lit("test"))).first()["model"] == "b"
 
 
-def test_staged_early_stop_equals_single_full_fit(spark, monkeypatch):
-    from panelcast.plans.forecast import trees
-
+def test_early_stop_fits_every_row_for_the_best_rounds(spark):
     df = linear_weekly(spark, n=120).withColumn("weekday", F.weekday("date")).withColumn(
         "t", F.datediff("date", F.lit(D0)))
     hist, fut = split(df, 100)
     feats = ["weekday", "t", "oil_price"]
-    full = fit_boosted_trees(hist, feats, variant="early_stop", rounds=16, patience=4, depth=3, first_stage=1000)
-    staged = fit_boosted_trees(hist, feats, variant="early_stop", rounds=16, patience=4, depth=3, first_stage=5)
-    assert full.n_rows == staged.n_rows == hist.count()  # the model is fitted on every training row
-    assert staged.best_rounds == full.best_rounds
-    assert [r for r, _, _ in staged.curve] == [r for r, _, _ in full.curve]
-    assert [v for _, _, v in staged.curve] == pytest.approx([v for _, _, v in full.curve], rel=1e-12)
-    pf = {(r["store_nbr"], r["date"]): r["y_pred"] for r in predict_trees(full, fut).collect()}
-    ps = {(r["store_nbr"], r["date"]): r["y_pred"] for r in predict_trees(staged, fut).collect()}
-    assert pf == ps
+    fit = fit_boosted_trees(hist, feats, variant="early_stop", rounds=16, patience=4, depth=3)
+    assert fit.n_rows == hist.count()  # the model is fitted on every training row
+    valid = [v for _, _, v in fit.curve]
+    assert fit.best_rounds == valid.index(min(valid)) + 1 == fit.model.getNumTrees
+    assert len(fit.curve) == min(16, fit.best_rounds + 4)
+    longer = fit_boosted_trees(hist, feats, variant="early_stop", rounds=12, patience=12, depth=3)
+    assert [v for _, _, v in longer.curve[:4]] == valid[:4]  # rounds depend on the rounds before only
+
+
+def dense_likelihood(coefs, y, X, seen):
+    """The diffuse likelihood from the full covariance matrix of the levels."""
+    from panelcast.plans.forecast import seasonal_arx as S
+
+    phi, Phi, th, Th = coefs
+    n = len(y)
+    T, _, R = S.state_space(*coefs)
+    arma = slice(0, S.N_ARMA)
+    P = S.stationary_covariance(T[arma, arma], np.outer(R[arma], R[arma]))
+    gamma, A = [], np.eye(S.N_ARMA)
+    for _ in range(n):
+        gamma.append((A @ P)[0, 0])
+        A = T[arma, arma] @ A
+    toeplitz = np.array([[gamma[abs(i - j)] for j in range(n)] for i in range(n)])
+    D = np.eye(n) - np.eye(n, k=-1) - np.eye(n, k=-7) + np.eye(n, k=-8)
+    M = np.linalg.inv(D)
+    V = (M @ toeplitz @ M.T)[np.ix_(seen, seen)]
+    B = S.removed_functions(n)[seen]
+    W = np.column_stack([X, S.removed_functions(n)])[seen]
+    iv = np.linalg.inv(V)
+    b = np.linalg.solve(W.T @ iv @ W, W.T @ iv @ y[seen])
+    r = y[seen] - W @ b
+    m = int(seen.sum()) - 8
+    return -0.5 * (m * (np.log(2 * np.pi * (r @ iv @ r) / m) + 1) + np.linalg.slogdet(V)[1] + np.linalg.slogdet(B.T @ iv @ B)[1])
+
+
+def test_filter_likelihood_equals_the_dense_one():
+    from panelcast.plans.forecast import seasonal_arx as S
+
+    rng = np.random.default_rng(0)
+    y, X = np.cumsum(rng.normal(size=60)) + np.tile(WEEK, 9)[:60], rng.normal(size=(60, 2))
+    for gaps in ([], [20, 21, 40], [0, 3, 59]):
+        seen = np.ones(60, dtype=bool)
+        seen[gaps] = False
+        for coefs in ((0.5, -0.3, 0.2, -0.6), (-0.7, 0.1, -0.9, 0.4), (0.0, 0.0, 0.0, 0.0)):
+            got = S.profile_likelihood(coefs, np.where(seen, y, np.nan), X, seen)[0]
+            assert got == pytest.approx(dense_likelihood(coefs, y, X, seen), abs=1e-5)
+
+
+def test_seasonal_arx_skips_missing_targets():
+    from panelcast.plans.forecast.seasonal_arx import fit_forecast
+
+    t = np.arange(200.0)
+    y = 3 + 0.2 * t + np.tile(WEEK, 30)[:200]
+    holes = y.copy()
+    holes[[30, 31, 77, 150, 199]] = np.nan
+    future = 3 + 0.2 * np.arange(200, 214) + np.tile(WEEK, 31)[200:214]
+    assert np.allclose(fit_forecast(holes, np.zeros((200, 0)), np.zeros((14, 0))), future, atol=1e-3)
+
+
+def test_sparse_trend_recovers_two_breaks():
+    from panelcast.plans.forecast.decomposable import sparse_fit
+
+    rng = np.random.default_rng(2)
+    t = np.linspace(0, 1, 500)
+    knots = np.linspace(0, 0.8, 26)[1:]
+    S = np.maximum(t[:, None] - knots, 0)
+    A = np.column_stack([np.ones_like(t), t, np.sin(40 * t)])
+    y = 0.3 + 0.5 * t + 0.1 * A[:, 2] + 1.5 * S[:, 6] - 2.0 * S[:, 18] + rng.normal(scale=1e-4, size=500)
+    s, a = sparse_fit(S, A, y, np.zeros(3), 1e-2)
+    assert np.flatnonzero(s).tolist() == [6, 18]
+    assert s[6] == pytest.approx(1.5, abs=0.05) and s[18] == pytest.approx(-2.0, abs=0.05)
+    plain, a = sparse_fit(S, A, y, np.zeros(3), 1e-2, reweights=0)  # optimality: no coefficient can move
+    r = S.T @ (y - S @ plain - A @ a)
+    assert np.all(np.abs(r) <= 1e-2 + 1e-6) and np.allclose(r[plain != 0], 1e-2 * np.sign(plain[plain != 0]), atol=1e-6)
+    none, _ = sparse_fit(S, A, A @ [1.0, 2.0, 0.1] + rng.normal(scale=1e-4, size=500), np.zeros(3), 1e-2)
+    assert not none.any()
