@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import sys
-import types
 import uuid
-from collections.abc import Callable, Hashable, Iterator
-from typing import Any
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,30 +12,6 @@ from pyspark.sql import functions as F
 from panelcast.session import checkpoint_dir
 
 
-class WorkerCache:
-    """Tables that stay in the Python process that made them.
-
-    The package travels to the workers by value, so an ordinary module-level
-    cache would be pickled into every task and unpickled as a copy of its own.
-    This holder's pickled form is its name; the tables hang on a module object
-    of the interpreter, where all tasks of a worker find them.
-    """
-
-    KEPT = 4  # tables per name: models of earlier jobs make way
-
-    def __init__(self, name: str):
-        self.name = name
-
-    def get(self, key: Hashable, make: Callable[[], Any]) -> Any:
-        holder = sys.modules.setdefault("_panelcast_worker_tables", types.ModuleType("_panelcast_worker_tables"))
-        tables = holder.__dict__.setdefault(self.name, {})
-        if key not in tables:
-            while len(tables) >= self.KEPT:
-                del tables[next(iter(tables))]
-            tables[key] = make()
-        return tables[key]
-
-
 def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder of ``spark.checkpoint.dir`` and read it back.
 
@@ -53,13 +26,17 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     return out
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
 def release(df: DataFrame) -> None:
     """Delete the files behind a frame of ``materialise`` that no later plan reads."""
     path = getattr(df, "_scratch_path", None)
     if path:
-        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(conf).delete(target, True)
+        delete(df.sparkSession, path)
 
 
 def remainder_of_id(id_col: str, modulus: int) -> Column:

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from panelcast.llm.common import scan_texts
 from panelcast.llm.vocabulary import PIECE_MODEL, Vocabulary
+from panelcast.worker import WorkerCache
 
 MARK = "▁"
 NEG = float("-inf")
@@ -122,12 +123,20 @@ class Lattice:
         return best[-1], [x for i, j in reversed(cuts) for x in self.edge_ids(unit[i:j])], second
 
     def n_best(self, unit: str, n: int) -> list[tuple[float, list[int]]]:
-        """The n best paths of a unit by backward A*, best first."""
+        """The n best paths of a unit by backward A*, best first.
+
+        Of equal estimates the hypothesis nearest to the unit's start goes
+        first, and a node is left after n pops: estimates are exact, so its later ones are
+        not among the n best. So at most n hypotheses per node are extended, ties or not.
+        """
         best, _, _ = self.forward(unit)
-        heap: list = [(-best[-1], 0, 0.0, len(unit), None)]
-        count, out = 1, []
+        heap: list = [(-best[-1], len(unit), 0, 0.0, None)]
+        count, out, popped = 1, [], [0] * (len(unit) + 1)
         while heap and len(out) < n:
-            _, _, done, j, path = heappop(heap)
+            _, j, _, done, path = heappop(heap)
+            popped[j] += 1
+            if popped[j] > n:
+                continue
             if j == 0:
                 ids: list[int] = []
                 while path is not None:
@@ -142,8 +151,8 @@ class Lattice:
                     if j - i > 1 or piece in self.score:
                         continue
                     s = self.unknown_score
-                if best[i] > NEG:
-                    heappush(heap, (-(best[i] + s + done), count, s + done, i, (piece, path)))
+                if best[i] > NEG and popped[i] < n:
+                    heappush(heap, (-(best[i] + s + done), i, count, s + done, (piece, path)))
                     count += 1
         return out
 
@@ -219,13 +228,12 @@ class UnitTable:
         return self.alternatives[key]
 
 
-_UNIT_TABLES: dict[int, UnitTable] = {}
+_TABLES = WorkerCache("unit tables", keep=2)
 
 
 def unit_table(vocabulary: Vocabulary) -> UnitTable:
-    if vocabulary.key not in _UNIT_TABLES:
-        _UNIT_TABLES[vocabulary.key] = UnitTable(Lattice(vocabulary))
-    return _UNIT_TABLES[vocabulary.key]
+    """The worker's table: units are solved once for all tasks of a Python process."""
+    return _TABLES.get(vocabulary.key, lambda: UnitTable(Lattice(vocabulary)))
 
 
 def encode_text(text: str | None, table: UnitTable, n: int) -> tuple[np.ndarray, list[tuple[float, list[tuple[int, int, list[int]]]]]]:
@@ -272,7 +280,7 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
 
     ``scores`` are those of the n best segmentations, best first (fewer if the
     lattice has fewer); ``alternatives[k]`` are the changes that turn the best path
-    into the k-th. Equal scores keep the path found first. ``decoded_equal``:
+    into the k-th. Of equal scores the path whose last pieces are found first comes first. ``decoded_equal``:
     decoding ``ids`` gives the text back. Null and empty texts have no ids and one segmentation of score 0.
     """
     vocabulary = Vocabulary.load(model_path)
@@ -326,6 +334,5 @@ def path_ids(best: list[int], changes: list) -> list[int]:
 
 def op8_query(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return encode(docs).select(
-        F.col("id").alias("doc_id"), F.size("ids").cast("bigint").alias("n_tokens"),
-        F.xxhash64("ids").alias("ids_hash"), F.element_at("scores", 1).alias("best_score"), "scores",
-        F.size("scores").alias("n_paths"), "decoded_equal")
+        F.col("id").alias("doc_id"), F.size("ids").cast("bigint").alias("n_tokens"), "ids",
+        F.element_at("scores", 1).alias("best_score"), "scores", F.size("scores").alias("n_paths"), "alternatives", "decoded_equal")

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.llm.common import lower_words_of, remainder_of_id, scan_texts
+from panelcast.worker import WorkerCache
 
 # Bounds of the fitting sample (per label): rows, pieces, bytes of a piece.
 SAMPLE_ROWS = 4_000
@@ -100,15 +101,11 @@ class Windows:
         return np.bincount(np.array(out, dtype=np.int64), minlength=KINDS)
 
 
-_WINDOWS: dict[int, Windows] = {}
+_TABLES = WorkerCache("toxicity windows", keep=2)
 
 
 def _windows(model: Model) -> Windows:
-    key = model.key()
-    if key not in _WINDOWS:
-        _WINDOWS.clear()
-        _WINDOWS[key] = Windows(model.toxic, model.ordinary)
-    return _WINDOWS[key]
+    return _TABLES.get(model.key(), lambda: Windows(model.toxic, model.ordinary))
 
 
 def _compressor(content: bytes) -> zs.ZstdCompressor:
