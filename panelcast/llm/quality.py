@@ -12,15 +12,14 @@ of two of the word count), from exact histograms of the rounded figures. Each
 text counts once in its language however many copies it has, and the
 interquartile range counts as no less than MIN_IQR of the median (more in the
 classes of short texts), since near copies can still make quartiles coincide.
-A class with fewer than MIN_GROUP texts uses the language's fences over all
-lengths. A language with fewer uses the widest sides of the fences of all
-languages together, of each language with MIN_GROUP texts, and of itself if it
-has MIN_OWN texts (so no such language is rejected as a whole). The byte share
+The fences of a small group are drawn towards those of the next wider one
+(class, language, all languages) by as much as its texts are few; no size switches a rule on or off. The byte share
 has an upper fence only, at least MIN_BYTE_FENCE.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,14 +29,17 @@ from pyspark.sql import functions as F
 
 from panelcast.llm.common import materialise, words_of
 from panelcast.llm.vocabulary import PIECE_MODEL, Vocabulary
+from panelcast.worker import WorkerCache
 
 FENCE = 2.5
-MIN_GROUP = 40
+TRUST = 40  # texts of a group that weigh as much as the wider group
+REACH = 8  # texts of a group that widen the wider group's band half the way to their own
 MIN_BYTE_FENCE = 0.05
-MIN_OWN = 8  # texts of a language below MIN_GROUP whose own fences widen its band
 MIN_IQR = 0.02  # of the median: fences keep some width where quartiles coincide
 SHORT_IQR = 0.3  # the same for a class of n words and more, divided by sqrt(n): short texts scatter more
-CACHE_WORDS = 700_000
+CACHE_WORDS = 1_000_000
+FLUSH = 1_000_000  # characters measured together
+BROADCAST_BANDS = 20_000  # rows of about 100 bytes
 SPACES, SYMBOLS = " \t\n\v\f\r", "#*$%&|<>"
 FIGURES = ("chars_per_token", "byte_share", "token_entropy")
 SCALE = 1000  # figures are rounded to 1/SCALE in the histograms
@@ -47,35 +49,48 @@ SCHEMA = ("n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigi
 
 
 class WordTable:
-    """Numbers and token ids of the words seen by a worker (bounded; cleared between documents)."""
+    """Numbers and token ids of the words seen by a worker (bounded; cleared between batches of documents).
+
+    The ids of all words lie in one flat array, so a batch's ids are gathered
+    by position and no object is made per word.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.encode = vocabulary.processor.encode
         self.is_byte = np.zeros(vocabulary.processor.get_piece_size(), dtype=bool)
         self.is_byte[[i for i in vocabulary.byte_ids if i >= 0]] = True
+        self.clear()
+
+    def clear(self) -> None:
         self.numbers: dict[bytes, int] = {}
-        self.ids: list[bytes] = []
-
-    def numbers_of(self, words: list[bytes]) -> list[int]:
-        if len(self.numbers) > CACHE_WORDS:
-            self.numbers.clear()
-            self.ids.clear()
-        numbers = self.numbers
-        new = [w for w in set(words) if w not in numbers]
+        self.ids, self.ends = array("i"), array("q", [0])
+
+    def numbers_of(self, words: list[bytes]) -> np.ndarray:
+        """A number per word; words not seen before are tokenised in one call."""
+        numbers, ids, ends = self.numbers, self.ids, self.ends
+        new = list(set(words).difference(numbers))
         if new:
-            for w, ids in zip(new, self.encode([w.decode("utf-8", "replace") for w in new])):
-                numbers[w] = len(self.ids)
-                self.ids.append(np.array(ids, dtype=np.int32).tobytes())
-        return [numbers[w] for w in words]
+            at = len(ends) - 1
+            for found in self.encode([w.decode("utf-8", "replace") for w in new]):
+                ids.extend(found)
+                ends.append(len(ids))
+            numbers.update(zip(new, range(at, at + len(new))))
+        return np.fromiter(map(numbers.__getitem__, words), dtype=np.int64, count=len(words))
 
+    def tokens_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(token ids of the words one after the other, tokens per word)."""
+        ends = np.frombuffer(self.ends, dtype=np.int64)
+        start = ends[numbers]
+        held = ends[numbers + 1] - start
+        place = np.arange(int(held.sum())) - np.repeat(np.cumsum(held) - held, held)
+        return np.frombuffer(self.ids, dtype=np.int32)[np.repeat(start, held) + place] if len(place) else np.zeros(0, np.int32), held
 
-_TABLES: dict[int, WordTable] = {}
+
+_TABLES = WorkerCache("word tables", keep=2)
 
 
 def _table(vocabulary: Vocabulary) -> WordTable:
-    if vocabulary.key not in _TABLES:
-        _TABLES[vocabulary.key] = WordTable(vocabulary)
-    return _TABLES[vocabulary.key]
+    return _TABLES.get(vocabulary.key, lambda: WordTable(vocabulary))
 
 
 def repeated_words(numbers: np.ndarray, width: int = 3) -> int:
@@ -83,32 +98,52 @@ def repeated_words(numbers: np.ndarray, width: int = 3) -> int:
     n = len(numbers) - width + 1
     if n < 2:
         return 0
-    _, small = np.unique(numbers, return_inverse=True)
-    windows = small[:n].astype(np.int64)
-    for i in range(1, width):  # windows are renumbered after each word, so the pair code cannot overflow
-        _, windows = np.unique(windows * (small.max() + 1) + small[i:i + n], return_inverse=True)
-    twice = np.bincount(windows)[windows] >= 2
+    bits = 63 // width
+    if int(numbers.max()) >> bits:  # too many words to code a window in 63 bits as they are numbered: number them anew
+        _, windows = np.unique(np.stack([numbers[i:i + n] for i in range(width)]), axis=1, return_inverse=True)
+        windows = windows.ravel()
+    else:
+        windows = numbers[:n].copy()
+        for i in range(1, width):
+            windows = windows << bits | numbers[i:i + n]
+    order = np.argsort(windows, kind="stable")
+    same = windows[order][1:] == windows[order][:-1]
+    if not same.any():
+        return 0
+    twice = np.zeros(n, dtype=bool)
+    twice[order[1:][same]] = True
+    twice[order[:-1][same]] = True
     marked = np.zeros(len(numbers), dtype=bool)
     for i in range(width):
         marked[i:i + n] |= twice
     return int(marked.sum())
 
 
-def measure(text: str | None, table: WordTable) -> tuple:
-    """The base counts and the three figures of one whole text (null: an empty text)."""
-    text = text or ""
-    words = words_of(text)
-    lines = [x for x in text.split("\n") if x.strip(SPACES)]
-    numbers = np.array(table.numbers_of(words), dtype=np.int64)
-    ids = np.frombuffer(b"".join([table.ids[i] for i in numbers.tolist()]), dtype=np.int32)
-    chars = len(text) - sum(map(text.count, SPACES))
-    if len(ids):
-        counts = np.unique(ids, return_counts=True)[1] / len(ids)
-        figures = (chars / len(ids), float(table.is_byte[ids].mean()), float(-(counts * np.log2(counts)).sum()))
-    else:
-        figures = (None, None, None)
-    return (len(words), chars, sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeated_words(numbers),
-            len(ids), *figures)
+def measure(texts: list[str | None], table: WordTable) -> list[tuple]:
+    """The base counts and the three figures of whole texts (null: an empty text)."""
+    words = [words_of(t) for t in texts]
+    if len(table.numbers) > CACHE_WORDS:
+        table.clear()
+    numbers = table.numbers_of([w for x in words for w in x])
+    ids, held = table.tokens_of(numbers)
+    by_word = np.concatenate([[0], np.cumsum(held)])
+    out, at = [], 0
+    for t, x in zip(texts, words):
+        text, upto = t or "", at + len(x)
+        mine = ids[by_word[at]:by_word[upto]]
+        lines = [y for y in text.split("\n") if y.strip(SPACES)]
+        chars = len(text) - sum(map(text.count, SPACES))
+        if len(mine):
+            counts = np.bincount(mine)
+            counts = counts[counts > 0] if len(mine) > 4096 else np.unique(mine, return_counts=True)[1]
+            share = counts / len(mine)
+            figures = (chars / len(mine), float(table.is_byte[mine].mean()), float(-(share * np.log2(share)).sum()))
+        else:
+            figures = (None, None, None)
+        out.append((len(x), chars, sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeated_words(numbers[at:upto]),
+                    len(mine), *figures))
+        at = upto
+    return out
 
 
 def measures(df: DataFrame, id_col: str, text_col: str, lang_col: str, vocabulary: Vocabulary) -> DataFrame:
@@ -119,7 +154,14 @@ def measures(df: DataFrame, id_col: str, text_col: str, lang_col: str, vocabular
         kinds = [pa.int64()] * 6 + [pa.float64()] * 3
         names = [x.split()[0] for x in SCHEMA.split(", ")]
         for batch in batches:
-            got = list(zip(*[measure(t.as_py(), table) for t in batch.column(3)])) or [()] * 9
+            rows, held, size = [], [], 0
+            for t in batch.column(3):
+                held.append(t.as_py())
+                size += len(held[-1] or "")
+                if size > FLUSH:  # a longer text is measured alone
+                    rows += measure(held, table)
+                    held, size = [], 0
+            got = list(zip(*(rows + measure(held, table)))) or [()] * 9
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(3)] + [pa.array(g, k) for g, k in zip(got, kinds)],
                 names=["id", "lang", "text_key", *names])
@@ -170,8 +212,9 @@ def _fences(hist: DataFrame, fence: float) -> DataFrame:
     )
 
 
-def bands(measured: DataFrame, fence: float = FENCE, min_group: int = MIN_GROUP) -> DataFrame:
-    """(lang, length_class, figure, low, high) of the groups with ``min_group`` rows; length_class -1 stands for all lengths.
+def bands(measured: DataFrame, fence: float = FENCE, min_group: int = 1) -> DataFrame:
+    """(lang, length_class, figure, low, high) from each group's own rows, of the groups with ``min_group`` rows; length_class -1
+    stands for all lengths.
 
     The histograms are aggregated before the shuffle, their size follows the
     rounding, not the rows.
@@ -179,24 +222,32 @@ def bands(measured: DataFrame, fence: float = FENCE, min_group: int = MIN_GROUP)
     return _fences(_histogram(measured), fence).where(F.col("total") >= min_group).drop("total")
 
 
-def all_bands(measured: DataFrame, fence: float = FENCE, min_group: int = MIN_GROUP) -> DataFrame:
-    """``bands`` plus a band over all lengths for each language with fewer rows."""
-    hist = materialise(_histogram(measured), "bands")
+def _blended(own: DataFrame, wider: DataFrame, on: list[str]) -> DataFrame:
+    """Fences of groups, each drawn towards those of the wider group by as much as its rows are few.
+
+    With n rows a side lies at n / (n + TRUST) of its own place, for the rest at the outer one of both places,
+    towards which the wider group's place moves by n^2 / (n^2 + REACH^2): few rows widen a band a little, many decide it.
+    """
+    n = F.col("total")
+    trust, reach = n / (n + TRUST), n * n / (n * n + REACH**2)
+    joined = own.join(wider.select(*on, F.col("low").alias("low_w"), F.col("high").alias("high_w")), on)
+    side = lambda x, outer: trust * F.col(x) + (1 - trust) * (
+        F.col(f"{x}_w") + reach * (outer(F.col(x), F.col(f"{x}_w")) - F.col(f"{x}_w")))
+    return joined.select("lang", "length_class", "figure", side("low", F.least).alias("low"), side("high", F.greatest).alias("high"))
+
+
+def _band_table(measured: DataFrame, fence: float) -> DataFrame:
+    """Bands as a table of a size that is measured: (lang, length_class, figure, low, high)."""
+    hist = materialise(_histogram(measured), "histogram")
     own = _fences(hist, fence)
     together = hist.where("length_class = -1").groupBy("length_class", "figure", "bin").agg(F.sum("n").alias("n"))
-    large = own.where(F.col("total") >= min_group)
-    widest = (
-        _fences(together.withColumn("lang", F.lit("")), fence).union(large.where("length_class = -1"))
-        .groupBy("figure").agg(F.min("low").alias("least"), F.max("high").alias("most"))
-    )
-    itself = lambda side: F.when(F.col("total") >= MIN_OWN, F.col(side))
-    small = own.where((F.col("length_class") == -1) & (F.col("total") < min_group)).join(widest, "figure").select(
-        "lang", "length_class", "figure", F.least("least", itself("low")).alias("low"),
-        F.greatest("most", itself("high")).alias("high"))
-    return large.drop("total").union(small)
+    every = _fences(together.withColumn("lang", F.lit("")), fence)  # one row per figure
+    languages = materialise(_blended(own.where("length_class = -1"), every, ["figure"]), "languages")
+    classes = _blended(own.where("length_class >= 0"), languages, ["lang", "figure"])
+    return materialise(languages.union(classes), "bands")
 
 
-def judge(measured: DataFrame, fence: float = FENCE, min_group: int = MIN_GROUP) -> DataFrame:
+def judge(measured: DataFrame, fence: float = FENCE) -> DataFrame:
     """``measured`` plus base_failed and kept.
 
     base_failed: fewer than 50 words, or over half of the words repeated.
@@ -208,19 +259,18 @@ def judge(measured: DataFrame, fence: float = FENCE, min_group: int = MIN_GROUP)
         "base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     texts = base.where("not base_failed").select("lang", "text_key", "n_words", "n_tokens", *FIGURES).dropDuplicates(
         ["lang", "text_key"])
-    fenced = all_bands(texts, fence, min_group)
+    fenced = _band_table(texts, fence)
+    sides = [f"{f}_{side}" for f in FIGURES for side in ("low", "high")]
     wide = fenced.groupBy("lang", "length_class").agg(*[
         F.max(F.when(F.col("figure") == f, F.col(side))).alias(f"{f}_{side}") for f in FIGURES for side in ("low", "high")])
-    sides = [f"{f}_{side}" for f in FIGURES for side in ("low", "high")]
-    own = wide.where("length_class >= 0").select("lang", "length_class", *[F.col(s).alias(f"own_{s}") for s in sides])
-    whole = wide.where("length_class = -1").select("lang", *sides)
-    joined = base.withColumn("length_class", _length_class()).join(own, ["lang", "length_class"], "left").join(
-        whole, ["lang"], "left")
+    # every text that passed the base rules has the band of its own language and class
+    small = fenced.count() <= BROADCAST_BANDS
+    joined = base.withColumn("length_class", _length_class()).join(
+        F.broadcast(wide) if small else wide, ["lang", "length_class"], "left")
     outside = F.lit(False)
     for f in FIGURES:
-        low, high = (F.coalesce(F.col(f"own_{f}_{s}"), F.col(f"{f}_{s}")) for s in ("low", "high"))
-        outside |= F.coalesce((F.col(f) < low) | (F.col(f) > high), F.lit(False))
-    return joined.withColumn("kept", ~F.col("base_failed") & ~outside).drop("length_class", *sides, *[f"own_{s}" for s in sides])
+        outside |= F.coalesce((F.col(f) < F.col(f"{f}_low")) | (F.col(f) > F.col(f"{f}_high")), F.lit(False))
+    return joined.withColumn("kept", ~F.col("base_failed") & ~outside).drop("length_class", *sides)
 
 
 def quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
