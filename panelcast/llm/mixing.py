@@ -5,15 +5,18 @@
    text (hashed word shares and byte shares).
 2. Nonnegative document rates r minimise 1/2 (m - t)' A^-1 (m - t), where
    m = sum_d w_d r_d p_d are the expected domain token totals (w: token
-   shares, p: posteriors), t the targets and A = sum_d w_d p_d p_d'. Of the
-   rates that do so, those nearest to 1 are taken: they are the projection
-   r = max(0, 1 - p_d' v) for one K-vector v of prices. v is found by Newton
-   steps on the K-dimensional dual. A step is one distributed pass over the
-   documents, which sums the totals, the curvature and the objective at all
-   step lengths at once; the rates themselves never leave the executors, since
-   they follow from p and v. Steps go on until the totals are within TOLERANCE
-   of the targets, or the optimality condition shows that no nonnegative rates
-   come nearer; the reached totals are returned and a miss is a warning.
+   shares, p: posteriors), t the targets and A = sum_d w_d p_d p_d'. They are
+   found by distributed projected gradient: starting from rates of 1, a step
+   is r = max(0, y - p_d' s) with s = A^-1 (m(y) - t) and y the last rates with
+   momentum (begun anew whenever the objective rises); in the metric A the step length 1 is
+   the right one. A pass sums the totals over all documents; rates never leave
+   the executors, since a task replays the few steps from p. Passes end when the totals are
+   within TOLERANCE of the targets.
+3. If GRADIENT_PASSES passes do not get there (targets nearly or wholly out of
+   reach), the rates nearest to 1 that reach the least objective follow from
+   r = max(0, 1 - p_d' v) for one K-vector v of prices, found by Newton steps on
+   the K-dimensional dual, again one pass each, until the totals are met or the optimality condition shows
+   that no nonnegative rates come nearer; the reached totals are returned and a miss is a warning.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.llm.common import lower_words_of, materialise, scan_texts
+from panelcast.worker import WorkerCache
 
 WORD_BUCKETS = 1024
 DIMENSIONS = WORD_BUCKETS + 256 + 1
@@ -37,7 +41,8 @@ CACHE_WORDS = 1_000_000
 TOLERANCE = 1e-5  # L1 distance of the totals from the targets, as shares of all tokens
 PULLS = (1e-2, 1e-4, 1e-6, 1e-8, 1e-10)  # weights of the distance of the rates from 1, each solved from the one before
 STEPS = 0.5 ** np.arange(16)  # lengths tried in one pass
-MAX_PASSES = 400  # an error, not an end, for the fit
+GRADIENT_PASSES = 60
+MAX_PASSES = 400  # an error, not an end, for the Newton steps
 DOMAINS = ("good", "poor", "toxic")
 TARGETS = {"good": 0.90, "poor": 0.08, "toxic": 0.02}
 
@@ -48,12 +53,12 @@ def label_domain() -> Column:
         (F.col("toxic") == 0) & (F.col("quality") == 0), "poor")
 
 
-_BUCKETS: dict[bytes, int] = {}
+_TABLES = WorkerCache("word buckets", keep=1)
 
 
 def features(text: str | None) -> tuple[np.ndarray, int]:
     """(features of the whole text, its number of words)."""
-    words, known = lower_words_of(text), _BUCKETS
+    words, known = lower_words_of(text), _TABLES.get(WORD_BUCKETS, dict)
     if len(known) > CACHE_WORDS:
         known.clear()
     for w in set(words):
@@ -96,7 +101,7 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, domains: tuple[str, ...]
     The sample holds the domains evenly; the posteriors are put back to the
     shares that the domains have among all labelled rows of ``docs``.
     """
-    ids = docs.select(F.col(f"`{id_col}`").alias("id")).where("id is not null").distinct()
+    ids = docs.select(F.col(f"`{id_col}`").alias("id")).where("id is not null")
     named = materialise(
         labels.select(F.col(id_col).alias("id"), (label_domain() if domain is None else domain).alias("domain"))
         .where(F.col("domain").isin(*domains)).join(ids, "id", "left_semi"), "labelled")
@@ -155,9 +160,17 @@ def posterior_table(docs: DataFrame, classifier: Classifier, id_col: str = "doc_
                       f"id {docs.schema[id_col].dataType.simpleString()}, n_tokens bigint, p array<double>")
 
 
-def rates_of(p: np.ndarray, prices: np.ndarray) -> np.ndarray:
-    """Rates of documents with posteriors ``p`` (prices of 0: rates of 1)."""
-    return np.maximum(0.0, 1.0 - p @ prices)
+def rates_of(p: np.ndarray, rule: np.ndarray) -> np.ndarray:
+    """Rates of documents with posteriors ``p``. ``rule``: a vector of prices, or gradient steps (momentum, vector) as rows."""
+    return np.maximum(0.0, 1.0 - p @ rule) if rule.ndim == 1 else _replayed(p, rule)[0]
+
+
+def _replayed(p: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rates after the steps, rates before the last one)."""
+    r = last = np.ones(len(p))
+    for step in steps:
+        r, last = np.maximum(0.0, r + step[0] * (r - last) - p @ step[1:]), r
+    return r, last
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -174,7 +187,7 @@ def _sums(table: DataFrame, prices: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         for batch in batches:
             if batch.num_rows:
                 n, p = batch.column(0).to_numpy(zero_copy_only=False).astype(float)[:, None], _matrix(batch.column(1))
-                r = rates_of(p, prices.T)
+                r = np.maximum(0.0, 1.0 - p @ prices.T)
                 squares += (n * r * r).sum(axis=0)
                 m += (n * r).T @ p
                 curved += (n * (r > 0)).T @ (p[:, :, None] * p[:, None, :]).reshape(len(p), k * k)
@@ -188,14 +201,53 @@ def _sums(table: DataFrame, prices: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return values[:s], values[s:s + s * k].reshape(s, k), values[s + s * k:].reshape(s, k, k)
 
 
+def _totals(table: DataFrame, steps: np.ndarray, momentum: float) -> np.ndarray:
+    """(sum n r p, sum n y p) after the steps, y the rates with momentum, in one distributed pass."""
+    k = steps.shape[1] - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = np.zeros((2, k))
+        for batch in batches:
+            if batch.num_rows:
+                n, p = batch.column(0).to_numpy(zero_copy_only=False).astype(float), _matrix(batch.column(1))
+                r, last = _replayed(p, steps)
+                m += np.stack([n * r, n * (r + momentum * (r - last))]) @ p
+        yield pa.RecordBatch.from_arrays([pa.array(range(2 * k), pa.int32()), pa.array(m.ravel())], names=["i", "x"])
+
+    out = np.zeros(2 * k)
+    for r in table.select("n_tokens", "p").mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect():
+        out[r["i"]] = r["x"]
+    return out.reshape(2, k)
+
+
+def _gradient_steps(table: DataFrame, inverse: np.ndarray, m: np.ndarray, t: np.ndarray, total: float):
+    """(steps, totals) of the projected gradient, or None if the targets are not met after GRADIENT_PASSES."""
+    steps, momentum, pace, y = np.zeros((0, len(t) + 1)), 0.0, 1.0, m
+    value = (m - t) @ inverse @ (m - t)
+    for _ in range(GRADIENT_PASSES):
+        steps = np.vstack([steps, np.concatenate([[momentum], inverse @ (y - t)])])
+        pace, before = (1 + np.sqrt(1 + 4 * pace * pace)) / 2, pace
+        momentum = (before - 1) / pace
+        m, y = _totals(table, steps, momentum) / total
+        if np.abs(m - t).sum() <= TOLERANCE:
+            return steps, m
+        new = (m - t) @ inverse @ (m - t)
+        if new > value:
+            momentum, pace, y = 0.0, 1.0, m
+        value = new
+    return None
+
+
 def fit_rates(table: DataFrame, targets: dict[str, float], domains: tuple[str, ...] = DOMAINS,
-              factors: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(prices, expected totals, targets), the last two as shares of all tokens.
+              factors: bool = False, budget: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rule for ``rates_of``, expected totals, targets), the last two as shares of all tokens.
 
     ``targets`` are weights that are scaled to the token total, or with
-    ``factors`` multiples of each domain's present expected total.
+    ``factors`` multiples of each domain's present expected total, or with
+    ``budget`` weights scaled to the largest total for which no domain needs more tokens than it has
+    (domains without tokens are left out).
     Targets that no nonnegative rates reach are met as closely as least
-    squares can, up to the least of PULLS. An empty table gives prices of 0.
+    squares can, up to the least of PULLS. An empty table gives rates of 1.
     """
     k = len(domains)
     squares, m, a = (x[0] for x in _sums(table, np.zeros((1, k))))
@@ -203,12 +255,22 @@ def fit_rates(table: DataFrame, targets: dict[str, float], domains: tuple[str, .
     t = np.array([max(0.0, targets.get(d, 0.0)) for d in domains])
     if total == 0 or t.sum() == 0:
         return np.zeros(k), np.zeros(k), t
-    t = t * m / total if factors else t / t.sum()
+    if factors:
+        t = t * m / total
+    else:
+        t = np.where(m > 0, t, 0.0) if budget else t
+        t = t / max(t.sum(), 1e-300)
+        t = t * min((x / total / w for x, w in zip(m, t) if w > 0), default=1.0) if budget else t
     # In coordinates z with prices = base @ z the metric A is the identity; directions that no document has are left out.
     size, axes = np.linalg.eigh(a / total)
     held = size > 1e-9 * size.max()
     base = axes[:, held] / np.sqrt(size[held])
     z, square, m, curved = np.zeros(held.sum()), 1.0, m / total, a / total
+    if np.abs(m - t).sum() <= TOLERANCE:
+        return np.zeros(k), m, t
+    met = _gradient_steps(table, base @ base.T, m, t, total)
+    if met is not None:
+        return *met, t
     passes = 1
     for pull in PULLS:
         while np.abs(m - t).sum() > TOLERANCE:
@@ -271,11 +333,15 @@ def copies_of(rates: np.ndarray, ids: list) -> np.ndarray:
 
 
 def mix_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float], domains: tuple[str, ...] = DOMAINS,
-                  factors: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row of ``docs`` as many times as its rate says, all columns as they are."""
+                  factors: bool = False, budget: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every row of ``docs`` as many times as its rate says, all columns as they are.
+
+    A fractional rate becomes whole copies by a hash of the id, so rows of one
+    id and text stay or go together. Null texts count as empty ones, without weight in the fit; an empty frame stays empty.
+    """
     classifier = fit_classifier(docs, labels, domains, id_col, text_col)
     table = materialise(posterior_table(docs, classifier, id_col, text_col), "posteriors")
-    prices, totals, wanted = fit_rates(table, targets, domains, factors)
+    prices, totals, wanted = fit_rates(table, targets, domains, factors, budget)
     if totals.any():
         _warn_of_miss(totals, wanted, domains)
     at_id, at_text = docs.columns.index(id_col), docs.columns.index(text_col)
