@@ -1,22 +1,26 @@
 """Hashed maximum-entropy language model with a class-factored softmax.
 
-P(word | history) = P(class | history) x P(word | class).
+A word is a path of up to three choices, each out of at most ``WIDTH``: a group
+of classes, the class, and for a class of several words a part of it (by the
+word's hash). P(word | history) is the product of the choices' softmaxes times
+the word's discounted share of its part, so context reaches into the classes and a token needs
+some 20 outputs instead of one per class.
 
 * Classes: the most frequent words alone, the text end, one class of rare
   words (training count 1 or 2, and the one symbol for all unknown words), and clusters of word
   endings. Endings are clustered by k-means on the frequent words before them.
-* P(class | history) is a maximum-entropy model over hashed features of the
-  history: the previous word, the word pair, and two skip features (the
-  words two and three places back).
-* P(word | class) is the discounted training count; in the rare class the
-  mass of unknown, once- and twice-seen words follows their counts of counts.
+* Every choice is a maximum-entropy model over hashed features of the
+  history: the previous word, the word pair, and two skip features (the words two and
+  three places back). Feature and choice together are hashed into one table
+  of weight rows, whose length follows the training tokens (``TOKENS_PER_ROW``, at most ``MOST_ROWS``).
+* In the rare class the mass of unknown, once- and twice-seen words follows their counts of counts.
 
 Every step is a Spark job over all training tokens: word counts (a shuffle
-of each chunk's distinct words, packed by word bucket, and back), feature
-counts for the starting weights, then gradient rounds. In a round the tasks add up
-the gradient over their share of the tokens at fixed weights; the sums are
-reduced by slice, and the driver applies one step scaled by the feature
-counts. The model has a fixed size whatever the corpus. Scoring runs over the same
+of each chunk's distinct words, packed by word bucket, and back), counts of the choices,
+then gradient rounds. In a round the tasks add up the gradient over all their training tokens at
+fixed weights; the vectors are added up slice by slice in a tree of tasks, and
+the driver applies one step scaled by the feature counts. The first round
+starts from the shares of the choices and steps by log-odds. Scoring runs over the same
 encoded chunks in numpy batches.
 """
 
@@ -39,20 +43,25 @@ from panelcast.llm.common import lower_words_of, materialise, release, remainder
 SINGLES = 32  # words with a class of their own
 ENDINGS = 512  # hashed word endings
 CLUSTERS = 28
-CONTEXT = 4096  # hash buckets of a history word, and of each feature template
+WIDTH = 8  # outputs of a choice
+HISTORY = 65_536  # numbers of a history word; the last one is the text start
 TEMPLATES = 4
 ROUNDS = 3
 DISCOUNT = 0.7
-START_SHARE = 0.45  # of the log-odds of a single feature in the starting weights
+START_SHARE = 0.45  # of the log-odds of a single feature in the first step
 SMOOTHING = 20.0
 CHUNK_WORDS = 400_000
 PAIRS_PER_BUCKET = 400_000
-BATCH = 16_384  # tokens of a numpy batch
-SLICES = 16
+TOKENS_PER_ROW, LEAST_ROWS, MOST_ROWS = 1024, 2**14, 2**20  # of the weight table
+BATCH = 65_536  # tokens of a numpy batch
+TASK_TOKENS = 6_000_000
+SLICES, FAN_IN = 16, 48
 
 END, RARE = SINGLES, SINGLES + 1
 GROUPS = SINGLES + 2 + ENDINGS
 CLASSES = SINGLES + 2 + CLUSTERS
+SUPERS = -(-CLASSES // WIDTH)
+NODES = 1 + SUPERS + CLASSES  # root, groups of classes, classes
 
 
 def _bytes(a: np.ndarray, kind) -> bytes:
@@ -63,6 +72,11 @@ def ending_of(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % ENDINGS
 
 
+def part_of(word: bytes) -> int:
+    """Part of its class that a word belongs to."""
+    return (zlib.crc32(word) >> 7) % WIDTH
+
+
 # --- chunks of tokenised text -------------------------------------------------------------------
 
 def tokenise(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -117,7 +131,7 @@ class CorpusStatistics:
     tokens: int
     distinct: int
     of_count: np.ndarray  # words seen once, twice, three times
-    ending_mass: np.ndarray  # discounted counts of the other words per ending
+    mass: np.ndarray  # discounted counts of the other words per ending and part
     top: list[tuple[bytes, int]]
 
 
@@ -147,7 +161,8 @@ def count_words(chunks: DataFrame, buckets: int) -> DataFrame:
         c = np.bincount(np.concatenate(numbers), weights=counts, minlength=len(known)).astype(np.int64)
         words = list(known)
         usual = np.nonzero(c > 2)[0]
-        mass = np.bincount([ending_of(words[i]) for i in usual], weights=c[usual] - DISCOUNT, minlength=ENDINGS)
+        mass = np.bincount([ending_of(words[i]) * WIDTH + part_of(words[i]) for i in usual], weights=c[usual] - DISCOUNT,
+                           minlength=ENDINGS * WIDTH)
         top = heapq.nsmallest(SINGLES, ((-int(c[i]), words[i]) for i in usual))
         stats = [c.sum(), (c > 0).sum(), *((c == k).sum() for k in (1, 2, 3))]
         out = [(x, int(pdf["bucket"].iloc[0]), c[n].tobytes(), None, None, None) for x, n in zip(pdf["chunk"], numbers)]
@@ -161,10 +176,10 @@ def count_words(chunks: DataFrame, buckets: int) -> DataFrame:
 
 
 def statistics(counted: DataFrame, ends: int) -> CorpusStatistics:
-    """Sums over the buckets; each gives its counts, ENDINGS sums and at most SINGLES words."""
+    """Sums over the buckets; each gives its counts, sums per ending and part, and at most SINGLES words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stats, mass, top = np.zeros(5, dtype=np.int64), np.zeros(ENDINGS), []
+        stats, mass, top = np.zeros(5, dtype=np.int64), np.zeros(ENDINGS * WIDTH), []
         for batch in batches:
             for s, m, words, c in zip(*(batch.column(i) for i in range(4))):
                 stats += np.frombuffer(s.as_py(), dtype=np.int64)
@@ -178,19 +193,19 @@ def statistics(counted: DataFrame, ends: int) -> CorpusStatistics:
 
     schema = "c binary, mass binary, top binary, top_c binary"
     got = counted.where("chunk is null").select("c", "mass", "top", "top_c").mapInArrow(run, schema).collect()
-    stats, mass, top = np.zeros(5, dtype=np.int64), np.zeros(ENDINGS), []
+    stats, mass, top = np.zeros(5, dtype=np.int64), np.zeros(ENDINGS * WIDTH), []
     for r in got:  # one row per task
         stats += np.frombuffer(r["c"], dtype=np.int64)
         mass = mass + np.frombuffer(r["mass"], dtype=np.float64)
         top += zip((-np.frombuffer(r["top_c"], dtype=np.int64)).tolist(), bytes(r["top"]).split())
     best = [(w, -n) for n, w in heapq.nsmallest(SINGLES, top)]
     for w, n in best:
-        mass[ending_of(w)] -= n - DISCOUNT
+        mass[ending_of(w) * WIDTH + part_of(w)] -= n - DISCOUNT
     return CorpusStatistics(int(stats[0]) + ends, int(stats[1]) + (ends > 0), stats[2:5], np.maximum(mass, 0.0), best)
 
 
 def encode_chunks(chunks: DataFrame, counted: DataFrame, stats: CorpusStatistics, ends: int, buckets: int) -> DataFrame:
-    """Chunks with per-document base figures and per-token history buckets and word groups."""
+    """Chunks with per-document base figures and, per token, its history number and its code (group x WIDTH + part)."""
     counts = counted.where("chunk is not null").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "c")).alias("found"))
     joined = chunks.join(counts, "chunk", "left").select("ids", "held", "lengths", "tokens", "words", "found")
     singles = {w: i for i, (w, _) in enumerate(stats.top)}
@@ -216,7 +231,9 @@ def encode_chunks(chunks: DataFrame, counted: DataFrame, stats: CorpusStatistics
                     scarce = (c == k) & (group != END)
                     group[scarce], within[scarce] = RARE, rare[k]
                 within[(group <= END)] = 0.0
-                history = np.array([CONTEXT - 1] + [zlib.crc32(b"h" + w) % (CONTEXT - 1) for w in words], dtype=np.uint16)
+                part = np.array([0] + [part_of(w) for w in words], dtype=np.uint16)
+                code = group * np.uint16(WIDTH) + np.where(group > RARE, part, 0).astype(np.uint16)
+                history = np.array([HISTORY - 1] + [zlib.crc32(b"h" + w) % (HISTORY - 1) for w in words], dtype=np.uint16)
                 flat, sizes = np.frombuffer(tokens.as_py(), dtype=np.int32), np.array(lengths.as_py(), dtype=np.int64)
                 at = np.cumsum(sizes) - sizes
                 base = np.add.reduceat(np.log10(c + 1.0)[flat], at) - sizes * divisor
@@ -225,11 +242,11 @@ def encode_chunks(chunks: DataFrame, counted: DataFrame, stats: CorpusStatistics
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([ids.as_py()], ids.type), pa.array([held.as_py()], held.type), pa.array([lengths.as_py()], lengths.type),
                      *[pa.array([x], pa.binary()) for x in (base.tobytes(), known.tobytes(), inside.tobytes(),
-                                                            group[flat].tobytes(), history[flat].tobytes())]],
-                    names=["ids", "held", "lengths", "base", "known", "inside", "groups", "history"])
+                                                            code[flat].tobytes(), history[flat].tobytes())]],
+                    names=["ids", "held", "lengths", "base", "known", "inside", "codes", "history"])
 
     return joined.mapInArrow(run, f"ids {kind}, held array<boolean>, lengths array<int>, base binary, known binary, "
-                                  "inside binary, groups binary, history binary")
+                                  "inside binary, codes binary, history binary")
 
 
 # --- model -------------------------------------------------------------------------------------
@@ -237,32 +254,47 @@ def encode_chunks(chunks: DataFrame, counted: DataFrame, stats: CorpusStatistics
 @dataclass
 class Model:
     cluster: np.ndarray  # group -> class
-    class_mass: np.ndarray  # log10 of the discounted counts of a clustered class
-    bias: np.ndarray
-    weights: np.ndarray  # TEMPLATES x CONTEXT x CLASSES
-
-
-def feature_numbers(history: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Feature bucket of each template (rows) at each token; a text starts after end symbols."""
+    part_mass: np.ndarray  # CLASSES x WIDTH: log10 of the discounted counts of a part
+    bias: np.ndarray  # NODES x WIDTH; very low where a node has no such child
+    weights: np.ndarray  # rows x WIDTH
+
+    def choices(self, codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Per level (tokens concerned, node, child) of the tokens' paths."""
+        classes = self.cluster[codes // WIDTH]
+        every = np.arange(len(codes))
+        several = np.flatnonzero(classes > RARE)
+        return [(every, np.zeros(len(codes), dtype=np.int64), classes // WIDTH),
+                (every, 1 + classes // WIDTH, classes % WIDTH),
+                (several, 1 + SUPERS + classes[several], (codes % WIDTH).astype(np.int64)[several])]
+
+
+def features_of(history: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Feature value of each template (rows) at each token; a text starts after end symbols."""
     start = np.repeat(np.cumsum(lengths) - lengths, lengths)
     place = np.arange(len(history)) - start
 
     def back(k: int) -> np.ndarray:
-        out = np.full(len(history), CONTEXT - 1, dtype=np.int64)
+        out = np.full(len(history), HISTORY - 1, dtype=np.uint64)
         out[k:] = history[:-k]
-        out[place < k] = CONTEXT - 1
+        out[place < k] = HISTORY - 1
         return out
 
     one, two, three = back(1), back(2), back(3)
-    pair = ((one * 40503 + two * 30011 + 12345) >> 4) % CONTEXT
-    return np.stack([one, pair, two, three])
+    return np.stack([one, one * np.uint64(HISTORY) + two, two, three])
+
+
+def weight_rows(features: np.ndarray, node: np.ndarray, rows: int) -> np.ndarray:
+    """Row of the weight table for each template and token; ``rows`` is a power of two."""
+    template = np.arange(TEMPLATES, dtype=np.uint64)[:, None] * np.uint64(0xD6E8FEB86659FD93)
+    x = (features + template) * np.uint64(0x9E3779B97F4A7C15) + node.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+    return (x >> np.uint64(65 - rows.bit_length())).astype(np.int64)
 
 
-def class_probabilities(model: Model, features: np.ndarray) -> np.ndarray:
-    z = model.weights[0][features[0]]
-    for k in range(1, TEMPLATES):
-        z += model.weights[k][features[k]]
-    z += model.bias
+def choice_probabilities(model: Model, rows: np.ndarray, node: np.ndarray) -> np.ndarray:
+    z = np.take(model.bias, node, axis=0)
+    for k in range(TEMPLATES):
+        z += np.take(model.weights, rows[k], axis=0)
     z -= z.max(axis=1, keepdims=True)
     np.exp(z, out=z)
     z /= z.sum(axis=1, keepdims=True)
@@ -271,39 +303,57 @@ def class_probabilities(model: Model, features: np.ndarray) -> np.ndarray:
 
 def _unpack(batch: pa.RecordBatch, names: list[str]) -> Iterator[tuple]:
     columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
-    kinds = {"groups": np.uint16, "history": np.uint16, "base": np.float64, "inside": np.float64, "known": np.int64}
+    kinds = {"codes": np.uint16, "history": np.uint16, "base": np.float64, "inside": np.float64, "known": np.int64}
     for row in zip(*columns):
         yield tuple(np.frombuffer(x.as_py(), dtype=kinds[n]) if n in kinds else x.as_py() for n, x in zip(names, row))
 
 
-def _reduce(encoded: DataFrame, size: int, add: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], None]) -> np.ndarray:
-    """Sum of a vector of fixed size over all chunks: added up per task, then per slice, then one vector to the driver."""
+def _training(lengths: list[int], held: list[bool]) -> tuple[np.ndarray, np.ndarray]:
+    """(lengths, positions of the training tokens)."""
+    sizes = np.array(lengths, dtype=np.int64)
+    return sizes, np.flatnonzero(~np.repeat(np.array(held, dtype=bool), sizes))
+
+
+def _reduce(encoded: DataFrame, size: int, tasks: int, add: Callable) -> np.ndarray:
+    """Sum of a vector of fixed size over all chunks: added up per task, then per slice in groups of FAN_IN tasks, one slice at a
+    time in memory; one vector reaches the driver."""
     step = -(-size // SLICES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, some = np.zeros(size, dtype=np.float32), False
         for batch in batches:
-            for groups, history, lengths, held in _unpack(batch, ["groups", "history", "lengths", "held"]):
-                add(total, groups, history, (np.array(lengths, dtype=np.int64), np.array(held, dtype=bool)))
+            for codes, history, lengths, held in _unpack(batch, ["codes", "history", "lengths", "held"]):
+                add(total, codes, history, lengths, held)
                 some = True
         if some:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(SLICES), pa.int32()),
-                 pa.array([total[i * step:(i + 1) * step].tobytes() for i in range(SLICES)], pa.binary())], names=["slice", "x"])
+            task = TaskContext.get().partitionId()
+            for i in range(SLICES):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([i], pa.int32()), pa.array([task], pa.int32()),
+                     pa.array([total[i * step:(i + 1) * step].tobytes()], pa.binary())], names=["slice", "task", "x"])
 
-    def total(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = np.zeros(len(pdf["x"].iloc[0]) // 4, dtype=np.float64)
-        for x in pdf["x"]:
-            out += np.frombuffer(x, dtype=np.float32)
-        return pd.DataFrame({"slice": [int(pdf["slice"].iloc[0])], "x": [out.tobytes()]})
-
-    # Two tasks per core: every task sends one vector, whatever the number of files.
-    tasks = 2 * encoded.sparkSession.sparkContext.defaultParallelism
-    got = encoded.select("groups", "history", "lengths", "held").coalesce(tasks).mapInArrow(run, "slice int, x binary").groupBy(
-        "slice").applyInPandas(total, "slice int, x binary").collect()
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        task = 0
+        for batch in batches:
+            for i, t, x in zip(*(batch.column(k) for k in range(3))):
+                part, task = np.frombuffer(x.as_py(), dtype=np.float32), t.as_py()
+                sums[i.as_py()] = sums[i.as_py()] + part if i.as_py() in sums else part.astype(np.float64)
+        for i, x in sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i], pa.int32()), pa.array([task], pa.int32()), pa.array([_bytes(x, np.float32)], pa.binary())],
+                names=["slice", "task", "x"])
+
+    kind = "slice int, task int, x binary"
+    found = encoded.select("codes", "history", "lengths", "held").coalesce(tasks).mapInArrow(run, kind)
+    while tasks > 1:
+        tasks = -(-tasks // FAN_IN)
+        found = found.repartition(SLICES * tasks, "slice", F.col("task") % tasks).mapInArrow(total, kind)
     out = np.zeros(size)
-    for r in got:
-        out[r["slice"] * step:(r["slice"] + 1) * step] = np.frombuffer(r["x"], dtype=np.float64)
+    for r in found.collect():  # SLICES rows, or a few more where two parts of a slice met no common task
+        at = r["slice"] * step
+        part = np.frombuffer(r["x"], dtype=np.float32)
+        out[at:at + len(part)] += part
     return out
 
 
@@ -325,81 +375,125 @@ def cluster_endings(profile: np.ndarray, rounds: int = 15) -> np.ndarray:
 
 
 def train(encoded: DataFrame, stats: CorpusStatistics) -> Model:
-    def profile(total, groups, history, shape):
-        lengths, held = shape
-        use = ~np.repeat(held, lengths)
-        place = np.arange(len(groups)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        use &= (groups > RARE) & (place > 0)
+    rows = LEAST_ROWS
+    while rows < min(MOST_ROWS, stats.tokens // TOKENS_PER_ROW):
+        rows *= 2
+    # a task sends one vector: few enough tasks that vectors stay a small share of the data
+    tasks = max(encoded.sparkSession.sparkContext.defaultParallelism, -(-stats.tokens // max(TASK_TOKENS, 64 * rows)))
+
+    def profile(total, codes, history, lengths, held):
+        sizes, at = _training(lengths, held)
+        total[:GROUPS * WIDTH] += np.bincount(codes[at], minlength=GROUPS * WIDTH)
+        groups = (codes // WIDTH).astype(np.int64)
+        place = np.arange(len(groups)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         before = np.concatenate([groups[:1], groups[:-1]])
-        use &= before < END
-        total += np.bincount((groups[use].astype(np.int64) - RARE - 1) * SINGLES + before[use], minlength=ENDINGS * SINGLES)
-
-    cluster = cluster_endings(_reduce(encoded, ENDINGS * SINGLES, profile).reshape(ENDINGS, SINGLES))
-
-    def observed(total, groups, history, shape):
-        lengths, held = shape
-        use = ~np.repeat(held, lengths)
-        features, classes = feature_numbers(history, lengths)[:, use], cluster[groups[use]]
-        for k in range(TEMPLATES):
-            at = k * CONTEXT * CLASSES
-            total[at:at + CONTEXT * CLASSES] += np.bincount(features[k] * CLASSES + classes, minlength=CONTEXT * CLASSES)
-
-    seen = _reduce(encoded, TEMPLATES * CONTEXT * CLASSES, observed).reshape(TEMPLATES, CONTEXT, CLASSES)
-    prior = seen[0].sum(axis=0) + 0.5
-    prior = prior / prior.sum()
-    ratio = (seen + SMOOTHING * prior) / (seen.sum(axis=2, keepdims=True) + SMOOTHING) / prior
-    mass = np.bincount(cluster[SINGLES + 2:], weights=stats.ending_mass, minlength=CLASSES)
-    model = Model(cluster, np.log10(np.maximum(mass, 1e-9)), np.log(prior).astype(np.float32),
-                  (START_SHARE * np.log(ratio)).astype(np.float32))
-    for _ in range(ROUNDS):
-        gradient = _reduce(encoded, (TEMPLATES * CONTEXT + 1) * CLASSES, _gradient(model))
-        shift = gradient[:-CLASSES].reshape(seen.shape) / (seen + SMOOTHING / 4) / (TEMPLATES + 1)
-        model.weights += np.clip(shift, -1, 1).astype(np.float32)
-        model.bias += np.clip(gradient[-CLASSES:] / (seen[0].sum(axis=0) + 1.0) / (TEMPLATES + 1), -1, 1).astype(np.float32)
+        at = at[(groups[at] > RARE) & (place[at] > 0) & (before[at] < END)]
+        total[GROUPS * WIDTH:] += np.bincount((groups[at] - RARE - 1) * SINGLES + before[at], minlength=ENDINGS * SINGLES)
+
+    counts = _reduce(encoded, GROUPS * WIDTH + ENDINGS * SINGLES, tasks, profile)
+    cluster = cluster_endings(counts[GROUPS * WIDTH:].reshape(ENDINGS, SINGLES))
+    of_code = counts[:GROUPS * WIDTH].reshape(GROUPS, WIDTH)
     n1, n2, n3 = (float(x) for x in stats.of_count)
-    model.bias[RARE] += np.log((n1 + 2 * n2 + 3 * n3 + 1) / (n1 + 2 * n2 + 1))  # rare words met in new text
+    of_code[RARE] *= (n1 + 2 * n2 + 3 * n3 + 1) / (n1 + 2 * n2 + 1)  # rare words met in new text
+    model = Model(cluster, _part_mass(cluster, stats.mass), _shares(cluster, of_code), np.zeros((rows, WIDTH), dtype=np.float32))
+    table = rows * WIDTH
+    seen = None
+    for _ in range(ROUNDS):
+        first = seen is None
+        found = _reduce(encoded, table * (1 + first) + NODES * WIDTH, tasks, _gradient(model, first))
+        gradient, on_bias = found[:table].reshape(rows, WIDTH), found[table:table + NODES * WIDTH].reshape(NODES, WIDTH)
+        if first:
+            seen = found[table + NODES * WIDTH:].reshape(rows, WIDTH)
+            step = START_SHARE * np.log((seen + SMOOTHING / WIDTH) / (np.maximum(seen - gradient, 0) + SMOOTHING / WIDTH))
+        else:
+            step = np.clip(gradient / (seen + SMOOTHING / 4) / (TEMPLATES + 1), -1, 1)
+            model.bias += np.clip(on_bias / (_children(cluster, of_code) + 1.0) / (TEMPLATES + 1), -1, 1).astype(np.float32)
+        model.weights += step.astype(np.float32)
     return model
 
 
-def _gradient(model: Model):
-    """Adds observed minus expected feature counts over all training documents."""
-
-    def add(total, groups, history, shape):
-        lengths, held = shape
-        use = ~np.repeat(held, lengths)
-        features, classes = feature_numbers(history, lengths)[:, use], model.cluster[groups[use]]
-        blocks = total[:-CLASSES].reshape(TEMPLATES, CONTEXT, CLASSES)
-        for a in range(0, len(classes), BATCH):
-            f, c = features[:, a:a + BATCH], classes[a:a + BATCH]
-            g = -class_probabilities(model, f)
-            g[np.arange(len(c)), c] += 1
-            total[-CLASSES:] += g.sum(axis=0)
-            for k in range(TEMPLATES):
-                order = np.argsort(f[k].astype(np.uint16), kind="stable")
-                sorted_f = f[k][order]
-                cut = np.nonzero(np.diff(sorted_f, prepend=-1))[0]
-                blocks[k][sorted_f[cut]] += np.add.reduceat(g[order], cut, axis=0)
+def _children(cluster: np.ndarray, of_code: np.ndarray) -> np.ndarray:
+    """NODES x WIDTH: training tokens that take each child of each node."""
+    of_class = np.zeros((CLASSES, WIDTH))
+    np.add.at(of_class, cluster, of_code)
+    out = np.zeros((NODES, WIDTH))
+    total = np.zeros(SUPERS * WIDTH)
+    total[:CLASSES] = of_class.sum(axis=1)
+    out[1:1 + SUPERS] = total.reshape(SUPERS, WIDTH)
+    out[0, :SUPERS] = out[1:1 + SUPERS].sum(axis=1)
+    out[1 + SUPERS:] = of_class
+    return out
+
+
+def _shares(cluster: np.ndarray, of_code: np.ndarray) -> np.ndarray:
+    """Log shares of the children of each node; children that no word can take are out of reach."""
+    n = _children(cluster, of_code) + 0.5
+    exists = np.zeros((NODES, WIDTH), dtype=bool)
+    exists[0, :SUPERS] = True
+    exists[1:1 + SUPERS].reshape(-1)[:CLASSES] = True
+    exists[1 + SUPERS:] = True
+    n = np.where(exists, n, 1e-30)
+    return np.log(n / n.sum(axis=1, keepdims=True)).astype(np.float32)
+
+
+def _part_mass(cluster: np.ndarray, mass: np.ndarray) -> np.ndarray:
+    out = np.zeros((CLASSES, WIDTH))
+    np.add.at(out, cluster[SINGLES + 2:], mass.reshape(ENDINGS, WIDTH))
+    return np.log10(np.maximum(out, 1e-9))
+
+
+def _gradient(model: Model, with_counts: bool):
+    """Adds observed minus expected feature counts over all training documents; then the observed ones if asked for."""
+    rows = len(model.weights)
+    table, outputs = rows * WIDTH, np.arange(WIDTH)
+
+    def add(total, codes, history, lengths, held):
+        sizes, training = _training(lengths, held)
+        features = features_of(history, sizes)
+        for a in range(0, len(training), BATCH):
+            at = training[a:a + BATCH]
+            batch_features = features[:, at]
+            for tokens, node, child in model.choices(codes[at]):
+                if not len(tokens):
+                    continue
+                row = weight_rows(batch_features[:, tokens], node, rows)
+                g = -choice_probabilities(model, row, node)
+                g[np.arange(len(tokens)), child] += 1
+                weights = g.ravel()
+                for k in range(TEMPLATES):
+                    total[:table] += np.bincount((row[k][:, None] * WIDTH + outputs).ravel(), weights, table)
+                    if with_counts:
+                        total[table + NODES * WIDTH:] += np.bincount(row[k] * WIDTH + child, minlength=table)
+                total[table:table + NODES * WIDTH] += np.bincount((node[:, None] * WIDTH + outputs).ravel(), weights, NODES * WIDTH)
 
     return add
 
 
+def token_scores(model: Model, codes: np.ndarray, features: np.ndarray) -> np.ndarray:
+    """log10 of each token's choices, less the log10 of its part's mass (its own count is added elsewhere)."""
+    out = np.zeros(len(codes))
+    for tokens, node, child in model.choices(codes):
+        if len(tokens):
+            p = choice_probabilities(model, weight_rows(features[:, tokens], node, len(model.weights)), node)
+            out[tokens] += np.log10(np.maximum(p[np.arange(len(p)), child], 1e-30))
+    classes = model.cluster[codes // WIDTH]
+    return out - np.where(classes > RARE, model.part_mass[classes, codes % WIDTH], 0.0)
+
+
 def score_chunks(encoded: DataFrame, model: Model) -> DataFrame:
     """(id, held_out, n_tokens, n_known, base_score, score), one row per document."""
     id_kind = encoded.schema["ids"].dataType.elementType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["held", "lengths", "base", "known", "inside", "groups", "history"]
+        names = ["held", "lengths", "base", "known", "inside", "codes", "history"]
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index("ids"))
-            for row, (held, lengths, base, known, inside, groups, history) in enumerate(_unpack(batch, names)):
+            for row, (held, lengths, base, known, inside, codes, history) in enumerate(_unpack(batch, names)):
                 sizes = np.array(lengths, dtype=np.int64)
-                classes = model.cluster[groups]
-                features = feature_numbers(history, sizes)
-                gain = np.empty(len(classes))
-                for a in range(0, len(classes), BATCH):
-                    p = class_probabilities(model, features[:, a:a + BATCH])
-                    gain[a:a + BATCH] = np.log10(np.maximum(p[np.arange(len(p)), classes[a:a + BATCH]], 1e-30))
-                gain -= np.where(classes > RARE, model.class_mass[classes], 0.0)
+                features = features_of(history, sizes)
+                gain = np.empty(len(codes))
+                for a in range(0, len(codes), BATCH):
+                    gain[a:a + BATCH] = token_scores(model, codes[a:a + BATCH], features[:, a:a + BATCH])
                 score = np.add.reduceat(gain, np.cumsum(sizes) - sizes) + inside
                 yield pa.RecordBatch.from_arrays(
                     [ids[row].values, pa.array(held, pa.bool_()), pa.array(sizes), pa.array(known), pa.array(base), pa.array(score)],

@@ -432,15 +432,69 @@ def test_lm_does_not_depend_on_the_layout(docs):
     assert one.keys() == many.keys() and all(many[i] == pytest.approx(x, rel=1e-4) for i, x in one.items())
 
 
-def test_lm_is_a_distribution():
-    rng = np.random.default_rng(0)
-    model = maxent_lm.Model(np.arange(maxent_lm.GROUPS) % maxent_lm.CLASSES, np.zeros(maxent_lm.CLASSES),
-                            rng.normal(size=maxent_lm.CLASSES).astype(np.float32),
-                            rng.normal(size=(maxent_lm.TEMPLATES, maxent_lm.CONTEXT, maxent_lm.CLASSES)).astype(np.float32))
-    history = rng.integers(0, 50, 40).astype(np.uint16)
-    features = maxent_lm.feature_numbers(history, np.array([10, 1, 29]))
-    assert (features[:, [0, 10, 11]] == features[:, :1]).all()  # each text starts anew
-    assert np.allclose(maxent_lm.class_probabilities(model, features).sum(axis=1), 1, atol=1e-5)
+def plain_row(template, feature, node, rows):
+    """The weight row of one feature and choice, in Python integers."""
+    m = 2**64 - 1
+    x = ((feature + template * 0xD6E8FEB86659FD93) * 0x9E3779B97F4A7C15 + node * 0xBF58476D1CE4E5B9) & m
+    x = ((x ^ (x >> 32)) * 0x94D049BB133111EB) & m
+    return x >> (65 - rows.bit_length())
+
+
+def plain_log10(model, history, path):
+    """log10 of a path's choices after a history (latest first), one choice and output at a time."""
+    one, two, three = history
+    features, total = (one, one * maxent_lm.HISTORY + two, two, three), 0.0
+    for node, child in path:
+        z = [float(model.bias[node][k]) + sum(
+            float(model.weights[plain_row(t, f, node, len(model.weights))][k]) for t, f in enumerate(features)) for k in range(maxent_lm.WIDTH)]
+        total += (z[child] - max(z) - math.log(sum(math.exp(x - max(z)) for x in z))) / math.log(10)
+    return total
+
+
+def test_lm_score_equals_a_plain_model(docs, monkeypatch):
+    """Every factor of the score from a dictionary of the training words and the weights; all words' probabilities add up to 1."""
+    caught = {}
+    monkeypatch.setattr(maxent_lm, "train", lambda e, s, f=maxent_lm.train: caught.setdefault("model", f(e, s)))
+    monkeypatch.setattr(maxent_lm, "statistics", lambda c, n, f=maxent_lm.statistics: caught.setdefault("stats", f(c, n)))
+    few = docs.where("doc_id < 120")
+    got = {r["doc_id"]: r["score"] for r in maxent_lm.op6_query(docs.sparkSession, few).collect()}
+    model, stats = caught["model"], caught["stats"]
+    texts = {r["doc_id"]: WORD.findall(lower(r["text"])) for r in few.collect()}
+    count = collections.Counter(w.encode() for i, t in texts.items() if zlib.crc32(str(i).encode()) % 7 != 2 for w in t)
+    usual = sorted(((-c, w) for w, c in count.items() if c > 2))[:maxent_lm.SINGLES]
+    single = {w: k for k, (_, w) in enumerate(usual)}
+    of_count = [sum(c == k for c in count.values()) for k in (1, 2, 3)]
+    assert [w for w, _ in stats.top] == [w for _, w in usual] and list(stats.of_count) == of_count
+    mass = collections.Counter()
+    for w, c in count.items():
+        if c > 2 and w not in single:
+            mass[int(model.cluster[maxent_lm.SINGLES + 2 + maxent_lm.ending_of(w)]), maxent_lm.part_of(w)] += c - maxent_lm.DISCOUNT
+
+    def path_of(word):
+        """(choices, log10 of the share inside)."""
+        c = count.get(word, 0)
+        if word is None or word in single or c <= 2:
+            k = maxent_lm.END if word is None else single.get(word, maxent_lm.RARE)
+            shares = [of_count[0], 2 * of_count[1], 3 * of_count[2]]
+            inside = 0.0 if word is None or word in single else math.log10(shares[c] / sum(shares) / max([1, of_count[0], of_count[1]][c], 1))
+            return [(0, k // 8), (1 + k // 8, k % 8)], inside
+        k, part = int(model.cluster[maxent_lm.SINGLES + 2 + maxent_lm.ending_of(word)]), maxent_lm.part_of(word)
+        return ([(0, k // 8), (1 + k // 8, k % 8), (1 + maxent_lm.SUPERS + k, part)],
+                math.log10(c - maxent_lm.DISCOUNT) - math.log10(mass[k, part]))
+
+    number = lambda w: zlib.crc32(b"h" + w) % (maxent_lm.HISTORY - 1)
+    start = maxent_lm.HISTORY - 1
+    for i in sorted(texts, key=lambda i: len(texts[i]))[:25]:
+        words = [w.encode() for w in texts[i]] + [None]
+        want = 0.0
+        for at, w in enumerate(words):
+            history = [number(words[at - k]) if at >= k else start for k in (1, 2, 3)]
+            path, inside = path_of(w)
+            want += plain_log10(model, history, path) + inside
+        assert got[i] == pytest.approx(want, rel=1e-4, abs=1e-3)
+    history = (number(usual[0][1]), number(usual[1][1]), start)
+    whole = sum(10 ** (plain_log10(model, history, p) + x) for p, x in map(path_of, [None, b"\x00unseen", *count]))
+    assert 0.97 < whole < 1.0001  # parts without words hold the rest
 
 
 def test_lm_of_nothing(empty):
