@@ -36,11 +36,11 @@ def correlation_with_target(df: DataFrame, cols: Sequence[str], target: str = TA
 
 
 def ranked_by_strength(correlations: DataFrame) -> DataFrame:
-    """(position, feature, r), strongest first by absolute value, ties by feature; null correlations come last.
+    """(position, feature, r), strongest first by absolute value (to six places), ties by feature; null correlations come last.
 
     One row per feature, so the ranking window is bounded by the number of columns.
     """
-    strongest = Window.orderBy(F.abs("r").desc_nulls_last(), "feature")
+    strongest = Window.orderBy(F.round(F.abs("r"), 6).desc_nulls_last(), "feature")
     return correlations.select(F.row_number().over(strongest).alias("position"), "feature", "r").orderBy("position")
 
 

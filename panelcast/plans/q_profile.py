@@ -369,7 +369,7 @@ def _acf_union(src: str, lags, with_key: bool) -> str:
 
 
 @register("feature_correlations_ranked", with_views(
-    "SELECT CAST(row_number() OVER (ORDER BY abs(r) DESC NULLS LAST, feature) AS INTEGER) AS position, feature, r FROM u",
+    "SELECT CAST(row_number() OVER (ORDER BY round(abs(r), 6) DESC NULLS LAST, feature) AS INTEGER) AS position, feature, r FROM u",
     *FINAL,
     "u AS (" + " UNION ALL ".join(
         f"SELECT '{c}' AS feature, corr(CAST({'CAST(' + c + ' AS INTEGER)' if c.startswith('is_') else c} AS DOUBLE), "

@@ -65,7 +65,8 @@ def refresh_final_dataset(spark: SparkSession, path: str, new_rows: DataFrame, s
     ranked = drop_warmup(add_holiday_features(featured, holidays), n=0, keep_rank=True)
     # a series with rows before those of the state is past its warm-up
     done = ranked.where(F.col("_new") & ((F.col("_had") > F.col("_held")) | (F.col("day_rank") > warmup)))
-    write_table(done.drop("_new", "_had", "_held", "day_rank"), f"{path}/table", [DATE], dynamic=True)
+    table = done.drop("_new", "_had", "_held", "day_rank").repartition(DATE)  # one file a date
+    write_table(table, f"{path}/table", [DATE], dynamic=True)
     newest = F.row_number().over(Window.partitionBy(KEY).orderBy(F.desc(DATE)))
     total = F.col("_had") + F.count_if(F.col("_new")).over(whole)
     kept = filled.withColumns({"n_rows": total, "_age": newest}).where(F.col("_age") <= LOOKBACK_ROWS).select(
