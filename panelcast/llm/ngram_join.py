@@ -17,11 +17,13 @@ segment per fragment.
   (``COUNT_FRAGMENTS`` cuts of the global order, each joined on its own) and
   the partial overlaps are summed per pair: 100 * overlap >= percent * union decides.
 
-Equal sets are one node. Within a bucket the members are compared with a few
-hubs per round, never with each other: members that the rounds have linked
-need no comparison any more, hubs whose pairs are all decided leave the
-bucket, and the number of hubs grows fourfold, until every bucket holds members of one
-component only. So every pair across components has been counted when the rounds end.
+Equal sets are one node. A partner lacks few of a set's n-grams, so it shares
+one of the rarest: under these n-grams the nominated sets meet for counting, and those
+that a set has alone bound its overlap with anyone, which leaves out most pairs. Under an n-gram the
+sets are compared with a few hubs per round, never with each other: sets that the rounds
+have linked need no comparison any more, hubs whose pairs are all decided leave,
+and the number of hubs grows by HUB_GROWTH, until every n-gram has sets of one
+component only. So every pair that may be linked across components has been counted when the rounds end.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelcast.llm.common import materialise, release, scan_texts
@@ -43,7 +45,7 @@ PERCENT = 90
 LEAST_PERCENT = 70
 CLASS_RATIO = 1.25
 COUNT_FRAGMENTS = 8
-HUB_GROWTH = 4
+HUB_GROWTH = 16
 BROADCAST_ROWS = 200_000  # of 24 bytes each
 FLUSH = 200_000  # n-grams held before a block is worked off; a longer text is a block of its own
 
@@ -202,6 +204,11 @@ def _segments(df: DataFrame, id_col: str, text_col: str, nodes: DataFrame, width
     return found if repeated.isEmpty() else found.dropDuplicates(["node", "fragment"])  # rows of equal id and text
 
 
+def _possible(overlap: Column, sizes: Column, percent: int) -> Column:
+    """Whether sets with ``sizes`` n-grams together may be linked if they share at most ``overlap``."""
+    return (100 + percent) * overlap >= percent * sizes
+
+
 def _count(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """The linked ones of ``pairs(u, v)``: partial overlaps of each fragment, summed per pair."""
     left = segments.select(F.col("node").alias("u"), F.col("n").alias("n_u"), "fragment", F.col("grams").alias("grams_u"))
@@ -210,7 +217,7 @@ def _count(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
         "u", "v", "n_u", "n_v", F.size(F.array_intersect("grams_u", "grams_v")).cast("bigint").alias("overlap"))
     return (
         partial.groupBy("u", "v").agg(F.sum("overlap").alias("o"), F.max("n_u").alias("a"), F.max("n_v").alias("b"))
-        .where((100 + percent) * F.col("o") >= percent * (F.col("a") + F.col("b"))).select("u", "v")
+        .where(_possible(F.col("o"), F.col("a") + F.col("b"), percent)).select("u", "v")
     )
 
 
@@ -219,43 +226,69 @@ def link_sets(nodes: DataFrame, df: DataFrame, id_col: str, text_col: str, width
     spark = df.sparkSession
     met = nodes.select(F.explode("buckets").alias("bucket"), "node")
     shared = met.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("bucket")
-    members = materialise(met.join(shared, "bucket"), "members")
-    links = roots = None
-    segments, hubs = None, 1
+    named = met.join(shared, "bucket").select("node").distinct()
+    wanted = materialise(nodes.join(named, "node").select("node", "least", "set_key"), "wanted")
+    segments = _segments(df, id_col, text_col, wanted, width)
+    release(wanted)
+    members = materialise(_rare_buckets(segments, percent), "members")
+    links, roots, hubs = None, None, 1
     while True:
-        if roots is None:
-            placed = members.withColumn("comp", F.col("node"))
-        else:
-            placed = members.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("comp"))
+        placed = members.withColumn("comp", F.col("node")) if roots is None else members.join(roots, "node", "left").select(
+            "bucket", "node", "n", "own", F.coalesce("root", "node").alias("comp"))
         mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
         open_members = materialise(placed.join(mixed, "bucket"), "open")
         release(members)
-        if open_members.isEmpty():
+        largest = open_members.groupBy("bucket").agg(F.count(F.lit(1)).alias("held")).agg(F.max("held")).first()[0]
+        if largest is None:
             release(open_members)
             break
-        if segments is None:
-            wanted = nodes.join(open_members.select("node").distinct(), "node").select("node", "least", "set_key")
-            segments = _segments(df, id_col, text_col, materialise(wanted, "wanted"), width)
-        if hubs == 1:
-            chosen = open_members.groupBy("bucket").agg(F.min("node").alias("hub")).join(
-                open_members.select("bucket", F.col("node").alias("hub"), F.col("comp").alias("hub_comp")), ["bucket", "hub"])
+        as_hub = F.struct(F.col("own").alias("hub_own"), F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp"))
+        if hubs == 1:  # the member with the fewest n-grams of its own is likely amid the others
+            chosen = open_members.groupBy("bucket").agg(F.min(as_hub).alias("h")).select("bucket", "h.*")
         else:  # members of the rarest components first: they are what a large component must still be compared with
             rare = open_members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("held"))
-            place = Window.partitionBy("bucket").orderBy("held", "node")
+            place = Window.partitionBy("bucket").orderBy("held", "own", "node")
             chosen = open_members.join(rare, ["bucket", "comp"]).withColumn("place", F.row_number().over(place)).where(
-                F.col("place") <= hubs).select("bucket", F.col("node").alias("hub"), F.col("comp").alias("hub_comp"))
+                F.col("place") <= hubs).select("bucket", as_hub.alias("h")).select("bucket", "h.*")
         chosen = materialise(chosen, "hubs")
-        pairs = open_members.join(chosen, "bucket").where("comp <> hub_comp").select(
-            F.greatest("node", "hub").alias("u"), F.least("node", "hub").alias("v")).distinct()
+        overlap = F.least(F.col("n") - F.col("own"), F.col("hub_n") - F.col("hub_own"))
+        meets = (open_members["bucket"] == chosen["bucket"]) & (F.col("comp") != F.col("hub_comp")) & _possible(
+            overlap, F.col("n") + F.col("hub_n"), percent)
+        pairs = open_members.join(chosen, meets).select(F.greatest("node", "hub").alias("u"), F.least("node", "hub").alias("v")).distinct()
         found = materialise(_count(pairs, segments, percent), "found")
         links = found if links is None else links.union(found)
-        members = materialise(
-            open_members.join(chosen.select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti")
-            .select("bucket", "node"), "members")
+        if largest <= hubs + 1:  # every member but one was a hub: all pairs are decided
+            release(open_members), release(chosen)
+            break
+        members = materialise(open_members.join(
+            chosen.select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti").select("bucket", "node", "n", "own"), "members")
         release(open_members), release(chosen)
         roots = connected_components(links)
         hubs *= HUB_GROWTH
-    return spark.createDataFrame([], "node bigint, root bigint") if roots is None else roots
+    release(segments)
+    if links is None:
+        return spark.createDataFrame([], "node bigint, root bigint")
+    return roots if largest is None else connected_components(links)
+
+
+def _rare_buckets(segments: DataFrame, percent: int) -> DataFrame:
+    """(bucket, node, n, own): the nominated sets under the rarest n-grams that any partner must share one of.
+
+    A partner may lack a bounded number of a set's n-grams, so it holds one of
+    the set's rarest ones, one more than that number (rarity counted among the nominated sets), and
+    the set holds one of the partner's. N-grams that a set has alone (``own``) name no bucket, but bound its overlaps.
+    """
+    grams = segments.select("node", "n", F.explode("grams").alias("bucket"))
+    held = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("held"))
+    smallest = F.ceil(F.col("n") * percent / 100)  # a partner's least size
+    spare = F.col("n") - F.ceil((F.col("n") + smallest) * percent / (100 + percent))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("held", "bucket"))
+    rarest = grams.join(held, "bucket").withColumn("place", place).where(F.col("place") <= spare + 1)
+    own = F.count_if(F.col("held") == 1).over(Window.partitionBy("node"))
+    keyed = rarest.withColumn("own", own).where("held > 1").select("bucket", "node", "n", "own")
+    least = keyed.groupBy("bucket").agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    chance = _possible(F.col("n") - F.col("own"), F.col("n") + F.greatest(smallest, F.col("least")), percent)
+    return keyed.join(least, "bucket").where(chance).select("bucket", "node", "n", "own")
 
 
 def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
