@@ -244,8 +244,8 @@ def fit_rates(table: DataFrame, targets: dict[str, float], domains: tuple[str, .
 
     ``targets`` are weights that are scaled to the token total, or with
     ``factors`` multiples of each domain's present expected total, or with
-    ``budget`` weights scaled to the largest total for which no domain needs more tokens than it has
-    (domains without tokens are left out).
+    ``budget`` weights scaled so that the domain of the largest weight keeps its tokens, no other domain
+    being wanted beyond what it has (so the weights hold wherever the tokens are there, and nothing is repeated to reach them).
     Targets that no nonnegative rates reach are met as closely as least
     squares can, up to the least of PULLS. An empty table gives rates of 1.
     """
@@ -257,10 +257,10 @@ def fit_rates(table: DataFrame, targets: dict[str, float], domains: tuple[str, .
         return np.zeros(k), np.zeros(k), t
     if factors:
         t = t * m / total
+    elif budget:
+        t = np.minimum(t * m[t.argmax()] / t.max(), m) / total
     else:
-        t = np.where(m > 0, t, 0.0) if budget else t
-        t = t / max(t.sum(), 1e-300)
-        t = t * min((x / total / w for x, w in zip(m, t) if w > 0), default=1.0) if budget else t
+        t = t / t.sum()
     # In coordinates z with prices = base @ z the metric A is the identity; directions that no document has are left out.
     size, axes = np.linalg.eigh(a / total)
     held = size > 1e-9 * size.max()
