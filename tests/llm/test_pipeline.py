@@ -31,7 +31,10 @@ def test_stages(spark, tmp_path):
             domains = tuple(corpus_pipeline.MIX)
             classifier = mixing.fit_classifier(docs, labels, domains)
             passes, totals, _ = mixing.fit_rates(mixing.posterior_table(docs, classifier), corpus_pipeline.MIX, domains, budget=True)
-            assert (totals / totals.sum()).tolist() == pytest.approx(list(corpus_pipeline.MIX.values()), abs=1e-4)
+            p, n = classifier.posteriors([r["text"] for r in rows])
+            has = n @ p / n.sum()
+            good, poor = corpus_pipeline.MIX.values()
+            assert totals.tolist() == pytest.approx([has[0], min(has[1], has[0] * poor / good)], abs=1e-4)
             rates = mixing.rates_of(classifier.posteriors([r["text"] for r in rows])[0], passes)
             copies = mixing.copies_of(rates, [r["doc_id"] for r in rows])
             assert ids == collections.Counter({r["doc_id"]: int(c) for r, c in zip(rows, copies) if c})
