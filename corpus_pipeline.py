@@ -15,9 +15,9 @@ from panelcast.llm import mixing, pieces, quality, simhash, toxicity
 from panelcast.llm.common import delete, read_table
 from panelcast.session import checkpoint_dir
 
-# Target weights of the mix (toxic documents are gone by then). The token budget is the largest one for
-# which no domain needs more tokens than it has, so no document is wanted more than about once.
-MIX = {"good": 0.9, "poor": 0.1}
+# Target weights of the mix (toxic documents are gone by then). The token budget follows from keeping the good
+# domain whole; the poor one is thinned to its weight, or stays as it is if it has fewer tokens.
+MIX = {"good": 0.95, "poor": 0.05}
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
