@@ -115,7 +115,8 @@ def _hannan_rissanen(w: np.ndarray, xw: np.ndarray) -> np.ndarray:
 
 N_LEVELS = SEASON + 1
 N_ARMA = SEASON + 2
-SETTLED = 1e-8
+SETTLED = 1e-5
+BLOCK = 64
 
 
 def state_space(phi: float, Phi: float, th: float, Th: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -159,7 +160,8 @@ def removed_functions(n: int) -> np.ndarray:
 def filtered(coefs: tuple, data: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple]:
     """(scaled innovations of the columns of ``data`` at the rows seen, their log variances, final states, system).
 
-    All columns go through one filter; the gain is kept once it has not changed for two seasons, until a row is missing.
+    All columns go through one filter; the gain is kept once it has changed by
+    less than SETTLED a row for two seasons, until a row is missing.
     """
     T, Z, R = system = state_space(*coefs)
     P = np.zeros((N_ARMA + N_LEVELS,) * 2)
@@ -169,27 +171,52 @@ def filtered(coefs: tuple, data: np.ndarray, seen: np.ndarray) -> tuple[np.ndarr
     a = np.zeros((len(Z), data.shape[1]))
     v, logs = np.zeros((int(seen.sum()), data.shape[1])), np.zeros(int(seen.sum()))
     settled, calm, gain, root, log_f, at = False, 0, None, 1.0, 0.0, 0
-    for t, there in enumerate(seen.tolist()):
-        if not there:
-            settled, calm = False, 0
+    t, n, block = 0, len(seen), None
+    while t < n:
+        if not seen[t]:
+            settled, calm, block = False, 0, None
             a = T @ a
             P = T @ P @ T.T + Q
+            t += 1
+            continue
+        if settled and t + BLOCK <= n and seen[t:t + BLOCK].all():  # a settled filter is one linear map of a block of rows
+            if block is None:
+                block = _block_map(T - np.outer(gain, Z), Z, gain)
+            ahead, inside, onward, drive = block
+            d = data[t:t + BLOCK]
+            v[at:at + BLOCK], logs[at:at + BLOCK] = (d - ahead @ a - inside @ d) / root, log_f
+            a = onward @ a + drive @ d
+            t, at = t + BLOCK, at + BLOCK
             continue
         if not settled:
             PZ = P @ Z
             f = max(float(Z @ PZ), 1e-300)
             new = T @ (PZ / f)
             calm = calm + 1 if gain is not None and float(np.abs(new - gain).max()) < SETTLED else 0
-            settled = calm > 2 * SEASON  # a change shows again after a season
+            settled = calm > 2 * SEASON  # a season later the gain would show what is still under way
             gain, root, log_f = new, f**0.5, math.log(f)
             P = T @ P @ T.T - np.outer(gain, gain) * f + Q
         e = data[t] - Z @ a
         a = T @ a + gain[:, None] * e
         v[at], logs[at] = e / root, log_f
-        at += 1
+        t, at = t + 1, at + 1
     return v, logs, a, system
 
 
+def _block_map(M: np.ndarray, Z: np.ndarray, gain: np.ndarray) -> tuple[np.ndarray, ...]:
+    """What BLOCK steps of a settled filter with state map ``M`` do: (state to expected rows, rows to later expected rows,
+    state to final state, rows to final state)."""
+    ahead, response = np.empty((BLOCK, len(Z))), np.empty((len(Z), BLOCK))
+    row, column = Z.copy(), gain.copy()
+    for i in range(BLOCK):
+        ahead[i], response[:, i] = row, column
+        row, column = row @ M, M @ column
+    impulse = Z @ response  # of a row on the expectation 1, 2, ... rows later
+    lag = np.arange(BLOCK)[:, None] - np.arange(BLOCK)[None, :] - 1
+    inside = np.where(lag >= 0, impulse[np.maximum(lag, 0)], 0.0)
+    return ahead, inside, np.linalg.matrix_power(M, BLOCK), response[:, ::-1]
+
+
 def profile_likelihood(coefs: tuple, y: np.ndarray, X: np.ndarray, seen: np.ndarray):
     """(diffuse log-likelihood with regression and variance concentrated out, coefficients, states, system)."""
     k = X.shape[1]
@@ -207,7 +234,7 @@ def profile_likelihood(coefs: tuple, y: np.ndarray, X: np.ndarray, seen: np.ndar
     return -0.5 * (m * (np.log(2 * np.pi * s2) + 1) + float(logs.sum()) + info), b, a, system
 
 
-def _maximise(start: np.ndarray, value, rounds: int = 12) -> np.ndarray:
+def _maximise(start: np.ndarray, value, rounds: int = 8) -> np.ndarray:
     """Quasi-Newton steps (BFGS) with forward differences and halved steps."""
     p, f = start.copy(), value(start)
     n = len(p)
@@ -238,7 +265,7 @@ def _maximise(start: np.ndarray, value, rounds: int = 12) -> np.ndarray:
         s, u = q - p, g - gq
         gained = fq - f
         p, f, g = q, fq, gq
-        if gained < 1e-6 * (1 + abs(f)):
+        if gained < 1e-5 * (1 + abs(f)):
             break
         if float(s @ u) > 1e-12:
             rho = 1.0 / float(s @ u)
@@ -253,7 +280,7 @@ def _start(y: np.ndarray, X: np.ndarray, seen: np.ndarray) -> np.ndarray:
     for t in np.flatnonzero(~seen):
         y[t] = y[t - SEASON] if t >= SEASON else y[seen][0]
     w, xw = _diff(y), _diff(X)
-    return _css_fit(_hannan_rissanen(w, xw), w, xw)[:4]
+    return _css_fit(_hannan_rissanen(w, xw), w, xw, iters=12)[:4]
 
 
 def fit_forecast(y: np.ndarray, X: np.ndarray, X_future: np.ndarray, *_dates) -> np.ndarray:

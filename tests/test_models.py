@@ -181,6 +181,19 @@ def test_filter_likelihood_equals_the_dense_one():
             assert got == pytest.approx(dense_likelihood(coefs, y, X, seen), abs=1e-5)
 
 
+def test_settled_filter_equals_the_unsettled_one(monkeypatch):
+    from panelcast.plans.forecast import seasonal_arx as S
+
+    rng = np.random.default_rng(3)
+    y, seen = np.cumsum(rng.normal(size=700)) + np.tile(WEEK, 100), np.ones(700, dtype=bool)
+    seen[[300, 301, 555]] = False
+    coefs = (0.4, 0.2, -0.5, -0.7)
+    quick = S.profile_likelihood(coefs, y, np.zeros((700, 0)), seen)
+    monkeypatch.setattr(S, "SETTLED", 0.0)
+    slow = S.profile_likelihood(coefs, y, np.zeros((700, 0)), seen)
+    assert quick[0] == pytest.approx(slow[0], abs=0.02) and np.allclose(quick[1], slow[1], rtol=1e-2, atol=1e-2)
+
+
 def test_seasonal_arx_skips_missing_targets():
     from panelcast.plans.forecast.seasonal_arx import fit_forecast
 
