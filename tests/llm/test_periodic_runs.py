@@ -75,9 +75,9 @@ def test_synchronising_set_is_consistent_and_dense():
     for t in (1, 2, 4):
         names = P._doubled(names, t)
     chosen = P.synchronising_set(names, 8, np.zeros(len(names), dtype=bool))
-    context = {}
+    context, members = {}, set(chosen.tolist())
     for i in range(len(x) - 16):
-        context.setdefault(x[i:i + 16].tobytes(), []).append(i in set(chosen.tolist()) if False else bool(np.isin(i, chosen)))
+        context.setdefault(x[i:i + 16].tobytes(), []).append(i in members)
     assert all(len(set(v)) == 1 for v in context.values())
     assert np.diff(chosen).max() <= 8
 
