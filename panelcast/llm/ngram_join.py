@@ -45,7 +45,7 @@ PERCENT = 90
 LEAST_PERCENT = 70
 CLASS_RATIO = 1.25
 COUNT_FRAGMENTS = 8
-HUB_GROWTH = 16
+HUB_GROWTH = 64
 BROADCAST_ROWS = 200_000  # of 24 bytes each
 FLUSH = 200_000  # n-grams held before a block is worked off; a longer text is a block of its own
 
