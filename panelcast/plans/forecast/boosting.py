@@ -7,7 +7,11 @@ that fall there; the sums are added up in a tree of tasks, and the driver,
 which sees one histogram per wanted node, picks the splits. Of two siblings
 only the smaller one is summed, the other is its parent less the first.
 
-Trees grow level by level (one job per level) or leaf by leaf: the leaf of
+A node of at most ``LOCAL_ROWS`` rows is finished by one task: a second job deals the rows of all such
+nodes out by node, and only their splits return. A table of which a tree would have more such
+nodes than leaves grows by histograms alone. Tasks send occupied bins only.
+
+Above them, trees grow level by level (one job per level) or leaf by leaf: the leaf of
 greatest gain is split first, up to a number of leaves. There a job sums the children of
 several of the best leaves at once, ahead of their turn; the order of splits
 is that of one leaf at a time.
@@ -28,7 +32,7 @@ import heapq
 import math
 import uuid
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +50,7 @@ CHECKPOINT = 25
 AHEAD = 16  # leaves whose children one job sums in leaf-by-leaf growth
 LEAST_GAIN = 1e-9
 LOSS_BITS = 22
+LOCAL_ROWS = 32_768  # rows of a node that one task finishes
 
 _MARGINS = WorkerCache("boosting margins", keep=512)
 
@@ -103,6 +108,46 @@ def leaves_of(tree: tuple[np.ndarray, ...], binned: np.ndarray) -> np.ndarray:
         node = np.where(inner, np.where(goes_left, left[node], right[node]), node)
 
 
+def _add_up(nodes: int, where: np.ndarray, binned: np.ndarray, g: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Gradients and rows by (node, feature, bin); ``where``: node of each row, ``binned``: features x rows."""
+    hist, first = np.zeros((nodes, len(columns), BINS, 2), dtype=np.int64), where * BINS
+    for j, f in enumerate(columns):
+        code = first + binned[f]
+        hist[:, j, :, 0] = np.bincount(code, g, nodes * BINS).astype(np.int64).reshape(-1, BINS)
+        hist[:, j, :, 1] = np.bincount(code, minlength=nodes * BINS).reshape(-1, BINS)
+    return hist
+
+
+def _slots(nodes: int, wanted: list[int]) -> np.ndarray:
+    slot = np.full(nodes, -1, dtype=np.int64)
+    slot[wanted] = np.arange(len(wanted))
+    return slot
+
+
+def grown_from(binned: np.ndarray, g: np.ndarray, settings: TreeSettings, columns: np.ndarray, unit: float) -> Tree:
+    """The tree of these rows."""
+    grower = Grower(settings, columns, unit)
+    while grower.wanted:
+        where = _slots(len(grower.tree.feature), grower.wanted)[leaves_of(grower.tree.arrays(), binned)]
+        used = np.flatnonzero(where >= 0)
+        grower.take(_add_up(len(grower.wanted), where[used], binned[:, used], g[used], columns))
+    return grower.finished()
+
+
+def _occupied(hist: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    flat = hist.reshape(-1, 2)
+    at = np.flatnonzero(flat[:, 1])
+    return at.astype(np.uint32), flat[at]
+
+
+def _merged(a: tuple, b: tuple) -> tuple:
+    """Sum of two (bins, their sums, squared errors of the fitting and of the other rows)."""
+    at, place = np.unique(np.concatenate([a[0], b[0]]), return_inverse=True)
+    total = np.zeros((len(at), 2), dtype=np.int64)
+    np.add.at(total, place, np.concatenate([a[1], b[1]]))
+    return at, total, a[2] + b[2], a[3] + b[3]
+
+
 def _sampled(keys: np.ndarray, seed: int, round_: int, share: float) -> np.ndarray:
     """The rows of a round, by a hash of their key: the same ones wherever a row lies."""
     if share >= 1.0:
@@ -132,8 +177,9 @@ def best_splits(hist: np.ndarray, unit: float, settings: TreeSettings) -> list[t
 class Grower:
     """One tree from histograms: names the nodes it wants summed, takes the sums, says when it is done."""
 
-    def __init__(self, settings: TreeSettings, columns: np.ndarray, unit: float):
-        self.settings, self.columns, self.unit = settings, columns, unit
+    def __init__(self, settings: TreeSettings, columns: np.ndarray, unit: float, local_rows: int = 0):
+        self.settings, self.columns, self.unit, self.local_rows = settings, columns, unit, local_rows
+        self.local: list[int] = []  # nodes of at most ``local_rows`` rows, to be finished elsewhere
         self.tree = Tree()  # with splits ahead of their turn, if any
         self.hist: dict[int, np.ndarray] = {}
         self.found: dict[int, tuple[float, int, int]] = {}
@@ -186,8 +232,13 @@ class Grower:
             self.tree.value[child] = -self.settings.step * float(g) * self.unit / float(n + self.settings.ridge)
         if self.tree.depth[a] < self.settings.depth:
             small, other = (a, b) if self.tree.rows[a] <= self.tree.rows[b] else (b, a)
-            self.wanted.append(small)
-            self.parents[small] = (node, other)
+            if self.tree.rows[small] > self.local_rows:
+                self.wanted.append(small)
+                self.parents[small] = (node, other)
+            else:
+                self.hist.pop(node)
+                for child in (small, other):
+                    (self.local if self.tree.rows[child] <= self.local_rows else self.wanted).append(child)
         else:
             self.found[a] = self.found[b] = (0.0, -1, 0)
             self.hist.pop(node)
@@ -207,6 +258,27 @@ class Grower:
             for child in (self.tree.left[node], self.tree.right[node]):
                 self._push(child)
 
+    def graft(self, node: int, part: Tree) -> None:
+        """Put the tree that was grown from the rows of ``node`` in its place."""
+        name = {0: node}
+        for i, f in enumerate(part.feature):  # a child has a greater number than its parent
+            if f >= 0:
+                children = self.tree.split(name[i], f, part.bin[i], part.gain[i])
+                for child, old in zip(children, (part.left[i], part.right[i])):
+                    name[old] = child
+                    self.tree.rows[child], self.tree.value[child] = part.rows[old], part.value[old]
+
+    def order(self, leaves: int | None) -> None:
+        """Accept the known splits: level by level, or the best leaf first up to ``leaves`` leaves."""
+        self.accepted, waiting = [], [(0, 0.0, 0)]
+        while waiting and (leaves is None or len(self.accepted) + 1 < leaves):
+            _, _, node = heapq.heappop(waiting)
+            if self.tree.feature[node] >= 0:
+                self.accepted.append(node)
+                for child in (self.tree.left[node], self.tree.right[node]):
+                    rank = (len(self.accepted) * 2, 0.0) if leaves is None else (0, -self.tree.gain[child])
+                    heapq.heappush(waiting, (*rank, child))
+
     def finished(self) -> Tree:
         """The tree of the accepted splits, nodes numbered as they were made."""
         out, name = Tree(), {0: 0}
@@ -405,43 +477,72 @@ class Trainer:
         if kept is not None:
             kept.unpersist()
 
+    def _margins(self):
+        """Function of a task: the margins of a block in the round after ``trees``."""
+        width, base, since, stored, name, round_ = len(self.features), self.base, self.since, self.stored, self.name, len(self.trees)
+
+        def find(block: str, binned: np.ndarray, margin: bytes | None) -> np.ndarray:
+            held = _MARGINS.peek((name, block))
+            if held is None or not stored <= held[0] <= round_:
+                held = (stored, np.full(binned.shape[1], base) if margin is None else np.frombuffer(margin))
+            margin = held[1]
+            for t in since[held[0] - stored:]:
+                margin = margin + t[4][leaves_of(t, binned)]
+            _MARGINS.put((name, block), (round_, margin))
+            return margin
+
+        return find
+
     def sums(self, tree: tuple[np.ndarray, ...], wanted: list[int], columns: np.ndarray, settings: TreeSettings, losses: bool):
         """(histograms of the wanted nodes, squared errors of the fitting and of the other rows) in the round after ``trees``."""
-        width, bins, unit, loss_unit = len(self.features), BINS, self.unit, self.loss_unit
-        base, since, stored, name, round_ = self.base, self.since, self.stored, self.name, len(self.trees)
-        slot = np.full(len(tree[0]), -1, dtype=np.int64)
-        slot[wanted] = np.arange(len(wanted))
-        shape = (len(wanted), len(columns), bins, 2)
+        width, unit, loss_unit, round_, margins = len(self.features), self.unit, self.loss_unit, len(self.trees), self._margins()
+        slot, shape = _slots(len(tree[0]), wanted), (len(wanted), len(columns), BINS, 2)
 
         def run(blocks: Iterator[tuple]) -> Iterator[tuple]:
             hist, errors = np.zeros(shape, dtype=np.int64), [0, 0]
             for block, n, packed, y, keys, fit, margin in blocks:
                 binned = np.frombuffer(packed, dtype=np.uint8).reshape(width, n)
                 y, fit = np.frombuffer(y), np.frombuffer(fit, dtype=bool)
-                held = _MARGINS.peek((name, block))
-                if held is None or not stored <= held[0] <= round_:
-                    held = (stored, np.full(n, base) if margin is None else np.frombuffer(margin))
-                margin = held[1]
-                for t in since[held[0] - stored:]:
-                    margin = margin + t[4][leaves_of(t, binned)]
-                _MARGINS.put((name, block), (round_, margin))
+                margin = margins(block, binned, margin)
                 if losses:
                     e = np.rint((margin - y) / loss_unit).astype(np.int64) ** 2
                     errors = [errors[0] + int(e[fit].sum()), errors[1] + int(e[~fit].sum())]
                 where = slot[leaves_of(tree, binned)]
                 sampled = _sampled(np.frombuffer(keys, dtype=np.int64), settings.seed, round_, settings.row_share)
                 used = np.flatnonzero((where >= 0) & fit & sampled)
-                g, first = np.rint((margin[used] - y[used]) / unit), where[used] * bins
-                for j, f in enumerate(columns):
-                    code = first + binned[f][used]
-                    hist[:, j, :, 0] += np.bincount(code, g, shape[0] * bins).astype(np.int64).reshape(-1, bins)
-                    hist[:, j, :, 1] += np.bincount(code, minlength=shape[0] * bins).reshape(-1, bins)
-            yield hist, errors[0], errors[1]
+                hist += _add_up(len(wanted), where[used], binned[:, used], np.rint((margin[used] - y[used]) / unit), columns)
+            yield *_occupied(hist), errors[0], errors[1]
 
         levels = max(1, math.ceil(math.log(self.parts) / math.log(FAN_IN)))
-        hist, fit, rest = self.blocks.mapPartitions(run).treeReduce(lambda a, b: (a[0] + b[0], a[1] + b[1], a[2] + b[2]), levels)
+        at, found, fit, rest = self.blocks.mapPartitions(run).treeReduce(_merged, levels)
+        hist = np.zeros(shape, dtype=np.int64)
+        hist.reshape(-1, 2)[at] = found
         return hist, [fit, rest]
 
+    def finish(self, tree: tuple[np.ndarray, ...], depth: list[int], nodes: list[int], columns: np.ndarray,
+               settings: TreeSettings) -> list[tuple[int, Tree]]:
+        """(node, tree of its rows) of the named nodes, each grown by one task."""
+        width, unit, round_, margins = len(self.features), self.unit, len(self.trees), self._margins()
+        slot = _slots(len(tree[0]), nodes)
+
+        def deal(blocks: Iterator[tuple]) -> Iterator[tuple]:
+            for block, n, packed, y, keys, fit, margin in blocks:
+                binned = np.frombuffer(packed, dtype=np.uint8).reshape(width, n)
+                y, margin = np.frombuffer(y), margins(block, binned, margin)
+                where = slot[leaves_of(tree, binned)]
+                sampled = _sampled(np.frombuffer(keys, dtype=np.int64), settings.seed, round_, settings.row_share)
+                where[~(np.frombuffer(fit, dtype=bool) & sampled)] = -1
+                for i in range(len(nodes)):
+                    rows = np.flatnonzero(where == i)
+                    yield i, (binned[:, rows], np.rint((margin[rows] - y[rows]) / unit))
+
+        def grow(dealt: Iterator[tuple]) -> Iterator[tuple]:
+            for i, parts in dealt:
+                binned, g = (np.concatenate(x, axis=-1) for x in zip(*parts))
+                yield nodes[i], grown_from(binned, g, replace(settings, depth=settings.depth - depth[nodes[i]]), columns, unit)
+
+        return self.blocks.mapPartitions(deal).groupByKey(len(nodes)).mapPartitions(grow).collect()
+
     def losses(self, errors: list[int]) -> tuple[float, float | None]:
         """Root mean squared errors of the fitting rows and of the other rows."""
         rest = self.n - self.n_fit
@@ -456,7 +557,8 @@ class Trainer:
     def grow(self, settings: TreeSettings, losses: bool = True) -> tuple[float, float | None]:
         """Add one tree; the losses returned are those before it."""
         columns = self.columns_of(settings)
-        grower = Grower(settings, columns, self.unit)
+        local = self.n_fit <= LOCAL_ROWS * (settings.leaves or 2**settings.depth)
+        grower = Grower(replace(settings, leaves=None), columns, self.unit, LOCAL_ROWS) if local else Grower(settings, columns, self.unit)
         before = (0.0, None)
         first = True
         while grower.wanted:
@@ -464,6 +566,11 @@ class Trainer:
             if first:
                 before, first = self.losses(errors), False
             grower.take(hist)
+        if local:
+            if grower.local:
+                for node, part in sorted(self.finish(grower.tree.arrays(), grower.tree.depth, grower.local, columns, settings), key=lambda x: x[0]):
+                    grower.graft(node, part)
+            grower.order(settings.leaves)
         self.trees.append(grower.finished())
         self.since.append(self.trees[-1].arrays())
         if len(self.since) >= CHECKPOINT:

@@ -7,7 +7,7 @@ Outputs under ``out_dir`` (a shared folder on a cluster):
     predictions/     long table partitioned by split and model; each job
                      replaces only its own partitions (dynamic overwrite)
     metrics/         leaderboard per split and model
-    models/gbt_*     Spark ML persistence of the tree models
+    models/gbt_*     node and feature tables of the tree models
 
 Writing the final dataset also cuts the lineage for the model jobs, which
 read it back instead of re-deriving the features.
@@ -28,7 +28,7 @@ from panelcast.plans.forecast.naive import naive_predictions
 from panelcast.plans.forecast.seasonal_arx import forecast_seasonal_arx
 from panelcast.plans.forecast.trees import N_ROUNDS, fit_boosted_trees, predict_trees
 from panelcast.sources.fixtures import Panel
-from panelcast.sources.io import read_table, save_model, write_table
+from panelcast.sources.io import read_table, save_trees, write_table
 
 PRED_COLS = ["store_nbr", "date", "y_true", "y_pred"]
 
@@ -57,7 +57,7 @@ def run_study(spark: SparkSession, p: Panel, out_dir: str, train_end: str, val_e
         }
         for variant in ("early_stop", "full_sample"):
             fit = fit_boosted_trees(hist, FEATURES_EX_ANTE, variant=variant, rounds=tree_rounds)
-            save_model(fit.model, f"{out_dir}/models/gbt_{variant}_{split}")
+            save_trees(fit.model, spark, f"{out_dir}/models/gbt_{variant}_{split}")
             jobs[f"gbt_{variant}"] = predict_trees(fit, fut)
         for model, df in jobs.items():
             write_table(_tag(df, split, model), pred_path, ["split", "model"], dynamic=True)

@@ -77,6 +77,13 @@ def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def save_trees(model, spark: SparkSession, path: str) -> None:
+    """The tables of a boosted-tree model, in place of an earlier one."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+    model.save(spark, path)
+
+
 def list_tables(spark: SparkSession) -> list[str]:
     """Sorted names of the registered tables/views of the current catalog."""
     return sorted(t.name for t in spark.catalog.listTables())

@@ -144,3 +144,21 @@ def test_constant_target_and_nulls(spark):
     assert {r["y_pred"] for r in T.predict_trees(fit, flat).collect()} == {2.5}
     with pytest.raises(Exception, match="null"):
         T.fit_boosted_trees(flat.withColumn("a", F.lit(None).cast("double")), FEATURES, variant="full_sample", rounds=1)
+
+
+def test_nodes_finished_by_one_task(spark, monkeypatch):
+    """Subtrees grown from dealt rows equal those of histogram jobs to the last bit; a round takes two jobs, not one a level."""
+    df = spark.createDataFrame(rows(1500), SCHEMA)
+    fit = lambda v: T.fit_boosted_trees(df, FEATURES, variant=v, rounds=4, patience=3).model.node_rows()
+    calls = []
+    plain = B.Trainer.sums
+    monkeypatch.setattr(B.Trainer, "sums", lambda *a: calls.append(1) or plain(*a))
+    monkeypatch.setattr(B, "LOCAL_ROWS", 0)
+    first = {v: fit(v) for v in ("early_stop", "full_sample")}
+    many = len(calls)
+    for most in (60, 400, 32_768):
+        monkeypatch.setattr(B, "LOCAL_ROWS", most)
+        calls.clear()
+        assert {v: fit(v) for v in first} == first
+        assert len(calls) < many
+    assert len(calls) <= 4 * 3 + 2  # the root of each tree of the three fits, and the last losses
