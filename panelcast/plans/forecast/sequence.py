@@ -124,14 +124,15 @@ def pool_sequence(windows: DataFrame, col: str = "input", kernels: Sequence[int]
     """Multi-rate max pooling (kernel k, stride k, last partial chunk kept):
     one row per (window, stack index) with the pooled array."""
     def chunk_max(k):
-        # one-argument lambda: a second parameter would receive the index
-        return lambda i: F.array_max(F.slice(F.col(col), i * k + 1, k))
-
-    pooled = []
-    for idx, k in enumerate(kernels):
-        n = math.ceil(lookback / k)
-        arr = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), chunk_max(k))
-        pooled.append(F.struct(F.lit(idx).alias("stack"), F.lit(k).alias("kernel"), arr.alias("pooled")))
+        def most(i):  # one parameter: a second one would receive the index. Past the end is null and passed over
+            held = [F.get(F.col(col), i * k + j) for j in range(k)]
+            return F.greatest(*held) if k > 1 else held[0]
+
+        return F.transform(F.sequence(F.lit(0), F.lit(math.ceil(lookback / k) - 1)), most)
+
     keep = [c for c in windows.columns if c not in (col, "target")]
-    return windows.select(*keep, F.explode(F.array(*pooled)).alias("_p")).select(*keep, "_p.stack", "_p.kernel",
+    once = windows.select(*keep, *[chunk_max(k).alias(f"__pool_{k}") for k in dict.fromkeys(kernels)])
+    pooled = [F.struct(F.lit(idx).alias("stack"), F.lit(k).alias("kernel"), F.col(f"__pool_{k}").alias("pooled"))
+              for idx, k in enumerate(kernels)]
+    return once.select(*keep, F.explode(F.array(*pooled)).alias("_p")).select(*keep, "_p.stack", "_p.kernel",
                                                                                   "_p.pooled")

@@ -211,3 +211,16 @@ def test_checkpoint_dir_respects_session_setting(spark):
     from panelcast.session import checkpoint_dir
 
     assert checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_pooling_reads_elements_in_place(spark):
+    """Pooling of odd lengths, short arrays and nulls as before, without a slice per pooled value."""
+    from panelcast.plans.forecast.sequence import pool_sequence
+
+    rows = [(1, [3.0, 1.0, 2.0, 5.0, 4.0]), (2, [1.0, None, float("nan")]), (3, None)]
+    out = pool_sequence(spark.createDataFrame(rows, "store_nbr bigint, input array<double>"), kernels=[2, 1, 2], lookback=5)
+    assert "slice(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r["store_nbr"], r["stack"]): (r["kernel"], [None if v is None else str(v) for v in r["pooled"]]) for r in out.collect()}
+    pairs = {1: ["3.0", "5.0", "4.0"], 2: ["1.0", "nan", None], 3: [None] * 3}
+    single = {1: ["3.0", "1.0", "2.0", "5.0", "4.0"], 2: ["1.0", None, "nan", None, None], 3: [None] * 5}
+    assert got == {(k, s): (2, pairs[k]) if s != 1 else (1, single[k]) for k in (1, 2, 3) for s in (0, 1, 2)}
