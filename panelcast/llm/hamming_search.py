@@ -12,7 +12,9 @@ Equal codes are one entry with its row count and smallest ids, and equal
 query codes are one search, so a code that a third of all rows share costs
 nothing extra. Index and probes are dealt to parts by segment value as packed
 arrays; a segment value with many codes is split over several parts, all of
-which get its probes. A part returns at most k + 1 codes per query.
+which get its probes. A part returns at most k + 1 codes per query, in batches. A round whose
+probes would exceed PROBES_PER_PART sends each query to every part once instead, which compares all its
+segment values, so a part's memory follows its codes and the number of queries, not the radius.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ from panelcast.llm.common import materialise, release
 
 BITS = 64
 CODES_PER_PART = 250_000
+PROBES_PER_PART = 2_000_000  # of 17 bytes each
+FLUSH = 200_000  # rows of a part's result held before they are returned
 K = 10
 QUERY_BATCH = 256
 
@@ -130,16 +134,23 @@ def _pack_probes(pending: DataFrame, m: int, parts: int, hot: list[dict[int, int
     return pending.select("query", "reach").mapInArrow(run, _PACKED)
 
 
-def _join(column: pd.Series, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(x for x in column if x is not None), dtype=kind)
+def _join(parts: list[pd.DataFrame], column: str, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(x for part in parts for x in part[column] if x is not None), dtype=kind)
 
 
 def _look_up(m: int, parts: int, radius: int, k: int, everywhere: bool):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        s = int(pdf["part"].iloc[0]) // parts
-        code, least, rows = _join(pdf["codes"], np.uint64), _join(pdf["least"], np.int64), _join(pdf["rows"], np.int64)
-        query, wanted, reach = _join(pdf["queries"], np.uint64), _join(pdf["values"], np.uint64), _join(pdf["reach"], np.uint8)
-        found = []
+    def table(found: list[tuple]) -> pd.DataFrame:
+        cols = [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0, t) for t in ("u8", "u8", "i4", "i8", "i8")]
+        return pd.DataFrame({"query": cols[0].view(np.int64), "code": cols[1].view(np.int64), "distance": cols[2],
+                             "least": cols[3], "rows": cols[4]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = list(batches)
+        s = int(held[0]["part"].iloc[0]) // parts
+        code, least, rows = _join(held, "codes", np.uint64), _join(held, "least", np.int64), _join(held, "rows", np.int64)
+        query, wanted, reach = _join(held, "queries", np.uint64), _join(held, "values", np.uint64), _join(held, "reach", np.uint8)
+        held.clear()
+        found, size_found = [], 0
         if len(code) and len(query):
             value = _segment(code, s, m)
             order = np.argsort(value, kind="stable")
@@ -168,9 +179,11 @@ def _look_up(m: int, parts: int, radius: int, k: int, everywhere: bool):
                     pick, distance = pick[best], distance[best]
                 if len(pick):
                     found.append((np.full(len(pick), query[a]), code[pick], distance.astype(np.int32), least[pick], rows[pick]))
-        cols = [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0, t) for t in ("u8", "u8", "i4", "i8", "i8")]
-        return pd.DataFrame({"query": cols[0].view(np.int64), "code": cols[1].view(np.int64), "distance": cols[2],
-                             "least": cols[3], "rows": cols[4]})
+                    size_found += len(pick)
+                    if size_found >= FLUSH:
+                        yield table(found)
+                        found, size_found = [], 0
+        yield table(found)
 
     return run
 
@@ -206,7 +219,7 @@ def search_codes(codes: DataFrame, queries: DataFrame, k: int, codes_per_part: i
         waiting = pending.count()
         if not waiting:
             break
-        everywhere = math.comb(width, radius) > min(total, 1 << width)
+        everywhere = math.comb(width, radius) > min(total, 1 << width, PROBES_PER_PART * parts // waiting)
         tasks = max(spark.sparkContext.defaultParallelism, waiting // 10_000)
         probes = _pack_probes(pending.repartition(tasks), m, parts, hot, radius, everywhere)
         found = index.union(probes).groupBy("part").applyInPandas(

@@ -334,6 +334,20 @@ def test_search_equals_all_pairs(spark, per_part):
     assert hamming_search.top_k(df.limit(0), df["id"] % 20 == 0).count() == 0
 
 
+def test_search_bounds_the_probes_of_a_part(spark, monkeypatch):
+    """Rounds of many probes send a query to a part once; results leave in batches; the neighbours stay the same."""
+    rng = random.Random(2)
+    df = spark.createDataFrame([(i, rng.getrandbits(64) - 2**63) for i in range(400)], "id long, code long")
+    found = lambda: sorted(map(tuple, hamming_search.top_k(df, df["id"] % 20 == 0, k=4, codes_per_part=40).collect()))
+    want, rounds = found(), []
+    plain = hamming_search._pack_probes
+    monkeypatch.setattr(hamming_search, "_pack_probes", lambda *a: rounds.append((a[4], a[5])) or plain(*a))
+    monkeypatch.setattr(hamming_search, "PROBES_PER_PART", 10)
+    monkeypatch.setattr(hamming_search, "FLUSH", 1)
+    assert found() == want
+    assert any(radius for radius, _ in rounds) and all(everywhere for radius, everywhere in rounds if radius)
+
+
 # --- pieces
 
 def plain_paths(lattice, text):
