@@ -43,7 +43,7 @@ MIN_PIECES = 3
 MIN_SHARE = 0.015  # of the toxic pieces
 MAX_WINDOW = 64
 KINDS = 8
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 150_000  # a worker in the pipeline also holds the tables of the other stages
 
 HEAD = bytes(range(33, 65)) + b"@~" + bytes(range(91, 123))
 TAIL = HEAD[32:]

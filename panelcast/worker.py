@@ -18,6 +18,7 @@ class WorkerCache:
     This object's pickled form is its name and size; the entries hang on a module
     object of the interpreter, where all tasks of a worker find them. Entries
     are copies of what a task can make anew, so a lost worker costs time only.
+    A worker serves one job after the other, so what a store adds replaces the tables of all other stores.
     """
 
     def __init__(self, name: str, keep: int = 4):
@@ -40,6 +41,9 @@ class WorkerCache:
 
     def put(self, key: Hashable, value: Any) -> None:
         entries = self._entries()
+        for other in vars(sys.modules[_HOLDER]).values():
+            if isinstance(other, dict) and other is not entries:
+                other.clear()
         entries.pop(key, None)
         while len(entries) >= self.keep:
             del entries[next(iter(entries))]
