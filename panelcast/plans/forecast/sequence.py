@@ -1,16 +1,18 @@
 """Sequence windows for multi-horizon models.
 
-Windows are built with bounded window frames (``collect_list`` over
-``rowsBetween(-(L-1), 0)`` and ``(1, H)``), never by collecting a whole
-series into one row: memory per row is bounded by the lookback, and a long
-series streams through the window operator (which spills).
+A whole series is never collected into one row. Training windows are cut from
+the sorted stream of a task's rows; the other windows are bounded window
+frames (``collect_list`` over ``rowsBetween(-(L-1), 0)`` and ``(1, H)``): memory
+is bounded by the lookback, and a long series streams through the window operator (which spills).
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ KEY, DATE, TARGET = "store_nbr", "date", "transactions"
 LOOKBACK, HORIZON = 336, 30
 PATCH_LEN, PATCH_STRIDE = 16, 8
 POOL_KERNELS = [2, 2, 1]
+WINDOWS_AT_A_TIME = 2048  # of a task, in memory
 
 
 def _scaled(arr, mu, sd):
@@ -30,33 +33,65 @@ def _scaled(arr, mu, sd):
 
 
 def make_sequences(df: DataFrame, lookback: int = LOOKBACK, horizon: int = HORIZON, key=KEY, date_col=DATE,
-                   target=TARGET, exog: Sequence[str] = (), scale: bool = True, step: int = 1) -> DataFrame:
+                   target=TARGET, exog: Sequence[str] = (), scale: bool = True, step: int = 1,
+                   places: int | None = None) -> DataFrame:
     """Training windows (every ``step``-th origin of a series, counted from its first full one): for every row with ``lookback`` rows up to it and
     ``horizon`` rows after it, the input window and the target window, both
-    standard-scaled by the input window's mean and population std.
+    standard-scaled by the input window's mean and population std. A window that holds a null target is left out.
 
     Columns: key, date (last input day), x_mean, x_std, input, target and
-    ``<exog>_mean`` (window mean of each exogenous column).
+    ``<exog>_mean`` (window mean of each exogenous column). ``places``: decimals of the array elements.
+
+    Spark deals the series to tasks and numbers and sorts their rows; a task cuts the windows from its stream of
+    Arrow batches, so it holds one batch and the ``lookback + horizon - 1`` rows before it, however long a series is.
     """
+    keys, span = as_list(key), lookback + horizon
     w = series_window(key, date_col)
-    past, fut = w.rowsBetween(-(lookback - 1), 0), w.rowsBetween(1, horizon)
-    y = F.col(target).cast("double")
-    s = by_key(df, key).select(
-        *as_list(key), date_col,
-        F.collect_list(y).over(past).alias("_in"), F.collect_list(y).over(fut).alias("_out"),
-        F.avg(y).over(past).alias("x_mean"), F.stddev_pop(y).over(past).alias("x_std"),
-        *[F.avg(F.col(c).cast("double")).over(past).alias(f"{c}_mean") for c in exog],
-        *([F.row_number().over(w).alias("_n")] if step > 1 else []),
-    ).where((F.size("_in") == lookback) & (F.size("_out") == horizon))
-    if step > 1:
-        s = s.where((F.col("_n") - lookback) % step == 0)
-    mu, sd = F.col("x_mean"), F.col("x_std")
-    return s.select(
-        *as_list(key), date_col, "x_mean", "x_std",
-        (_scaled(F.col("_in"), mu, sd) if scale else F.col("_in")).alias("input"),
-        (_scaled(F.col("_out"), mu, sd) if scale else F.col("_out")).alias("target"),
-        *[f"{c}_mean" for c in exog],
-    )
+    past = w.rowsBetween(-(lookback - 1), 0)
+    means = [F.avg(F.col(c).cast("double")).over(past).alias(f"{c}_mean") for c in exog]
+    rows = by_key(df, key).select(*keys, date_col, *means, F.col(target).cast("double").alias("_y"), F.row_number().over(w).alias("_n"))
+    kept = rows.columns[:-2]
+    arrays = pa.list_(pa.float64())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            held = table.slice(max(0, len(table) - span + 1)).combine_chunks()
+            if len(table) < span:
+                continue
+            y, n = table.column("_y"), table.column("_n").to_numpy().astype(np.int64)
+            nulls = np.concatenate([[0], np.cumsum(y.is_null().to_numpy())])
+            first = np.flatnonzero((n[span - 1:] - n[:len(n) - span + 1] == span - 1) & (nulls[span:] == nulls[:-span])
+                                   & ((n[:len(n) - span + 1] - 1) % step == 0))
+            windows = np.lib.stride_tricks.sliding_window_view(y.to_numpy().astype(np.float64), span)
+            for a in range(0, len(first), WINDOWS_AT_A_TIME):
+                at = first[a:a + WINDOWS_AT_A_TIME]
+                values, mean, std = scaled_windows(windows[at], lookback, scale)
+                if places is not None:
+                    values = np.floor(values * 10.0**places + 0.5) / 10.0**places
+                ends = np.arange(len(at) + 1, dtype=np.int32)
+                lists = [pa.ListArray.from_arrays(ends * part.shape[1], np.ascontiguousarray(part).ravel())
+                         for part in (values[:, :lookback], values[:, lookback:])]
+                of_rows = table.select(kept).take(pa.array(at + lookback - 1)).combine_chunks().to_batches()[0].columns
+                yield pa.RecordBatch.from_arrays([*of_rows, pa.array(mean), pa.array(std), *lists], names=[*kept, "x_mean", "x_std", "input", "target"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-2])
+    found = rows.mapInArrow(run, f"{fields}, x_mean double, x_std double, input array<double>, target array<double>")
+    return found.select(*keys, date_col, "x_mean", "x_std", "input", "target", *[f"{c}_mean" for c in exog])
+
+
+def scaled_windows(windows: np.ndarray, lookback: int, scale: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(values, mean, population std) of windows by rows, scaled by their first ``lookback`` values."""
+    with np.errstate(all="ignore"):
+        inputs = windows[:, :lookback]
+        mean = inputs.sum(axis=1) / lookback
+        apart = inputs - inputs[:, :1]  # all zero where a window is constant
+        apart -= apart.mean(axis=1)[:, None]
+        std = np.sqrt(np.einsum("ij,ij->i", apart, apart) / lookback)
+        if scale:
+            windows = (windows - mean[:, None]) / np.where(std == 0, 1.0, std)[:, None]
+    return windows, mean, std
 
 
 def window_frames(df: DataFrame, lookback: int = LOOKBACK, horizon: int = HORIZON, key=KEY, date_col=DATE,
@@ -114,9 +149,10 @@ def patchify(windows: DataFrame, col: str = "input", patch_len: int = PATCH_LEN,
              lookback: int = LOOKBACK) -> DataFrame:
     """Overlapping patches of each window: one row per (window, patch)."""
     n = (lookback - patch_len) // stride + 1
-    patches = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.slice(F.col(col), i * stride + 1, patch_len))
     keep = [c for c in windows.columns if c not in (col, "target")]
-    return windows.select(*keep, F.posexplode(patches).alias("patch_idx", "patch"))
+    numbered = windows.select(*keep, col, F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("patch_idx"))
+    # a slice per row is compiled; inside a transform it copied the whole window for every patch
+    return numbered.select(*keep, "patch_idx", F.slice(F.col(col), F.col("patch_idx") * stride + 1, patch_len).alias("patch"))
 
 
 def pool_sequence(windows: DataFrame, col: str = "input", kernels: Sequence[int] = POOL_KERNELS,

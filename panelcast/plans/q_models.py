@@ -315,7 +315,7 @@ def _round_arrays(df, cols):
     f"WHERE len(xin) = {LOOKBACK} AND len(xout) = {HORIZON}", SEQ_CTE), doubles=["x_mean", "x_std"])
 def sequences_q(spark, d):
     """All training windows: 336 scaled inputs and 30 scaled targets per origin."""
-    return _round_arrays(make_sequences(_tx(spark, d), LOOKBACK, HORIZON), ["input", "target"])
+    return make_sequences(_tx(spark, d), LOOKBACK, HORIZON, places=6)
 
 
 N_PATCH = (LOOKBACK - PATCH_LEN) // PATCH_STRIDE + 1
@@ -329,7 +329,7 @@ WINDOWS_CTE = f"lw AS (SELECT store_nbr, date, x_mean, x_std, {_scaled_sql('xin'
     f"FROM lw, range({N_PATCH}) t(i)", SEQ_CTE, WINDOWS_CTE), doubles=["x_mean", "x_std"])
 def patches_q(spark, d):
     """Patches (length 16, stride 8) of every training window."""
-    return patchify(_round_arrays(make_sequences(_tx(spark, d), LOOKBACK, HORIZON), ["input"]))
+    return patchify(make_sequences(_tx(spark, d), LOOKBACK, HORIZON, places=6))
 
 
 def _pool_sql():
@@ -347,7 +347,7 @@ def _pool_sql():
           doubles=["x_mean", "x_std"])
 def pooled_sequences_q(spark, d):
     """Multi-rate max pooling (kernels 2, 2, 1) of every training window."""
-    return pool_sequence(_round_arrays(make_sequences(_tx(spark, d), LOOKBACK, HORIZON), ["input"]))
+    return pool_sequence(make_sequences(_tx(spark, d), LOOKBACK, HORIZON, places=6))
 
 
 @register("last_windows", with_views(
