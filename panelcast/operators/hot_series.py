@@ -35,10 +35,11 @@ def row_numbers(df: DataFrame, key: str | Sequence[str] = KEY, date_col=DATE, pa
     sizes = marked.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_held"))
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "_part", F.coalesce(F.sum("_held").over(before), F.lit(0)).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(date_col))
-    same = [F.col(f"_n.{k}").eqNullSafe(F.col(f"_o.{k}")) for k in [*keys, "_part"]]
-    numbered = marked.withColumn("_inside", inside).alias("_n").join(offsets.alias("_o"), same, "left")
-    return numbered.select(*[F.col(f"_n.`{c}`") for c in df.columns], (F.col("_inside") + F.col("_before")).alias(out))
+    # a part's offset stands as one more row in front of its rows, number 0: no join of all rows
+    together = marked.withColumn("_before", F.lit(None).cast("bigint")).unionByName(offsets, allowMissingColumns=True)
+    w = Window.partitionBy(*keys, "_part").orderBy(F.col("_before").isNull(), date_col)
+    numbered = together.withColumns({"_inside": F.row_number().over(w) - 1, "_offset": F.first("_before").over(w)}).where("_inside > 0")
+    return numbered.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_inside") + F.col("_offset")).alias(out))
 
 
 def in_chunks(df: DataFrame, build: Callable[[DataFrame, list[str]], DataFrame], lookback: int, key: str | Sequence[str] = KEY,
@@ -66,13 +67,12 @@ def fill_in_chunks(numbered: DataFrame, value_col: str, out_col: str, key: str |
     """Forward fill of ``value_col`` over each series of ``row_numbers``: inside chunks, else the last value of the chunks before."""
     keys = as_list(key)
     placed = numbered.withColumn("_fill", F.floor((F.col(ROW) - 1) / chunk_rows))
-    last = placed.where(F.col(value_col).isNotNull()).groupBy(*keys, "_fill").agg(F.max_by(value_col, ROW).alias("_last"))
-    every = placed.select(*keys, "_fill").distinct()
-    same = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in [*keys, "_fill"]]
-    ends = every.alias("_e").join(last.alias("_l"), same("_e", "_l"), "left").select("_e.*", "_last")
+    known = F.max_by(value_col, F.when(F.col(value_col).isNotNull(), F.col(ROW)))
+    ends = placed.groupBy(*keys, "_fill").agg(known.alias("_last"))
     before = Window.partitionBy(*keys).orderBy("_fill").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(*keys, "_fill", F.last("_last", ignorenulls=True).over(before).alias("_carry"))
-    inside = Window.partitionBy(*keys, "_fill").orderBy(ROW).rowsBetween(Window.unboundedPreceding, 0)
-    filled = placed.withColumn("_own", F.last(value_col, ignorenulls=True).over(inside))
-    return filled.alias("_p").join(carried.alias("_c"), same("_p", "_c"), "left").select(
-        *[F.col(f"_p.`{c}`") for c in numbered.columns], F.coalesce("_own", "_carry").alias(out_col))
+    # the value carried into a chunk stands as one more row in front of its rows: no join of all rows
+    carried = ends.select(*keys, "_fill", F.last("_last", ignorenulls=True).over(before).alias(value_col), F.lit(True).alias("_carried"))
+    together = placed.withColumn("_carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)
+    inside = Window.partitionBy(*keys, "_fill").orderBy(F.desc("_carried"), ROW).rowsBetween(Window.unboundedPreceding, 0)
+    filled = together.withColumn(out_col, F.last(value_col, ignorenulls=True).over(inside)).where(~F.col("_carried"))
+    return filled.select(*[F.col(f"`{c}`") for c in numbered.columns], out_col)

@@ -29,6 +29,7 @@ from panelcast.operators.features import (
     drop_warmup,
     guarded_mean,
 )
+from panelcast.sources.io import staged
 
 # Fixed values (must equal the reference): feature lists and windows.
 LAGS = [1, 7, 14, 21, 28]
@@ -97,7 +98,8 @@ def build_final_dataset_in_chunks(tx: DataFrame, stores: DataFrame, oil: DataFra
     """``build_final_dataset`` with every series spread over tasks: the same rows, no task that grows with a series."""
     if warmup > chunk_rows:
         raise ValueError("the warm-up must end within the first chunk")
-    quotes = H.row_numbers(tx, key, date_col).join(sized_broadcast(oil.select(date_col, "dcoilwtico")), date_col, "left")
+    numbers = H.row_numbers(staged(tx, "panel"), key, date_col, part=F.trunc(F.col(date_col), "year"))
+    quotes = staged(numbers.join(sized_broadcast(oil.select(date_col, "dcoilwtico")), date_col, "left"), "quotes")
     filled = H.fill_in_chunks(quotes, "dcoilwtico", "oil_price", key, chunk_rows).drop("dcoilwtico")
 
     def build(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -29,6 +29,7 @@ from panelcast.plans.feature_pipeline import (
 from panelcast.plans.refresh import read_final_dataset, refresh_final_dataset
 from panelcast.session import checkpoint_dir
 from panelcast.sources.fixtures import TRAIN_END, VAL_END, panel, with_views
+from panelcast.sources.io import staged
 
 W = "WINDOW w AS (PARTITION BY store_nbr ORDER BY date)"
 
@@ -250,9 +251,10 @@ def final_dataset_refreshed(spark, d):
     p = panel(spark, d)
     path = f"{checkpoint_dir(spark)}/final-{uuid.uuid4().hex}"
     train, val = (F.lit(x).cast("date") for x in (TRAIN_END, VAL_END))
-    last = p.tx.where(F.col("date") > val)
-    for part in (p.tx.where(F.col("date") <= train), p.tx.where((F.col("date") > train) & (F.col("date") <= val)), last, last):
-        refresh_final_dataset(spark, path, part, p.stores, p.oil, p.holidays)
+    tx, oil, holidays = (staged(x, t) for x, t in ((p.tx, "panel"), (p.oil, "oil"), (p.holidays, "holidays")))
+    last = tx.where(F.col("date") > val)
+    for part in (tx.where(F.col("date") <= train), tx.where((F.col("date") > train) & (F.col("date") <= val)), last, last):
+        refresh_final_dataset(spark, path, part, p.stores, oil, holidays)
     return read_final_dataset(spark, path)
 
 

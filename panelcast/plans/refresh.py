@@ -17,7 +17,7 @@ from panelcast.functions.core import series_window, sized_broadcast
 from panelcast.operators.exogenous import add_holiday_features, add_store_features
 from panelcast.operators.features import add_cyclical_time_features, drop_warmup, guarded_mean
 from panelcast.plans.feature_pipeline import LOOKBACK_ROWS, WARMUP_ROWS, add_window_features
-from panelcast.sources.io import read_if_exists, write_table
+from panelcast.sources.io import read_if_exists, staged, write_table
 
 KEY, DATE, TARGET = "store_nbr", "date", "transactions"
 
@@ -54,12 +54,12 @@ def refresh_final_dataset(spark: SparkSession, path: str, new_rows: DataFrame, s
     w = series_window(KEY, DATE)
     whole = Window.partitionBy(KEY)
     quotes = rows.join(sized_broadcast(oil.select(DATE, "dcoilwtico")), DATE, "left")
-    filled = quotes.withColumn(
+    filled = staged(quotes.withColumn(
         "oil_price", F.last(F.coalesce("_oil", "dcoilwtico"), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     ).drop("dcoilwtico", "_oil").withColumns({
         "_had": F.max("_had").over(whole),  # rows of the series up to the state
         "_held": F.count_if(~F.col("_new")).over(whole),
-    })
+    }), "refresh")  # read by the table and by the state
     featured = add_window_features(filled.transform(add_store_features, stores).transform(add_cyclical_time_features), [KEY]).withColumn(
         "oil_price_ma7", guarded_mean("oil_price", w, -6, 0, 7))
     ranked = drop_warmup(add_holiday_features(featured, holidays), n=0, keep_rank=True)

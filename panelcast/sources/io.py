@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 import warnings
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from panelcast.session import checkpoint_dir
+
 # Declared schemas of the reference's raw inputs (one read pass, stable types).
 TRANSACTIONS_SCHEMA = T.StructType([
     T.StructField("date", T.DateType(), False),
@@ -72,6 +75,13 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     w.parquet(path)
 
 
+def staged(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written once to the shared folder of ``spark.checkpoint.dir`` and read back, for plans that read it several times."""
+    path = f"{checkpoint_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
+    write_table(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def save_model(model, path: str) -> None:
     """Spark ML persistence (replaces pickling a fitted model)."""
     model.write().overwrite().save(path)

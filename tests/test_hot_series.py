@@ -80,3 +80,39 @@ def test_day_by_day_equals_full(spark, tmp_path):
     refresh_final_dataset(spark, path, tx.where(F.col("date") == days[-1]), stores, oil, hol)
     after = {d.name: {f.name for f in d.iterdir()} for d in (tmp_path / "final" / "table").iterdir() if d.is_dir()}
     assert {k for k in files if files[k] != after[k]} <= {f"date={days[-1]}"}  # only the day's partition is rewritten
+
+
+def test_offsets_and_fills_travel_without_a_join(spark):
+    """Null keys and dates included: row numbers and fills are those of the plain windows, and no join meets all rows."""
+    day = lambda i: None if i is None else D0 + dt.timedelta(days=i)
+    rows = [(k, day(i), None if (i or 0) % 7 else float(i or 0) + (k or 0))
+            for k, days in ((1, range(5, 130, 3)), (None, range(0, 90, 4)), (2, [None, 3, 40, 80])) for i in days]
+    df = spark.createDataFrame(rows, "store_nbr bigint, date date, v double")
+    numbered = H.row_numbers(df)
+    filled = H.fill_in_chunks(numbered, "v", "filled", chunk_rows=4)
+    assert "Join" not in filled._jdf.queryExecution().optimizedPlan().toString()
+    want = []
+    for k in (1, None, 2):
+        last = None
+        for n, r in enumerate(sorted((r for r in rows if r[0] == k), key=lambda r: (r[1] is not None, r[1] or D0)), 1):
+            last = last if r[2] is None else r[2]
+            want.append((*r, n, last))
+    assert sorted(map(tuple, filled.collect()), key=str) == sorted(want, key=str)
+
+
+def test_refresh_reads_the_new_rows_twice_at_most(spark, tmp_path):
+    """Once for their dates and once for the work: the table and the state are written from one staged frame."""
+    tx, stores, oil, hol = tables(spark, {1: 40, 2: 33})
+    seen = tmp_path / "seen"
+    seen.mkdir()
+    folder = str(seen)
+
+    def run(batches):
+        import uuid
+
+        open(f"{folder}/{uuid.uuid4().hex}", "w").close()
+        yield from batches
+
+    counted = tx.coalesce(1).mapInArrow(run, tx.schema)
+    refresh_final_dataset(spark, str(tmp_path / "final"), counted, stores, oil, hol)
+    assert len(list(seen.iterdir())) <= 2
