@@ -24,6 +24,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from heapq import heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,6 @@ from panelcast.worker import WorkerCache
 
 MARK = "▁"
 NEG = float("-inf")
-NO_PIECE = object()  # no piece starts so
 UNKNOWN_PENALTY = 10.0
 CACHE_UNITS = 1_000_000
 CACHE_PATHS = 50_000
@@ -45,6 +45,11 @@ DEFAULT_N = 4
 _UNITS = re.compile(rf"\n|{MARK}|[ ]*[^ \n{MARK}]+|[ ]+")
 
 
+def _frozen(following: dict) -> dict:
+    """The same pieces with tuples for lists and None where no longer piece follows."""
+    return {c: (score, ids, _frozen(after) or None) for c, (score, ids, after) in following.items()}
+
+
 class Lattice:
     """Paths through the pieces of a vocabulary."""
 
@@ -64,48 +69,55 @@ class Lattice:
         self.unknown_id = p.unk_id()
         # runs of space marks are no measure of a rare piece: some vocabularies score them out of reach
         self.unknown_score = min((s for x, s in self.score.items() if x.strip(MARK)), default=0.0) - UNKNOWN_PENALTY
-        self.steps: dict[str, float | None] = {}
+        # pieces by their characters: character -> (score or None, ids, the same for the next character or None)
+        following: dict = {}
         for piece in self.score:
-            for k in range(1, len(piece)):
-                self.steps.setdefault(piece[:k], None)
-        self.steps.update(self.score)
+            at = following
+            for c in piece:
+                at = at.setdefault(c, [None, None, {}])[2]
+        for piece in self.score:
+            at = following
+            for c in piece[:-1]:
+                at = at[c][2]
+            if piece:
+                at[piece[-1]][:2] = self.score[piece], [self.id[piece]]
+        self.first = _frozen(following)
         self.longest = max(map(len, self.score), default=1)
         self.splits = not any("\n" in x or MARK in x.lstrip(MARK) for x in self.score)
 
-    def forward(self, unit: str) -> tuple[list[float], list[int], float]:
-        """Best score of every node, the start of its best last edge, and the second-best score of the whole unit."""
-        n, get = len(unit), self.steps.get
+    def forward(self, unit: str) -> tuple[list[float], list[int], float, list[list[int]]]:
+        """Best score of every node, the start of its best last edge, the second-best score of the whole unit, the edges' ids."""
+        n, first = len(unit), self.first.get
         best, second, back = [0.0] + [NEG] * n, [NEG] * (n + 1), [0] * (n + 1)
+        edges: list = [None] * (n + 1)  # None: an edge of byte pieces
         for i in range(n):
             here, next_here = best[i], second[i]
-            j = i + 1
-            s = get(unit[i], NO_PIECE)
-            if s is NO_PIECE or s is None:  # a character without a piece of its own
-                best[j], second[j], back[j] = self._relax(best[j], second[j], back[j], here, next_here, self.unknown_score, i)
-            while s is not NO_PIECE:
+            found, j = first(unit[i]), i + 1
+            if found is None or found[0] is None:  # a character without a piece of its own
+                v = here + self.unknown_score
+                if v > best[j]:
+                    second[j] = max(best[j], second[j], next_here + self.unknown_score)
+                    best[j], back[j], edges[j] = v, i, None
+                elif v > second[j]:
+                    second[j] = v
+            while found is not None:
+                s, ids, after = found
                 if s is not None:
-                    v = here + s
-                    if v > best[j]:
+                    v, b = here + s, best[j]
+                    if v > b:
                         w = next_here + s
-                        if best[j] > w:
-                            w = best[j]
+                        if b > w:
+                            w = b
                         if w > second[j]:
                             second[j] = w
-                        best[j], back[j] = v, i
+                        best[j], back[j], edges[j] = v, i, ids
                     elif v > second[j]:
                         second[j] = v
-                if j == n:
+                if after is None or j == n:
                     break
+                found = after.get(unit[j])
                 j += 1
-                s = get(unit[i:j], NO_PIECE)
-        return best, back, second[n]
-
-    @staticmethod
-    def _relax(best, second, back, here, next_here, s, i):
-        v = here + s
-        if v > best:
-            return v, max(best, second, next_here + s), i
-        return best, max(second, v), back
+        return best, back, second[n], edges
 
     def edge_ids(self, piece: str) -> list[int]:
         if piece in self.id:
@@ -115,12 +127,14 @@ class Lattice:
 
     def best_path(self, unit: str) -> tuple[float, list[int], float]:
         """(score, ids, score of the second path or -inf)."""
-        best, back, second = self.forward(unit)
-        cuts, j = [], len(unit)
+        best, back, second, edges = self.forward(unit)
+        path, j = [], len(unit)
         while j > 0:
-            cuts.append((back[j], j))
-            j = back[j]
-        return best[-1], [x for i, j in reversed(cuts) for x in self.edge_ids(unit[i:j])], second
+            i = back[j]
+            path.append(edges[j] or self.edge_ids(unit[i:j]))
+            j = i
+        path.reverse()
+        return best[-1], list(chain.from_iterable(path)), second
 
     def n_best(self, unit: str, n: int) -> list[tuple[float, list[int]]]:
         """The n best paths of a unit by backward A*, best first.
@@ -129,7 +143,7 @@ class Lattice:
         first, and a node is left after n pops: estimates are exact, so its later ones are
         not among the n best. So at most n hypotheses per node are extended, ties or not.
         """
-        best, _, _ = self.forward(unit)
+        best, _, _, _ = self.forward(unit)
         heap: list = [(-best[-1], len(unit), 0, 0.0, None)]
         count, out, popped = 1, [], [0] * (len(unit) + 1)
         while heap and len(out) < n:
@@ -205,7 +219,7 @@ class UnitTable:
         for u in set(units).difference(numbers):
             numbers[u] = len(self.ids)
             score, ids, second = self._path(u)
-            self.ids.append(np.array(ids, dtype=np.int32).tobytes())
+            self.ids.append(array("i", ids).tobytes())
             self.names.append(u)
             self.best.append(score)
             self.gap.append(score - second)
