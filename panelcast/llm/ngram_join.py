@@ -18,8 +18,9 @@ segment per fragment.
   the partial overlaps are summed per pair: 100 * overlap >= percent * union decides.
 
 Equal sets are one node. A partner lacks few of a set's n-grams, so it shares
-one of the rarest: under these n-grams the nominated sets meet for counting, and those
-that a set has alone bound its overlap with anyone, which leaves out most pairs. Under an n-gram the
+one of the rarest: under these n-grams the nominated sets meet for counting. It is enough that a
+pair meets under its rarest common n-gram, where all rarer ones of either set are missing in the other: their number bounds
+the overlap, which leaves out most pairs, also within a large group of near copies. Under an n-gram the
 sets are compared with a few hubs per round, never with each other: sets that the rounds
 have linked need no comparison any more, hubs whose pairs are all decided leave,
 and the number of hubs grows by HUB_GROWTH, until every n-gram has sets of one
@@ -234,7 +235,7 @@ def link_sets(nodes: DataFrame, df: DataFrame, id_col: str, text_col: str, width
     links, roots, hubs = None, None, 1
     while True:
         placed = members.withColumn("comp", F.col("node")) if roots is None else members.join(roots, "node", "left").select(
-            "bucket", "node", "n", "own", F.coalesce("root", "node").alias("comp"))
+            "bucket", "node", "n", "ahead", F.coalesce("root", "node").alias("comp"))
         mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
         open_members = materialise(placed.join(mixed, "bucket"), "open")
         release(members)
@@ -242,16 +243,16 @@ def link_sets(nodes: DataFrame, df: DataFrame, id_col: str, text_col: str, width
         if largest is None:
             release(open_members)
             break
-        as_hub = F.struct(F.col("own").alias("hub_own"), F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp"))
-        if hubs == 1:  # the member with the fewest n-grams of its own is likely amid the others
+        as_hub = F.struct(F.col("ahead").alias("hub_ahead"), F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp"))
+        if hubs == 1:  # the member with the fewest rarer n-grams is likely amid the others
             chosen = open_members.groupBy("bucket").agg(F.min(as_hub).alias("h")).select("bucket", "h.*")
         else:  # members of the rarest components first: they are what a large component must still be compared with
             rare = open_members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("held"))
-            place = Window.partitionBy("bucket").orderBy("held", "own", "node")
+            place = Window.partitionBy("bucket").orderBy("held", "ahead", "node")
             chosen = open_members.join(rare, ["bucket", "comp"]).withColumn("place", F.row_number().over(place)).where(
                 F.col("place") <= hubs).select("bucket", as_hub.alias("h")).select("bucket", "h.*")
         chosen = materialise(chosen, "hubs")
-        overlap = F.least(F.col("n") - F.col("own"), F.col("hub_n") - F.col("hub_own"))
+        overlap = F.least(F.col("n") - F.col("ahead"), F.col("hub_n") - F.col("hub_ahead"))
         meets = (open_members["bucket"] == chosen["bucket"]) & (F.col("comp") != F.col("hub_comp")) & _possible(
             overlap, F.col("n") + F.col("hub_n"), percent)
         pairs = open_members.join(chosen, meets).select(F.greatest("node", "hub").alias("u"), F.least("node", "hub").alias("v")).distinct()
@@ -261,7 +262,7 @@ def link_sets(nodes: DataFrame, df: DataFrame, id_col: str, text_col: str, width
             release(open_members), release(chosen)
             break
         members = materialise(open_members.join(
-            chosen.select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti").select("bucket", "node", "n", "own"), "members")
+            chosen.select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti").select("bucket", "node", "n", "ahead"), "members")
         release(open_members), release(chosen)
         roots = connected_components(links)
         hubs *= HUB_GROWTH
@@ -272,23 +273,24 @@ def link_sets(nodes: DataFrame, df: DataFrame, id_col: str, text_col: str, width
 
 
 def _rare_buckets(segments: DataFrame, percent: int) -> DataFrame:
-    """(bucket, node, n, own): the nominated sets under the rarest n-grams that any partner must share one of.
+    """(bucket, node, n, ahead): the nominated sets under the rarest n-grams that any partner must share one of.
 
     A partner may lack a bounded number of a set's n-grams, so it holds one of
-    the set's rarest ones, one more than that number (rarity counted among the nominated sets), and
-    the set holds one of the partner's. N-grams that a set has alone (``own``) name no bucket, but bound its overlaps.
+    the set's rarest ones, one more than that number (rarity counted among the nominated sets, equal counts by
+    the n-gram's value), and the set holds one of the partner's. The rarest n-gram that both hold is among these for
+    either, and the partner has none of the ``ahead`` n-grams of a set that come before it: under this n-gram every linked
+    pair keeps within the bounds, under others it need not.
     """
     grams = segments.select("node", "n", F.explode("grams").alias("bucket"))
     held = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("held"))
     smallest = F.ceil(F.col("n") * percent / 100)  # a partner's least size
     spare = F.col("n") - F.ceil((F.col("n") + smallest) * percent / (100 + percent))
     place = F.row_number().over(Window.partitionBy("node").orderBy("held", "bucket"))
-    rarest = grams.join(held, "bucket").withColumn("place", place).where(F.col("place") <= spare + 1)
-    own = F.count_if(F.col("held") == 1).over(Window.partitionBy("node"))
-    keyed = rarest.withColumn("own", own).where("held > 1").select("bucket", "node", "n", "own")
+    rarest = grams.join(held, "bucket").withColumn("ahead", place.cast("bigint") - 1).where(F.col("ahead") <= spare)
+    keyed = rarest.where("held > 1").select("bucket", "node", "n", "ahead")
     least = keyed.groupBy("bucket").agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    chance = _possible(F.col("n") - F.col("own"), F.col("n") + F.greatest(smallest, F.col("least")), percent)
-    return keyed.join(least, "bucket").where(chance).select("bucket", "node", "n", "own")
+    chance = _possible(F.col("n") - F.col("ahead"), F.col("n") + F.greatest(smallest, F.col("least")), percent)
+    return keyed.join(least, "bucket").where(chance).select("bucket", "node", "n", "ahead")
 
 
 def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,

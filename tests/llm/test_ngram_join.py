@@ -93,6 +93,23 @@ def test_large_group_of_near_copies_and_a_neighbour(spark):
     compare(spark, rows)
 
 
+def test_pairs_of_a_large_group_grow_with_its_size(spark, monkeypatch):
+    """Near copies, most too far apart for a link, that share their few new words: a copy is counted against few others."""
+    counted = []
+    monkeypatch.setattr(J, "_count", lambda pairs, *a, f=J._count: counted.append(pairs.count()) or f(pairs, *a))
+    for copies in (200, 400):
+        rng = random.Random(5)
+        base, rows = [f"c{i}" for i in range(150)], []
+        for i in range(copies):
+            out = list(base)
+            for _ in range(i % 7):
+                out[rng.randrange(len(out))] = f"w{rng.randrange(3)}"
+            rows.append((i, " ".join(out)))
+        counted.clear()
+        compare(spark, rows)
+        assert sum(counted) <= 4 * copies, counted
+
+
 def test_odd_rows(spark):
     text = "one two three four five six seven eight nine ten eleven twelve thirteen"
     rows = [(5, text), (6, text.upper()), (7, None), (8, ""), (9, " \n"), (10, "a b"), (4, "A  b"), (11, "b a"), (5, text), (5, "other words"),
