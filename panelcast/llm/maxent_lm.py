@@ -20,7 +20,7 @@ of each chunk's distinct words, packed by word bucket, and back), counts of the
 then gradient rounds. In a round the tasks add up the gradient over all their training tokens at
 fixed weights; the vectors are added up slice by slice in a tree of tasks, and
 the driver applies one step scaled by the feature counts. The first round
-starts from the shares of the choices and steps by log-odds. Scoring runs over the same
+starts from the shares of the choices, which depend on the choice's node only, and steps by log-odds. Scoring runs over the same
 encoded chunks in numpy batches.
 """
 
@@ -397,19 +397,13 @@ def train(encoded: DataFrame, stats: CorpusStatistics) -> Model:
     n1, n2, n3 = (float(x) for x in stats.of_count)
     of_code[RARE] *= (n1 + 2 * n2 + 3 * n3 + 1) / (n1 + 2 * n2 + 1)  # rare words met in new text
     model = Model(cluster, _part_mass(cluster, stats.mass), _shares(cluster, of_code), np.zeros((rows, WIDTH), dtype=np.float32))
-    table = rows * WIDTH
-    seen = None
-    for _ in range(ROUNDS):
-        first = seen is None
-        found = _reduce(encoded, table * (1 + first) + NODES * WIDTH, tasks, _gradient(model, first))
-        gradient, on_bias = found[:table].reshape(WIDTH, rows).T, found[table:table + NODES * WIDTH].reshape(NODES, WIDTH)
-        if first:
-            seen = found[table + NODES * WIDTH:].reshape(WIDTH, rows).T
-            step = START_SHARE * np.log((seen + SMOOTHING / WIDTH) / (np.maximum(seen - gradient, 0) + SMOOTHING / WIDTH))
-        else:
-            step = np.clip(gradient / (seen + SMOOTHING / 4) / (TEMPLATES + 1), -1, 1)
-            model.bias += np.clip(on_bias / (_children(cluster, of_code) + 1.0) / (TEMPLATES + 1), -1, 1).astype(np.float32)
-        model.weights += step.astype(np.float32)
+    seen, expected = (x.T for x in _reduce(encoded, 2 * rows * WIDTH, tasks, _first_counts(model)).reshape(2, WIDTH, rows))
+    model.weights += (START_SHARE * np.log((seen + SMOOTHING / WIDTH) / (expected + SMOOTHING / WIDTH))).astype(np.float32)
+    for _ in range(ROUNDS - 1):
+        found = _reduce(encoded, (rows + NODES) * (WIDTH - 1), tasks, _gradient(model)).reshape(WIDTH - 1, rows + NODES)
+        found = np.concatenate([found, -found.sum(axis=0, keepdims=True)]).T
+        model.weights += np.clip(found[:rows] / (seen + SMOOTHING / 4) / (TEMPLATES + 1), -1, 1).astype(np.float32)
+        model.bias += np.clip(found[rows:] / (_children(cluster, of_code) + 1.0) / (TEMPLATES + 1), -1, 1).astype(np.float32)
     return model
 
 
@@ -443,16 +437,51 @@ def _part_mass(cluster: np.ndarray, mass: np.ndarray) -> np.ndarray:
     return np.log10(np.maximum(out, 1e-9))
 
 
-def _gradient(model: Model, with_counts: bool):
-    """Adds observed minus expected feature counts over all training documents, one output after the other; then the
-    observed ones if asked for."""
+def _first_counts(model: Model):
+    """Adds observed and then expected feature counts over all training documents at weights of zero.
+
+    A choice's probabilities follow from its node alone then. So those of the first two levels, with few
+    nodes, need the tokens counted per node and row only; per token they are added for the third level.
+    """
     rows = len(model.weights)
-    table, extra = rows * WIDTH, NODES * WIDTH
+    table = rows * WIDTH
+    chances = np.exp(model.bias.astype(np.float64))
+    chances /= chances.sum(axis=1, keepdims=True)
 
     def add(total, codes, history, lengths, held):
         sizes, training = _training(lengths, held)
         features = features_of(history, sizes)
-        by_output, seen = total[:table].reshape(WIDTH, rows), total[table + extra:]
+        seen, nodes = np.zeros(table, dtype=np.int32), np.zeros((1 + SUPERS) * rows, dtype=np.int32)
+        expected = total[table:].reshape(WIDTH, rows)
+        for a in range(0, len(training), BATCH):
+            at = training[a:a + BATCH]
+            batch_features = features[:, at]
+            for tokens, node, child in model.choices(codes[at]):
+                if not len(tokens):
+                    continue
+                row = weight_rows(batch_features[:, tokens], node, rows)
+                np.add.at(seen, (child * rows + row).ravel(), np.int32(1))
+                if node[0] <= SUPERS:
+                    np.add.at(nodes, (node * rows + row).ravel(), np.int32(1))
+                    continue
+                places = row.ravel()
+                for j in range(WIDTH):  # a table of one output at a time stays in the processor's cache
+                    expected[j] += np.bincount(places, np.tile(chances[node, j], TEMPLATES), rows)
+        total[:table] += seen
+        expected += chances[:1 + SUPERS].T.astype(np.float32) @ nodes.reshape(1 + SUPERS, rows).astype(np.float32)
+
+    return add
+
+
+def _gradient(model: Model):
+    """Adds observed minus expected feature counts over all training documents, one output after the other, each
+    followed by that of the biases; the last output is left out, as a token's outputs add up to zero."""
+    rows = len(model.weights)
+
+    def add(total, codes, history, lengths, held):
+        sizes, training = _training(lengths, held)
+        features = features_of(history, sizes)
+        by_output = total.reshape(WIDTH - 1, rows + NODES)
         for a in range(0, len(training), BATCH):
             at = training[a:a + BATCH]
             batch_features = features[:, at]
@@ -462,12 +491,13 @@ def _gradient(model: Model, with_counts: bool):
                 row = weight_rows(batch_features[:, tokens], node, rows)
                 g = -choice_probabilities(model, row, node)
                 g[np.arange(len(tokens)), child] += 1
-                places, outputs = row.ravel(), np.ascontiguousarray(g.T, dtype=np.float64)
-                for j in range(WIDTH):  # a table of one output at a time stays in the processor's cache
-                    by_output[j] += np.bincount(places, np.tile(outputs[j], TEMPLATES), rows)
-                    total[table + j:table + extra:WIDTH] += np.bincount(node, outputs[j], NODES)
-                if with_counts:
-                    seen += np.bincount((child * rows + row).ravel(), minlength=table)
+                places, outputs = row.ravel(), np.ascontiguousarray(g.T[:WIDTH - 1], dtype=np.float64)
+                for j in range(WIDTH - 1):  # a table of one output at a time stays in the processor's cache
+                    by_output[j, :rows] += np.bincount(places, np.tile(outputs[j], TEMPLATES), rows)
+                    if node[0]:
+                        by_output[j, rows:] += np.bincount(node, outputs[j], NODES)
+                    else:  # the first level has one node
+                        by_output[j, rows] += outputs[j].sum()
 
     return add
 

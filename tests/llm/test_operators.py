@@ -511,6 +511,48 @@ def test_lm_score_equals_a_plain_model(docs, monkeypatch):
     assert 0.97 < whole < 1.0001  # parts without words hold the rest
 
 
+def test_lm_rounds_add_up_plain_counts(monkeypatch):
+    """Counts and gradients against sums token by token; the first round computes no probabilities per token."""
+    rng = np.random.default_rng(6)
+    rows, w = 256, maxent_lm.WIDTH
+    cluster = np.concatenate([np.arange(maxent_lm.RARE + 1), rng.integers(maxent_lm.RARE + 1, maxent_lm.CLASSES, maxent_lm.ENDINGS)])
+    group = rng.integers(0, maxent_lm.GROUPS, 500)
+    group[::3] = rng.integers(0, maxent_lm.RARE + 1, len(group[::3]))
+    codes = (group * w + np.where(group > maxent_lm.RARE, rng.integers(0, w, 500), 0)).astype(np.uint16)
+    history, lengths, held = rng.integers(0, 50, 500).astype(np.uint16), [200, 1, 299], [False, True, False]
+    bias = maxent_lm._shares(cluster, np.bincount(codes, minlength=maxent_lm.GROUPS * w).reshape(-1, w).astype(float))
+    model = maxent_lm.Model(cluster, np.zeros((maxent_lm.CLASSES, w)), bias, np.zeros((rows, w), dtype=np.float32))
+    features = maxent_lm.features_of(history, np.array(lengths))
+
+    def plain():
+        seen, expected = np.zeros((rows, w)), np.zeros((rows, w))
+        on_bias = np.zeros((maxent_lm.NODES, w))
+        for i in set(range(500)) - {200}:
+            c = int(cluster[codes[i] // w])
+            path = [(0, c // w), (1 + c // w, c % w), (1 + maxent_lm.SUPERS + c, int(codes[i]) % w)]
+            for node, child in path[:3 if c > maxent_lm.RARE else 2]:
+                at = [plain_row(t, int(f), node, rows) for t, f in enumerate(features[:, i])]
+                z = np.exp(model.bias[node].astype(float) + sum(model.weights[r].astype(float) for r in at))
+                on_bias[node] -= z / z.sum()
+                on_bias[node, child] += 1
+                for r in at:
+                    seen[r, child] += 1
+                    expected[r] += z / z.sum()
+        return seen, expected, on_bias
+
+    with monkeypatch.context() as m:
+        m.setattr(maxent_lm, "choice_probabilities", None)
+        got = np.zeros(2 * rows * w, dtype=np.float32)
+        maxent_lm._first_counts(model)(got, codes, history, lengths, held)
+    seen, expected, _ = plain()
+    assert np.allclose(got.reshape(2, w, rows), [seen.T, expected.T], atol=1e-3)
+    model.weights[:] = rng.normal(size=(rows, w)) * 0.2
+    got = np.zeros((rows + maxent_lm.NODES) * (w - 1), dtype=np.float32)
+    maxent_lm._gradient(model)(got, codes, history, lengths, held)
+    seen, expected, on_bias = plain()
+    assert np.allclose(got.reshape(w - 1, -1), np.concatenate([seen - expected, on_bias])[:, :w - 1].T, atol=1e-3)
+
+
 def test_lm_of_nothing(empty):
     assert maxent_lm.op6_query(empty.sparkSession, empty).count() == 0
 
