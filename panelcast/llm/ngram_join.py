@@ -236,8 +236,11 @@ def link_sets(nodes: DataFrame, df: DataFrame, id_col: str, text_col: str, width
     while True:
         placed = members.withColumn("comp", F.col("node")) if roots is None else members.join(roots, "node", "left").select(
             "bucket", "node", "n", "ahead", F.coalesce("root", "node").alias("comp"))
-        mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
-        open_members = materialise(placed.join(mixed, "bucket"), "open")
+        mixed = placed.groupBy("bucket").agg(
+            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("n").alias("least"), F.max(F.col("n") - F.col("ahead")).alias("most"),
+        ).where("lo < hi").drop("lo", "hi")
+        meeting = _possible(F.least(F.col("n") - F.col("ahead"), "most"), F.col("n") + F.col("least"), percent)  # with any other member
+        open_members = materialise(placed.join(mixed, "bucket").where(meeting).drop("least", "most"), "open")
         release(members)
         largest = open_members.groupBy("bucket").agg(F.count(F.lit(1)).alias("held")).agg(F.max("held")).first()[0]
         if largest is None:
