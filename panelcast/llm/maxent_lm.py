@@ -30,15 +30,17 @@ import heapq
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import lower_words_of, materialise, release, remainder_of_id
+from panelcast.llm.common import materialise, release, remainder_of_id
 
 SINGLES = 32  # words with a class of their own
 ENDINGS = 512  # hashed word endings
@@ -50,10 +52,11 @@ ROUNDS = 3
 DISCOUNT = 0.7
 START_SHARE = 0.45  # of the log-odds of a single feature in the first step
 SMOOTHING = 20.0
-CHUNK_WORDS = 400_000
+CHUNK_BYTES = 2_500_000
 PAIRS_PER_BUCKET = 400_000
 TOKENS_PER_ROW, LEAST_ROWS, MOST_ROWS = 1024, 2**14, 2**20  # of the weight table
-BATCH = 65_536  # tokens of a numpy batch
+BATCH = 16_384  # tokens of a numpy batch; its arrays stay in the processor's cache
+BLOCK = 24  # choices of batches that are added up together
 MOST_LOGIT = 60.0
 TASK_TOKENS = 6_000_000
 SLICES, FAN_IN = 16, 48
@@ -75,11 +78,31 @@ def ending_of(word: bytes) -> int:
 
 def part_of(word: bytes) -> int:
     """Part of its class that a word belongs to."""
-    return (zlib.crc32(word) >> 7) % WIDTH
+    return part_of_hash(zlib.crc32(word))
+
+
+def part_of_hash(hashed):
+    return (hashed >> 7) % WIDTH
 
 
 # --- chunks of tokenised text -------------------------------------------------------------------
 
+def lower_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Number of words of each text, and the words of all, A-Z lower-cased; Arrow's ASCII white space is the six characters between words."""
+    found = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    n = pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    words = found.flatten()
+    some = pc.greater(pc.binary_length(words), 0)  # white space at either end leaves an empty word
+    before = np.append(0, np.cumsum(some.to_numpy(zero_copy_only=False)))
+    end = np.cumsum(n)
+    return before[end] - before[end - n], words.filter(some)
+
+
+def join_words(words: pa.Array, cut: np.ndarray) -> pa.Array:
+    """The words between two cuts each, joined by spaces."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(cut, pa.int32()), words), " ").cast(pa.binary())
+
+
 def tokenise(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Chunks of documents: ids, hold-out flags, token counts, tokens as numbers of the chunk's own word list.
 
@@ -90,28 +113,27 @@ def tokenise(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
         for batch in batches:
-            id_type = batch.schema.field(0).type
-            words, ids, held, lengths, tokens = {}, [], [], [], []
-            for i in range(batch.num_rows):
-                found = lower_words_of(batch.column(2)[i].as_py())
-                line = [words.setdefault(w, len(words) + 1) for w in found]
-                line.append(0)
-                ids.append(batch.column(0)[i].as_py())
-                held.append(batch.column(1)[i].as_py())
-                lengths.append(len(line))
-                tokens.append(np.array(line, dtype=np.int32))
-                if sum(lengths) >= CHUNK_WORDS or i == batch.num_rows - 1:
-                    flat = np.concatenate(tokens)
-                    training = ~np.repeat(np.array(held, dtype=bool), lengths)
-                    counts = np.bincount(flat[training], minlength=len(words) + 1)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([f"{part}-{number}"]), pa.array([ids], pa.list_(id_type)), pa.array([held], pa.list_(pa.bool_())),
-                         pa.array([lengths], pa.list_(pa.int32())), pa.array([flat.tobytes()], pa.binary()),
-                         pa.array([b" ".join(words)], pa.binary()), pa.array([_bytes(counts, np.int32)], pa.binary()),
-                         pa.array([len(words)], pa.int64())],
-                        names=["chunk", "ids", "held", "lengths", "tokens", "words", "counts", "n_words"])
-                    number += 1
-                    words, ids, held, lengths, tokens = {}, [], [], [], []
+            size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            a = 0
+            while a < batch.num_rows:
+                b = 1 + int(np.searchsorted(size[:-1], (size[a - 1] if a else 0) + CHUNK_BYTES))
+                ids, held, texts = (x.slice(a, b - a) for x in batch.columns)
+                n, words = lower_words(texts)
+                coded, lengths = words.dictionary_encode(), n + 1
+                flat, is_word = np.zeros(lengths.sum(), dtype=np.int32), np.ones(lengths.sum(), dtype=bool)
+                is_word[np.cumsum(lengths) - 1] = False
+                flat[is_word] = coded.indices.to_numpy() + 1
+                training = ~np.repeat(held.to_numpy(zero_copy_only=False), lengths)
+                distinct = coded.dictionary
+                counts = np.bincount(flat[training], minlength=len(distinct) + 1)
+                whole = pa.array([0, b - a], pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f"{part}-{number}"]), pa.ListArray.from_arrays(whole, ids), pa.ListArray.from_arrays(whole, held),
+                     pa.ListArray.from_arrays(whole, pa.array(lengths, pa.int32())), pa.array([flat.tobytes()], pa.binary()),
+                     join_words(distinct, np.array([0, len(distinct)])), pa.array([_bytes(counts, np.int32)], pa.binary()),
+                     pa.array([len(distinct)], pa.int64())],
+                    names=["chunk", "ids", "held", "lengths", "tokens", "words", "counts", "n_words"])
+                a, number = b, number + 1
 
     return docs.select(
         F.col(f"`{id_col}`").alias("id"), (remainder_of_id(id_col, 7) == 2).alias("held"), F.col(f"`{text_col}`").alias("text"),
@@ -119,10 +141,14 @@ def tokenise(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                       "words binary, counts binary, n_words bigint")
 
 
-def _by_bucket(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+def _hashes(words: list[bytes], start: int = 0) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, words, repeat(start)), dtype=np.int64, count=len(words))
+
+
+def _by_bucket(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Order of a word list by bucket, and the bucket of each word."""
-    bucket = np.array([zlib.crc32(w) % buckets for w in words], dtype=np.int64)
-    return np.argsort(bucket, kind="stable"), bucket
+    bucket = hashes % buckets
+    return np.argsort(bucket.astype(np.uint16) if buckets <= 2**16 else bucket, kind="stable"), bucket  # 16 bits are sorted by radix
 
 
 @dataclass
@@ -145,28 +171,29 @@ def count_words(chunks: DataFrame, buckets: int) -> DataFrame:
                 words = joined.as_py().split()
                 if not words:
                     continue
-                order, bucket = _by_bucket(words, buckets)
+                order, bucket = _by_bucket(_hashes(words), buckets)
                 count = np.frombuffer(counts.as_py(), dtype=np.int32)[1:]
                 cut = np.append(np.nonzero(np.diff(bucket[order], prepend=-1))[0], len(order))
-                spans = [order[a:b] for a, b in zip(cut[:-1], cut[1:])]
+                ordered = pc.ascii_split_whitespace(pa.array([joined.as_py()], pa.string())).flatten().take(pa.array(order))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(bucket[s[0]]) for s in spans], pa.int64()), pa.array([chunk.as_py()] * len(spans)),
-                     pa.array([b" ".join([words[i] for i in s]) for s in spans], pa.binary()),
-                     pa.array([_bytes(count[s], np.int32) for s in spans], pa.binary())],
+                    [pa.array(bucket[order[cut[:-1]]], pa.int64()), pa.array([chunk.as_py()] * (len(cut) - 1)), join_words(ordered, cut),
+                     pa.array([_bytes(count[order[a:b]], np.int32) for a, b in zip(cut[:-1], cut[1:])], pa.binary())],
                     names=["bucket", "chunk", "words", "counts"])
 
     def total(pdf: pd.DataFrame) -> pd.DataFrame:
-        known: dict[bytes, int] = {}
-        numbers = [np.array([known.setdefault(w, len(known)) for w in x.split()], dtype=np.int64) for x in pdf["words"]]
+        found = pc.ascii_split_whitespace(pa.array(pdf["words"], pa.string()))
+        coded = found.flatten().dictionary_encode()
+        number = coded.indices.to_numpy()
         counts = np.concatenate([np.frombuffer(x, dtype=np.int32) for x in pdf["counts"]]).astype(np.float64)
-        c = np.bincount(np.concatenate(numbers), weights=counts, minlength=len(known)).astype(np.int64)
-        words = list(known)
+        c = np.bincount(number, weights=counts, minlength=len(coded.dictionary)).astype(np.int64)
         usual = np.nonzero(c > 2)[0]
-        mass = np.bincount([ending_of(words[i]) * WIDTH + part_of(words[i]) for i in usual], weights=c[usual] - DISCOUNT,
-                           minlength=ENDINGS * WIDTH)
-        top = heapq.nsmallest(SINGLES, ((-int(c[i]), words[i]) for i in usual))
+        words = coded.dictionary.take(pa.array(usual)).cast(pa.binary()).to_pylist()
+        ending = _hashes([w[-3:] for w in words]) % ENDINGS
+        mass = np.bincount(ending * WIDTH + part_of_hash(_hashes(words)), weights=c[usual] - DISCOUNT, minlength=ENDINGS * WIDTH)
+        top = heapq.nsmallest(SINGLES, zip((-c[usual]).tolist(), words))
         stats = [c.sum(), (c > 0).sum(), *((c == k).sum() for k in (1, 2, 3))]
-        out = [(x, int(pdf["bucket"].iloc[0]), c[n].tobytes(), None, None, None) for x, n in zip(pdf["chunk"], numbers)]
+        cut = np.cumsum(found.value_lengths().to_numpy())[:-1]
+        out = [(x, int(pdf["bucket"].iloc[0]), n.tobytes(), None, None, None) for x, n in zip(pdf["chunk"], np.split(c[number], cut))]
         out.append((None, int(pdf["bucket"].iloc[0]), _bytes(np.array(stats), np.int64), _bytes(mass, np.float64),
                     b" ".join(w for _, w in top), _bytes(np.array([-n for n, _ in top]), np.int64)))
         return pd.DataFrame(out, columns=["chunk", "bucket", "c", "mass", "top", "top_c"])
@@ -210,6 +237,7 @@ def encode_chunks(chunks: DataFrame, counted: DataFrame, stats: CorpusStatistics
     counts = counted.where("chunk is not null").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "c")).alias("found"))
     joined = chunks.join(counts, "chunk", "left").select("ids", "held", "lengths", "tokens", "words", "found")
     singles = {w: i for i, (w, _) in enumerate(stats.top)}
+    least = min((n for _, n in stats.top), default=0)  # count of a single
     n1, n2, n3 = (float(x) for x in stats.of_count)
     shares = np.array([n1, 2 * n2, 3 * n3]) + 1e-9  # mass of unknown, once-seen and twice-seen words
     rare = np.log10(shares / shares.sum() / np.maximum([1.0, n1, n2], 1.0))
@@ -222,19 +250,22 @@ def encode_chunks(chunks: DataFrame, counted: DataFrame, stats: CorpusStatistics
                 words = joined_words.as_py().split()
                 c = np.zeros(len(words) + 1, dtype=np.int64)
                 c[0] = ends
+                hashes = _hashes(words)
                 if words:
-                    order, _ = _by_bucket(words, buckets)
+                    order, _ = _by_bucket(hashes, buckets)
                     c[order + 1] = np.concatenate([np.frombuffer(x["c"], dtype=np.int64)
                                                    for x in sorted(found.as_py(), key=lambda x: x["bucket"])])
-                group = np.array([END] + [singles.get(w, SINGLES + 2 + ending_of(w)) for w in words], dtype=np.uint16)
+                group = np.append(END, SINGLES + 2 + _hashes([w[-3:] for w in words]) % ENDINGS).astype(np.uint16)
+                for i in np.flatnonzero(c[1:] >= least).tolist():
+                    group[i + 1] = singles.get(words[i], group[i + 1])
                 within = np.log10(np.maximum(c - DISCOUNT, 1e-9))
                 for k in range(3):
                     scarce = (c == k) & (group != END)
                     group[scarce], within[scarce] = RARE, rare[k]
                 within[(group <= END)] = 0.0
-                part = np.array([0] + [part_of(w) for w in words], dtype=np.uint16)
+                part = np.append(0, part_of_hash(hashes)).astype(np.uint16)
                 code = group * np.uint16(WIDTH) + np.where(group > RARE, part, 0).astype(np.uint16)
-                history = np.array([HISTORY - 1] + [zlib.crc32(b"h" + w) % (HISTORY - 1) for w in words], dtype=np.uint16)
+                history = np.append(HISTORY - 1, _hashes(words, zlib.crc32(b"h")) % (HISTORY - 1)).astype(np.uint16)
                 flat, sizes = np.frombuffer(tokens.as_py(), dtype=np.int32), np.array(lengths.as_py(), dtype=np.int64)
                 at = np.cumsum(sizes) - sizes
                 base = np.add.reduceat(np.log10(c + 1.0)[flat], at) - sizes * divisor
@@ -269,33 +300,46 @@ class Model:
                 (several, 1 + SUPERS + classes[several], (codes % WIDTH).astype(np.int64)[several])]
 
 
-def features_of(history: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Feature value of each template (rows) at each token; a text starts after end symbols."""
-    start = np.repeat(np.cumsum(lengths) - lengths, lengths)
-    place = np.arange(len(history)) - start
+def words_before(history: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The words one, two and three places back (rows) at each token; a text starts after end symbols."""
+    out, start = np.empty((3, len(history)), dtype=np.uint16), np.cumsum(lengths) - lengths
+    for k in range(3):
+        out[k, 1:] = (out[k - 1] if k else history)[:-1]
+        out[k, start] = HISTORY - 1
+    return out
 
-    def back(k: int) -> np.ndarray:
-        out = np.full(len(history), HISTORY - 1, dtype=np.uint64)
-        out[k:] = history[:-k]
-        out[place < k] = HISTORY - 1
-        return out
 
-    one, two, three = back(1), back(2), back(3)
+def features_before(before: np.ndarray) -> np.ndarray:
+    """Feature value of each template (rows) at each token, from the three words before it."""
+    one, two, three = before.astype(np.uint64)
     return np.stack([one, one * np.uint64(HISTORY) + two, two, three])
 
 
-def weight_rows(features: np.ndarray, node: np.ndarray, rows: int) -> np.ndarray:
-    """Row of the weight table for each template and token; ``rows`` is a power of two."""
+def features_of(history: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    return features_before(words_before(history, lengths))
+
+
+def mix_features(features: np.ndarray) -> np.ndarray:
+    """The features' share of the hash of a weight row, the same for all choices of a token."""
     template = np.arange(TEMPLATES, dtype=np.uint64)[:, None] * np.uint64(0xD6E8FEB86659FD93)
-    x = (features + template) * np.uint64(0x9E3779B97F4A7C15) + node.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-    return (x >> np.uint64(65 - rows.bit_length())).astype(np.int64)
+    return (features + template) * np.uint64(0x9E3779B97F4A7C15)
+
+
+def weight_rows(mixed: np.ndarray, tokens: np.ndarray, node: np.ndarray, rows: int) -> np.ndarray:
+    """Row of the weight table for each template and token concerned; ``rows`` is a power of two."""
+    x = mixed if len(tokens) == mixed.shape[1] else np.take(mixed, tokens, axis=1)
+    x = x + node.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0x94D049BB133111EB)
+    x >>= np.uint64(65 - rows.bit_length())
+    return x.view(np.int64)
 
 
 def choice_probabilities(model: Model, rows: np.ndarray, node: np.ndarray) -> np.ndarray:
-    z = np.take(model.bias, node, axis=0)
+    z, some = np.empty((2, len(node), WIDTH), dtype=np.float32)
+    np.take(model.bias, node, axis=0, out=z, mode="clip")
     for k in range(TEMPLATES):
-        z += np.take(model.weights, rows[k], axis=0)
+        z += np.take(model.weights, rows[k], axis=0, out=some, mode="clip")  # rows are in range; this mode needs no copy
     np.minimum(z, MOST_LOGIT, out=z)  # steps are bounded, so logits stay far below; no maximum per row is needed then
     np.exp(z, out=z)
     z /= (z @ np.ones(WIDTH, dtype=np.float32) + np.float32(1e-37))[:, None]  # a product is faster than a sum over a short axis
@@ -309,23 +353,37 @@ def _unpack(batch: pa.RecordBatch, names: list[str]) -> Iterator[tuple]:
         yield tuple(np.frombuffer(x.as_py(), dtype=kinds[n]) if n in kinds else x.as_py() for n, x in zip(names, row))
 
 
-def _training(lengths: list[int], held: list[bool]) -> tuple[np.ndarray, np.ndarray]:
-    """(lengths, positions of the training tokens)."""
-    sizes = np.array(lengths, dtype=np.int64)
-    return sizes, np.flatnonzero(~np.repeat(np.array(held, dtype=bool), sizes))
+def _training(codes: np.ndarray, history: np.ndarray, lengths: list[int], held: list[bool]) -> tuple[np.ndarray, ...]:
+    """(codes, history, lengths) of the training documents."""
+    sizes, kept = np.array(lengths, dtype=np.int64), ~np.array(held, dtype=bool)
+    at = np.repeat(kept, sizes)
+    return codes[at], history[at], sizes[kept]
 
 
 def _reduce(encoded: DataFrame, size: int, tasks: int, add: Callable) -> np.ndarray:
     """Sum of a vector of fixed size over all chunks: added up per task, then per slice in groups of FAN_IN tasks, one slice at a
-    time in memory; one vector reaches the driver."""
+    time in memory; one vector reaches the driver.
+
+    ``add`` gets chunks together until they hold a quarter of the vector's length in tokens, so
+    that its work on whole vectors is a small share for a long one, too."""
     step = -(-size // SLICES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, some = np.zeros(size, dtype=np.float32), False
+        total, some, waiting = np.zeros(size, dtype=np.float32), False, []
+
+        def add_waiting():
+            codes, history, lengths, held = (np.concatenate(x) for x in zip(*waiting))
+            waiting.clear()
+            add(total, codes, history, lengths, held)
+
         for batch in batches:
-            for codes, history, lengths, held in _unpack(batch, ["codes", "history", "lengths", "held"]):
-                add(total, codes, history, lengths, held)
+            for piece in _unpack(batch, ["codes", "history", "lengths", "held"]):
+                waiting.append(piece)
                 some = True
+                if sum(len(codes) for codes, *_ in waiting) >= size // 4:
+                    add_waiting()
+        if waiting:
+            add_waiting()
         if some:
             task = TaskContext.get().partitionId()
             for i in range(SLICES):
@@ -383,12 +441,12 @@ def train(encoded: DataFrame, stats: CorpusStatistics) -> Model:
     tasks = max(encoded.sparkSession.sparkContext.defaultParallelism, -(-stats.tokens // max(TASK_TOKENS, 64 * rows)))
 
     def profile(total, codes, history, lengths, held):
-        sizes, at = _training(lengths, held)
-        total[:GROUPS * WIDTH] += np.bincount(codes[at], minlength=GROUPS * WIDTH)
+        codes, _, sizes = _training(codes, history, lengths, held)
+        total[:GROUPS * WIDTH] += np.bincount(codes, minlength=GROUPS * WIDTH)
         groups = (codes // WIDTH).astype(np.int64)
-        place = np.arange(len(groups)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         before = np.concatenate([groups[:1], groups[:-1]])
-        at = at[(groups[at] > RARE) & (place[at] > 0) & (before[at] < END)]
+        before[np.cumsum(sizes) - sizes] = END
+        at = np.flatnonzero((groups > RARE) & (before < END))
         total[GROUPS * WIDTH:] += np.bincount((groups[at] - RARE - 1) * SINGLES + before[at], minlength=ENDINGS * SINGLES)
 
     counts = _reduce(encoded, GROUPS * WIDTH + ENDINGS * SINGLES, tasks, profile)
@@ -445,69 +503,96 @@ def _first_counts(model: Model):
     """
     rows = len(model.weights)
     table = rows * WIDTH
-    chances = np.exp(model.bias.astype(np.float64))
-    chances /= chances.sum(axis=1, keepdims=True)
 
     def add(total, codes, history, lengths, held):
-        sizes, training = _training(lengths, held)
-        features = features_of(history, sizes)
+        chances = np.exp(model.bias.astype(np.float64))
+        chances /= chances.sum(axis=1, keepdims=True)
+        pairs = np.ascontiguousarray(chances.view(np.complex128).T)
+        codes, history, sizes = _training(codes, history, lengths, held)
+        before = words_before(history, sizes)
         seen, nodes = np.zeros(table, dtype=np.int32), np.zeros((1 + SUPERS) * rows, dtype=np.int32)
-        expected = total[table:].reshape(WIDTH, rows)
-        for a in range(0, len(training), BATCH):
-            at = training[a:a + BATCH]
-            batch_features = features[:, at]
-            for tokens, node, child in model.choices(codes[at]):
+        sums, found, one = np.zeros((WIDTH // 2, rows), dtype=np.complex128), [], np.ones(BATCH, dtype=np.int32)
+        for a in range(0, len(codes), BATCH):
+            mixed = mix_features(features_before(before[:, a:a + BATCH]))
+            for tokens, node, child in model.choices(codes[a:a + BATCH]):
                 if not len(tokens):
                     continue
-                row = weight_rows(batch_features[:, tokens], node, rows)
-                np.add.at(seen, (child * rows + row).ravel(), np.int32(1))
+                row = weight_rows(mixed, tokens, node, rows)
+                for places in child * rows + row:
+                    np.add.at(seen, places, one[:len(tokens)])
                 if node[0] <= SUPERS:
-                    np.add.at(nodes, (node * rows + row).ravel(), np.int32(1))
-                    continue
-                places = row.ravel()
-                for j in range(WIDTH):  # a table of one output at a time stays in the processor's cache
-                    expected[j] += np.bincount(places, np.tile(chances[node, j], TEMPLATES), rows)
+                    for places in node * rows + row:
+                        np.add.at(nodes, places, one[:len(tokens)])
+                else:
+                    found.append((row, np.take(pairs, node, axis=1)))
+            if 3 * len(found) >= BLOCK:
+                _scatter(sums, found)
+        _scatter(sums, found)
         total[:table] += seen
+        expected = total[table:].reshape(WIDTH, rows)
         expected += chances[:1 + SUPERS].T.astype(np.float32) @ nodes.reshape(1 + SUPERS, rows).astype(np.float32)
+        expected += _unpaired(sums)
 
     return add
 
 
+def _scatter(sums: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]]) -> None:
+    """Adds the outputs of the tokens (rows per template, outputs) to their rows, and empties the list.
+
+    Two outputs are one complex number, which ``add.at`` adds about as fast as a single one. It touches only the
+    rows met, so the time does not depend on the table's length; one pair's table at a time stays in the cache.
+    ``add.at`` is slow on arrays whose dtype came out of a pickle, so both sides are made in the task.
+    """
+    for j, total in enumerate(sums):
+        for row, pairs in found:
+            for places in row:
+                np.add.at(total, places, pairs[j])
+    found.clear()
+
+
+def _unpaired(sums: np.ndarray) -> np.ndarray:
+    """WIDTH x rows."""
+    return np.stack([sums.real, sums.imag], axis=1).reshape(WIDTH, -1)
+
+
 def _gradient(model: Model):
-    """Adds observed minus expected feature counts over all training documents, one output after the other, each
+    """Adds observed minus expected feature counts over all training documents, each output's
     followed by that of the biases; the last output is left out, as a token's outputs add up to zero."""
     rows = len(model.weights)
 
     def add(total, codes, history, lengths, held):
-        sizes, training = _training(lengths, held)
-        features = features_of(history, sizes)
-        by_output = total.reshape(WIDTH - 1, rows + NODES)
-        for a in range(0, len(training), BATCH):
-            at = training[a:a + BATCH]
-            batch_features = features[:, at]
-            for tokens, node, child in model.choices(codes[at]):
+        codes, history, sizes = _training(codes, history, lengths, held)
+        before = words_before(history, sizes)
+        sums, found = np.zeros((WIDTH // 2, rows + NODES), dtype=np.complex64), []
+        for a in range(0, len(codes), BATCH):
+            mixed = mix_features(features_before(before[:, a:a + BATCH]))
+            for tokens, node, child in model.choices(codes[a:a + BATCH]):
                 if not len(tokens):
                     continue
-                row = weight_rows(batch_features[:, tokens], node, rows)
-                g = -choice_probabilities(model, row, node)
-                g[np.arange(len(tokens)), child] += 1
-                places, outputs = row.ravel(), np.ascontiguousarray(g.T[:WIDTH - 1], dtype=np.float64)
-                for j in range(WIDTH - 1):  # a table of one output at a time stays in the processor's cache
-                    by_output[j, :rows] += np.bincount(places, np.tile(outputs[j], TEMPLATES), rows)
-                    if node[0]:
-                        by_output[j, rows:] += np.bincount(node, outputs[j], NODES)
-                    else:  # the first level has one node
-                        by_output[j, rows] += outputs[j].sum()
+                row = weight_rows(mixed, tokens, node, rows)
+                g = choice_probabilities(model, row, node)
+                np.negative(g, out=g)
+                g.reshape(-1)[np.arange(len(tokens)) * WIDTH + child] += 1
+                pairs = np.ascontiguousarray(g.view(np.complex64).T)
+                found.append((row, pairs))
+                if node[0]:
+                    found.append((rows + node[None], pairs))
+                else:  # the first level has one node
+                    sums[:, rows] += pairs.sum(axis=1)
+            if len(found) >= BLOCK:
+                _scatter(sums, found)
+        _scatter(sums, found)
+        total.reshape(WIDTH - 1, rows + NODES)[:] += _unpaired(sums)[:WIDTH - 1]
 
     return add
 
 
-def token_scores(model: Model, codes: np.ndarray, features: np.ndarray) -> np.ndarray:
+def token_scores(model: Model, codes: np.ndarray, before: np.ndarray) -> np.ndarray:
     """log10 of each token's choices, less the log10 of its part's mass (its own count is added elsewhere)."""
-    out = np.zeros(len(codes))
+    out, mixed = np.zeros(len(codes)), mix_features(features_before(before))
     for tokens, node, child in model.choices(codes):
         if len(tokens):
-            p = choice_probabilities(model, weight_rows(features[:, tokens], node, len(model.weights)), node)
+            p = choice_probabilities(model, weight_rows(mixed, tokens, node, len(model.weights)), node)
             out[tokens] += np.log10(np.maximum(p[np.arange(len(p)), child], 1e-30))
     classes = model.cluster[codes // WIDTH]
     return out - np.where(classes > RARE, model.part_mass[classes, codes % WIDTH], 0.0)
@@ -523,10 +608,10 @@ def score_chunks(encoded: DataFrame, model: Model) -> DataFrame:
             ids = batch.column(batch.schema.get_field_index("ids"))
             for row, (held, lengths, base, known, inside, codes, history) in enumerate(_unpack(batch, names)):
                 sizes = np.array(lengths, dtype=np.int64)
-                features = features_of(history, sizes)
+                before = words_before(history, sizes)
                 gain = np.empty(len(codes))
                 for a in range(0, len(codes), BATCH):
-                    gain[a:a + BATCH] = token_scores(model, codes[a:a + BATCH], features[:, a:a + BATCH])
+                    gain[a:a + BATCH] = token_scores(model, codes[a:a + BATCH], before[:, a:a + BATCH])
                 score = np.add.reduceat(gain, np.cumsum(sizes) - sizes) + inside
                 yield pa.RecordBatch.from_arrays(
                     [ids[row].values, pa.array(held, pa.bool_()), pa.array(sizes), pa.array(known), pa.array(base), pa.array(score)],

@@ -553,6 +553,39 @@ def test_lm_rounds_add_up_plain_counts(monkeypatch):
     assert np.allclose(got.reshape(w - 1, -1), np.concatenate([seen - expected, on_bias])[:, :w - 1].T, atol=1e-3)
 
 
+def test_lm_rounds_work_on_whole_tables_once_per_group_of_chunks(spark):
+    """Chunks are added up together until they hold a quarter of the vector's length in tokens, not one by one."""
+    rows = [(bytes(2 * n), bytes(2 * n), [n], [i % 3 == 0]) for i, n in enumerate([5, 1, 7, 2, 9, 4, 3, 8, 6, 10])]
+    encoded = spark.createDataFrame(rows, "codes binary, history binary, lengths array<int>, held array<boolean>").coalesce(1)
+
+    def add(total, codes, history, lengths, held):
+        total[0] += 1
+        total[1] += len(codes)
+        total[2] += (np.array(lengths) * ~np.array(held)).sum()
+        total[3] += len(history)
+
+    for size, calls in ((4_000, 1), (80, 3), (4, 10)):
+        got = maxent_lm._reduce(encoded, size, 1, add)
+        assert got[:4].tolist() == [calls, 55, 55 - 5 - 2 - 3 - 10, 55] and not got[4:].any()
+
+
+def test_lm_chunks_hold_the_words_of_the_plain_rule(spark):
+    odd = [" a  B\x0bc\td\r\ne\x0c ", "", None, " \n\t", "x\x1cy\x85z\x1f \u00a0Q\u2003R ÄÖ É", "A a A\x00 a", "\U0001f600 İI", "one"]
+    texts = [*odd, "Word wörd " * 400_000, *odd, "end"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    chunks, got = maxent_lm.tokenise(docs, "doc_id", "text").collect(), {}
+    assert len(chunks) > 1
+    for r in chunks:
+        words, flat = [None, *bytes(r["words"]).split()], np.frombuffer(r["tokens"], dtype=np.int32)
+        assert r["n_words"] == len(words) - 1 == len(set(words[1:])) and len(flat) == sum(r["lengths"])
+        of_doc = np.split(flat, np.cumsum(r["lengths"])[:-1])
+        got |= {i: [words[k] for k in line] for i, line in zip(r["ids"], of_doc)}
+        kept = np.concatenate([line[:0] if h else line for line, h in zip(of_doc, r["held"])])
+        assert np.frombuffer(r["counts"], dtype=np.int32).tolist() == np.bincount(kept, minlength=len(words)).tolist()
+        assert r["held"] == [zlib.crc32(str(i).encode()) % 7 == 2 for i in r["ids"]]
+    assert got == {i: [*(w.encode() for w in WORD.findall(lower(t))), None] for i, t in enumerate(texts)}
+
+
 def test_lm_of_nothing(empty):
     assert maxent_lm.op6_query(empty.sparkSession, empty).count() == 0
 
