@@ -563,7 +563,7 @@ def _gradient(model: Model):
     def add(total, codes, history, lengths, held):
         codes, history, sizes = _training(codes, history, lengths, held)
         before = words_before(history, sizes)
-        sums, found = np.zeros((WIDTH // 2, rows + NODES), dtype=np.complex64), []
+        sums, found = np.zeros((WIDTH // 2, rows + NODES), dtype=np.complex128), []
         for a in range(0, len(codes), BATCH):
             mixed = mix_features(features_before(before[:, a:a + BATCH]))
             for tokens, node, child in model.choices(codes[a:a + BATCH]):
@@ -573,7 +573,7 @@ def _gradient(model: Model):
                 g = choice_probabilities(model, row, node)
                 np.negative(g, out=g)
                 g.reshape(-1)[np.arange(len(tokens)) * WIDTH + child] += 1
-                pairs = np.ascontiguousarray(g.view(np.complex64).T)
+                pairs = np.ascontiguousarray(g.view(np.complex64).T, dtype=np.complex128)
                 found.append((row, pairs))
                 if node[0]:
                     found.append((rows + node[None], pairs))
